@@ -1,0 +1,181 @@
+"""DuckDB oracle SQL for the registered queries.
+
+Each entry is a self-contained statement over the pre-registered views
+(``events`` ...).  The fixture views are re-stated here in plain SQL (see
+FIXTURES.md) and the reference's model SQL is applied as written, so the
+oracle computes the fan-out joins row by row while the Spark side uses the
+aggregate-then-scale plan: the two are independent formulations.
+"""
+
+from __future__ import annotations
+
+BASE = 1704067200000000
+PROCESSED_AT = "TIMESTAMP '2024-02-01 00:00:00'"
+MONEY = "DECIMAL(38,2)"
+
+
+def _events(scale: int) -> str:
+    return f"""
+  SELECT event_id, user_id, event_type, value,
+         CAST(json_extract_string(props, '$.k') AS INTEGER) AS k,
+         make_timestamp({BASE} + (epoch_us(ts) - {BASE}) // {scale}) AS event_ts
+  FROM events"""
+
+
+def _payments(src: str) -> str:
+    return f"""
+  SELECT event_id,
+         'TXN' || lpad(CAST(event_id AS VARCHAR), 12, '0') AS transaction_id,
+         strftime(event_ts, '%Y-%m-%dT%H:%M:%S.%f+00:00') AS ts_event,
+         sha1('card-' || CAST(user_id AS VARCHAR)) AS card_hash,
+         CASE event_id % 40 WHEN 0 THEN 'M1001' WHEN 1 THEN 'M2002' WHEN 2 THEN 'M9999'
+              ELSE 'M' || CAST(1000 + event_id % 40 AS VARCHAR) END AS merchant_id,
+         round(value * 100, 2) AS amount,
+         CASE k % 4 WHEN 0 THEN 'USD' WHEN 1 THEN 'EUR' WHEN 2 THEN 'GBP' WHEN 3 THEN 'INR' END AS currency,
+         CASE event_type WHEN 'click' THEN '5411' WHEN 'view' THEN '5812' WHEN 'purchase' THEN '5999'
+              WHEN 'signup' THEN '4111' WHEN 'error' THEN '6011' END AS mcc,
+         CASE WHEN k % 2 = 0 THEN 'POS' ELSE 'ECOM' END AS channel,
+         CASE WHEN event_type IN ('error', 'signup') THEN 'DECLINED' ELSE 'APPROVED' END AS auth_result,
+         CASE WHEN k >= 98 THEN 'India' WHEN user_id % 2 = 0 THEN 'USA' ELSE 'UK' END AS location,
+         event_ts,
+         CAST(event_ts AS DATE) AS date
+  FROM {src}"""
+
+
+def _flags(src: str) -> str:
+    return f"""
+  SELECT *, (rule_high_amount OR rule_blacklist) AS is_fraud,
+         concat_ws(',', CASE WHEN rule_high_amount THEN 'HIGH_AMOUNT' END,
+                        CASE WHEN rule_blacklist THEN 'BLACKLISTED_MERCHANT' END) AS fraud_reason
+  FROM (SELECT *, amount > 10000 AS rule_high_amount,
+               coalesce(merchant_id IN ('M1001', 'M2002', 'M9999'), false) AS rule_blacklist
+        FROM {src})"""
+
+
+def _dirty(src: str) -> str:
+    return f"""
+  SELECT event_id,
+         CASE WHEN event_id % 101 = 0 THEN NULL ELSE transaction_id END AS transaction_id,
+         ts_event, card_hash, merchant_id,
+         CASE WHEN event_id % 103 = 0 THEN NULL WHEN event_id % 97 = 0 THEN -amount ELSE amount END AS amount,
+         currency, mcc, channel, auth_result, location, event_ts, date
+  FROM {src}, (SELECT unnest([1, 2]) AS copy) c
+  WHERE c.copy = 1 OR {src}.event_id % 50 = 0"""
+
+
+BRONZE_COLS = ("merchant_id, transaction_id, ts_event, card_hash, amount, currency, mcc, channel, "
+               "auth_result, location, event_ts, date, rule_high_amount, rule_blacklist, is_fraud, fraud_reason")
+WAREHOUSE_SELECT = ("transaction_id, ts_event, card_hash, merchant_id, CAST(amount AS DECIMAL(18,2)) AS amount, "
+                    "currency, mcc, channel, auth_result, location, event_ts, rule_high_amount, "
+                    "rule_blacklist, is_fraud, fraud_reason, processed_at, date")
+STG_COLS = ("merchant_id, transaction_id, ts_event, card_hash, amount, currency, mcc, channel, "
+            "auth_result, location, event_ts, rule_high_amount, rule_blacklist, is_fraud, "
+            "fraud_reason, processed_at, date")
+FACT_COLS = ("transaction_id, merchant_id, amount, currency, event_ts, card_hash, auth_result, "
+             "is_fraud, fraud_reason, rule_high_amount, rule_blacklist, processed_at, date")
+SIGNAL_COLS = "date, transaction_id, merchant_id, is_fraud, fraud_reason, rule_high_amount, rule_blacklist"
+
+
+def with_base(body: str) -> str:
+    """Prefix the fixture CTEs (clean / fast / dirty payments, models)."""
+    return f"""WITH
+ev1 AS ({_events(1)}),
+ev720 AS ({_events(720)}),
+payments AS ({_payments('ev1')}),
+payments_fast AS ({_payments('ev720')}),
+payments_dirty AS ({_dirty('payments')}),
+bronze AS (SELECT {BRONZE_COLS}, event_id FROM ({_flags('payments')})),
+bronze_dirty AS (SELECT {BRONZE_COLS}, event_id FROM ({_flags('payments_dirty')})),
+transactions AS (SELECT {WAREHOUSE_SELECT} FROM (SELECT *, {PROCESSED_AT} AS processed_at FROM bronze)
+                 WHERE transaction_id IS NOT NULL),
+stg AS (SELECT {STG_COLS} FROM transactions),
+fact AS (SELECT {FACT_COLS} FROM stg),
+signals AS (SELECT {SIGNAL_COLS} FROM stg),
+dim_merchants AS (SELECT DISTINCT merchant_id, location, mcc, channel FROM stg),
+dim_currency AS (SELECT DISTINCT currency AS currency_code FROM stg),
+dim_auth AS (SELECT DISTINCT auth_result FROM stg)
+{body}"""
+
+
+def _merchants(exact: bool) -> str:
+    return "(SELECT DISTINCT merchant_id FROM dim_merchants)" if exact else "dim_merchants"
+
+
+def _marts(exact: bool) -> dict[str, str]:
+    m = _merchants(exact)
+    sfx = "_exact" if exact else ""
+    return {
+        f"mart_settlement_daily{sfx}": f"""
+SELECT date, merchant_id, currency, CAST(total_amount AS {MONEY}) AS total_amount,
+       CAST(transaction_count AS BIGINT) AS transaction_count, CAST(fees AS {MONEY}) AS fees,
+       CAST(round(total_amount - fees, 2) AS {MONEY}) AS total_settlement
+FROM (SELECT f.date, f.merchant_id, f.currency, sum(f.amount) AS total_amount,
+             count(DISTINCT f.transaction_id) AS transaction_count,
+             round(sum(f.amount) * 0.02, 2) AS fees
+      FROM fact f JOIN {m} m ON f.merchant_id = m.merchant_id
+      WHERE f.is_fraud = false AND f.auth_result = 'APPROVED'
+      GROUP BY f.date, f.merchant_id, f.currency) base""",
+        f"mart_fraud_settlement_daily{sfx}": f"""
+SELECT f.date, f.merchant_id, CAST(sum(f.amount) AS {MONEY}) AS total_amount,
+       CAST(count(DISTINCT f.transaction_id) AS BIGINT) AS transaction_count,
+       CAST(sum(CASE WHEN f.is_fraud THEN 1 ELSE 0 END) AS BIGINT) AS fraud_count,
+       CAST(sum(CASE WHEN f.is_fraud THEN f.amount ELSE 0 END) AS {MONEY}) AS fraud_amount
+FROM fact f JOIN {m} m ON f.merchant_id = m.merchant_id
+GROUP BY f.date, f.merchant_id""",
+        f"mart_fraud_rate{sfx}": f"""
+SELECT date, merchant_id, CAST(total_transactions AS BIGINT) AS total_transactions,
+       CAST(fraud_transactions AS BIGINT) AS fraud_transactions,
+       CAST((20000 * fraud_transactions + total_transactions) // (2 * total_transactions) AS DOUBLE) / 100
+         AS fraud_rate_pct
+FROM (SELECT f.date, f.merchant_id, count(*) AS total_transactions,
+             sum(CASE WHEN f.is_fraud THEN 1 ELSE 0 END) AS fraud_transactions
+      FROM signals f JOIN {m} m ON f.merchant_id = m.merchant_id
+      GROUP BY f.date, f.merchant_id)""",
+        f"mart_fraud_alerts{sfx}": f"""
+SELECT f.date, f.transaction_id, f.merchant_id, f.amount, f.currency, f.is_fraud,
+       f.fraud_reason, f.rule_high_amount, f.rule_blacklist
+FROM fact f JOIN {m} m ON f.merchant_id = m.merchant_id
+WHERE f.is_fraud = true""",
+    }
+
+
+def queries() -> dict[str, str]:
+    q: dict[str, str] = {
+        "rule_high_amount": "SELECT transaction_id, amount, amount > 10000 AS rule_high_amount FROM payments",
+        "rule_blacklist": "SELECT transaction_id, merchant_id, rule_blacklist FROM bronze",
+        "flag_stateless": f"SELECT {BRONZE_COLS} FROM bronze",
+        "route_flagged": f"SELECT {BRONZE_COLS} FROM bronze WHERE is_fraud",
+        "route_clean": f"SELECT {BRONZE_COLS} FROM bronze WHERE NOT is_fraud",
+        "stg_transactions": "SELECT * FROM stg",
+        "fact_transactions": "SELECT * FROM fact",
+        "fact_fraud_signals": "SELECT * FROM signals",
+        "dim_merchants": "SELECT * FROM dim_merchants",
+        "dim_currency": "SELECT * FROM dim_currency",
+        "dim_auth_results": "SELECT * FROM dim_auth",
+        "mart_currency_volume": f"""
+SELECT f.date, f.currency, c.currency_code, CAST(sum(f.amount) AS {MONEY}) AS total_amount,
+       CAST(count(DISTINCT f.transaction_id) AS BIGINT) AS transaction_count
+FROM fact f JOIN dim_currency c ON f.currency = c.currency_code
+GROUP BY f.date, f.currency, c.currency_code""",
+        "mart_channel_performance": f"""
+SELECT f.date, d.channel, CAST(count(DISTINCT f.transaction_id) AS BIGINT) AS transaction_count,
+       CAST(sum(f.amount) AS {MONEY}) AS total_amount,
+       CAST(sum(CASE WHEN f.is_fraud THEN 1 ELSE 0 END) AS BIGINT) AS fraud_count
+FROM fact f JOIN dim_merchants d ON f.merchant_id = d.merchant_id
+GROUP BY f.date, d.channel""",
+        "mart_channel_performance_exact": f"""
+SELECT s.date, s.channel, CAST(count(DISTINCT s.transaction_id) AS BIGINT) AS transaction_count,
+       CAST(sum(s.amount) AS {MONEY}) AS total_amount,
+       CAST(sum(CASE WHEN s.is_fraud THEN 1 ELSE 0 END) AS BIGINT) AS fraud_count
+FROM stg s WHERE s.merchant_id IN (SELECT merchant_id FROM dim_merchants)
+GROUP BY s.date, s.channel""",
+        "warehouse_transactions": f"""
+SELECT {WAREHOUSE_SELECT} FROM (
+  SELECT *, {PROCESSED_AT} AS processed_at,
+         row_number() OVER (PARTITION BY transaction_id, event_ts ORDER BY event_id) AS rn
+  FROM bronze_dirty)
+WHERE rn = 1 AND amount >= 0 AND transaction_id IS NOT NULL""",
+    }
+    q.update(_marts(False))
+    q.update(_marts(True))
+    return {k: with_base(v) for k, v in q.items()}
