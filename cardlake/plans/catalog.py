@@ -162,3 +162,99 @@ def q_channel(spark, sf_dir):
 def q_channel_exact(spark, sf_dir):
     s = stg(spark, sf_dir)
     return models.mart_channel_performance_exact(s, models.dim_merchants(s))
+
+
+# ---- per-card rules (payments_fast: one hour, so the rules fire) ---------------
+
+def _card_rules(spark, sf_dir):
+    from cardlake.operators.card_rules import flag_all_rules
+    return flag_all_rules(fixtures.payments_fast(spark, sf_dir))
+
+
+@register("rule_velocity")
+def q_rule_velocity(spark, sf_dir):
+    return _card_rules(spark, sf_dir).select("transaction_id", "card_hash", "event_ts", "rule_velocity")
+
+
+@register("rule_cross_border")
+def q_rule_cross_border(spark, sf_dir):
+    return _card_rules(spark, sf_dir).select("transaction_id", "card_hash", "location", "rule_cross_border")
+
+
+@register("rule_decline_rate")
+def q_rule_decline_rate(spark, sf_dir):
+    return _card_rules(spark, sf_dir).select("transaction_id", "card_hash", "auth_result", "rule_decline_rate")
+
+
+@register("flag_all_rules")
+def q_flag_all_rules(spark, sf_dir):
+    return _card_rules(spark, sf_dir)
+
+
+# ---- raw payloads, parse, dead letter, silver -------------------------------------
+
+def _parsed(spark, sf_dir):
+    from cardlake.operators.parse import parse_payments
+    from cardlake.plans.fixture_params import DLQ_TS
+    return parse_payments(fixtures.raw_lines(spark, sf_dir), as_of=DLQ_TS)
+
+
+def _from_value(df: DataFrame, fields) -> DataFrame:
+    from pyspark.sql import functions as F
+    cols = [F.get_json_object("value", f"$.{f}").alias(f) for f in fields]
+    return df.select(*([F.col("key")] if "key" in df.columns else []), *cols)
+
+
+@register("src_raw_lines")
+def q_src_raw_lines(spark, sf_dir):
+    """Payloads delivered as text files, drained by a file stream (topic stand-in)."""
+    from pyspark.sql import functions as F
+    from cardlake.session import shared_path
+    from cardlake.sources.lines import text_stream, write_lines
+    from cardlake.streaming.sinks import drain
+    root = shared_path(spark, "src_raw_lines")
+    write_lines(fixtures.raw_lines(spark, sf_dir), f"{root}/in")
+    out = drain(text_stream(spark, f"{root}/in"), f"{root}/out", f"{root}/chk")
+    return out.select(F.get_json_object("value", "$.transaction_id").alias("transaction_id"),
+                      (F.col("value") == "").alias("is_blank"))
+
+
+@register("parse_payments")
+def q_parse(spark, sf_dir):
+    return _parsed(spark, sf_dir)[0]
+
+
+@register("invalid_payments")
+def q_invalid(spark, sf_dir):
+    return _parsed(spark, sf_dir)[1].select("error_reason", "transaction_id", "card_hash", "amount")
+
+
+@register("bronze_payments")
+def q_bronze_payments(spark, sf_dir):
+    return rules.flag_stateless(_parsed(spark, sf_dir)[0])
+
+
+@register("dlq_flagged")
+def q_dlq_flagged(spark, sf_dir):
+    from cardlake.operators.routing import to_value
+    flagged = rules.route(rules.flag_stateless(_parsed(spark, sf_dir)[0]))[1]
+    return _from_value(to_value(flagged), ["transaction_id", "merchant_id", "fraud_reason"])
+
+
+@register("dlq_envelope")
+def q_dlq_envelope(spark, sf_dir):
+    from cardlake.operators.routing import dead_letter, undecided_as_invalid
+    from cardlake.plans.fixture_params import DLQ_TS
+    valid, invalid = _parsed(spark, sf_dir)
+    _, flagged, undecided = rules.route(rules.flag_stateless(valid))
+    bad = invalid.unionByName(undecided_as_invalid(undecided, DLQ_TS), allowMissingColumns=True)
+    return _from_value(dead_letter(flagged, bad, as_of=DLQ_TS), ["transaction_id", "error_reason"])
+
+
+def bronze_dirty(spark, sf_dir):
+    return rules.flag_stateless(fixtures.payments_dirty(spark, sf_dir))
+
+
+@register("silver_payments")
+def q_silver(spark, sf_dir):
+    return layers.to_silver(bronze_dirty(spark, sf_dir), processed_at=PROCESSED_AT)

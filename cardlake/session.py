@@ -32,6 +32,7 @@ def local_session(cores: int = 8, shuffle_partitions: int | None = None,
     """A local session with the library's settings (tests and bench only)."""
     b = (SparkSession.builder.master(f"local[{cores}]").appName(app)
          .config("spark.ui.enabled", "false")
+         .config("spark.ui.showConsoleProgress", "false")
          .config("spark.driver.memory", "8g")
          .config("spark.sql.shuffle.partitions", str(shuffle_partitions or cores)))
     for k, v in DEFAULT_CONF.items():

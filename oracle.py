@@ -76,6 +76,33 @@ FACT_COLS = ("transaction_id, merchant_id, amount, currency, event_ts, card_hash
 SIGNAL_COLS = "date, transaction_id, merchant_id, is_fraud, fraud_reason, rule_high_amount, rule_blacklist"
 
 
+def _card_rules() -> str:
+    """Per-card rules by plain frames (payments_fast has no equal times per card)."""
+    return f"""
+  SELECT transaction_id, ts_event, card_hash, merchant_id, amount, currency, mcc, channel,
+         auth_result, location, event_ts, date AS event_date, rule_high_amount, rule_blacklist,
+         rule_velocity, rule_cross_border, rule_decline_rate,
+         (rule_high_amount OR rule_blacklist OR rule_velocity OR rule_cross_border OR rule_decline_rate) AS is_fraud,
+         concat_ws(',', CASE WHEN rule_high_amount THEN 'HIGH_AMOUNT' END,
+                        CASE WHEN rule_blacklist THEN 'BLACKLISTED_MERCHANT' END,
+                        CASE WHEN rule_velocity THEN 'VELOCITY' END,
+                        CASE WHEN rule_cross_border THEN 'CROSS_BORDER' END,
+                        CASE WHEN rule_decline_rate THEN 'DECLINE_RATE' END) AS fraud_reason
+  FROM (
+    SELECT *, amount > 10000 AS rule_high_amount,
+           coalesce(merchant_id IN ('M1001', 'M2002', 'M9999'), false) AS rule_blacklist,
+           count(*) OVER (PARTITION BY card_hash ORDER BY epoch_us(event_ts)
+                          RANGE BETWEEN 60000000 PRECEDING AND CURRENT ROW) > 5 AS rule_velocity,
+           count(DISTINCT coalesce(location, chr(0))) OVER (PARTITION BY card_hash ORDER BY epoch_us(event_ts)
+                          RANGE BETWEEN 600000000 PRECEDING AND CURRENT ROW) > 1 AS rule_cross_border,
+           (count(*) OVER (PARTITION BY card_hash ORDER BY epoch_us(event_ts)
+                           RANGE BETWEEN 600000000 PRECEDING AND CURRENT ROW) >= 10
+            AND sum(CASE WHEN auth_result = 'DECLINED' THEN 1 ELSE 0 END)
+                  OVER (PARTITION BY card_hash ORDER BY epoch_us(event_ts)
+                        ROWS BETWEEN 9 PRECEDING AND CURRENT ROW) > 5) AS rule_decline_rate
+    FROM payments_fast)"""
+
+
 def with_base(body: str) -> str:
     """Prefix the fixture CTEs (clean / fast / dirty payments, models)."""
     return f"""WITH
@@ -93,7 +120,11 @@ fact AS (SELECT {FACT_COLS} FROM stg),
 signals AS (SELECT {SIGNAL_COLS} FROM stg),
 dim_merchants AS (SELECT DISTINCT merchant_id, location, mcc, channel FROM stg),
 dim_currency AS (SELECT DISTINCT currency AS currency_code FROM stg),
-dim_auth AS (SELECT DISTINCT auth_result FROM stg)
+dim_auth AS (SELECT DISTINCT auth_result FROM stg),
+lines AS (SELECT *, CASE WHEN event_id % 83 = 0 THEN 'EMPTY_PAYLOAD' WHEN event_id % 89 = 0 THEN 'INVALID_JSON'
+                         WHEN transaction_id IS NULL THEN 'MISSING_ID' END AS error_reason
+          FROM bronze_dirty),
+card_rules AS ({_card_rules()})
 {body}"""
 
 
@@ -176,6 +207,36 @@ SELECT {WAREHOUSE_SELECT} FROM (
   FROM bronze_dirty)
 WHERE rn = 1 AND amount >= 0 AND transaction_id IS NOT NULL""",
     }
+    q["flag_all_rules"] = "SELECT * FROM card_rules"
+    q["src_raw_lines"] = """SELECT CASE WHEN event_id % 83 = 0 OR event_id % 89 = 0 THEN NULL ELSE transaction_id END
+                                   AS transaction_id, event_id % 83 = 0 AS is_blank FROM lines"""
+    q["parse_payments"] = """SELECT transaction_id, ts_event, card_hash, merchant_id, amount, currency, mcc, channel,
+                                    auth_result, location, event_ts, date FROM lines WHERE error_reason IS NULL"""
+    q["invalid_payments"] = """SELECT error_reason, CAST(NULL AS VARCHAR) AS transaction_id,
+                                      CASE WHEN error_reason = 'MISSING_ID' THEN card_hash END AS card_hash,
+                                      CASE WHEN error_reason = 'MISSING_ID' THEN amount END AS amount
+                               FROM lines WHERE error_reason IS NOT NULL"""
+    q["bronze_payments"] = f"SELECT {BRONZE_COLS} FROM lines WHERE error_reason IS NULL"
+    q["dlq_flagged"] = """SELECT transaction_id, merchant_id, fraud_reason FROM lines
+                          WHERE error_reason IS NULL AND is_fraud"""
+    q["dlq_envelope"] = """
+SELECT card_hash AS key, transaction_id, 'FRAUD_DETECTED' AS error_reason FROM lines
+WHERE error_reason IS NULL AND is_fraud
+UNION ALL
+SELECT card_hash AS key, transaction_id, 'MISSING_AMOUNT' FROM lines
+WHERE error_reason IS NULL AND is_fraud IS NULL
+UNION ALL
+SELECT CASE WHEN error_reason = 'MISSING_ID' THEN card_hash END, NULL, error_reason FROM lines
+WHERE error_reason IS NOT NULL"""
+    q["silver_payments"] = f"""
+SELECT {BRONZE_COLS}, processed_at FROM (
+  SELECT *, {PROCESSED_AT} AS processed_at,
+         row_number() OVER (PARTITION BY transaction_id, event_ts ORDER BY event_id) AS rn
+  FROM bronze_dirty)
+WHERE rn = 1 AND amount >= 0"""
+    q["rule_velocity"] = "SELECT transaction_id, card_hash, event_ts, rule_velocity FROM card_rules"
+    q["rule_cross_border"] = "SELECT transaction_id, card_hash, location, rule_cross_border FROM card_rules"
+    q["rule_decline_rate"] = "SELECT transaction_id, card_hash, auth_result, rule_decline_rate FROM card_rules"
     q.update(_marts(False))
     q.update(_marts(True))
     return {k: with_base(v) for k, v in q.items()}
