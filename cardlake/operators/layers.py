@@ -52,7 +52,7 @@ def to_silver(df: DataFrame, delay: str = DEDUP_DELAY, processed_at=None,
                    .filter(F.col("amount") >= 0))
 
 
-def to_warehouse(df: DataFrame) -> DataFrame:
+def to_warehouse(df: DataFrame, require_id: bool = True) -> DataFrame:
     """Silver -> warehouse ``transactions``: 17 columns, money as decimal(18,2).
 
     ``try_cast``: an amount that does not fit becomes null (and fails the
@@ -60,7 +60,8 @@ def to_warehouse(df: DataFrame) -> DataFrame:
     """
     cols = [F.col("amount").try_cast(MONEY).alias("amount") if c == "amount" else F.col(c)
             for c in WAREHOUSE_COLUMNS]
-    return df.select(*cols).filter(F.col("transaction_id").isNotNull())
+    out = df.select(*cols)
+    return out.filter(F.col("transaction_id").isNotNull()) if require_id else out
 
 
 def with_processed_at(df: DataFrame, processed_at=None) -> DataFrame:

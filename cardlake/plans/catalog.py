@@ -258,3 +258,100 @@ def bronze_dirty(spark, sf_dir):
 @register("silver_payments")
 def q_silver(spark, sf_dir):
     return layers.to_silver(bronze_dirty(spark, sf_dir), processed_at=PROCESSED_AT)
+
+
+# ---- data quality (on an unvalidated load of the dirty rows, so checks find things) --
+
+def unchecked_stg(spark, sf_dir):
+    raw = layers.to_warehouse(layers.with_processed_at(bronze_dirty(spark, sf_dir), PROCESSED_AT),
+                              require_id=False)
+    return models.stg_transactions(raw)
+
+
+@register("dq_not_null")
+def q_dq_not_null(spark, sf_dir):
+    from cardlake.operators.quality import null_counts
+    checks = [("stg_transactions", "transaction_id"), ("fact_transactions", "transaction_id"),
+              ("fact_transactions", "merchant_id"), ("fact_transactions", "amount"),
+              ("fact_fraud_signals", "transaction_id")]
+    return null_counts(unchecked_stg(spark, sf_dir), checks)
+
+
+@register("dq_unique_txn")
+def q_dq_unique(spark, sf_dir):
+    from cardlake.operators.quality import unique
+    return unique(models.fact_transactions(unchecked_stg(spark, sf_dir)), "transaction_id")
+
+
+@register("dq_rel_merchant")
+def q_dq_rel_merchant(spark, sf_dir):
+    from cardlake.operators.quality import foreign_key
+    s = unchecked_stg(spark, sf_dir)
+    return foreign_key(models.fact_transactions(s), "merchant_id", models.dim_merchants(s), "merchant_id")
+
+
+@register("dq_rel_currency")
+def q_dq_rel_currency(spark, sf_dir):
+    from cardlake.operators.quality import foreign_key
+    s = unchecked_stg(spark, sf_dir)
+    return foreign_key(models.fact_transactions(s), "currency", models.dim_currency(s), "currency_code")
+
+
+@register("dq_rel_signal")
+def q_dq_rel_signal(spark, sf_dir):
+    from cardlake.operators.quality import foreign_key
+    s = unchecked_stg(spark, sf_dir)
+    return foreign_key(models.fact_fraud_signals(s), "transaction_id",
+                       models.fact_transactions(s), "transaction_id")
+
+
+@register("dq_amount_non_negative")
+def q_dq_amount(spark, sf_dir):
+    from cardlake.operators.quality import amount_non_negative
+    return amount_non_negative(models.fact_transactions(unchecked_stg(spark, sf_dir)))
+
+
+@register("dq_valid_currency")
+def q_dq_currency(spark, sf_dir):
+    from cardlake.operators.quality import valid_currency
+    s = unchecked_stg(spark, sf_dir)
+    return valid_currency(models.fact_transactions(s), models.dim_currency(s))
+
+
+@register("dq_profile")
+def q_dq_profile(spark, sf_dir):
+    from cardlake.operators.quality import profile
+    return profile(unchecked_stg(spark, sf_dir), key="transaction_id")
+
+
+@register("dq_freshness")
+def q_dq_freshness(spark, sf_dir):
+    from cardlake.operators.quality import freshness
+    from cardlake.plans.fixture_params import FRESHNESS_AS_OF, FRESHNESS_MAX_LAG_S
+    return freshness(fixtures.payments(spark, sf_dir), FRESHNESS_AS_OF, FRESHNESS_MAX_LAG_S)
+
+
+# ---- reports and retention --------------------------------------------------------
+
+def _report(mart_key: str, prefix: str):
+    def q(spark, sf_dir):
+        from cardlake.plans.fixture_params import REPORT_DAY
+        from cardlake.plans.reports import export_report, read_report
+        from cardlake.session import shared_path
+        mart = REGISTRY[mart_key](spark, sf_dir)
+        out = export_report(mart, REPORT_DAY, shared_path(spark, "reports"), prefix=prefix)
+        return read_report(spark, out, mart.schema)
+    return q
+
+
+register("report_settlement_daily")(_report("mart_settlement_daily", "settlement"))
+register("report_fraud_daily")(_report("mart_fraud_settlement_daily", "fraud"))
+
+
+@register("retention_candidates")
+def q_retention(spark, sf_dir):
+    from pyspark.sql import functions as F
+    from cardlake.plans.fixture_params import RETENTION_AS_OF, RETENTION_DAYS
+    from cardlake.plans.reports import retention_candidates
+    old = retention_candidates(bronze(spark, sf_dir), RETENTION_AS_OF, RETENTION_DAYS)
+    return old.groupBy("date").agg(F.count(F.lit(1)).alias("row_count"))

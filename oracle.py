@@ -121,6 +121,10 @@ signals AS (SELECT {SIGNAL_COLS} FROM stg),
 dim_merchants AS (SELECT DISTINCT merchant_id, location, mcc, channel FROM stg),
 dim_currency AS (SELECT DISTINCT currency AS currency_code FROM stg),
 dim_auth AS (SELECT DISTINCT auth_result FROM stg),
+unchecked AS (SELECT {STG_COLS} FROM (SELECT {WAREHOUSE_SELECT} FROM
+              (SELECT *, {PROCESSED_AT} AS processed_at FROM bronze_dirty))),
+ufact AS (SELECT {FACT_COLS} FROM unchecked),
+usignals AS (SELECT {SIGNAL_COLS} FROM unchecked),
 lines AS (SELECT *, CASE WHEN event_id % 83 = 0 THEN 'EMPTY_PAYLOAD' WHEN event_id % 89 = 0 THEN 'INVALID_JSON'
                          WHEN transaction_id IS NULL THEN 'MISSING_ID' END AS error_reason
           FROM bronze_dirty),
@@ -170,6 +174,23 @@ WHERE f.is_fraud = true""",
     }
 
 
+STG_COL_LIST = [c.strip() for c in STG_COLS.split(",")]
+
+
+def _profile_sql() -> str:
+    parts = []
+    for c in STG_COL_LIST:
+        parts.append(f"""SELECT '{c}' AS column_name, count(*) AS row_count,
+       count(*) FILTER (WHERE {c} IS NULL) AS null_count FROM unchecked""")
+    body = " UNION ALL ".join(parts)
+    return f"""
+SELECT column_name, CAST(row_count AS BIGINT) AS row_count, CAST(null_count AS BIGINT) AS null_count,
+       CAST((20000 * null_count + row_count) // (2 * row_count) AS DOUBLE) / 100 AS null_pct,
+       CAST((SELECT count(transaction_id) - count(DISTINCT transaction_id) FROM unchecked) AS BIGINT)
+         AS duplicate_keys
+FROM ({body})"""
+
+
 def queries() -> dict[str, str]:
     q: dict[str, str] = {
         "rule_high_amount": "SELECT transaction_id, amount, amount > 10000 AS rule_high_amount FROM payments",
@@ -237,6 +258,40 @@ WHERE rn = 1 AND amount >= 0"""
     q["rule_velocity"] = "SELECT transaction_id, card_hash, event_ts, rule_velocity FROM card_rules"
     q["rule_cross_border"] = "SELECT transaction_id, card_hash, location, rule_cross_border FROM card_rules"
     q["rule_decline_rate"] = "SELECT transaction_id, card_hash, auth_result, rule_decline_rate FROM card_rules"
+    q["dq_not_null"] = """
+SELECT * FROM (
+  SELECT 'stg_transactions' AS model, 'transaction_id' AS column_name,
+         CAST(count(*) FILTER (WHERE transaction_id IS NULL) AS BIGINT) AS failures FROM unchecked
+  UNION ALL SELECT 'fact_transactions', 'transaction_id', count(*) FILTER (WHERE transaction_id IS NULL) FROM ufact
+  UNION ALL SELECT 'fact_transactions', 'merchant_id', count(*) FILTER (WHERE merchant_id IS NULL) FROM ufact
+  UNION ALL SELECT 'fact_transactions', 'amount', count(*) FILTER (WHERE amount IS NULL) FROM ufact
+  UNION ALL SELECT 'fact_fraud_signals', 'transaction_id', count(*) FILTER (WHERE transaction_id IS NULL)
+            FROM usignals)"""
+    q["dq_unique_txn"] = """SELECT transaction_id, count(*) AS n FROM ufact WHERE transaction_id IS NOT NULL
+                            GROUP BY transaction_id HAVING count(*) > 1"""
+    q["dq_rel_merchant"] = """SELECT f.* FROM ufact f LEFT JOIN (SELECT DISTINCT merchant_id FROM unchecked) d
+                              ON f.merchant_id = d.merchant_id
+                              WHERE f.merchant_id IS NOT NULL AND d.merchant_id IS NULL"""
+    q["dq_rel_currency"] = """SELECT f.* FROM ufact f LEFT JOIN (SELECT DISTINCT currency AS currency_code FROM unchecked) d
+                              ON f.currency = d.currency_code
+                              WHERE f.currency IS NOT NULL AND d.currency_code IS NULL"""
+    q["dq_rel_signal"] = """SELECT s.* FROM usignals s LEFT JOIN (SELECT DISTINCT transaction_id FROM ufact) f
+                            ON s.transaction_id = f.transaction_id
+                            WHERE s.transaction_id IS NOT NULL AND f.transaction_id IS NULL"""
+    q["dq_amount_non_negative"] = "SELECT * FROM ufact WHERE amount < 0"
+    q["dq_valid_currency"] = """SELECT t.*, c.currency_code FROM ufact t
+                                LEFT JOIN (SELECT DISTINCT currency AS currency_code FROM unchecked) c
+                                ON t.currency = c.currency_code WHERE c.currency_code IS NULL"""
+    q["dq_profile"] = _profile_sql()
+    q["dq_freshness"] = """
+SELECT max_event_ts, TIMESTAMP '2024-01-31 00:30:00' AS as_of,
+       CAST(epoch_us(TIMESTAMP '2024-01-31 00:30:00') - epoch_us(max_event_ts) AS DOUBLE) / 1000000 AS lag_seconds,
+       coalesce((epoch_us(TIMESTAMP '2024-01-31 00:30:00') - epoch_us(max_event_ts)) / 1000000 > 3600, true) AS is_stale
+FROM (SELECT max(event_ts) AS max_event_ts FROM payments)"""
+    q["report_settlement_daily"] = "SELECT * FROM (" + _marts(False)["mart_settlement_daily"] + ") WHERE date = DATE '2024-01-15'"
+    q["report_fraud_daily"] = "SELECT * FROM (" + _marts(False)["mart_fraud_settlement_daily"] + ") WHERE date = DATE '2024-01-15'"
+    q["retention_candidates"] = """SELECT date, count(*) AS row_count FROM bronze
+                                   WHERE date < DATE '2024-02-15' - INTERVAL 30 DAY GROUP BY date"""
     q.update(_marts(False))
     q.update(_marts(True))
     return {k: with_base(v) for k, v in q.items()}
