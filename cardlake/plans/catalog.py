@@ -355,3 +355,66 @@ def q_retention(spark, sf_dir):
     from cardlake.plans.reports import retention_candidates
     old = retention_candidates(bronze(spark, sf_dir), RETENTION_AS_OF, RETENTION_DAYS)
     return old.groupBy("date").agg(F.count(F.lit(1)).alias("row_count"))
+
+
+# ---- streaming jobs: drained into the shared folder, then read back ----------------
+
+@register("stream_bronze")
+def q_stream_bronze(spark, sf_dir):
+    from cardlake.plans.fixture_params import DLQ_TS
+    from cardlake.schemas import BRONZE
+    from cardlake.session import shared_path
+    from cardlake.sources.lines import text_stream, write_lines
+    from cardlake.streaming.jobs import await_all, start_ingest
+    root = shared_path(spark, "stream_bronze")
+    write_lines(fixtures.raw_lines(spark, sf_dir), f"{root}/in")
+    await_all(start_ingest(text_stream(spark, f"{root}/in"), f"{root}/bronze", f"{root}/chk",
+                           dlq_path=f"{root}/dlq", trigger="available_now", as_of=DLQ_TS))
+    return spark.read.schema(BRONZE).parquet(f"{root}/bronze")
+
+
+@register("stream_silver")
+def q_stream_silver(spark, sf_dir):
+    from cardlake.schemas import SILVER
+    from cardlake.session import shared_path
+    from cardlake.streaming.jobs import run_silver
+    root = shared_path(spark, "stream_silver")
+    bronze_dirty(spark, sf_dir).write.partitionBy("date").parquet(f"{root}/bronze")
+    run_silver(spark, f"{root}/bronze", f"{root}/silver", f"{root}/chk", processed_at=PROCESSED_AT)
+    return spark.read.schema(SILVER).parquet(f"{root}/silver")
+
+
+@register("stream_warehouse")
+def q_stream_warehouse(spark, sf_dir):
+    from cardlake.session import shared_path
+    from cardlake.streaming.jobs import read_warehouse, run_warehouse, warehouse_writer
+    from cardlake.schemas import WAREHOUSE_COLUMNS
+    root = shared_path(spark, "stream_warehouse")
+    silver = layers.to_silver(bronze_dirty(spark, sf_dir), processed_at=PROCESSED_AT)
+    silver.write.partitionBy("date").parquet(f"{root}/silver")
+    run_warehouse(spark, f"{root}/silver", f"{root}/chk", warehouse_writer(f"{root}/wh"))
+    return read_warehouse(spark, f"{root}/wh").select(*WAREHOUSE_COLUMNS)
+
+
+@register("stream_card_rules")
+def q_stream_card_rules(spark, sf_dir):
+    """payments_fast delivered in four 15-minute slices, one drain per slice
+    with the same checkpoint: later slices see the state of earlier ones."""
+    from pyspark.sql import functions as F
+    from cardlake.operators.rules import ALL_RULES, combine_flags
+    from cardlake.schemas import PARSED
+    from cardlake.session import shared_path
+    from cardlake.streaming.card_state import flag_card_rules_stream
+    from cardlake.streaming.sinks import parquet_sink
+    root = shared_path(spark, "stream_card_rules")
+    fast = fixtures.payments_fast(spark, sf_dir)
+    start = F.lit("2024-01-01 00:00:00").cast("timestamp")
+    for i in range(4):
+        lo = start + F.expr(f"INTERVAL {15 * i} MINUTES")
+        hi = start + F.expr(f"INTERVAL {15 * (i + 1)} MINUTES")
+        cond = (F.col("event_ts") >= lo) & (F.col("event_ts") < hi) if i < 3 else (F.col("event_ts") >= lo)
+        fast.filter(cond).write.mode("append").parquet(f"{root}/in")
+        stream = flag_card_rules_stream(spark.readStream.schema(PARSED).parquet(f"{root}/in"))
+        parquet_sink(stream, f"{root}/out", f"{root}/chk", trigger="available_now").awaitTermination()
+    from cardlake.streaming.card_state import card_rule_schema
+    return combine_flags(spark.read.schema(card_rule_schema()).parquet(f"{root}/out"), ALL_RULES)

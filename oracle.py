@@ -292,6 +292,10 @@ FROM (SELECT max(event_ts) AS max_event_ts FROM payments)"""
     q["report_fraud_daily"] = "SELECT * FROM (" + _marts(False)["mart_fraud_settlement_daily"] + ") WHERE date = DATE '2024-01-15'"
     q["retention_candidates"] = """SELECT date, count(*) AS row_count FROM bronze
                                    WHERE date < DATE '2024-02-15' - INTERVAL 30 DAY GROUP BY date"""
+    q["stream_bronze"] = q["bronze_payments"]
+    q["stream_silver"] = q["silver_payments"]
+    q["stream_warehouse"] = q["warehouse_transactions"]
+    q["stream_card_rules"] = q["flag_all_rules"]
     q.update(_marts(False))
     q.update(_marts(True))
     return {k: with_base(v) for k, v in q.items()}
