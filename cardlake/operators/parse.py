@@ -34,7 +34,10 @@ def tag_payloads(lines: DataFrame, value_col: str = "value") -> DataFrame:
         raw = raw.cast("string")
     p = F.from_json(F.col("raw_value"), PAYMENT_WITH_CORRUPT,
                     {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT_COLUMN})
-    parsed = lines.select(raw.alias("raw_value")).select("raw_value", p.alias("p"))
+    # Parse once per row: behind the generator, later field accesses read the
+    # struct instead of being rewritten into one from_json per field.
+    parsed = (lines.select(raw.alias("raw_value"))
+                   .select("raw_value", F.inline(F.array(F.struct(p.alias("p"))))))
     ts = event_time("p.ts_event")
     error = (F.when(F.col("raw_value").isNull() | (F.trim("raw_value") == ""), F.lit(EMPTY_PAYLOAD))
               .when(F.col("p").isNull() | F.col(f"p.{CORRUPT_COLUMN}").isNotNull(), F.lit(INVALID_JSON))
