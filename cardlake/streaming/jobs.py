@@ -45,11 +45,75 @@ def start_ingest(lines: DataFrame, bronze_path: str, checkpoint_root: str,
     return queries
 
 
+def start_routed_ingest(lines: DataFrame, clean_path: str, flagged_path: str, checkpoint_root: str,
+                        trigger: str | None = "10 seconds", blacklist=DEFAULT_BLACKLIST,
+                        delay: str = "15 minutes") -> list[StreamingQuery]:
+    """Variant with separate clean / flagged parquet sinks (no day partitions).
+
+    A row whose decision is null goes to neither sink here (as in that
+    variant); ``start_ingest`` keeps every row.
+    """
+    valid, _ = parse_payments(lines)
+    bronze = flag_stateless(valid.withWatermark("event_ts", delay), blacklist)
+    clean, flagged, _ = route(bronze)
+    return [parquet_sink(clean, clean_path, f"{checkpoint_root}/clean", (), trigger),
+            parquet_sink(flagged, flagged_path, f"{checkpoint_root}/flagged", (), trigger)]
+
+
+def start_card_rules_ingest(lines: DataFrame, decided_path: str, checkpoint_root: str,
+                            dlq_path: str | None = None, kafka: tuple[str, str] | None = None,
+                            trigger: str | None = "1 minute", blacklist=DEFAULT_BLACKLIST,
+                            delay: str = "15 minutes", as_of=None, **rule_params) -> list[StreamingQuery]:
+    """All five rules on a stream: one stateful query writes every decided row
+    (by ``event_date``); readers split clean / flagged with ``route``.  Running
+    the keyed state once (not once per sink) is the point.  Payloads that do not
+    parse go to the dead letter from a stateless second query.
+    """
+    from cardlake.operators.rules import ALL_RULES, combine_flags
+    from cardlake.streaming.card_state import flag_card_rules_stream
+    valid, invalid = parse_payments(lines, as_of=as_of)
+    decided = combine_flags(flag_card_rules_stream(valid, blacklist, delay, **rule_params), ALL_RULES)
+    queries = [parquet_sink(decided, decided_path, f"{checkpoint_root}/decided", ["event_date"], trigger)]
+    bad = invalid.withColumn("key", F.col("card_hash").cast("string"))
+    letters = bad.select("key", F.to_json(F.struct(*[F.col(c) for c in invalid.columns])).alias("value"))
+    if kafka:
+        queries.append(kafka_sink(letters, kafka[0], kafka[1], f"{checkpoint_root}/dlq", trigger))
+    elif dlq_path:
+        queries.append(parquet_sink(letters, dlq_path, f"{checkpoint_root}/dlq", (), trigger))
+    return queries
+
+
 def await_all(queries: Sequence[StreamingQuery]) -> None:
     for q in queries:
         q.awaitTermination()
 
 
+def await_any(spark: SparkSession, timeout_s: float | None = None) -> None:
+    """Block until any active query of the session stops (or fails)."""
+    if timeout_s is None:
+        spark.streams.awaitAnyTermination()
+    else:
+        spark.streams.awaitAnyTermination(timeout_s)
+
+
+def late_rows(df: DataFrame, newest_seen, delay_s: int, ts: str = "event_ts") -> DataFrame:
+    """Side output: rows older than ``newest_seen - delay`` (the ones a
+    watermark with that delay drops), for audit or replay."""
+    limit = F.lit(newest_seen).cast("timestamp") - F.expr(f"INTERVAL {int(delay_s)} SECONDS")
+    return df.filter(F.col(ts) < limit)
+
+
+def check_schema(declared, found) -> list[str]:
+    """Differences between a declared schema and one looked up from files
+    (missing / extra columns, changed types); empty when they agree."""
+    d = {f.name: f.dataType for f in declared.fields}
+    f_ = {f.name: f.dataType for f in found.fields}
+    out = [f"missing {n}" for n in d if n not in f_]
+    out += [f"extra {n}" for n in f_ if n not in d]
+    out += [f"type {n}: {d[n].simpleString()} != {f_[n].simpleString()}" for n in d if n in f_ and d[n] != f_[n]]
+    return out
+
+
 def schema_of(spark: SparkSession, path: str):
     """Schema of existing parquet files (look-up; prefer the declared one)."""
     return spark.read.parquet(path).schema
@@ -103,7 +167,9 @@ def run_warehouse(spark: SparkSession, silver_path: str, checkpoint: str,
                   trigger: str | None = "available_now") -> StreamingQuery:
     """New silver files (at most ``max_files`` per batch) -> warehouse projection -> writer."""
     src = spark.readStream.schema(schema).option("maxFilesPerTrigger", int(max_files)).parquet(silver_path)
-    q = (to_warehouse(src).writeStream.foreachBatch(writer)
+    # per-batch row count as a query metric (lastProgress.observedMetrics), no extra job
+    rows = to_warehouse(src).observe("warehouse_batch", F.count(F.lit(1)).alias("rows"))
+    q = (rows.writeStream.foreachBatch(writer)
          .option("checkpointLocation", checkpoint).trigger(**trigger_kwargs(trigger)).start())
     if trigger in (None, "available_now", "once"):
         q.awaitTermination()
