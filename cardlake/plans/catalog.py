@@ -392,7 +392,9 @@ def q_stream_warehouse(spark, sf_dir):
     root = shared_path(spark, "stream_warehouse")
     silver = layers.to_silver(bronze_dirty(spark, sf_dir), processed_at=PROCESSED_AT)
     silver.write.partitionBy("date").parquet(f"{root}/silver")
-    run_warehouse(spark, f"{root}/silver", f"{root}/chk", warehouse_writer(f"{root}/wh"))
+    # parquet target: batches bounded by input bytes, not by the 10-file database limit
+    run_warehouse(spark, f"{root}/silver", f"{root}/chk", warehouse_writer(f"{root}/wh"),
+                  max_bytes=128 * 1024 * 1024)
     return read_warehouse(spark, f"{root}/wh").select(*WAREHOUSE_COLUMNS)
 
 

@@ -63,7 +63,7 @@ CARD_RULE_COLUMNS = RAW_FIELDS + ["event_ts", "event_date"] + STATELESS_FLAGS +
 
 CARD_STATE = T.StructType([
     T.StructField("events", T.ArrayType(T.StructType([
-        T.StructField("ts", T.TimestampType()),
+        T.StructField("ts_us", T.LongType()),
         T.StructField("transaction_id", S),
         T.StructField("location", S),
         T.StructField("auth_result", S),

@@ -2,7 +2,7 @@
 
 Same rules and order as ``operators.card_rules`` (event time, then
 transaction id).  Per card the state holds the events of the last
-``window_s + late_s`` seconds (time, id, location, result); each micro-batch
+``window_s + late_s`` seconds (epoch micros, id, location, result); each micro-batch
 merges its rows with that tail, sorts once, and computes all three rules
 with vectorised searches and cumulative sums (no per-row Python loop).
 An event sees earlier events only (never a later one that arrived first).
@@ -14,6 +14,7 @@ are dropped by Spark before they reach the state.
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator
 
 import numpy as np
@@ -30,6 +31,13 @@ from cardlake.schemas import CARD_FLAGS, CARD_RULE_COLUMNS, CARD_STATE, PAYMENT
 IDLE_S = 900
 LATE_S = 900
 
+# The state function runs in Python workers on executors.  Pickle this
+# module's functions by value, so executors need numpy/pandas only, not an
+# installed copy of this package.
+from pyspark import cloudpickle  # noqa: E402
+
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 
 def card_rule_schema() -> T.StructType:
     fields = list(PAYMENT.fields) + [
@@ -40,7 +48,7 @@ def card_rule_schema() -> T.StructType:
 
 
 def _us(values) -> np.ndarray:
-    return pd.to_datetime(pd.Series(values)).to_numpy(dtype="datetime64[us]").astype(np.int64)
+    return np.asarray(values, dtype="datetime64[us]").astype(np.int64)
 
 
 def card_rules_arrays(ts_us: np.ndarray, locations, declined: np.ndarray, velocity_n: int,
@@ -52,10 +60,10 @@ def card_rules_arrays(ts_us: np.ndarray, locations, declined: np.ndarray, veloci
     velocity = (pos - lo_v + 1) > velocity_n
     lo_w = np.searchsorted(ts_us, ts_us - window_us, side="left")
     # distinct locations > 1 in [lo_w, pos]  <=>  the run of equal locations
-    # that ends at pos starts after lo_w (null is a value of its own)
-    codes, _ = pd.factorize(pd.Series(locations, dtype=object), use_na_sentinel=False)
+    # that ends at pos starts after lo_w (None equals None: a value of its own)
+    locs = np.asarray(locations, dtype=object)
     change = np.ones(n, dtype=bool)
-    change[1:] = codes[1:] != codes[:-1]
+    change[1:] = locs[1:] != locs[:-1]
     run_start = np.maximum.accumulate(np.where(change, pos, 0))
     cross = run_start > lo_w
     cum = np.concatenate([[0], np.cumsum(declined.astype(np.int64))])
@@ -76,32 +84,30 @@ def make_state_fn(velocity_n=VELOCITY_N, velocity_s=VELOCITY_S, window_s=WINDOW_
         if state.hasTimedOut:
             state.remove()
             return
-        new = pd.concat(list(batches), ignore_index=True)
+        chunks = list(batches)
+        new = chunks[0] if len(chunks) == 1 else pd.concat(chunks, ignore_index=True)
         if new.empty:
             return
-        old = pd.DataFrame(list(state.get[0]) if state.exists else [],
-                           columns=["ts", "transaction_id", "location", "auth_result"])
-        both = pd.DataFrame({
-            "ts": np.concatenate([_us(old["ts"]) if len(old) else np.empty(0, np.int64),
-                                  _us(new["event_ts"])]),
-            "transaction_id": pd.concat([old["transaction_id"], new["transaction_id"]], ignore_index=True),
-            "location": pd.concat([old["location"], new["location"]], ignore_index=True),
-            "auth_result": pd.concat([old["auth_result"], new["auth_result"]], ignore_index=True),
-            "row": np.concatenate([np.full(len(old), -1), np.arange(len(new))]),
-        }).sort_values(["ts", "transaction_id"], kind="mergesort", ignore_index=True)
-        v, c, d = card_rules_arrays(both["ts"].to_numpy(), both["location"].to_numpy(),
-                                    (both["auth_result"] == "DECLINED").to_numpy(),
-                                    velocity_n, velocity_us, window_us, last_n, ratio)
-        is_new = both["row"].to_numpy() >= 0
-        rows = both["row"].to_numpy()[is_new]
-        out = new.iloc[rows].reset_index(drop=True)
+        old = list(state.get[0]) if state.exists else []
+        k = len(old)
+        o_ts, o_id, o_loc, o_auth = (zip(*old) if k else ((), (), (), ()))
+        ts = np.concatenate([np.fromiter(o_ts, np.int64, k), _us(new["event_ts"].to_numpy())])
+        ids = np.concatenate([np.array(o_id, dtype=object), new["transaction_id"].to_numpy(dtype=object)])
+        locs = np.concatenate([np.array(o_loc, dtype=object), new["location"].to_numpy(dtype=object)])
+        auth = np.concatenate([np.array(o_auth, dtype=object), new["auth_result"].to_numpy(dtype=object)])
+        row = np.concatenate([np.full(k, -1), np.arange(len(new))])
+        order = np.lexsort((ids.astype(str), ts))
+        ts, ids, locs, auth, row = ts[order], ids[order], locs[order], auth[order], row[order]
+        v, c, d = card_rules_arrays(ts, locs, auth == "DECLINED", velocity_n, velocity_us,
+                                    window_us, last_n, ratio)
+        is_new = row >= 0
+        out = new.iloc[row[is_new]].reset_index(drop=True)
         out["rule_velocity"], out["rule_cross_border"], out["rule_decline_rate"] = v[is_new], c[is_new], d[is_new]
         # keep the tail that later (possibly late) rows can still see
-        newest = int(both["ts"].max())
-        tail = both[both["ts"] >= newest - keep_us]
-        state.update(([(pd.Timestamp(int(t), unit="us").to_pydatetime(), i, loc, a)
-                       for t, i, loc, a in zip(tail["ts"], tail["transaction_id"],
-                                               tail["location"], tail["auth_result"])],))
+        newest = int(ts[-1])
+        keep = ts >= newest - keep_us
+        state.update((list(zip(ts[keep].tolist(), ids[keep].tolist(), locs[keep].tolist(),
+                               auth[keep].tolist())),))
         wm = state.getCurrentWatermarkMs()
         state.setTimeoutTimestamp(max(newest // 1000 + idle_s * 1000, wm + 1))
         yield out[out_cols]

@@ -121,15 +121,14 @@ def schema_of(spark: SparkSession, path: str):
 
 def run_silver(spark: SparkSession, bronze_path: str, silver_path: str, checkpoint: str,
                delay: str = "24 hours", processed_at=None, max_files: int | None = None,
-               trigger: str | None = "available_now", schema=BRONZE) -> StreamingQuery:
+               max_bytes: int | None = None, trigger: str | None = "available_now",
+               schema=BRONZE) -> StreamingQuery:
     """New bronze files -> silver (dedup under watermark, amount >= 0), by ``date``.
 
     With the default trigger it drains what is there and stops (hourly run).
     """
-    r = spark.readStream.schema(schema)
-    if max_files:
-        r = r.option("maxFilesPerTrigger", int(max_files))
-    silver = to_silver(r.parquet(bronze_path), delay=delay, processed_at=processed_at)
+    src = _rate_limited(spark, schema, max_files, max_bytes).parquet(bronze_path)
+    silver = to_silver(src, delay=delay, processed_at=processed_at)
     q = parquet_sink(silver, silver_path, checkpoint, ["date"], trigger)
     if trigger in (None, "available_now", "once"):
         q.awaitTermination()
@@ -161,12 +160,26 @@ def warehouse_writer(target: str | None = None, jdbc_url: str | None = None, tab
     return write
 
 
+def _rate_limited(spark: SparkSession, schema, max_files: int | None, max_bytes: int | None):
+    r = spark.readStream.schema(schema)
+    if max_bytes:
+        return r.option("maxBytesPerTrigger", int(max_bytes))
+    if max_files:
+        return r.option("maxFilesPerTrigger", int(max_files))
+    return r
+
+
 def run_warehouse(spark: SparkSession, silver_path: str, checkpoint: str,
                   writer: Callable[[DataFrame, int], None],
-                  max_files: int = WAREHOUSE_MAX_FILES, schema=SILVER,
-                  trigger: str | None = "available_now") -> StreamingQuery:
-    """New silver files (at most ``max_files`` per batch) -> warehouse projection -> writer."""
-    src = spark.readStream.schema(schema).option("maxFilesPerTrigger", int(max_files)).parquet(silver_path)
+                  max_files: int | None = WAREHOUSE_MAX_FILES, max_bytes: int | None = None,
+                  schema=SILVER, trigger: str | None = "available_now") -> StreamingQuery:
+    """New silver files -> warehouse projection -> writer, one bounded batch at a time.
+
+    The batch bound is ``max_bytes`` of input when given (steady batch size
+    whatever the file sizes), else ``max_files`` files (10: the reference's
+    limit, meant to protect a database target).
+    """
+    src = _rate_limited(spark, schema, max_files, max_bytes).parquet(silver_path)
     # per-batch row count as a query metric (lastProgress.observedMetrics), no extra job
     rows = to_warehouse(src).observe("warehouse_batch", F.count(F.lit(1)).alias("rows"))
     q = (rows.writeStream.foreachBatch(writer)
