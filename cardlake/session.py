@@ -79,3 +79,40 @@ def is_local_path(path: str) -> bool:
 
 def path_join(base: str, *parts: str) -> str:
     return "/".join([base.rstrip("/"), *parts]) if "://" in base else os.path.join(base, *parts)
+
+
+MB = 1024 * 1024
+
+
+def cluster_conf(input_bytes: int, total_cores: int, partition_mb: int = 256,
+                 broadcast_mb: int = 64) -> dict[str, str]:
+    """Settings sized for a cluster run over ``input_bytes`` of columnar input.
+
+    Apply them when building the session (``SparkSession.builder.config``);
+    the library itself never changes session settings.
+
+    * scan splits of ``partition_mb`` (``maxPartitionBytes``), so a task reads
+      a bounded slice however large the files are;
+    * shuffle width = input / ``partition_mb`` (at least 3 waves of the
+      cluster), as AQE's initial width; AQE then coalesces small partitions
+      to the advisory size and splits skewed ones in joins;
+    * broadcast only below ``broadcast_mb`` as measured at run time;
+    * RocksDB state with changelog checkpoints for the keyed streaming state.
+    """
+    width = max(3 * total_cores, -(-int(input_bytes) // (partition_mb * MB)))
+    return {
+        "spark.sql.files.maxPartitionBytes": str(partition_mb * MB),
+        "spark.sql.shuffle.partitions": str(width),
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(width),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_mb * MB),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * partition_mb * MB),
+        "spark.sql.autoBroadcastJoinThreshold": str(broadcast_mb * MB),
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": str(broadcast_mb * MB),
+        "spark.sql.session.timeZone": "UTC",
+        "spark.sql.streaming.stateStore.providerClass":
+            "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+        "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+    }
