@@ -56,6 +56,11 @@ def flag_card_rules(df: DataFrame, velocity_n: int = VELOCITY_N, velocity_s: int
     cols = df.columns
     x = (df.withColumn("_us", us).withColumn("_own", own)
            .withColumn("_bucket", F.explode_outer(buckets)))
+    # context copies only feed the frames: ship them with the payload nulled
+    needed = {key, ts, tie, "location", "auth_result"}
+    own_row = F.col("_bucket").eqNullSafe(F.col("_own"))
+    x = x.select(*[F.col(c) if c in needed else F.when(own_row, F.col(c)).alias(c) for c in cols],
+                 "_us", "_own", "_bucket")
 
     part = [key, "_bucket"]
     w_rows = Window.partitionBy(*part).orderBy("_us", tie)
@@ -97,8 +102,7 @@ def flag_card_rules(df: DataFrame, velocity_n: int = VELOCITY_N, velocity_s: int
     def known(c: Column) -> Column:
         return F.when(F.col("_us").isNotNull(), c)
 
-    own_rows = F.col("_bucket").eqNullSafe(F.col("_own"))
-    return x.filter(own_rows).select(*cols, known(velocity > velocity_n).alias("rule_velocity"),
+    return x.filter(own_row).select(*cols, known(velocity > velocity_n).alias("rule_velocity"),
                                      known(cross).alias("rule_cross_border"),
                                      known(decline).alias("rule_decline_rate"))
 

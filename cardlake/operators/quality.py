@@ -11,9 +11,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def not_null(df: DataFrame, column: str) -> DataFrame:
-    """Rows where ``column`` is null."""
-    return df.filter(F.col(column).isNull())
+def not_null(df: DataFrame, columns: str | Sequence[str]) -> DataFrame:
+    """Rows where any of ``columns`` is null."""
+    cols = [columns] if isinstance(columns, str) else list(columns)
+    cond = F.col(cols[0]).isNull()
+    for c in cols[1:]:
+        cond = cond | F.col(c).isNull()
+    return df.filter(cond)
 
 
 def null_counts(df: DataFrame, checks: Sequence[tuple[str, str]]) -> DataFrame:
@@ -48,6 +52,12 @@ def failing(df: DataFrame, failure: Column) -> DataFrame:
     return df.filter(failure)
 
 
+def accepted(df: DataFrame, condition: Column) -> DataFrame:
+    """Rows that break an acceptance condition (a null result is not a failure,
+    as with ``where not (cond)`` in SQL)."""
+    return df.filter(~condition)
+
+
 def amount_non_negative(fact: DataFrame) -> DataFrame:
     return failing(fact, F.col("amount") < 0)
 

@@ -15,6 +15,8 @@ def test_checks(spark):
     assert counts == {("stg", "transaction_id"): 1, ("fact", "amount"): 1}
     assert [(r.transaction_id, r.n) for r in quality.unique(f, "transaction_id").collect()] == [("a", 2)]
     assert quality.amount_non_negative(f).count() == 1
+    assert quality.accepted(f, f["amount"] >= 0).count() == 1
+    assert quality.not_null(f, ["transaction_id", "amount"]).count() == 1
     # null currency: unknown for the currency check, passes the foreign key
     assert quality.valid_currency(f, models.dim_currency(s)).count() == 1
     assert quality.foreign_key(f, "currency", models.dim_currency(s), "currency_code").count() == 0
