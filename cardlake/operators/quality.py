@@ -69,7 +69,10 @@ def valid_currency(fact: DataFrame, currencies: DataFrame) -> DataFrame:
     column is kept (always null).
     """
     codes = currencies.select("currency_code").where(F.col("currency_code").isNotNull()).distinct()
-    miss = fact.join(codes, fact["currency"] == codes["currency_code"], "left_anti")
+    # null currencies are unknown by definition: they skip the join (no hot null key)
+    unknown = fact.filter(F.col("currency").isNull())
+    known = fact.filter(F.col("currency").isNotNull())
+    miss = unknown.unionByName(known.join(codes, known["currency"] == codes["currency_code"], "left_anti"))
     return miss.withColumn("currency_code", F.lit(None).cast("string"))
 
 

@@ -49,12 +49,20 @@ def flag_blacklist(df: DataFrame, blacklist: DataFrame | Sequence[str] = DEFAULT
         members = sorted({m for m in blacklist if m is not None})
         flag = F.coalesce(F.col("merchant_id").isin(members), F.lit(False))
         return df.withColumn(out, flag)
-    listed = (blacklist.select("merchant_id").where(F.col("merchant_id").isNotNull())
-              .distinct().withColumn("_listed", F.lit(True)))
+    listed = (blacklist.select(F.col("merchant_id").alias("_bl_merchant"))
+              .where(F.col("_bl_merchant").isNotNull()).distinct().withColumn("_listed", F.lit(True)))
     if listed.count() <= max_broadcast_rows:
-        listed = F.broadcast(listed)
-    joined = df.join(listed, on="merchant_id", how="left")
-    return joined.withColumn(out, F.coalesce(F.col("_listed"), F.lit(False))).drop("_listed")
+        joined = df.join(F.broadcast(listed), df["merchant_id"] == listed["_bl_merchant"], "left")
+    else:
+        # shuffled join: a null merchant never matches, so spread null keys
+        # over many partitions instead of hashing them all to one
+        spread = F.when(F.col("merchant_id").isNull(),
+                        F.concat(F.lit("\u0000"), (F.abs(F.xxhash64(*df.columns)) % 4096).cast("string"))
+                        ).otherwise(F.col("merchant_id"))
+        keyed = df.withColumn("_bl_key", spread)
+        joined = keyed.join(listed, keyed["_bl_key"] == listed["_bl_merchant"], "left").drop("_bl_key")
+    return (joined.withColumn(out, F.coalesce(F.col("_listed"), F.lit(False)))
+                  .drop("_listed", "_bl_merchant"))
 
 
 def combine_flags(df: DataFrame, rules: Sequence[tuple[str, str]] = STATELESS_RULES) -> DataFrame:
