@@ -420,3 +420,58 @@ def q_stream_card_rules(spark, sf_dir):
         parquet_sink(stream, f"{root}/out", f"{root}/chk", trigger="available_now").awaitTermination()
     from cardlake.streaming.card_state import card_rule_schema
     return combine_flags(spark.read.schema(card_rule_schema()).parquet(f"{root}/out"), ALL_RULES)
+
+
+def _ingest_root(spark, name, lines):
+    from cardlake.session import shared_path
+    from cardlake.sources.lines import write_lines
+    root = shared_path(spark, name)
+    write_lines(lines, f"{root}/in")
+    return root
+
+
+@register("stream_dlq")
+def q_stream_dlq(spark, sf_dir):
+    """Dead letter of the ingest job (flagged, undecided, unparseable), read back."""
+    from cardlake.plans.fixture_params import DLQ_TS
+    from cardlake.sources.lines import text_stream
+    from cardlake.streaming.jobs import await_all, start_ingest
+    root = _ingest_root(spark, "stream_dlq", fixtures.raw_lines(spark, sf_dir))
+    await_all(start_ingest(text_stream(spark, f"{root}/in"), f"{root}/bronze", f"{root}/chk",
+                           dlq_path=f"{root}/dlq", trigger="available_now", as_of=DLQ_TS))
+    return _from_value(spark.read.schema("key string, value string").parquet(f"{root}/dlq"),
+                       ["transaction_id", "error_reason"])
+
+
+@register("stream_routes")
+def q_stream_routes(spark, sf_dir):
+    """Clean and flagged sinks of the routed ingest, read back with the sink name."""
+    from pyspark.sql import functions as F
+    from cardlake.schemas import BRONZE
+    from cardlake.sources.lines import text_stream
+    from cardlake.streaming.jobs import await_all, start_routed_ingest
+    root = _ingest_root(spark, "stream_routes", fixtures.raw_lines(spark, sf_dir))
+    await_all(start_routed_ingest(text_stream(spark, f"{root}/in"), f"{root}/clean", f"{root}/flagged",
+                                  f"{root}/chk", trigger="available_now"))
+    clean = spark.read.schema(BRONZE).parquet(f"{root}/clean").withColumn("sink", F.lit("clean"))
+    flagged = spark.read.schema(BRONZE).parquet(f"{root}/flagged").withColumn("sink", F.lit("flagged"))
+    return clean.unionByName(flagged)
+
+
+@register("stream_card_rules_ingest")
+def q_stream_card_rules_ingest(spark, sf_dir):
+    """Stateful ingest from JSON payloads of payments_fast: decided rows read back."""
+    from pyspark.sql import functions as F
+    from cardlake.schemas import RAW_FIELDS
+    from cardlake.sources.lines import text_stream
+    from cardlake.streaming.jobs import await_all, start_card_rules_ingest
+    from cardlake.plans.fixture_params import DLQ_TS
+    payloads = fixtures.payments_fast(spark, sf_dir).select(
+        F.to_json(F.struct(*RAW_FIELDS)).alias("value"))
+    root = _ingest_root(spark, "stream_card_rules_ingest", payloads)
+    qs = start_card_rules_ingest(text_stream(spark, f"{root}/in"), f"{root}/decided", f"{root}/chk",
+                                 dlq_path=f"{root}/dlq", trigger="available_now", as_of=DLQ_TS)
+    await_all(qs)
+    decided = spark.read.parquet(f"{root}/decided")
+    from cardlake.schemas import CARD_RULE_COLUMNS
+    return decided.select(*CARD_RULE_COLUMNS, "is_fraud", "fraud_reason")

@@ -64,21 +64,29 @@ def start_card_rules_ingest(lines: DataFrame, decided_path: str, checkpoint_root
                             dlq_path: str | None = None, kafka: tuple[str, str] | None = None,
                             trigger: str | None = "1 minute", blacklist=DEFAULT_BLACKLIST,
                             delay: str = "15 minutes", as_of=None, **rule_params) -> list[StreamingQuery]:
-    """All five rules on a stream: one stateful query writes every decided row
-    (by ``event_date``); readers split clean / flagged with ``route``.  Running
-    the keyed state once (not once per sink) is the point.  Payloads that do not
-    parse go to the dead letter from a stateless second query.
+    """All five rules on a stream.
+
+    One stateful query writes every decided row (by ``event_date``); readers
+    split clean / flagged with ``route``.  The dead letter is a second,
+    stateless query: flagged rows read back from the decided table's
+    committed files, plus payloads that do not parse.  So the keyed state runs
+    once, not once per sink.
     """
     from cardlake.operators.rules import ALL_RULES, combine_flags
     from cardlake.streaming.card_state import flag_card_rules_stream
+    spark = lines.sparkSession
     valid, invalid = parse_payments(lines, as_of=as_of)
     decided = combine_flags(flag_card_rules_stream(valid, blacklist, delay, **rule_params), ALL_RULES)
     queries = [parquet_sink(decided, decided_path, f"{checkpoint_root}/decided", ["event_date"], trigger)]
-    bad = invalid.withColumn("key", F.col("card_hash").cast("string"))
-    letters = bad.select("key", F.to_json(F.struct(*[F.col(c) for c in invalid.columns])).alias("value"))
+    if not (kafka or dlq_path):
+        return queries
+    if trigger in (None, "available_now", "once"):
+        queries[0].awaitTermination()      # drain mode: decided files first
+    flagged = route(spark.readStream.schema(decided.schema).parquet(decided_path))[1]
+    letters = dead_letter(flagged, invalid, as_of=as_of)
     if kafka:
         queries.append(kafka_sink(letters, kafka[0], kafka[1], f"{checkpoint_root}/dlq", trigger))
-    elif dlq_path:
+    else:
         queries.append(parquet_sink(letters, dlq_path, f"{checkpoint_root}/dlq", (), trigger))
     return queries
 

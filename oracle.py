@@ -296,6 +296,12 @@ FROM (SELECT max(event_ts) AS max_event_ts FROM payments)"""
     q["stream_silver"] = q["silver_payments"]
     q["stream_warehouse"] = q["warehouse_transactions"]
     q["stream_card_rules"] = q["flag_all_rules"]
+    q["stream_card_rules_ingest"] = q["flag_all_rules"]
+    q["stream_dlq"] = q["dlq_envelope"]
+    q["stream_routes"] = f"""
+SELECT {BRONZE_COLS}, 'clean' AS sink FROM lines WHERE error_reason IS NULL AND NOT is_fraud
+UNION ALL
+SELECT {BRONZE_COLS}, 'flagged' AS sink FROM lines WHERE error_reason IS NULL AND is_fraud"""
     q.update(_marts(False))
     q.update(_marts(True))
     return {k: with_base(v) for k, v in q.items()}

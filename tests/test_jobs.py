@@ -45,6 +45,9 @@ def test_card_rules_ingest_end_to_end(spark, tmp_root):
     cols = ["transaction_id", "is_fraud", "fraud_reason"]
     assert got.count() == want.count()
     assert got.select(*cols).exceptAll(want.select(*cols)).count() == 0
+    letters = spark.read.parquet(f"{tmp_root}/dlq").select(
+        F.get_json_object("value", "$.error_reason").alias("r"))
+    assert letters.filter("r = 'FRAUD_DETECTED'").count() == want.filter("is_fraud").count()
 
 
 def test_routed_ingest_and_schema_check(spark, tmp_root):
