@@ -33,7 +33,8 @@ def dedup_first(df: DataFrame, keys: Sequence[str] = DEDUP_KEYS,
 
 
 def to_silver(df: DataFrame, delay: str = DEDUP_DELAY, processed_at=None,
-              order_by: Sequence[str] | None = None) -> DataFrame:
+              order_by: Sequence[str] | None = None, keys: Sequence[str] = DEDUP_KEYS,
+              within_watermark: bool = False) -> DataFrame:
     """Bronze -> silver: dedup on (transaction_id, event_ts), then amount >= 0.
 
     The amount filter stays *after* the dedup (as in the reference): a first
@@ -43,9 +44,13 @@ def to_silver(df: DataFrame, delay: str = DEDUP_DELAY, processed_at=None,
     deterministic aggregate above.
     """
     if df.isStreaming:
-        deduped = df.withWatermark("event_ts", delay).dropDuplicates(list(DEDUP_KEYS))
+        marked = df.withWatermark("event_ts", delay)
+        # within_watermark: keys need not contain the event time (e.g. the id
+        # alone); a key's state lives ``delay`` past its first event time
+        deduped = (marked.dropDuplicatesWithinWatermark(list(keys)) if within_watermark
+                   else marked.dropDuplicates(list(keys)))
     else:
-        deduped = dedup_first(df, DEDUP_KEYS, order_by)
+        deduped = dedup_first(df, keys, order_by)
     stamp = F.current_timestamp() if processed_at is None else F.lit(processed_at).cast("timestamp")
     return (deduped.withColumn("amount", F.col("amount").cast("double"))
                    .withColumn("processed_at", stamp)

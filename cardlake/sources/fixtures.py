@@ -21,7 +21,10 @@ Mapping (fixed values of the test fixtures, see FIXTURES.md section B):
   empty where mod 83 = 0
 
 All of it is column expressions over one scan of ``events``: no join, no
-shuffle, so the views scale with the table.
+shuffle, so the views scale with the table.  The modulo rules only choose
+which events get a corrupted copy (negative / missing amount, missing id,
+truncated or empty delivery); no event is filtered out, and every delivered
+line is parsed whole.
 """
 
 from __future__ import annotations

@@ -69,3 +69,14 @@ def test_card_state_stream_equals_batch_with_ties(spark, tmp_root):
     cols = ["transaction_id", "rule_velocity", "rule_cross_border", "rule_decline_rate"]
     assert got.count() == 240
     assert got.select(*cols).exceptAll(batch.select(*cols)).count() == 0
+
+
+def test_silver_dedup_on_id_within_watermark(spark, tmp_root):
+    src = f"{tmp_root}/bronze"
+    _bronze(spark, [payment("a", 5, sec=DAY5), payment("a", 5, sec=DAY5 + 30), payment("b", 6, sec=DAY5)]) \
+        .write.parquet(src)
+    s = spark.readStream.schema(BRONZE).parquet(src)
+    out = layers.to_silver(s, keys=["transaction_id"], within_watermark=True,
+                           processed_at="2024-02-01 00:00:00")
+    parquet_sink(out, f"{tmp_root}/silver", f"{tmp_root}/chk", trigger="available_now").awaitTermination()
+    assert sorted(r.transaction_id for r in spark.read.parquet(f"{tmp_root}/silver").collect()) == ["a", "b"]
