@@ -50,16 +50,24 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     set through ``setCheckpointDir``).  Only when none is configured (a bare
     local run, as in tests) a private one is created.
     """
-    sc = spark.sparkContext
-    current = sc._jsc.sc().getCheckpointDir()
-    if current.isDefined():
-        return current.get()
-    conf_dir = sc.getConf().get("spark.checkpoint.dir", None)
+    try:
+        sc = spark.sparkContext
+    except Exception:  # a session without a local JVM context (Spark Connect)
+        sc = None
+    if sc is not None:
+        current = sc._jsc.sc().getCheckpointDir()
+        if current.isDefined():
+            return current.get()
+        conf_dir = sc.getConf().get("spark.checkpoint.dir", None)
+    else:
+        conf_dir = spark.conf.get("spark.checkpoint.dir", None)
     if conf_dir:
-        sc.setCheckpointDir(conf_dir)
+        if sc is not None:
+            sc.setCheckpointDir(conf_dir)
         return conf_dir
     local = tempfile.mkdtemp(prefix="cardlake-chk-")
-    sc.setCheckpointDir(local)
+    if sc is not None:
+        sc.setCheckpointDir(local)
     return local
 
 

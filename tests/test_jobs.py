@@ -67,3 +67,19 @@ def test_late_rows_and_retention(spark):
     assert late.count() == p.filter("event_ts < timestamp'2024-01-02 00:00:00'").count()
     old = retention_candidates(rules.flag_stateless(p), "2024-02-15", 30)
     assert old.agg({"date": "max"}).first()[0].isoformat() == "2024-01-15"
+
+
+def test_hourly_refresh_then_daily_reports(spark, tmp_root):
+    from cardlake.plans.refresh import LakePaths, daily_reports, hourly_refresh
+    paths = LakePaths(tmp_root)
+    bronze = rules.flag_stateless(fixtures.payments_dirty(spark, SMOKE))
+    bronze.write.partitionBy("date").parquet(paths.bronze)
+    built = hourly_refresh(spark, paths, processed_at="2024-02-01 00:00:00")
+    want = layers.to_warehouse(layers.to_silver(bronze, processed_at="2024-02-01 00:00:00"))
+    assert built["fact_transactions"].count() == want.count()
+    out = daily_reports(built, "2024-01-15", paths)
+    assert spark.read.option("header", True).csv(out["settlement"]).count() == \
+        built["mart_settlement_daily"].filter("date = date'2024-01-15'").count()
+    # a second run with no new files changes nothing
+    again = hourly_refresh(spark, paths, processed_at="2024-02-01 00:00:00")
+    assert again["fact_transactions"].count() == want.count()
