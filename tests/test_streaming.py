@@ -80,3 +80,12 @@ def test_silver_dedup_on_id_within_watermark(spark, tmp_root):
                            processed_at="2024-02-01 00:00:00")
     parquet_sink(out, f"{tmp_root}/silver", f"{tmp_root}/chk", trigger="available_now").awaitTermination()
     assert sorted(r.transaction_id for r in spark.read.parquet(f"{tmp_root}/silver").collect()) == ["a", "b"]
+
+
+def test_stream_negative_first_copy_suppresses_later_copy(spark, tmp_root):
+    src, out, chk = f"{tmp_root}/bronze", f"{tmp_root}/silver", f"{tmp_root}/chk"
+    _bronze(spark, [payment("a", -1, sec=DAY5)]).write.mode("append").parquet(src)
+    run_silver(spark, src, out, chk)
+    _bronze(spark, [payment("a", 5, sec=DAY5)]).write.mode("append").parquet(src)
+    run_silver(spark, src, out, chk)
+    assert spark.read.schema(SILVER).parquet(out).count() == 0
