@@ -70,3 +70,17 @@ def test_cluster_conf_scales_with_input():
     assert int(big["spark.sql.shuffle.partitions"]) == 409600
     small = cluster_conf(1024 ** 3, 8)
     assert int(small["spark.sql.shuffle.partitions"]) == 24
+
+
+FORBIDDEN = ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "collect_list",
+             "collect_set")
+
+
+def test_no_registered_query_plans_a_product_or_python_udf(spark):
+    import __spark_entry__ as E
+    for name, q in sorted(E.queries().items()):
+        if name.startswith(("stream_", "src_", "report_")):
+            continue    # these run their jobs eagerly; the result is a file scan
+        plan = _plan(q(spark, SMOKE))
+        bad = [f for f in FORBIDDEN if f in plan]
+        assert not bad, f"{name}: {bad}"
