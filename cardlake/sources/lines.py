@@ -10,11 +10,15 @@ from pyspark.sql import DataFrame, SparkSession
 
 def kafka_stream(spark: SparkSession, servers: str, topic: str,
                  starting_offsets: str = "earliest", fail_on_data_loss: bool = False,
-                 max_offsets_per_trigger: int | None = None) -> DataFrame:
+                 max_offsets_per_trigger: int | None = None,
+                 min_partitions: int | None = None) -> DataFrame:
     """Streaming read of a broker topic (needs the spark-sql-kafka package).
 
     ``max_offsets_per_trigger`` bounds a micro-batch, and with it the rows
     of one card that the keyed state function sees at once.
+    ``min_partitions`` splits the offset ranges of a few topic partitions
+    into at least that many read tasks (a 3-partition topic would otherwise
+    be read by 3 tasks however large the cluster).
     """
     r = (spark.readStream.format("kafka")
          .option("kafka.bootstrap.servers", servers)
@@ -23,6 +27,8 @@ def kafka_stream(spark: SparkSession, servers: str, topic: str,
          .option("failOnDataLoss", str(fail_on_data_loss).lower()))
     if max_offsets_per_trigger:
         r = r.option("maxOffsetsPerTrigger", int(max_offsets_per_trigger))
+    if min_partitions:
+        r = r.option("minPartitions", int(min_partitions))
     return r.load()
 
 
