@@ -88,6 +88,15 @@ def make_state_fn(velocity_n=VELOCITY_N, velocity_s=VELOCITY_S, window_s=WINDOW_
         new = chunks[0] if len(chunks) == 1 else pd.concat(chunks, ignore_index=True)
         if new.empty:
             return
+        timeless = new["event_ts"].isna().to_numpy()
+        if timeless.any():      # no event time: no rule can be evaluated
+            blank = new[timeless].reset_index(drop=True)
+            for f in CARD_FLAGS:
+                blank[f] = None
+            yield blank[out_cols]
+            new = new[~timeless].reset_index(drop=True)
+            if new.empty:
+                return
         old = list(state.get[0]) if state.exists else []
         k = len(old)
         o_ts, o_id, o_loc, o_auth = (zip(*old) if k else ((), (), (), ()))

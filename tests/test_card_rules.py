@@ -95,3 +95,12 @@ def test_state_arrays_equal_sequential_fold(seed):
     expected = fold(rows)
     got = {e[0]: (bool(v[i]), bool(c[i]), bool(d[i])) for i, e in enumerate(rows)}
     assert got == expected
+
+
+def test_null_event_time_gives_null_flags(spark):
+    rows = [payment("a", sec=0), payment("b", sec=10)]
+    nul = list(payment("c", sec=20))
+    nul[10] = None
+    got = flags(spark, rows + [tuple(nul)])
+    assert got["c"] == (None, None, None)
+    assert got["b"][0] is False

@@ -89,3 +89,32 @@ def test_stream_negative_first_copy_suppresses_later_copy(spark, tmp_root):
     _bronze(spark, [payment("a", 5, sec=DAY5)]).write.mode("append").parquet(src)
     run_silver(spark, src, out, chk)
     assert spark.read.schema(SILVER).parquet(out).count() == 0
+
+
+def test_card_state_function_null_time():
+    import pandas as pd
+    from cardlake.streaming.card_state import make_state_fn
+
+    class FakeState:
+        exists, hasTimedOut = False, False
+
+        def update(self, v):
+            self.value = v
+
+        def getCurrentWatermarkMs(self):
+            return 0
+
+        def setTimeoutTimestamp(self, t):
+            self.timeout = t
+
+    rows = [payment("a", sec=0), payment("b", sec=5)]
+    pdf = pd.DataFrame([r[:10] + (r[10], r[11], False, False) for r in rows],
+                       columns=["transaction_id", "ts_event", "card_hash", "merchant_id", "amount", "currency",
+                                "mcc", "channel", "auth_result", "location", "event_ts", "event_date",
+                                "rule_high_amount", "rule_blacklist"])
+    pdf.loc[1, "event_ts"] = pd.NaT
+    st = FakeState()
+    out = pd.concat(list(make_state_fn()(("c1",), iter([pdf]), st)))
+    assert out.set_index("transaction_id").loc["b", "rule_velocity"] is None
+    assert bool(out.set_index("transaction_id").loc["a", "rule_velocity"]) is False
+    assert len(st.value[0]) == 1
