@@ -29,8 +29,10 @@ def start_ingest(lines: DataFrame, bronze_path: str, checkpoint_root: str,
     Dead letter = flagged rows, undecided rows (null decision) and payloads
     that do not parse, as (key, value JSON) to a topic (``kafka=(servers,
     topic)``) or to parquet at ``dlq_path``.  Two queries from one plan, as
-    in the reference; each reads the source (cheap for a topic).  Both sinks
-    are exactly-once (file sink log / idempotent replay of the same offsets).
+    in the reference; each reads the source (cheap for a topic).  File sinks
+    are exactly-once through their commit log; a topic sink is at-least-once
+    (a replayed batch may repeat letters: consumers key on transaction id and
+    reason).
     """
     valid, invalid = parse_payments(lines, as_of=as_of)
     bronze = flag_stateless(valid.withWatermark("event_ts", delay), blacklist)
