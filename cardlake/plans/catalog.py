@@ -2,6 +2,8 @@
 
 Each query derives its input from ``events`` through the fixture views and
 then runs the library's operators on it, so its work grows with the table.
+Streaming queries write their input into the shared checkpoint folder, drain
+it with ``availableNow`` and return what their sinks wrote.
 """
 
 from __future__ import annotations
@@ -9,10 +11,26 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-
-from cardlake.operators import layers, models, rules
-from cardlake.plans.fixture_params import PROCESSED_AT
+from pyspark.sql import functions as F
+
+from cardlake.operators import layers, models, quality, rules
+from cardlake.operators.card_rules import flag_all_rules
+from cardlake.operators.parse import parse_payments
+from cardlake.operators.routing import dead_letter, to_value, undecided_as_invalid
+from cardlake.plans.fixture_params import (DLQ_TS, FRESHNESS_AS_OF, FRESHNESS_MAX_LAG_S,
+                                           PROCESSED_AT, REPORT_DAY, RETENTION_AS_OF,
+                                           RETENTION_DAYS)
+from cardlake.plans.reports import export_report, read_report, retention_candidates
+from cardlake.schemas import (BRONZE, CARD_RULE_COLUMNS, PARSED, RAW_FIELDS, SILVER,
+                              WAREHOUSE_COLUMNS)
+from cardlake.session import shared_path
 from cardlake.sources import fixtures
+from cardlake.sources.lines import text_stream, write_lines
+from cardlake.streaming.card_state import card_rule_schema, flag_card_rules_stream
+from cardlake.streaming.jobs import (await_all, read_warehouse, run_silver, run_warehouse,
+                                     start_card_rules_ingest, start_ingest, start_routed_ingest,
+                                     warehouse_writer)
+from cardlake.streaming.sinks import drain, parquet_sink
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -32,24 +50,44 @@ def bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rules.flag_stateless(fixtures.payments(spark, sf_dir))
 
 
+def bronze_dirty(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rules.flag_stateless(fixtures.payments_dirty(spark, sf_dir))
+
+
 def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Warehouse ``transactions`` built from the clean payments."""
     return layers.to_warehouse(layers.with_processed_at(bronze(spark, sf_dir), PROCESSED_AT))
 
 
-def stg(spark, sf_dir):
+def stg(spark: SparkSession, sf_dir: str) -> DataFrame:
     return models.stg_transactions(transactions(spark, sf_dir))
 
 
-def fact(spark, sf_dir):
-    return models.fact_transactions(stg(spark, sf_dir))
+def unchecked_stg(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Staging over an unvalidated load of the dirty rows (so checks find things)."""
+    raw = layers.to_warehouse(layers.with_processed_at(bronze_dirty(spark, sf_dir), PROCESSED_AT),
+                              require_id=False)
+    return models.stg_transactions(raw)
 
 
-def dim_m(spark, sf_dir):
-    return models.dim_merchants(stg(spark, sf_dir))
+def parsed(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    return parse_payments(fixtures.raw_lines(spark, sf_dir), as_of=DLQ_TS)
 
 
-# ---- rules and routing ----------------------------------------------------------
+def from_value(df: DataFrame, fields) -> DataFrame:
+    """Fields read back out of the JSON ``value`` (plus ``key`` when present)."""
+    cols = [F.get_json_object("value", f"$.{f}").alias(f) for f in fields]
+    return df.select(*([F.col("key")] if "key" in df.columns else []), *cols)
+
+
+def delivered(spark: SparkSession, name: str, lines: DataFrame) -> str:
+    """Write payload lines as files into a fresh shared folder; return the folder."""
+    root = shared_path(spark, name)
+    write_lines(lines, f"{root}/in")
+    return root
+
+
+# ---- stateless rules and routing ---------------------------------------------------
 
 @register("rule_high_amount")
 def q_rule_high_amount(spark, sf_dir):
@@ -80,140 +118,38 @@ def q_route_clean(spark, sf_dir):
     return rules.route(bronze(spark, sf_dir))[0]
 
 
-# ---- models -----------------------------------------------------------------------
-
-@register("warehouse_transactions")
-def q_warehouse(spark, sf_dir):
-    from cardlake.sources.fixtures import payments_dirty
-    silver = layers.to_silver(rules.flag_stateless(payments_dirty(spark, sf_dir)),
-                              processed_at=PROCESSED_AT)
-    return layers.to_warehouse(silver)
-
-
-@register("stg_transactions")
-def q_stg(spark, sf_dir):
-    return stg(spark, sf_dir)
-
-
-@register("fact_transactions")
-def q_fact(spark, sf_dir):
-    return fact(spark, sf_dir)
-
-
-@register("fact_fraud_signals")
-def q_signals(spark, sf_dir):
-    return models.fact_fraud_signals(stg(spark, sf_dir))
-
-
-@register("dim_merchants")
-def q_dim_merchants(spark, sf_dir):
-    return dim_m(spark, sf_dir)
-
-
-@register("dim_currency")
-def q_dim_currency(spark, sf_dir):
-    return models.dim_currency(stg(spark, sf_dir))
-
-
-@register("dim_auth_results")
-def q_dim_auth(spark, sf_dir):
-    return models.dim_auth_results(stg(spark, sf_dir))
-
-
-def _mart(fn, exact: bool):
-    def q(spark, sf_dir):
-        return fn(fact(spark, sf_dir), dim_m(spark, sf_dir), one_row_per_merchant=exact)
-    return q
-
-
-for _exact in (False, True):
-    _sfx = "_exact" if _exact else ""
-    register(f"mart_settlement_daily{_sfx}")(_mart(models.mart_settlement_daily, _exact))
-    register(f"mart_fraud_settlement_daily{_sfx}")(_mart(models.mart_fraud_settlement_daily, _exact))
-    register(f"mart_fraud_alerts{_sfx}")(_mart(models.mart_fraud_alerts, _exact))
-
-
-@register("mart_fraud_rate")
-def q_fraud_rate(spark, sf_dir):
-    s = stg(spark, sf_dir)
-    return models.mart_fraud_rate(models.fact_fraud_signals(s), models.dim_merchants(s))
-
-
-@register("mart_fraud_rate_exact")
-def q_fraud_rate_exact(spark, sf_dir):
-    s = stg(spark, sf_dir)
-    return models.mart_fraud_rate(models.fact_fraud_signals(s), models.dim_merchants(s),
-                                  one_row_per_merchant=True)
-
-
-@register("mart_currency_volume")
-def q_currency_volume(spark, sf_dir):
-    s = stg(spark, sf_dir)
-    return models.mart_currency_volume(models.fact_transactions(s), models.dim_currency(s))
-
-
-@register("mart_channel_performance")
-def q_channel(spark, sf_dir):
-    s = stg(spark, sf_dir)
-    return models.mart_channel_performance(models.fact_transactions(s), models.dim_merchants(s))
-
-
-@register("mart_channel_performance_exact")
-def q_channel_exact(spark, sf_dir):
-    s = stg(spark, sf_dir)
-    return models.mart_channel_performance_exact(s, models.dim_merchants(s))
-
-
 # ---- per-card rules (payments_fast: one hour, so the rules fire) ---------------
 
-def _card_rules(spark, sf_dir):
-    from cardlake.operators.card_rules import flag_all_rules
+def card_rules(spark, sf_dir):
     return flag_all_rules(fixtures.payments_fast(spark, sf_dir))
 
 
 @register("rule_velocity")
 def q_rule_velocity(spark, sf_dir):
-    return _card_rules(spark, sf_dir).select("transaction_id", "card_hash", "event_ts", "rule_velocity")
+    return card_rules(spark, sf_dir).select("transaction_id", "card_hash", "event_ts", "rule_velocity")
 
 
 @register("rule_cross_border")
 def q_rule_cross_border(spark, sf_dir):
-    return _card_rules(spark, sf_dir).select("transaction_id", "card_hash", "location", "rule_cross_border")
+    return card_rules(spark, sf_dir).select("transaction_id", "card_hash", "location", "rule_cross_border")
 
 
 @register("rule_decline_rate")
 def q_rule_decline_rate(spark, sf_dir):
-    return _card_rules(spark, sf_dir).select("transaction_id", "card_hash", "auth_result", "rule_decline_rate")
+    return card_rules(spark, sf_dir).select("transaction_id", "card_hash", "auth_result", "rule_decline_rate")
 
 
 @register("flag_all_rules")
 def q_flag_all_rules(spark, sf_dir):
-    return _card_rules(spark, sf_dir)
-
-
-# ---- raw payloads, parse, dead letter, silver -------------------------------------
-
-def _parsed(spark, sf_dir):
-    from cardlake.operators.parse import parse_payments
-    from cardlake.plans.fixture_params import DLQ_TS
-    return parse_payments(fixtures.raw_lines(spark, sf_dir), as_of=DLQ_TS)
-
+    return card_rules(spark, sf_dir)
 
-def _from_value(df: DataFrame, fields) -> DataFrame:
-    from pyspark.sql import functions as F
-    cols = [F.get_json_object("value", f"$.{f}").alias(f) for f in fields]
-    return df.select(*([F.col("key")] if "key" in df.columns else []), *cols)
 
+# ---- raw payloads, parse, dead letter ------------------------------------------
 
 @register("src_raw_lines")
 def q_src_raw_lines(spark, sf_dir):
     """Payloads delivered as text files, drained by a file stream (topic stand-in)."""
-    from pyspark.sql import functions as F
-    from cardlake.session import shared_path
-    from cardlake.sources.lines import text_stream, write_lines
-    from cardlake.streaming.sinks import drain
-    root = shared_path(spark, "src_raw_lines")
-    write_lines(fixtures.raw_lines(spark, sf_dir), f"{root}/in")
+    root = delivered(spark, "src_raw_lines", fixtures.raw_lines(spark, sf_dir))
     out = drain(text_stream(spark, f"{root}/in"), f"{root}/out", f"{root}/chk")
     return out.select(F.get_json_object("value", "$.transaction_id").alias("transaction_id"),
                       (F.col("value") == "").alias("is_blank"))
@@ -221,123 +157,176 @@ def q_src_raw_lines(spark, sf_dir):
 
 @register("parse_payments")
 def q_parse(spark, sf_dir):
-    return _parsed(spark, sf_dir)[0]
+    return parsed(spark, sf_dir)[0]
 
 
 @register("invalid_payments")
 def q_invalid(spark, sf_dir):
-    return _parsed(spark, sf_dir)[1].select("error_reason", "transaction_id", "card_hash", "amount")
+    return parsed(spark, sf_dir)[1].select("error_reason", "transaction_id", "card_hash", "amount")
 
 
 @register("bronze_payments")
 def q_bronze_payments(spark, sf_dir):
-    return rules.flag_stateless(_parsed(spark, sf_dir)[0])
+    return rules.flag_stateless(parsed(spark, sf_dir)[0])
 
 
 @register("dlq_flagged")
 def q_dlq_flagged(spark, sf_dir):
-    from cardlake.operators.routing import to_value
-    flagged = rules.route(rules.flag_stateless(_parsed(spark, sf_dir)[0]))[1]
-    return _from_value(to_value(flagged), ["transaction_id", "merchant_id", "fraud_reason"])
+    flagged = rules.route(rules.flag_stateless(parsed(spark, sf_dir)[0]))[1]
+    return from_value(to_value(flagged), ["transaction_id", "merchant_id", "fraud_reason"])
 
 
 @register("dlq_envelope")
 def q_dlq_envelope(spark, sf_dir):
-    from cardlake.operators.routing import dead_letter, undecided_as_invalid
-    from cardlake.plans.fixture_params import DLQ_TS
-    valid, invalid = _parsed(spark, sf_dir)
+    valid, invalid = parsed(spark, sf_dir)
     _, flagged, undecided = rules.route(rules.flag_stateless(valid))
     bad = invalid.unionByName(undecided_as_invalid(undecided, DLQ_TS), allowMissingColumns=True)
-    return _from_value(dead_letter(flagged, bad, as_of=DLQ_TS), ["transaction_id", "error_reason"])
-
+    return from_value(dead_letter(flagged, bad, as_of=DLQ_TS), ["transaction_id", "error_reason"])
 
-def bronze_dirty(spark, sf_dir):
-    return rules.flag_stateless(fixtures.payments_dirty(spark, sf_dir))
 
+# ---- lake layers --------------------------------------------------------------------
 
 @register("silver_payments")
 def q_silver(spark, sf_dir):
     return layers.to_silver(bronze_dirty(spark, sf_dir), processed_at=PROCESSED_AT)
 
 
-# ---- data quality (on an unvalidated load of the dirty rows, so checks find things) --
+@register("warehouse_transactions")
+def q_warehouse(spark, sf_dir):
+    return layers.to_warehouse(layers.to_silver(bronze_dirty(spark, sf_dir), processed_at=PROCESSED_AT))
 
-def unchecked_stg(spark, sf_dir):
-    raw = layers.to_warehouse(layers.with_processed_at(bronze_dirty(spark, sf_dir), PROCESSED_AT),
-                              require_id=False)
-    return models.stg_transactions(raw)
+
+# ---- models -----------------------------------------------------------------------
+
+@register("stg_transactions")
+def q_stg(spark, sf_dir):
+    return stg(spark, sf_dir)
+
+
+@register("fact_transactions")
+def q_fact(spark, sf_dir):
+    return models.fact_transactions(stg(spark, sf_dir))
+
+
+@register("fact_fraud_signals")
+def q_signals(spark, sf_dir):
+    return models.fact_fraud_signals(stg(spark, sf_dir))
+
+
+@register("dim_merchants")
+def q_dim_merchants(spark, sf_dir):
+    return models.dim_merchants(stg(spark, sf_dir))
+
+
+@register("dim_currency")
+def q_dim_currency(spark, sf_dir):
+    return models.dim_currency(stg(spark, sf_dir))
+
+
+@register("dim_auth_results")
+def q_dim_auth(spark, sf_dir):
+    return models.dim_auth_results(stg(spark, sf_dir))
+
+
+def _fact_mart(fn, exact: bool) -> Query:
+    def q(spark, sf_dir):
+        s = stg(spark, sf_dir)
+        return fn(models.fact_transactions(s), models.dim_merchants(s), one_row_per_merchant=exact)
+    return q
+
+
+def _signal_mart(exact: bool) -> Query:
+    def q(spark, sf_dir):
+        s = stg(spark, sf_dir)
+        return models.mart_fraud_rate(models.fact_fraud_signals(s), models.dim_merchants(s),
+                                      one_row_per_merchant=exact)
+    return q
+
+
+for _exact, _sfx in ((False, ""), (True, "_exact")):
+    register(f"mart_settlement_daily{_sfx}")(_fact_mart(models.mart_settlement_daily, _exact))
+    register(f"mart_fraud_settlement_daily{_sfx}")(_fact_mart(models.mart_fraud_settlement_daily, _exact))
+    register(f"mart_fraud_alerts{_sfx}")(_fact_mart(models.mart_fraud_alerts, _exact))
+    register(f"mart_fraud_rate{_sfx}")(_signal_mart(_exact))
+
+
+@register("mart_currency_volume")
+def q_currency_volume(spark, sf_dir):
+    s = stg(spark, sf_dir)
+    return models.mart_currency_volume(models.fact_transactions(s), models.dim_currency(s))
+
+
+@register("mart_channel_performance")
+def q_channel(spark, sf_dir):
+    s = stg(spark, sf_dir)
+    return models.mart_channel_performance(models.fact_transactions(s), models.dim_merchants(s))
 
 
+@register("mart_channel_performance_exact")
+def q_channel_exact(spark, sf_dir):
+    s = stg(spark, sf_dir)
+    return models.mart_channel_performance_exact(s, models.dim_merchants(s))
+
+
+# ---- data quality -----------------------------------------------------------------
+
 @register("dq_not_null")
 def q_dq_not_null(spark, sf_dir):
-    from cardlake.operators.quality import null_counts
     checks = [("stg_transactions", "transaction_id"), ("fact_transactions", "transaction_id"),
               ("fact_transactions", "merchant_id"), ("fact_transactions", "amount"),
               ("fact_fraud_signals", "transaction_id")]
-    return null_counts(unchecked_stg(spark, sf_dir), checks)
+    return quality.null_counts(unchecked_stg(spark, sf_dir), checks)
 
 
 @register("dq_unique_txn")
 def q_dq_unique(spark, sf_dir):
-    from cardlake.operators.quality import unique
-    return unique(models.fact_transactions(unchecked_stg(spark, sf_dir)), "transaction_id")
+    return quality.unique(models.fact_transactions(unchecked_stg(spark, sf_dir)), "transaction_id")
 
 
 @register("dq_rel_merchant")
 def q_dq_rel_merchant(spark, sf_dir):
-    from cardlake.operators.quality import foreign_key
     s = unchecked_stg(spark, sf_dir)
-    return foreign_key(models.fact_transactions(s), "merchant_id", models.dim_merchants(s), "merchant_id")
+    return quality.foreign_key(models.fact_transactions(s), "merchant_id", models.dim_merchants(s), "merchant_id")
 
 
 @register("dq_rel_currency")
 def q_dq_rel_currency(spark, sf_dir):
-    from cardlake.operators.quality import foreign_key
     s = unchecked_stg(spark, sf_dir)
-    return foreign_key(models.fact_transactions(s), "currency", models.dim_currency(s), "currency_code")
+    return quality.foreign_key(models.fact_transactions(s), "currency", models.dim_currency(s), "currency_code")
 
 
 @register("dq_rel_signal")
 def q_dq_rel_signal(spark, sf_dir):
-    from cardlake.operators.quality import foreign_key
     s = unchecked_stg(spark, sf_dir)
-    return foreign_key(models.fact_fraud_signals(s), "transaction_id",
-                       models.fact_transactions(s), "transaction_id")
+    return quality.foreign_key(models.fact_fraud_signals(s), "transaction_id",
+                               models.fact_transactions(s), "transaction_id")
 
 
 @register("dq_amount_non_negative")
 def q_dq_amount(spark, sf_dir):
-    from cardlake.operators.quality import amount_non_negative
-    return amount_non_negative(models.fact_transactions(unchecked_stg(spark, sf_dir)))
+    return quality.amount_non_negative(models.fact_transactions(unchecked_stg(spark, sf_dir)))
 
 
 @register("dq_valid_currency")
 def q_dq_currency(spark, sf_dir):
-    from cardlake.operators.quality import valid_currency
     s = unchecked_stg(spark, sf_dir)
-    return valid_currency(models.fact_transactions(s), models.dim_currency(s))
+    return quality.valid_currency(models.fact_transactions(s), models.dim_currency(s))
 
 
 @register("dq_profile")
 def q_dq_profile(spark, sf_dir):
-    from cardlake.operators.quality import profile
-    return profile(unchecked_stg(spark, sf_dir), key="transaction_id")
+    return quality.profile(unchecked_stg(spark, sf_dir), key="transaction_id")
 
 
 @register("dq_freshness")
 def q_dq_freshness(spark, sf_dir):
-    from cardlake.operators.quality import freshness
-    from cardlake.plans.fixture_params import FRESHNESS_AS_OF, FRESHNESS_MAX_LAG_S
-    return freshness(fixtures.payments(spark, sf_dir), FRESHNESS_AS_OF, FRESHNESS_MAX_LAG_S)
+    return quality.freshness(fixtures.payments(spark, sf_dir), FRESHNESS_AS_OF, FRESHNESS_MAX_LAG_S)
 
 
 # ---- reports and retention --------------------------------------------------------
 
-def _report(mart_key: str, prefix: str):
+def _report(mart_key: str, prefix: str) -> Query:
     def q(spark, sf_dir):
-        from cardlake.plans.fixture_params import REPORT_DAY
-        from cardlake.plans.reports import export_report, read_report
-        from cardlake.session import shared_path
         mart = REGISTRY[mart_key](spark, sf_dir)
         out = export_report(mart, REPORT_DAY, shared_path(spark, "reports"), prefix=prefix)
         return read_report(spark, out, mart.schema)
@@ -350,34 +339,43 @@ register("report_fraud_daily")(_report("mart_fraud_settlement_daily", "fraud"))
 
 @register("retention_candidates")
 def q_retention(spark, sf_dir):
-    from pyspark.sql import functions as F
-    from cardlake.plans.fixture_params import RETENTION_AS_OF, RETENTION_DAYS
-    from cardlake.plans.reports import retention_candidates
     old = retention_candidates(bronze(spark, sf_dir), RETENTION_AS_OF, RETENTION_DAYS)
     return old.groupBy("date").agg(F.count(F.lit(1)).alias("row_count"))
 
 
-# ---- streaming jobs: drained into the shared folder, then read back ----------------
+# ---- streaming jobs -------------------------------------------------------------------
 
 @register("stream_bronze")
 def q_stream_bronze(spark, sf_dir):
-    from cardlake.plans.fixture_params import DLQ_TS
-    from cardlake.schemas import BRONZE
-    from cardlake.session import shared_path
-    from cardlake.sources.lines import text_stream, write_lines
-    from cardlake.streaming.jobs import await_all, start_ingest
-    root = shared_path(spark, "stream_bronze")
-    write_lines(fixtures.raw_lines(spark, sf_dir), f"{root}/in")
+    root = delivered(spark, "stream_bronze", fixtures.raw_lines(spark, sf_dir))
     await_all(start_ingest(text_stream(spark, f"{root}/in"), f"{root}/bronze", f"{root}/chk",
                            dlq_path=f"{root}/dlq", trigger="available_now", as_of=DLQ_TS))
     return spark.read.schema(BRONZE).parquet(f"{root}/bronze")
 
 
+@register("stream_dlq")
+def q_stream_dlq(spark, sf_dir):
+    """Dead letter of the ingest job (flagged, undecided, unparseable), read back."""
+    root = delivered(spark, "stream_dlq", fixtures.raw_lines(spark, sf_dir))
+    await_all(start_ingest(text_stream(spark, f"{root}/in"), f"{root}/bronze", f"{root}/chk",
+                           dlq_path=f"{root}/dlq", trigger="available_now", as_of=DLQ_TS))
+    return from_value(spark.read.schema("key string, value string").parquet(f"{root}/dlq"),
+                      ["transaction_id", "error_reason"])
+
+
+@register("stream_routes")
+def q_stream_routes(spark, sf_dir):
+    """Clean and flagged sinks of the routed ingest, read back with the sink name."""
+    root = delivered(spark, "stream_routes", fixtures.raw_lines(spark, sf_dir))
+    await_all(start_routed_ingest(text_stream(spark, f"{root}/in"), f"{root}/clean", f"{root}/flagged",
+                                  f"{root}/chk", trigger="available_now"))
+    clean = spark.read.schema(BRONZE).parquet(f"{root}/clean").withColumn("sink", F.lit("clean"))
+    flagged = spark.read.schema(BRONZE).parquet(f"{root}/flagged").withColumn("sink", F.lit("flagged"))
+    return clean.unionByName(flagged)
+
+
 @register("stream_silver")
 def q_stream_silver(spark, sf_dir):
-    from cardlake.schemas import SILVER
-    from cardlake.session import shared_path
-    from cardlake.streaming.jobs import run_silver
     root = shared_path(spark, "stream_silver")
     bronze_dirty(spark, sf_dir).write.partitionBy("date").parquet(f"{root}/bronze")
     run_silver(spark, f"{root}/bronze", f"{root}/silver", f"{root}/chk", processed_at=PROCESSED_AT)
@@ -386,9 +384,6 @@ def q_stream_silver(spark, sf_dir):
 
 @register("stream_warehouse")
 def q_stream_warehouse(spark, sf_dir):
-    from cardlake.session import shared_path
-    from cardlake.streaming.jobs import read_warehouse, run_warehouse, warehouse_writer
-    from cardlake.schemas import WAREHOUSE_COLUMNS
     root = shared_path(spark, "stream_warehouse")
     silver = layers.to_silver(bronze_dirty(spark, sf_dir), processed_at=PROCESSED_AT)
     silver.write.partitionBy("date").parquet(f"{root}/silver")
@@ -402,12 +397,6 @@ def q_stream_warehouse(spark, sf_dir):
 def q_stream_card_rules(spark, sf_dir):
     """payments_fast delivered in four 15-minute slices, one drain per slice
     with the same checkpoint: later slices see the state of earlier ones."""
-    from pyspark.sql import functions as F
-    from cardlake.operators.rules import ALL_RULES, combine_flags
-    from cardlake.schemas import PARSED
-    from cardlake.session import shared_path
-    from cardlake.streaming.card_state import flag_card_rules_stream
-    from cardlake.streaming.sinks import parquet_sink
     root = shared_path(spark, "stream_card_rules")
     fast = fixtures.payments_fast(spark, sf_dir)
     start = F.lit("2024-01-01 00:00:00").cast("timestamp")
@@ -418,60 +407,14 @@ def q_stream_card_rules(spark, sf_dir):
         fast.filter(cond).write.mode("append").parquet(f"{root}/in")
         stream = flag_card_rules_stream(spark.readStream.schema(PARSED).parquet(f"{root}/in"))
         parquet_sink(stream, f"{root}/out", f"{root}/chk", trigger="available_now").awaitTermination()
-    from cardlake.streaming.card_state import card_rule_schema
-    return combine_flags(spark.read.schema(card_rule_schema()).parquet(f"{root}/out"), ALL_RULES)
-
-
-def _ingest_root(spark, name, lines):
-    from cardlake.session import shared_path
-    from cardlake.sources.lines import write_lines
-    root = shared_path(spark, name)
-    write_lines(lines, f"{root}/in")
-    return root
-
-
-@register("stream_dlq")
-def q_stream_dlq(spark, sf_dir):
-    """Dead letter of the ingest job (flagged, undecided, unparseable), read back."""
-    from cardlake.plans.fixture_params import DLQ_TS
-    from cardlake.sources.lines import text_stream
-    from cardlake.streaming.jobs import await_all, start_ingest
-    root = _ingest_root(spark, "stream_dlq", fixtures.raw_lines(spark, sf_dir))
-    await_all(start_ingest(text_stream(spark, f"{root}/in"), f"{root}/bronze", f"{root}/chk",
-                           dlq_path=f"{root}/dlq", trigger="available_now", as_of=DLQ_TS))
-    return _from_value(spark.read.schema("key string, value string").parquet(f"{root}/dlq"),
-                       ["transaction_id", "error_reason"])
-
-
-@register("stream_routes")
-def q_stream_routes(spark, sf_dir):
-    """Clean and flagged sinks of the routed ingest, read back with the sink name."""
-    from pyspark.sql import functions as F
-    from cardlake.schemas import BRONZE
-    from cardlake.sources.lines import text_stream
-    from cardlake.streaming.jobs import await_all, start_routed_ingest
-    root = _ingest_root(spark, "stream_routes", fixtures.raw_lines(spark, sf_dir))
-    await_all(start_routed_ingest(text_stream(spark, f"{root}/in"), f"{root}/clean", f"{root}/flagged",
-                                  f"{root}/chk", trigger="available_now"))
-    clean = spark.read.schema(BRONZE).parquet(f"{root}/clean").withColumn("sink", F.lit("clean"))
-    flagged = spark.read.schema(BRONZE).parquet(f"{root}/flagged").withColumn("sink", F.lit("flagged"))
-    return clean.unionByName(flagged)
+    return rules.combine_flags(spark.read.schema(card_rule_schema()).parquet(f"{root}/out"), rules.ALL_RULES)
 
 
 @register("stream_card_rules_ingest")
 def q_stream_card_rules_ingest(spark, sf_dir):
     """Stateful ingest from JSON payloads of payments_fast: decided rows read back."""
-    from pyspark.sql import functions as F
-    from cardlake.schemas import RAW_FIELDS
-    from cardlake.sources.lines import text_stream
-    from cardlake.streaming.jobs import await_all, start_card_rules_ingest
-    from cardlake.plans.fixture_params import DLQ_TS
-    payloads = fixtures.payments_fast(spark, sf_dir).select(
-        F.to_json(F.struct(*RAW_FIELDS)).alias("value"))
-    root = _ingest_root(spark, "stream_card_rules_ingest", payloads)
-    qs = start_card_rules_ingest(text_stream(spark, f"{root}/in"), f"{root}/decided", f"{root}/chk",
-                                 dlq_path=f"{root}/dlq", trigger="available_now", as_of=DLQ_TS)
-    await_all(qs)
-    decided = spark.read.parquet(f"{root}/decided")
-    from cardlake.schemas import CARD_RULE_COLUMNS
-    return decided.select(*CARD_RULE_COLUMNS, "is_fraud", "fraud_reason")
+    payloads = fixtures.payments_fast(spark, sf_dir).select(F.to_json(F.struct(*RAW_FIELDS)).alias("value"))
+    root = delivered(spark, "stream_card_rules_ingest", payloads)
+    await_all(start_card_rules_ingest(text_stream(spark, f"{root}/in"), f"{root}/decided", f"{root}/chk",
+                                      dlq_path=f"{root}/dlq", trigger="available_now", as_of=DLQ_TS))
+    return spark.read.parquet(f"{root}/decided").select(*CARD_RULE_COLUMNS, "is_fraud", "fraud_reason")
