@@ -105,6 +105,8 @@ def _card_rules() -> str:
 
 def with_base(body: str) -> str:
     """Prefix the fixture CTEs (clean / fast / dirty payments, models)."""
+    if body.lstrip().upper().startswith("WITH"):
+        body = f"SELECT * FROM ({body})"
     return f"""WITH
 ev1 AS ({_events(1)}),
 ev720 AS ({_events(720)}),
@@ -132,45 +134,55 @@ card_rules AS ({_card_rules()})
 {body}"""
 
 
-def _merchants(exact: bool) -> str:
-    return "(SELECT DISTINCT merchant_id FROM dim_merchants)" if exact else "dim_merchants"
+def _fanned(exact: bool) -> str:
+    """Fact rows paired with every matching merchant-dimension row.
+
+    As written, the marts join facts to a dimension holding one row per
+    (merchant, location, mcc, channel); this CTE body materialises exactly
+    those pairs (or one pair per fact row for the exact variants), so the
+    aggregates below see the repeated rows row by row.
+    """
+    dim = "(SELECT DISTINCT merchant_id, NULL AS channel FROM dim_merchants)" if exact else "dim_merchants"
+    return f"""SELECT x.*, y.channel AS dim_channel FROM fact x, {dim} y WHERE y.merchant_id = x.merchant_id"""
 
 
 def _marts(exact: bool) -> dict[str, str]:
-    m = _merchants(exact)
     sfx = "_exact" if exact else ""
+    pairs = _fanned(exact)
+    signal_dim = "(SELECT DISTINCT merchant_id FROM dim_merchants)" if exact else "dim_merchants"
     return {
         f"mart_settlement_daily{sfx}": f"""
-SELECT date, merchant_id, currency, CAST(total_amount AS {MONEY}) AS total_amount,
-       CAST(transaction_count AS BIGINT) AS transaction_count, CAST(fees AS {MONEY}) AS fees,
-       CAST(round(total_amount - fees, 2) AS {MONEY}) AS total_settlement
-FROM (SELECT f.date, f.merchant_id, f.currency, sum(f.amount) AS total_amount,
-             count(DISTINCT f.transaction_id) AS transaction_count,
-             round(sum(f.amount) * 0.02, 2) AS fees
-      FROM fact f JOIN {m} m ON f.merchant_id = m.merchant_id
-      WHERE f.is_fraud = false AND f.auth_result = 'APPROVED'
-      GROUP BY f.date, f.merchant_id, f.currency) base""",
+WITH pairs AS ({pairs}),
+     per_day AS (
+       SELECT date, merchant_id, currency,
+              sum(amount) FILTER (WHERE NOT is_fraud AND auth_result = 'APPROVED') AS money,
+              count(DISTINCT transaction_id) FILTER (WHERE NOT is_fraud AND auth_result = 'APPROVED') AS n,
+              count(*) FILTER (WHERE NOT is_fraud AND auth_result = 'APPROVED') AS kept
+       FROM pairs GROUP BY ALL)
+SELECT date, merchant_id, currency, CAST(money AS {MONEY}) AS total_amount, CAST(n AS BIGINT) AS transaction_count,
+       CAST(round(money * 0.02, 2) AS {MONEY}) AS fees,
+       CAST(round(money - round(money * 0.02, 2), 2) AS {MONEY}) AS total_settlement
+FROM per_day WHERE kept > 0""",
         f"mart_fraud_settlement_daily{sfx}": f"""
-SELECT f.date, f.merchant_id, CAST(sum(f.amount) AS {MONEY}) AS total_amount,
-       CAST(count(DISTINCT f.transaction_id) AS BIGINT) AS transaction_count,
-       CAST(sum(CASE WHEN f.is_fraud THEN 1 ELSE 0 END) AS BIGINT) AS fraud_count,
-       CAST(sum(CASE WHEN f.is_fraud THEN f.amount ELSE 0 END) AS {MONEY}) AS fraud_amount
-FROM fact f JOIN {m} m ON f.merchant_id = m.merchant_id
-GROUP BY f.date, f.merchant_id""",
+WITH pairs AS ({pairs})
+SELECT date, merchant_id,
+       CAST(sum(amount) AS {MONEY}) AS total_amount,
+       CAST(count(DISTINCT transaction_id) AS BIGINT) AS transaction_count,
+       CAST(count(*) FILTER (WHERE is_fraud) AS BIGINT) AS fraud_count,
+       CAST(coalesce(sum(amount) FILTER (WHERE is_fraud), 0) AS {MONEY}) AS fraud_amount
+FROM pairs GROUP BY date, merchant_id""",
         f"mart_fraud_rate{sfx}": f"""
-SELECT date, merchant_id, CAST(total_transactions AS BIGINT) AS total_transactions,
-       CAST(fraud_transactions AS BIGINT) AS fraud_transactions,
-       CAST((20000 * fraud_transactions + total_transactions) // (2 * total_transactions) AS DOUBLE) / 100
-         AS fraud_rate_pct
-FROM (SELECT f.date, f.merchant_id, count(*) AS total_transactions,
-             sum(CASE WHEN f.is_fraud THEN 1 ELSE 0 END) AS fraud_transactions
-      FROM signals f JOIN {m} m ON f.merchant_id = m.merchant_id
-      GROUP BY f.date, f.merchant_id)""",
+WITH pairs AS (SELECT s.* FROM signals s, {signal_dim} y WHERE y.merchant_id = s.merchant_id),
+     counted AS (SELECT date, merchant_id, count(*) AS total, count(*) FILTER (WHERE is_fraud) AS bad
+                 FROM pairs GROUP BY date, merchant_id)
+SELECT date, merchant_id, CAST(total AS BIGINT) AS total_transactions, CAST(bad AS BIGINT) AS fraud_transactions,
+       CAST((20000 * bad + total) // (2 * total) AS DOUBLE) / 100 AS fraud_rate_pct
+FROM counted""",
         f"mart_fraud_alerts{sfx}": f"""
-SELECT f.date, f.transaction_id, f.merchant_id, f.amount, f.currency, f.is_fraud,
-       f.fraud_reason, f.rule_high_amount, f.rule_blacklist
-FROM fact f JOIN {m} m ON f.merchant_id = m.merchant_id
-WHERE f.is_fraud = true""",
+WITH pairs AS ({pairs})
+SELECT date, transaction_id, merchant_id, amount, currency, is_fraud, fraud_reason,
+       rule_high_amount, rule_blacklist
+FROM pairs WHERE is_fraud""",
     }
 
 
@@ -205,16 +217,16 @@ def queries() -> dict[str, str]:
         "dim_currency": "SELECT * FROM dim_currency",
         "dim_auth_results": "SELECT * FROM dim_auth",
         "mart_currency_volume": f"""
-SELECT f.date, f.currency, c.currency_code, CAST(sum(f.amount) AS {MONEY}) AS total_amount,
-       CAST(count(DISTINCT f.transaction_id) AS BIGINT) AS transaction_count
-FROM fact f JOIN dim_currency c ON f.currency = c.currency_code
-GROUP BY f.date, f.currency, c.currency_code""",
+WITH known AS (SELECT x.*, c.currency_code FROM fact x, dim_currency c WHERE c.currency_code = x.currency)
+SELECT date, currency, currency_code, CAST(sum(amount) AS {MONEY}) AS total_amount,
+       CAST(count(DISTINCT transaction_id) AS BIGINT) AS transaction_count
+FROM known GROUP BY ALL""",
         "mart_channel_performance": f"""
-SELECT f.date, d.channel, CAST(count(DISTINCT f.transaction_id) AS BIGINT) AS transaction_count,
-       CAST(sum(f.amount) AS {MONEY}) AS total_amount,
-       CAST(sum(CASE WHEN f.is_fraud THEN 1 ELSE 0 END) AS BIGINT) AS fraud_count
-FROM fact f JOIN dim_merchants d ON f.merchant_id = d.merchant_id
-GROUP BY f.date, d.channel""",
+WITH pairs AS ({_fanned(False)})
+SELECT date, dim_channel AS channel, CAST(count(DISTINCT transaction_id) AS BIGINT) AS transaction_count,
+       CAST(sum(amount) AS {MONEY}) AS total_amount,
+       CAST(count(*) FILTER (WHERE is_fraud) AS BIGINT) AS fraud_count
+FROM pairs GROUP BY date, dim_channel""",
         "mart_channel_performance_exact": f"""
 SELECT s.date, s.channel, CAST(count(DISTINCT s.transaction_id) AS BIGINT) AS transaction_count,
        CAST(sum(s.amount) AS {MONEY}) AS total_amount,

@@ -11,41 +11,44 @@ from pyspark.sql import functions as F
 from cardlake.operators import models
 from cardlake.schemas import MONEY
 
+# Brute force: every fact row paired with each dimension row of its merchant
+# (the repetition the models produce as written), then plain aggregates.
+PAIRS = "(select x.*, y.channel as dim_channel from f x, d y where y.merchant_id = x.merchant_id)"
+
 SQL = {
-    "settlement": """
-        select date, merchant_id, currency, cast(total_amount as decimal(38,2)) total_amount,
-               cast(transaction_count as bigint) transaction_count, cast(fees as decimal(38,2)) fees,
-               cast(round(total_amount - fees, 2) as decimal(38,2)) total_settlement
-        from (select f.date, f.merchant_id, f.currency, sum(f.amount) total_amount,
-                     count(distinct f.transaction_id) transaction_count,
-                     round(sum(f.amount) * 0.02, 2) fees
-              from f join d m on f.merchant_id = m.merchant_id
-              where f.is_fraud = false and f.auth_result = 'APPROVED'
-              group by f.date, f.merchant_id, f.currency)""",
-    "fraud_settlement": """
-        select f.date, f.merchant_id, cast(sum(f.amount) as decimal(38,2)) total_amount,
-               count(distinct f.transaction_id) transaction_count,
-               cast(sum(case when f.is_fraud then 1 else 0 end) as bigint) fraud_count,
-               cast(sum(case when f.is_fraud then f.amount else 0 end) as decimal(38,2)) fraud_amount
-        from f join d m on f.merchant_id = m.merchant_id group by f.date, f.merchant_id""",
-    "fraud_rate": """
-        select f.date, f.merchant_id, count(*) total_transactions,
-               cast(sum(case when f.is_fraud then 1 else 0 end) as bigint) fraud_transactions,
-               cast(round(100.0 * sum(case when f.is_fraud then 1 else 0 end) / count(*), 2) as double) fraud_rate_pct
-        from f join d m on f.merchant_id = m.merchant_id group by f.date, f.merchant_id""",
-    "channel": """
-        select f.date, d.channel, count(distinct f.transaction_id) transaction_count,
-               cast(sum(f.amount) as decimal(38,2)) total_amount,
-               cast(sum(case when f.is_fraud then 1 else 0 end) as bigint) fraud_count
-        from f join d on f.merchant_id = d.merchant_id group by f.date, d.channel""",
-    "alerts": """
-        select f.date, f.transaction_id, f.merchant_id, f.amount, f.currency, f.is_fraud,
-               f.fraud_reason, f.rule_high_amount, f.rule_blacklist
-        from f join d m on f.merchant_id = m.merchant_id where f.is_fraud = true""",
+    "settlement": f"""
+        select date, merchant_id, currency, cast(money as decimal(38,2)) total_amount,
+               n transaction_count, cast(round(money * 0.02, 2) as decimal(38,2)) fees,
+               cast(round(money - round(money * 0.02, 2), 2) as decimal(38,2)) total_settlement
+        from (select date, merchant_id, currency,
+                     sum(amount) filter (where not is_fraud and auth_result = 'APPROVED') money,
+                     count(distinct transaction_id) filter (where not is_fraud and auth_result = 'APPROVED') n,
+                     count(*) filter (where not is_fraud and auth_result = 'APPROVED') kept
+              from {PAIRS} group by all)
+        where kept > 0""",
+    "fraud_settlement": f"""
+        select date, merchant_id, cast(sum(amount) as decimal(38,2)) total_amount,
+               count(distinct transaction_id) transaction_count,
+               count(*) filter (where is_fraud) fraud_count,
+               cast(coalesce(sum(amount) filter (where is_fraud), 0) as decimal(38,2)) fraud_amount
+        from {PAIRS} group by all""",
+    "fraud_rate": f"""
+        select date, merchant_id, total total_transactions, bad fraud_transactions,
+               cast(round(bad * 100.0 / total, 2) as double) fraud_rate_pct
+        from (select date, merchant_id, count(*) total, count(*) filter (where is_fraud) bad
+              from {PAIRS} group by all)""",
+    "channel": f"""
+        select date, dim_channel channel, count(distinct transaction_id) transaction_count,
+               cast(sum(amount) as decimal(38,2)) total_amount, count(*) filter (where is_fraud) fraud_count
+        from {PAIRS} group by all""",
+    "alerts": f"""
+        select date, transaction_id, merchant_id, amount, currency, is_fraud, fraud_reason,
+               rule_high_amount, rule_blacklist
+        from {PAIRS} where is_fraud""",
     "currency": """
-        select f.date, f.currency, c.currency_code, cast(sum(f.amount) as decimal(38,2)) total_amount,
-               count(distinct f.transaction_id) transaction_count
-        from f join c on f.currency = c.currency_code group by f.date, f.currency, c.currency_code""",
+        select date, currency, currency_code, cast(sum(amount) as decimal(38,2)) total_amount,
+               count(distinct transaction_id) transaction_count
+        from (select x.*, c.currency_code from f x, c where c.currency_code = x.currency) group by all""",
 }
 
 

@@ -25,9 +25,9 @@ def test_fan_out_matches_join_as_written(spark):
     f, d = models.fact_transactions(s), models.dim_merchants(s)
     f.createOrReplaceTempView("f_t")
     d.createOrReplaceTempView("d_t")
-    written = spark.sql("""select f.date, f.merchant_id, sum(f.amount) s, count(distinct f.transaction_id) n
-                           from f_t f join d_t m on f.merchant_id = m.merchant_id
-                           group by f.date, f.merchant_id""")
+    written = spark.sql("""select date, merchant_id, sum(amount) s, count(distinct transaction_id) n
+                           from (select x.* from f_t x, d_t y where y.merchant_id = x.merchant_id)
+                           group by all""")
     want = {r.merchant_id: (r.s, r.n) for r in written.collect()}
     got = {r.merchant_id: (r.total_amount, r.transaction_count)
            for r in models.mart_fraud_settlement_daily(f, d).collect()}
