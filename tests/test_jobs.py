@@ -83,3 +83,15 @@ def test_hourly_refresh_then_daily_reports(spark, tmp_root):
     # a second run with no new files changes nothing
     again = hourly_refresh(spark, paths, processed_at="2024-02-01 00:00:00")
     assert again["fact_transactions"].count() == want.count()
+
+
+def test_cli_ingest_refresh_report(spark, tmp_root):
+    from cardlake.plans.cli import main
+    write_lines(fixtures.raw_lines(spark, SMOKE), f"{tmp_root}/payloads")
+    main(["ingest", "--root", tmp_root, "--lines", f"{tmp_root}/payloads", "--trigger", "available_now"], spark)
+    built = main(["refresh", "--root", tmp_root], spark)
+    assert "mart_settlement_daily" in built["models"]
+    out = main(["report", "--root", tmp_root, "--as-of", "2024-01-15"], spark)
+    assert spark.read.option("header", True).csv(out["settlement"]).count() > 0
+    letters = spark.read.parquet(f"{tmp_root}/deadletter")
+    assert letters.count() > 0
