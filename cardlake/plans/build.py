@@ -49,26 +49,47 @@ def build_order() -> list[str]:
     return done
 
 
+def build_levels() -> list[list[str]]:
+    """Models grouped by dependency depth: a level reads only earlier levels."""
+    depth: dict[str, int] = {"transactions": 0}
+    for name in build_order():
+        depth[name] = 1 + max(depth[d] for d in MODEL_GRAPH[name][0])
+    levels: dict[int, list[str]] = {}
+    for name in build_order():
+        levels.setdefault(depth[name], []).append(name)
+    return [levels[k] for k in sorted(levels)]
+
+
 def build_models(transactions: DataFrame, out_path: str | None = None,
-                 staging_as_view: bool = True) -> dict[str, DataFrame]:
+                 staging_as_view: bool = True, threads: int = 4) -> dict[str, DataFrame]:
     """All models from the warehouse ``transactions`` frame.
 
     Staging stays a view (a projection, never written).  Written tables use
-    ``overwrite`` so a rerun replaces them (the hourly refresh).
+    ``overwrite`` so a rerun replaces them (the hourly refresh).  Models of
+    one dependency level are independent; their writes are submitted from
+    ``threads`` driver threads, so Spark runs those jobs side by side.
     """
+    from concurrent.futures import ThreadPoolExecutor
+
     spark = transactions.sparkSession
     built: dict[str, DataFrame] = {"transactions": transactions}
-    for name in build_order():
+
+    def make(name: str) -> DataFrame:
         deps, fn, by_date = MODEL_GRAPH[name]
         df = fn(*[built[d] for d in deps])
-        if out_path and not (staging_as_view and name == "stg_transactions"):
-            path = f"{out_path.rstrip('/')}/{name}"
-            w = df.write.mode("overwrite")
-            if by_date:
-                w = w.partitionBy("date")
-            w.parquet(path)
-            df = spark.read.schema(df.schema).parquet(path) if not by_date else \
-                spark.read.parquet(path).select(*df.columns)
-        built[name] = df
+        if not out_path or (staging_as_view and name == "stg_transactions"):
+            return df
+        path = f"{out_path.rstrip('/')}/{name}"
+        w = df.write.mode("overwrite")
+        if by_date:
+            w = w.partitionBy("date")
+        w.parquet(path)
+        return spark.read.parquet(path).select(*df.columns) if by_date else \
+            spark.read.schema(df.schema).parquet(path)
+
+    with ThreadPoolExecutor(max_workers=max(1, threads)) as pool:
+        for level in build_levels():
+            for name, df in zip(level, pool.map(make, level)):
+                built[name] = df
     built.pop("transactions")
     return built
