@@ -418,3 +418,18 @@ def q_stream_card_rules_ingest(spark, sf_dir):
     await_all(start_card_rules_ingest(text_stream(spark, f"{root}/in"), f"{root}/decided", f"{root}/chk",
                                       dlq_path=f"{root}/dlq", trigger="available_now", as_of=DLQ_TS))
     return spark.read.parquet(f"{root}/decided").select(*CARD_RULE_COLUMNS, "is_fraud", "fraud_reason")
+
+
+@register("stream_silver_late")
+def q_stream_silver_late(spark, sf_dir):
+    """Late file: payments before 2024-01-03 delivered after all others.  The
+    second drain (same checkpoint) finds them more than 24 h behind the
+    watermark, so silver drops them (late data)."""
+    root = shared_path(spark, "stream_silver_late")
+    b = bronze(spark, sf_dir)
+    late = F.col("event_ts") < F.lit("2024-01-03 00:00:00").cast("timestamp")
+    b.filter(~late).write.partitionBy("date").parquet(f"{root}/bronze")
+    run_silver(spark, f"{root}/bronze", f"{root}/silver", f"{root}/chk", processed_at=PROCESSED_AT)
+    b.filter(late).write.mode("append").partitionBy("date").parquet(f"{root}/bronze")
+    run_silver(spark, f"{root}/bronze", f"{root}/silver", f"{root}/chk", processed_at=PROCESSED_AT)
+    return spark.read.schema(SILVER).parquet(f"{root}/silver")

@@ -306,6 +306,8 @@ FROM (SELECT max(event_ts) AS max_event_ts FROM payments)"""
                                    WHERE date < DATE '2024-02-15' - INTERVAL 30 DAY GROUP BY date"""
     q["stream_bronze"] = q["bronze_payments"]
     q["stream_silver"] = q["silver_payments"]
+    q["stream_silver_late"] = f"""SELECT {BRONZE_COLS}, {PROCESSED_AT} AS processed_at FROM bronze
+                                  WHERE event_ts >= TIMESTAMP '2024-01-03 00:00:00'"""
     q["stream_warehouse"] = q["warehouse_transactions"]
     q["stream_card_rules"] = q["flag_all_rules"]
     q["stream_card_rules_ingest"] = q["flag_all_rules"]
