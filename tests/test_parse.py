@@ -47,3 +47,20 @@ def test_dead_letter_envelope(spark):
     assert by_reason["FRAUD_DETECTED"].key == "c"
     assert by_reason["INVALID_JSON"].key is None
     assert json.loads(by_reason["INVALID_JSON"].value)["raw_value"] == "{bad"
+
+
+def test_producer_style_payloads(spark):
+    import datetime as dt
+    recs = [{"transaction_id": "TXN123456", "ts_event": dt.datetime(2024, 1, 2, 3, 4, 5, tzinfo=dt.timezone.utc).isoformat(),
+             "card_hash": "ab" * 20, "merchant_id": "M1001", "amount": 12000.5, "currency": "USD", "mcc": "5411",
+             "channel": "POS", "auth_result": "DECLINED", "location": "UK"},
+            {"transaction_id": "TXN654321",
+             "ts_event": dt.datetime(2024, 1, 2, 3, 4, 5, 120000, tzinfo=dt.timezone.utc).isoformat(),
+             "card_hash": "cd" * 20, "merchant_id": "M5000", "amount": 3.0, "currency": "USD", "mcc": "5411",
+             "channel": "ECOM", "auth_result": "APPROVED", "location": "India"}]
+    lines = spark.createDataFrame([(json.dumps(r).encode(),) for r in recs], "value binary")  # topic bytes
+    valid, invalid = parse_payments(lines)
+    rows = {r.transaction_id: r for r in valid.collect()}
+    assert invalid.count() == 0
+    assert str(rows["TXN123456"].event_ts) == "2024-01-02 03:04:05"
+    assert str(rows["TXN654321"].event_ts) == "2024-01-02 03:04:05.120000"
