@@ -151,15 +151,17 @@ def warehouse_writer(target: str | None = None, jdbc_url: str | None = None, tab
     """``foreachBatch`` function appending a micro-batch to the warehouse.
 
     Parquet target: the batch is written to its own ``batch_id`` partition
-    with dynamic overwrite, so a retried batch replaces itself (idempotent).
-    JDBC target: append with ``writers`` connections and ``batch_rows`` per
-    insert; idempotency then needs a batch column and a key in the database.
-    Empty batches are skipped with ``isEmpty`` (one row read, not a count).
+    with dynamic overwrite, so a retried batch replaces itself (idempotent);
+    the batch is read once (an empty batch writes no files, so no emptiness
+    check that would read it a second time).
+    JDBC target: empty batches are skipped with ``isEmpty`` before any
+    connection opens; append with ``writers`` connections and ``batch_rows``
+    per insert; idempotency then needs a batch column and a key in the database.
     """
     def write(batch: DataFrame, batch_id: int) -> None:
-        if batch.isEmpty():
-            return
         if jdbc_url:
+            if batch.isEmpty():
+                return
             (batch.write.mode("append").option("numPartitions", writers)
              .option("batchsize", batch_rows)
              .jdbc(jdbc_url, table, properties=properties or {}))

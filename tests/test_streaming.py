@@ -118,3 +118,27 @@ def test_card_state_function_null_time():
     assert out.set_index("transaction_id").loc["b", "rule_velocity"] is None
     assert bool(out.set_index("transaction_id").loc["a", "rule_velocity"]) is False
     assert len(st.value[0]) == 1
+
+
+def test_progress_recorder_reports_rows_and_state(spark, tmp_root):
+    import time
+
+    from cardlake.streaming.monitor import record_progress
+    rec = record_progress(spark)
+    try:
+        silver = layers.to_silver(_bronze(spark, [payment(f"t{i}", i, sec=i * 3600) for i in range(20)]),
+                                  processed_at="2024-02-01 00:00:00")
+        silver.write.partitionBy("date").parquet(f"{tmp_root}/silver")
+        run_warehouse(spark, f"{tmp_root}/silver", f"{tmp_root}/chk", warehouse_writer(f"{tmp_root}/wh"))
+        df = payments_df(spark, [payment(f"x{i}", card=f"c{i % 3}", sec=i) for i in range(30)])
+        df.write.parquet(f"{tmp_root}/in")
+        stream = flag_card_rules_stream(spark.readStream.schema(PARSED).parquet(f"{tmp_root}/in"))
+        parquet_sink(stream, f"{tmp_root}/out", f"{tmp_root}/chk2", trigger="available_now").awaitTermination()
+        time.sleep(2)    # listener events are delivered asynchronously
+        s = rec.summary()
+        assert sum(r["observed"].get("warehouse_batch", {}).get("rows", 0) for r in s) == 20
+        assert max(r["state_rows"] for r in s) == 3      # one state row per card
+        wh = [r for r in s if "warehouse_batch" in r["observed"]]
+        assert sum(r["input_rows"] for r in wh) == 20    # each micro-batch read once
+    finally:
+        spark.streams.removeListener(rec)
