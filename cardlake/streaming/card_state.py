@@ -74,10 +74,25 @@ def card_rules_arrays(ts_us: np.ndarray, locations, declined: np.ndarray, veloci
     return velocity, cross, decline
 
 
+def interval_seconds(delay: str | int) -> int:
+    """'15 minutes' / '24 hours' / '90 seconds' / 900 -> seconds."""
+    if isinstance(delay, int):
+        return delay
+    n, unit = delay.split()
+    scale = {"second": 1, "minute": 60, "hour": 3600, "day": 86400}[unit.rstrip("s")]
+    return int(n) * scale
+
+
 def make_state_fn(velocity_n=VELOCITY_N, velocity_s=VELOCITY_S, window_s=WINDOW_S, last_n=LAST_N,
                   ratio=DECLINE_RATIO, idle_s=IDLE_S, late_s=LATE_S):
+    """State function; exact as long as rows arrive no later than ``late_s``
+    behind the newest event (the watermark delay, enforced by Spark)."""
     velocity_us, window_us = velocity_s * 1_000_000, window_s * 1_000_000
-    keep_us = (window_s + late_s) * 1_000_000
+    # a row that is not late can look back to newest - late - window
+    keep_us = (max(window_s, velocity_s) + late_s) * 1_000_000
+    # evicting a card earlier than one window after its newest event could
+    # hide events from a later row's frame
+    idle_s = max(idle_s, window_s, velocity_s)
     out_cols = CARD_RULE_COLUMNS
 
     def fn(key, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
@@ -124,7 +139,7 @@ def make_state_fn(velocity_n=VELOCITY_N, velocity_s=VELOCITY_S, window_s=WINDOW_
     return fn
 
 
-def flag_card_rules_stream(payments: DataFrame, blacklist=DEFAULT_BLACKLIST, delay: str = "15 minutes",
+def flag_card_rules_stream(payments: DataFrame, blacklist=DEFAULT_BLACKLIST, delay: str | int = "15 minutes",
                            **params) -> DataFrame:
     """Streaming parsed payments -> card-rule layout (17 columns).
 
@@ -134,7 +149,9 @@ def flag_card_rules_stream(payments: DataFrame, blacklist=DEFAULT_BLACKLIST, del
     p = flag_blacklist(flag_high_amount(payments), blacklist)
     if "event_date" not in p.columns:
         p = p.withColumnRenamed("date", "event_date")
-    p = p.select(*[c for c in CARD_RULE_COLUMNS if c not in CARD_FLAGS]).withWatermark("event_ts", delay)
+    late_s = interval_seconds(delay)
+    p = p.select(*[c for c in CARD_RULE_COLUMNS if c not in CARD_FLAGS]) \
+        .withWatermark("event_ts", f"{late_s} seconds")
     return p.groupBy("card_hash").applyInPandasWithState(
-        make_state_fn(**params), card_rule_schema(), CARD_STATE, "append",
+        make_state_fn(late_s=late_s, **params), card_rule_schema(), CARD_STATE, "append",
         GroupStateTimeout.EventTimeTimeout)

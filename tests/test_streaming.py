@@ -142,3 +142,47 @@ def test_progress_recorder_reports_rows_and_state(spark, tmp_root):
         assert sum(r["input_rows"] for r in wh) == 20    # each micro-batch read once
     finally:
         spark.streams.removeListener(rec)
+
+
+def test_card_state_late_row_sees_earlier_events_only():
+    import random
+
+    import pandas as pd
+
+    from cardlake.streaming.card_state import make_state_fn
+    from tests.test_card_rules import fold
+
+    class State:
+        def __init__(self):
+            self.value, self.exists, self.hasTimedOut = None, False, False
+
+        def update(self, v):
+            self.value, self.exists = v, True
+
+        @property
+        def get(self):
+            return self.value
+
+        def getCurrentWatermarkMs(self):
+            return 0
+
+        def setTimeoutTimestamp(self, t):
+            pass
+
+    cols = ["transaction_id", "ts_event", "card_hash", "merchant_id", "amount", "currency", "mcc", "channel",
+            "auth_result", "location", "event_ts", "event_date", "rule_high_amount", "rule_blacklist"]
+    rnd = random.Random(5)
+    rows = [payment(f"x{i:03d}", sec=rnd.randrange(0, 40) * 15, location=rnd.choice(["UK", "USA"]),
+                    auth=rnd.choice(["APPROVED", "DECLINED"])) for i in range(120)]
+    early, late = rows[:100], rows[100:]          # late rows arrive in a second batch, out of order
+    fn, st = make_state_fn(), State()
+
+    def frame(rs):
+        return pd.DataFrame([r + (False, False) for r in rs], columns=cols)
+
+    list(fn(("c1",), iter([frame(early)]), st))
+    out = pd.concat(list(fn(("c1",), iter([frame(late)]), st)))
+    want = fold(rows)
+    got = {r.transaction_id: (bool(r.rule_velocity), bool(r.rule_cross_border), bool(r.rule_decline_rate))
+           for r in out.itertuples()}
+    assert got == {k: want[k] for k in got}
