@@ -47,3 +47,27 @@ def append_table(df: DataFrame, url: str, table: str, properties: dict | None =
 def mart_table_name(schema: str, model: str) -> str:
     """Blank base schema + model schema gives ``_<schema>.<model>`` (e.g. _analytics)."""
     return f"_{schema}.{model}"
+
+
+def execute(spark: SparkSession, url: str, statement: str, properties: dict | None = None) -> int:
+    """Run one statement on the database from the driver (e.g. a delete).
+
+    One connection, one statement; used for the batch-scoped delete of
+    the idempotent warehouse load.  Returns the update count.
+    """
+    jvm = spark.sparkContext._jvm
+    props = jvm.java.util.Properties()
+    for k, v in (properties or {}).items():
+        props.setProperty(k, str(v))
+    driver = (properties or {}).get("driver")
+    if driver:
+        jvm.java.lang.Class.forName(driver)
+    conn = jvm.java.sql.DriverManager.getConnection(url, props)
+    try:
+        stmt = conn.createStatement()
+        try:
+            return stmt.executeUpdate(statement)
+        finally:
+            stmt.close()
+    finally:
+        conn.close()

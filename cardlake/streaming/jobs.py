@@ -147,7 +147,8 @@ def run_silver(spark: SparkSession, bronze_path: str, silver_path: str, checkpoi
 
 def warehouse_writer(target: str | None = None, jdbc_url: str | None = None, table: str = "transactions",
                      properties: dict | None = None, writers: int = JDBC_WRITERS,
-                     batch_rows: int = JDBC_BATCH_ROWS) -> Callable[[DataFrame, int], None]:
+                     batch_rows: int = JDBC_BATCH_ROWS,
+                     batch_column: str | None = None) -> Callable[[DataFrame, int], None]:
     """``foreachBatch`` function appending a micro-batch to the warehouse.
 
     Parquet target: the batch is written to its own ``batch_id`` partition
@@ -156,13 +157,21 @@ def warehouse_writer(target: str | None = None, jdbc_url: str | None = None, tab
     check that would read it a second time).
     JDBC target: empty batches are skipped with ``isEmpty`` before any
     connection opens; append with ``writers`` connections and ``batch_rows``
-    per insert; idempotency then needs a batch column and a key in the database.
+    per insert.  With ``batch_column`` (a bigint column of the table) each
+    batch first deletes its own rows, then appends them tagged with its id,
+    so a retried batch replaces itself (not tested here: no database).
     """
     def write(batch: DataFrame, batch_id: int) -> None:
         if jdbc_url:
             if batch.isEmpty():
                 return
-            (batch.write.mode("append").option("numPartitions", writers)
+            out = batch
+            if batch_column:
+                from cardlake.sources.jdbc import execute
+                execute(batch.sparkSession, jdbc_url,
+                        f"DELETE FROM {table} WHERE {batch_column} = {int(batch_id)}", properties)
+                out = batch.withColumn(batch_column, F.lit(batch_id).cast("long"))
+            (out.write.mode("append").option("numPartitions", writers)
              .option("batchsize", batch_rows)
              .jdbc(jdbc_url, table, properties=properties or {}))
             return
