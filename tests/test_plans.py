@@ -84,3 +84,14 @@ def test_no_registered_query_plans_a_product_or_python_udf(spark):
         plan = _plan(q(spark, SMOKE))
         bad = [f for f in FORBIDDEN if f in plan]
         assert not bad, f"{name}: {bad}"
+
+
+def test_retention_prunes_bronze_partitions(spark, tmp_root):
+    from cardlake.plans.reports import retention_candidates
+    rules.flag_stateless(fixtures.payments(spark, SMOKE)).write.partitionBy("date").parquet(f"{tmp_root}/bronze")
+    table = spark.read.parquet(f"{tmp_root}/bronze")
+    old = retention_candidates(table, "2024-02-15", 30)
+    mode = spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted")
+    text = old._jdf.queryExecution().explainString(mode)
+    assert re.search(r"PartitionFilters: \[isnotnull\(date#\d+\), \(date#\d+ < 2024-01-16\)\]", text)
+    assert old.select("date").distinct().count() == 15 < table.select("date").distinct().count()
