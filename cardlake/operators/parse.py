@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cardlake.functions.columns import event_time, utc_day
-from cardlake.schemas import CORRUPT_COLUMN, PAYMENT, PAYMENT_WITH_CORRUPT, RAW_FIELDS
+from cardlake.schemas import CORRUPT_COLUMN, PAYMENT_WITH_CORRUPT, RAW_FIELDS
 
 # Error reasons of the dead-letter stream (fixed values).
 EMPTY_PAYLOAD = "EMPTY_PAYLOAD"
@@ -62,7 +62,3 @@ def parse_payments(lines: DataFrame, value_col: str = "value",
                .select(F.col("_error").alias("error_reason"), _now(as_of).alias("dlq_ts"),
                        "raw_value", *RAW_FIELDS))
     return valid, invalid
-
-
-def payment_schema() -> T.StructType:
-    return PAYMENT

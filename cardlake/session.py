@@ -7,7 +7,6 @@ own session to every function instead.
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -81,14 +80,6 @@ def shared_path(spark: SparkSession, *parts: str) -> str:
     return "/".join([base, "cardlake-runs", uuid.uuid4().hex, *parts])
 
 
-def is_local_path(path: str) -> bool:
-    return path.startswith("/") or path.startswith("file:")
-
-
-def path_join(base: str, *parts: str) -> str:
-    return "/".join([base.rstrip("/"), *parts]) if "://" in base else os.path.join(base, *parts)
-
-
 MB = 1024 * 1024
 
 

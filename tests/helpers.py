@@ -1,7 +1,5 @@
 import datetime as dt
 
-from pyspark.sql import types as T
-
 from cardlake.schemas import PARSED
 
 T0 = dt.datetime(2024, 1, 1, 12, 0, 0)
@@ -21,6 +19,3 @@ def payments_df(spark, rows):
 
 def by_id(df, *cols):
     return {r["transaction_id"]: tuple(r[c] for c in cols) for r in df.collect()}
-
-
-BRONZE_SCHEMA = T.StructType(PARSED.fields)
