@@ -18,9 +18,17 @@ def event_time(ts_text: Column | str) -> Column:
     return F.try_to_timestamp(c)
 
 
+DAY_US = 86_400_000_000
+
+
 def utc_day(ts: Column | str) -> Column:
-    c = F.col(ts) if isinstance(ts, str) else ts
-    return F.to_date(c)
+    """The UTC calendar day of an instant, whatever the session time zone.
+
+    (``to_date`` would use the session zone; the day decides partitions and
+    mart rows, so it is computed from epoch microseconds instead.)
+    """
+    us = micros(ts)
+    return F.date_from_unix_date(((us - F.pmod(us, F.lit(DAY_US))) / F.lit(DAY_US)).cast("int"))
 
 
 def micros(ts: Column | str) -> Column:

@@ -32,6 +32,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cardlake.functions.columns import utc_day
 from cardlake.schemas import RAW_FIELDS
 
 # Fixed values of the fixture mapping.
@@ -72,7 +73,8 @@ def payments_from_events(ev: DataFrame, scale: int = 1,
     currency = _case(F.col("k") % 4, dict(enumerate(CURRENCY_BY_K_MOD_4)))
     cols = [
         F.concat(F.lit("TXN"), F.lpad(F.col("event_id").cast("string"), 12, "0")).alias("transaction_id"),
-        F.date_format("event_ts", TS_TEXT_FORMAT).alias("ts_event"),
+        # rendered as UTC wall time whatever the session zone
+        F.date_format(F.to_utc_timestamp("event_ts", F.current_timezone()), TS_TEXT_FORMAT).alias("ts_event"),
         F.sha1(F.concat(F.lit("card-"), F.col("user_id").cast("string"))).alias("card_hash"),
         merchant.alias("merchant_id"),
         F.round(F.col("value") * 100, 2).alias("amount"),
@@ -84,7 +86,7 @@ def payments_from_events(ev: DataFrame, scale: int = 1,
         F.when(F.col("k") >= 98, "India")
          .when(F.col("user_id") % 2 == 0, "USA").otherwise("UK").alias("location"),
         F.col("event_ts"),
-        F.to_date("event_ts").alias("date"),
+        utc_day("event_ts").alias("date"),
     ]
     if keep_event_id:
         cols.append(F.col("event_id"))

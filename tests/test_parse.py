@@ -64,3 +64,13 @@ def test_producer_style_payloads(spark):
     assert invalid.count() == 0
     assert str(rows["TXN123456"].event_ts) == "2024-01-02 03:04:05"
     assert str(rows["TXN654321"].event_ts) == "2024-01-02 03:04:05.120000"
+
+
+def test_day_is_utc_whatever_the_session_zone(spark):
+    spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+    try:
+        lines = spark.createDataFrame([(_line(ts_event="2024-01-01T03:00:00+00:00"),)], "value string")
+        row = parse_payments(lines)[0].first()
+        assert str(row.date) == "2024-01-01"          # 2023-12-31 in Los Angeles
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
