@@ -8,14 +8,21 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+# date and time of day, no zone designator at the end
+_NO_ZONE = r"^\s*\d{4}-\d{2}-\d{2}[T ]\d{2}:\d{2}(:\d{2}(\.\d+)?)?\s*$"
+
+
 def event_time(ts_text: Column | str) -> Column:
-    """ISO-8601 text (with offset) -> timestamp; unparseable text -> null.
+    """ISO-8601 text -> timestamp; unparseable text -> null.
 
+    Text with an offset is exact; text without one is read as UTC (what the
+    reference's UTC sessions do), whatever this session's zone.
     ``try_to_timestamp`` keeps ANSI mode from failing the whole job on one
     bad row (the reference's Spark 3.5 default gave null as well).
     """
     c = F.col(ts_text) if isinstance(ts_text, str) else ts_text
-    return F.try_to_timestamp(c)
+    text = F.when(c.rlike(_NO_ZONE), F.concat(F.trim(c), F.lit("Z"))).otherwise(c)
+    return F.try_to_timestamp(text)
 
 
 DAY_US = 86_400_000_000

@@ -74,3 +74,20 @@ def test_day_is_utc_whatever_the_session_zone(spark):
         assert str(row.date) == "2024-01-01"          # 2023-12-31 in Los Angeles
     finally:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+def test_time_without_offset_is_utc(spark):
+    spark.conf.set("spark.sql.session.timeZone", "Asia/Kolkata")
+    try:
+        lines = spark.createDataFrame([(_line(transaction_id="A", ts_event="2024-01-01T23:30:00"),),
+                                       (_line(transaction_id="B", ts_event="2024-01-01 23:30:00.5"),),
+                                       (_line(transaction_id="C", ts_event="2024-01-01T23:30:00+05:30"),)],
+                                      "value string")
+        epoch = {r.transaction_id: r.s for r in parse_payments(lines)[0]
+                 .selectExpr("transaction_id", "unix_micros(event_ts) s").collect()}
+        assert epoch["A"] == 1704151800000000             # 2024-01-01 23:30 UTC
+        assert epoch["B"] == 1704151800500000
+        assert epoch["C"] == 1704151800000000 - 19800000000
+        assert {r.transaction_id: str(r.date) for r in parse_payments(lines)[0].collect()}["A"] == "2024-01-01"
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
