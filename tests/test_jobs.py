@@ -95,3 +95,15 @@ def test_cli_ingest_refresh_report(spark, tmp_root):
     assert spark.read.option("header", True).csv(out["settlement"]).count() > 0
     letters = spark.read.parquet(f"{tmp_root}/deadletter")
     assert letters.count() > 0
+
+
+def test_archive_partitions_is_rerunnable(spark, tmp_root):
+    from cardlake.plans.reports import archive_partitions
+    old = retention_candidates(rules.flag_stateless(fixtures.payments(spark, SMOKE)), "2024-02-15", 30)
+    n = old.count()
+    archive_partitions(old, f"{tmp_root}/archive")
+    archive_partitions(old, f"{tmp_root}/archive")      # a rerun replaces the same days
+    newer = retention_candidates(rules.flag_stateless(fixtures.payments(spark, SMOKE)), "2024-02-16", 30)
+    archive_partitions(newer, f"{tmp_root}/archive")     # adds one more day, keeps the others
+    got = spark.read.parquet(f"{tmp_root}/archive")
+    assert got.count() == newer.count() and newer.count() > n
