@@ -46,8 +46,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared folder the cluster names for checkpoints.
 
     Reads the session's checkpoint directory (``spark.checkpoint.dir`` or one
-    set through ``setCheckpointDir``).  Only when none is configured (a bare
-    local run, as in tests) a private one is created.
+    set through ``setCheckpointDir``).  Only when none is configured and the
+    master is local (tests, bench) a private one is created; on a cluster a
+    missing setting is an error.
     """
     try:
         sc = spark.sparkContext
@@ -64,6 +65,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         if sc is not None:
             sc.setCheckpointDir(conf_dir)
         return conf_dir
+    master = sc.master if sc is not None else spark.conf.get("spark.master", "")
+    if not str(master).startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach "
+                           "(a machine-local folder would be lost with its executor)")
     local = tempfile.mkdtemp(prefix="cardlake-chk-")
     if sc is not None:
         sc.setCheckpointDir(local)
