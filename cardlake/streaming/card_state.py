@@ -20,6 +20,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
@@ -115,7 +116,10 @@ def make_state_fn(velocity_n=VELOCITY_N, velocity_s=VELOCITY_S, window_s=WINDOW_
         old = list(state.get[0]) if state.exists else []
         k = len(old)
         o_ts, o_id, o_loc, o_auth = (zip(*old) if k else ((), (), (), ()))
-        ts = np.concatenate([np.fromiter(o_ts, np.int64, k), _us(new["event_ts"].to_numpy())])
+        # exact epoch micros from Spark (pandas timestamps are session-zone wall time)
+        new_us = (new["_ts_us"].to_numpy().astype(np.int64) if "_ts_us" in new.columns
+                  else _us(new["event_ts"].to_numpy()))
+        ts = np.concatenate([np.fromiter(o_ts, np.int64, k), new_us])
         ids = np.concatenate([np.array(o_id, dtype=object), new["transaction_id"].to_numpy(dtype=object)])
         locs = np.concatenate([np.array(o_loc, dtype=object), new["location"].to_numpy(dtype=object)])
         auth = np.concatenate([np.array(o_auth, dtype=object), new["auth_result"].to_numpy(dtype=object)])
@@ -150,8 +154,9 @@ def flag_card_rules_stream(payments: DataFrame, blacklist=DEFAULT_BLACKLIST, del
     if "event_date" not in p.columns:
         p = p.withColumnRenamed("date", "event_date")
     late_s = interval_seconds(delay)
-    p = p.select(*[c for c in CARD_RULE_COLUMNS if c not in CARD_FLAGS]) \
-        .withWatermark("event_ts", f"{late_s} seconds")
+    p = (p.select(*[c for c in CARD_RULE_COLUMNS if c not in CARD_FLAGS],
+                  F.unix_micros("event_ts").alias("_ts_us"))
+          .withWatermark("event_ts", f"{late_s} seconds"))
     return p.groupBy("card_hash").applyInPandasWithState(
         make_state_fn(late_s=late_s, **params), card_rule_schema(), CARD_STATE, "append",
         GroupStateTimeout.EventTimeTimeout)

@@ -186,3 +186,23 @@ def test_card_state_late_row_sees_earlier_events_only():
     got = {r.transaction_id: (bool(r.rule_velocity), bool(r.rule_cross_border), bool(r.rule_decline_rate))
            for r in out.itertuples()}
     assert got == {k: want[k] for k in got}
+
+
+def test_card_state_stream_in_non_utc_session(spark, tmp_root):
+    """Same flags and a working timeout when the session zone is not UTC."""
+    rows = [payment(f"x{i:03d}", card="c1", sec=i * 8, location=["UK", "USA"][i % 2],
+                    auth=["DECLINED", "APPROVED", "DECLINED"][i % 3]) for i in range(40)]
+    df = payments_df(spark, rows)
+    want = {r.transaction_id: (r.rule_velocity, r.rule_cross_border, r.rule_decline_rate)
+            for r in flag_card_rules(rules.flag_blacklist(rules.flag_high_amount(df))
+                                     .withColumnRenamed("date", "event_date")).collect()}
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        df.write.parquet(f"{tmp_root}/in")
+        stream = flag_card_rules_stream(spark.readStream.schema(PARSED).parquet(f"{tmp_root}/in"))
+        parquet_sink(stream, f"{tmp_root}/out", f"{tmp_root}/chk", trigger="available_now").awaitTermination()
+        got = {r.transaction_id: (r.rule_velocity, r.rule_cross_border, r.rule_decline_rate)
+               for r in spark.read.schema(card_rule_schema()).parquet(f"{tmp_root}/out").collect()}
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert got == want
