@@ -64,8 +64,10 @@ def payments_from_events(ev: DataFrame, scale: int = 1,
                          keep_event_id: bool = False) -> DataFrame:
     """Parsed payments (raw 10 columns + event_ts + date) from ``events``."""
     k = F.get_json_object("props", "$.k").cast("int")
-    # ts is timestamp_ntz in the files; read it as UTC wall time.
-    shifted = F.expr(f"{BASE_MICROS} + (unix_micros(cast(ts as timestamp)) - {BASE_MICROS}) div {scale}")
+    # ts is timestamp_ntz in the files: read its wall time as UTC, whatever
+    # the session zone (a plain cast would use the session zone)
+    utc_us = "unix_micros(to_timestamp(concat(cast(ts as string), 'Z')))"
+    shifted = F.expr(f"{BASE_MICROS} + ({utc_us} - {BASE_MICROS}) div {scale}")
     event_ts = F.timestamp_micros(shifted)
     mod40 = F.col("event_id") % 40
     merchant = _case(mod40, BLACKLISTED_FIXTURE_MERCHANTS,

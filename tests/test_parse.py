@@ -91,3 +91,19 @@ def test_time_without_offset_is_utc(spark):
         assert {r.transaction_id: str(r.date) for r in parse_payments(lines)[0].collect()}["A"] == "2024-01-01"
     finally:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+def test_fixture_times_do_not_depend_on_session_zone(spark):
+    from cardlake.sources import fixtures
+    from tests.conftest import SMOKE
+
+    def snapshot():
+        return sorted((r.transaction_id, r.ts_event, str(r.date))
+                      for r in fixtures.payments(spark, SMOKE).select("transaction_id", "ts_event", "date").collect())
+
+    utc = snapshot()
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        assert snapshot() == utc
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
