@@ -39,7 +39,12 @@ def day_predicates(column: str, days: Sequence[str]) -> list[str]:
 
 def append_table(df: DataFrame, url: str, table: str, properties: dict | None = None,
                  writers: int = 2, batch_rows: int = 10000) -> None:
-    """Append with at most ``writers`` connections and ``batch_rows`` per insert."""
+    """Append with at most ``writers`` connections and ``batch_rows`` per insert.
+
+    For PostgreSQL, pass ``{"reWriteBatchedInserts": "true"}`` in
+    ``properties`` (the driver's documented spelling) so a batch becomes
+    multi-row inserts.
+    """
     (df.write.mode("append").option("numPartitions", int(writers))
      .option("batchsize", int(batch_rows)).jdbc(url, table, properties=properties or {}))
 
