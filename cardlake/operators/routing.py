@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cardlake.operators.parse import FRAUD_DETECTED, MISSING_AMOUNT
+from cardlake.functions.columns import utc_day
+from cardlake.operators.parse import FRAUD_DETECTED, MISSING_AMOUNT, tag_payloads
+from cardlake.schemas import RAW_FIELDS
 
 
 def _now(as_of):
@@ -36,3 +38,32 @@ def dead_letter(flagged: DataFrame, invalid: DataFrame | None = None, as_of=None
         out = out.unionByName(invalid, allowMissingColumns=True)
     k = F.col(key).cast("string") if key in out.columns else F.lit(None).cast("string")
     return out.select(k.alias("key"), F.to_json(F.struct(*[F.col(c) for c in out.columns])).alias("value"))
+
+
+def dead_letters(lines: DataFrame, blacklist=None, as_of=None, key: str = "card_hash",
+                 value_col: str = "value") -> DataFrame:
+    """All dead letters of a payload source in ONE pass: (key, value JSON).
+
+    Same letters as ``dead_letter(flagged, invalid + undecided)`` built from
+    ``parse_payments`` and ``route``, but the payloads are parsed once and
+    each row gets its reason from one expression (payloads that do not parse,
+    then FRAUD_DETECTED, then MISSING_AMOUNT for a null decision); a union
+    of three branches of the same source would read and parse it three times
+    (in a stream: every micro-batch three times).  Fields that do not belong
+    to a letter's kind are null, so its JSON matches the union form.
+    """
+    from cardlake.operators.rules import DEFAULT_BLACKLIST, flag_stateless
+    tagged = tag_payloads(lines, value_col).withColumn("date", utc_day("event_ts"))
+    flagged = flag_stateless(tagged, DEFAULT_BLACKLIST if blacklist is None else blacklist)
+    bad = F.col("_error").isNotNull()
+    reason = (F.when(bad, F.col("_error"))
+               .when(F.col("is_fraud"), F.lit(FRAUD_DETECTED))
+               .when(F.col("is_fraud").isNull(), F.lit(MISSING_AMOUNT)))
+    decided = [c for c in flagged.columns if c not in RAW_FIELDS + ["raw_value", "_error"]]
+    fields = ([F.col(c) for c in RAW_FIELDS if c != "merchant_id"] + [F.col("merchant_id")]
+              + [F.when(~bad, F.col(c)).alias(c) for c in decided]
+              + [F.col("_reason").alias("error_reason"), _now(as_of).alias("dlq_ts"),
+                 F.when(bad, F.col("raw_value")).alias("raw_value")])
+    letters = flagged.withColumn("_reason", reason).filter(F.col("_reason").isNotNull())
+    return letters.select(F.col(key).cast("string").alias("key"),
+                          F.to_json(F.struct(*fields)).alias("value"))

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from cardlake.operators import layers, models, quality, rules
 from cardlake.operators.card_rules import flag_all_rules
 from cardlake.operators.parse import parse_payments
-from cardlake.operators.routing import dead_letter, to_value, undecided_as_invalid
+from cardlake.operators.routing import dead_letters, to_value
 from cardlake.plans.fixture_params import (DLQ_TS, FRESHNESS_AS_OF, FRESHNESS_MAX_LAG_S,
                                            PROCESSED_AT, REPORT_DAY, RETENTION_AS_OF,
                                            RETENTION_DAYS)
@@ -178,10 +178,9 @@ def q_dlq_flagged(spark, sf_dir):
 
 @register("dlq_envelope")
 def q_dlq_envelope(spark, sf_dir):
-    valid, invalid = parsed(spark, sf_dir)
-    _, flagged, undecided = rules.route(rules.flag_stateless(valid))
-    bad = invalid.unionByName(undecided_as_invalid(undecided, DLQ_TS), allowMissingColumns=True)
-    return from_value(dead_letter(flagged, bad, as_of=DLQ_TS), ["transaction_id", "error_reason"])
+    """All dead letters of the payloads: unparseable, flagged, undecided (one pass)."""
+    letters = dead_letters(fixtures.raw_lines(spark, sf_dir), as_of=DLQ_TS)
+    return from_value(letters, ["transaction_id", "error_reason"])
 
 
 # ---- lake layers --------------------------------------------------------------------

@@ -107,3 +107,22 @@ def test_fixture_times_do_not_depend_on_session_zone(spark):
         assert snapshot() == utc
     finally:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+def test_single_pass_dead_letters_equal_the_union_form(spark):
+    from cardlake.operators import rules
+    from cardlake.operators.routing import dead_letters, undecided_as_invalid
+    from cardlake.sources import fixtures
+    from tests.conftest import SMOKE
+    lines = fixtures.raw_lines(spark, SMOKE)
+    valid, invalid = parse_payments(lines, as_of="2024-02-01 00:00:00")
+    _, flagged, undecided = rules.route(rules.flag_stateless(valid))
+    bad = invalid.unionByName(undecided_as_invalid(undecided, "2024-02-01 00:00:00"), allowMissingColumns=True)
+    union = dead_letter(flagged, bad, as_of="2024-02-01 00:00:00")
+    single = dead_letters(lines, as_of="2024-02-01 00:00:00")
+
+    def canon(df):
+        return sorted((r.key or "", json.dumps(json.loads(r.value), sort_keys=True)) for r in df.collect())
+    assert canon(single) == canon(union)
+    plan = single._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("from_json") == 1 and "Union" not in plan
