@@ -68,11 +68,15 @@ def valid_currency(fact: DataFrame, currencies: DataFrame) -> DataFrame:
     Same rows as ``left join ... where currency_code is null``; the joined
     column is kept (always null).
     """
-    codes = currencies.select("currency_code").where(F.col("currency_code").isNotNull()).distinct()
-    # null currencies are unknown by definition: they skip the join (no hot null key)
-    unknown = fact.filter(F.col("currency").isNull())
-    known = fact.filter(F.col("currency").isNotNull())
-    miss = unknown.unionByName(known.join(codes, known["currency"] == codes["currency_code"], "left_anti"))
+    codes = (currencies.select(F.col("currency_code").alias("_code"))
+             .where(F.col("_code").isNotNull()).distinct())
+    # a null currency never matches: spread those rows over salted keys that
+    # cannot match either, so a mass of nulls is no hot key in a shuffled join
+    spread = F.when(F.col("currency").isNull(),
+                    F.concat(F.lit("\u0000"), (F.abs(F.xxhash64(*fact.columns)) % 4096).cast("string"))
+                    ).otherwise(F.col("currency"))
+    keyed = fact.withColumn("_ck", spread)
+    miss = keyed.join(codes, keyed["_ck"] == codes["_code"], "left_anti").drop("_ck")
     return miss.withColumn("currency_code", F.lit(None).cast("string"))
 
 
