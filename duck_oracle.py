@@ -291,9 +291,9 @@ SELECT * FROM (
                             ON s.transaction_id = f.transaction_id
                             WHERE s.transaction_id IS NOT NULL AND f.transaction_id IS NULL"""
     q["dq_amount_non_negative"] = "SELECT * FROM ufact WHERE amount < 0"
-    q["dq_valid_currency"] = """SELECT t.*, c.currency_code FROM ufact t
-                                LEFT JOIN (SELECT DISTINCT currency AS currency_code FROM unchecked) c
-                                ON t.currency = c.currency_code WHERE c.currency_code IS NULL"""
+    q["dq_valid_currency"] = """SELECT *, CAST(NULL AS VARCHAR) AS currency_code FROM ufact
+                                WHERE currency IS NULL
+                                   OR currency NOT IN (SELECT currency FROM unchecked WHERE currency IS NOT NULL)"""
     q["dq_profile"] = _profile_sql()
     q["dq_freshness"] = """
 SELECT max_event_ts, TIMESTAMP '2024-01-31 00:30:00' AS as_of,
