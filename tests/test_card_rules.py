@@ -104,3 +104,23 @@ def test_null_event_time_gives_null_flags(spark):
     got = flags(spark, rows + [tuple(nul)])
     assert got["c"] == (None, None, None)
     assert got["b"][0] is False
+
+
+def test_hot_card_is_split_across_tasks(spark):
+    from pyspark.sql import functions as F
+    rnd = random.Random(9)
+    hot = [payment(f"h{i:05d}", card="hot", sec=rnd.randrange(0, 5 * 3600),
+                   location=rnd.choice(["UK", "USA"]), auth=rnd.choice(["APPROVED", "DECLINED"]))
+           for i in range(3000)]
+    cold = [payment(f"c{i:05d}", card=f"c{i % 50}", sec=rnd.randrange(0, 5 * 3600)) for i in range(1500)]
+    rows = hot + cold
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        out = flag_card_rules(payments_df(spark, rows), bucket_s=3600)
+        parts = (out.filter("card_hash = 'hot'").select(F.spark_partition_id().alias("p"))
+                 .distinct().count())
+        got = {r.transaction_id: tuple(r[f] for f in FLAGS) for r in out.collect()}
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert parts > 1                 # one task per (card, hour), not one task for the card
+    assert got == fold(rows)
