@@ -95,3 +95,11 @@ def test_retention_prunes_bronze_partitions(spark, tmp_root):
     text = old._jdf.queryExecution().explainString(mode)
     assert re.search(r"PartitionFilters: \[isnotnull\(date#\d+\), \(date#\d+ < 2024-01-16\)\]", text)
     assert old.select("date").distinct().count() == 15 < table.select("date").distinct().count()
+
+
+def test_silver_dedup_combines_before_the_shuffle(spark):
+    b = rules.flag_stateless(fixtures.payments_dirty(spark, SMOKE))
+    plan = _static(spark, lambda: _plan(layers.to_silver(b, processed_at="2024-02-01 00:00:00")))
+    below = plan.split("Exchange hashpartitioning(transaction_id", 1)[1]
+    assert "partial_min(" in below               # map-side combine of repeated keys
+    assert "Window" not in plan                  # no row_number over a whole key group
