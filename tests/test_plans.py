@@ -103,3 +103,10 @@ def test_silver_dedup_combines_before_the_shuffle(spark):
     below = plan.split("Exchange hashpartitioning(transaction_id", 1)[1]
     assert "partial_min(" in below               # map-side combine of repeated keys
     assert "Window" not in plan                  # no row_number over a whole key group
+
+
+def test_mart_distinct_count_spreads_hot_groups(spark):
+    import __spark_entry__ as E
+    plan = _static(spark, lambda: _plan(E.queries()["mart_settlement_daily"](spark, SMOKE)))
+    assert re.search(r"Exchange hashpartitioning\(date#\d+, merchant_id#\d+, currency#\d+, transaction_id#\d+", plan)
+    assert "partial_sum" in plan
