@@ -90,14 +90,15 @@ def _money(c: Column) -> Column:
 
 # ---- marts -------------------------------------------------------------------
 
-def mart_settlement_daily(fact: DataFrame, dim: DataFrame, fee_rate: str = FEE_RATE,
-                          one_row_per_merchant: bool = False) -> DataFrame:
-    """Per (date, merchant, currency): approved, non-fraud money and fees."""
-    base = (fact.filter((F.col("is_fraud") == F.lit(False)) & (F.col("auth_result") == "APPROVED"))
+def settlement_base(fact: DataFrame) -> DataFrame:
+    """Unscaled per (date, merchant, currency) sums of approved, non-fraud rows."""
+    return (fact.filter((F.col("is_fraud") == F.lit(False)) & (F.col("auth_result") == "APPROVED"))
                 .groupBy("date", "merchant_id", "currency")
                 .agg(F.sum("amount").alias("_sum"),
                      F.countDistinct("transaction_id").alias("transaction_count")))
-    k = merchant_multiplicity(dim, one_row_per_merchant)
+
+
+def settlement_from_base(base: DataFrame, k: DataFrame, fee_rate: str = FEE_RATE) -> DataFrame:
     total = _money(F.col("_sum") * F.col("_k"))
     out = base.join(k, "merchant_id").select(
         "date", "merchant_id", "currency", total.alias("total_amount"),
@@ -107,15 +108,24 @@ def mart_settlement_daily(fact: DataFrame, dim: DataFrame, fee_rate: str = FEE_R
                .withColumn("total_settlement", _money(F.round(F.col("total_amount") - F.col("fees"), 2))))
 
 
-def mart_fraud_settlement_daily(fact: DataFrame, dim: DataFrame,
-                                one_row_per_merchant: bool = False) -> DataFrame:
-    """Per (date, merchant): money, distinct transactions, fraud count and money."""
+def mart_settlement_daily(fact: DataFrame, dim: DataFrame, fee_rate: str = FEE_RATE,
+                          one_row_per_merchant: bool = False) -> DataFrame:
+    """Per (date, merchant, currency): approved, non-fraud money and fees."""
+    return settlement_from_base(settlement_base(fact), merchant_multiplicity(dim, one_row_per_merchant),
+                                fee_rate)
+
+
+def merchant_day_base(fact: DataFrame) -> DataFrame:
+    """Unscaled per (date, merchant) money, distinct ids, rows, fraud rows and money."""
     fraud_amount = F.sum(F.when(F.col("is_fraud"), F.col("amount")).otherwise(F.lit(0)))
-    base = (fact.groupBy("date", "merchant_id")
+    return (fact.groupBy("date", "merchant_id")
                 .agg(F.sum("amount").alias("_sum"),
                      F.countDistinct("transaction_id").alias("transaction_count"),
+                     F.count(F.lit(1)).alias("_n"),
                      _flag_count().alias("_fc"), fraud_amount.alias("_fa")))
-    k = merchant_multiplicity(dim, one_row_per_merchant)
+
+
+def fraud_settlement_from_base(base: DataFrame, k: DataFrame) -> DataFrame:
     return base.join(k, "merchant_id").select(
         "date", "merchant_id",
         _money(F.col("_sum") * F.col("_k")).alias("total_amount"),
@@ -124,17 +134,19 @@ def mart_fraud_settlement_daily(fact: DataFrame, dim: DataFrame,
         _money(F.col("_fa") * F.col("_k")).alias("fraud_amount"))
 
 
+def mart_fraud_settlement_daily(fact: DataFrame, dim: DataFrame,
+                                one_row_per_merchant: bool = False) -> DataFrame:
+    """Per (date, merchant): money, distinct transactions, fraud count and money."""
+    return fraud_settlement_from_base(merchant_day_base(fact),
+                                      merchant_multiplicity(dim, one_row_per_merchant))
+
+
 def fraud_rate_pct(fraud: Column, total: Column) -> Column:
     """round(100.0 * fraud / total, 2) in decimal (half up), as double."""
     return F.round(F.lit(Decimal("100.0")) * fraud / total, 2).cast("double")
 
 
-def mart_fraud_rate(signals: DataFrame, dim: DataFrame,
-                    one_row_per_merchant: bool = False) -> DataFrame:
-    """Per (date, merchant): rows, fraud rows, fraud percentage."""
-    base = (signals.groupBy("date", "merchant_id")
-                   .agg(F.count(F.lit(1)).alias("_n"), _flag_count().alias("_fc")))
-    k = merchant_multiplicity(dim, one_row_per_merchant)
+def fraud_rate_from_base(base: DataFrame, k: DataFrame) -> DataFrame:
     out = base.join(k, "merchant_id").select(
         "date", "merchant_id",
         (F.col("_n") * F.col("_k")).cast("long").alias("total_transactions"),
@@ -143,23 +155,42 @@ def mart_fraud_rate(signals: DataFrame, dim: DataFrame,
                           fraud_rate_pct(F.col("fraud_transactions"), F.col("total_transactions")))
 
 
-def mart_currency_volume(fact: DataFrame, currencies: DataFrame) -> DataFrame:
-    """Per (date, currency): money and distinct transactions of known currencies.
+def mart_fraud_rate(signals: DataFrame, dim: DataFrame,
+                    one_row_per_merchant: bool = False) -> DataFrame:
+    """Per (date, merchant): rows, fraud rows, fraud percentage."""
+    base = (signals.groupBy("date", "merchant_id")
+                   .agg(F.count(F.lit(1)).alias("_n"), _flag_count().alias("_fc")))
+    return fraud_rate_from_base(base, merchant_multiplicity(dim, one_row_per_merchant))
 
-    Aggregated first, then joined to the (tiny) currency dimension; a null
-    currency has no match and drops out, as in the equi-join.
-    """
-    base = (fact.groupBy("date", "currency")
+
+def currency_base(fact: DataFrame) -> DataFrame:
+    """Unscaled per (date, currency) money and distinct ids."""
+    return (fact.groupBy("date", "currency")
                 .agg(F.sum("amount").alias("_sum"),
                      F.countDistinct("transaction_id").alias("transaction_count")))
-    k = (currencies.where(F.col("currency_code").isNotNull())
-         .groupBy("currency_code").agg(F.count(F.lit(1)).alias("_k")))
+
+
+def currency_multiplicity(currencies: DataFrame) -> DataFrame:
+    return (currencies.where(F.col("currency_code").isNotNull())
+            .groupBy("currency_code").agg(F.count(F.lit(1)).alias("_k")))
+
+
+def currency_from_base(base: DataFrame, k: DataFrame) -> DataFrame:
     j = base.join(k, base["currency"] == k["currency_code"])
     return j.select("date", "currency", "currency_code",
                     _money(F.col("_sum") * F.col("_k")).alias("total_amount"),
                     F.col("transaction_count").cast("long").alias("transaction_count"))
 
 
+def mart_currency_volume(fact: DataFrame, currencies: DataFrame) -> DataFrame:
+    """Per (date, currency): money and distinct transactions of known currencies.
+
+    Aggregated first, then joined to the (tiny) currency dimension; a null
+    currency has no match and drops out, as in the equi-join.
+    """
+    return currency_from_base(currency_base(fact), currency_multiplicity(currencies))
+
+
 def mart_channel_performance(fact: DataFrame, dim: DataFrame) -> DataFrame:
     """Per (date, dimension channel), as written.
 
@@ -177,6 +208,28 @@ def mart_channel_performance(fact: DataFrame, dim: DataFrame) -> DataFrame:
                   fraud.cast("long").alias("fraud_count")))
 
 
+def channel_pairs(dim: DataFrame) -> DataFrame:
+    """(merchant, channel) per dimension row count: the channel mart's factor."""
+    return merchant_multiplicity(dim, by=("channel",))
+
+
+def channel_ids_base(fact: DataFrame, pairs: DataFrame) -> DataFrame:
+    """Per (date, dimension channel): distinct ids over the merchants in that channel."""
+    j = fact.select("date", "merchant_id", "transaction_id").join(pairs.select("merchant_id", "channel"),
+                                                                   "merchant_id")
+    return (j.groupBy("date", "channel")
+             .agg(F.countDistinct("transaction_id").cast("long").alias("transaction_count")))
+
+
+def channel_from_bases(day_base: DataFrame, ids: DataFrame, pairs: DataFrame) -> DataFrame:
+    """Channel mart from per-(date, merchant) sums and per-(date, channel) distinct ids."""
+    sums = (day_base.join(pairs, "merchant_id").groupBy("date", "channel")
+                    .agg(_money(F.sum(F.col("_sum") * F.col("_k"))).alias("total_amount"),
+                         F.sum(F.col("_fc") * F.col("_k")).cast("long").alias("fraud_count")))
+    return ids.join(sums, ["date", "channel"]).select(
+        "date", "channel", "transaction_count", "total_amount", "fraud_count")
+
+
 def mart_channel_performance_exact(stg: DataFrame, dim: DataFrame) -> DataFrame:
     """Per (date, the transaction's own channel): true sums, no repetition."""
     merchants = dim.where(F.col("merchant_id").isNotNull()).select("merchant_id").distinct()

@@ -10,6 +10,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from cardlake.plans.build import build_models
 from cardlake.plans.reports import export_report
@@ -34,13 +35,31 @@ class LakePaths:
 
 def hourly_refresh(spark: SparkSession, paths: LakePaths, processed_at=None,
                    silver_max_bytes: int | None = None, warehouse_max_bytes: int | None = 128 << 20,
-                   warehouse_max_files: int | None = None) -> dict[str, DataFrame]:
-    """Silver and warehouse drains, then all models rebuilt from the warehouse."""
+                   warehouse_max_files: int | None = None, incremental: bool = True) -> dict[str, DataFrame]:
+    """Silver and warehouse drains, then the models.
+
+    ``incremental``: only the days of warehouse batches not yet modeled are
+    re-read (``plans.incremental``); the last modeled batch id is kept in
+    ``models/refresh_state``, so a refresh that stopped between the load and
+    the models catches up next time.  ``False`` rebuilds every model in full.
+    """
     run_silver(spark, paths.bronze, paths.silver, f"{paths.chk}/silver", processed_at=processed_at,
                max_bytes=silver_max_bytes)
     run_warehouse(spark, paths.silver, f"{paths.chk}/warehouse", warehouse_writer(paths.warehouse),
                   max_files=warehouse_max_files, max_bytes=warehouse_max_bytes)
-    return build_models(read_warehouse(spark, paths.warehouse), out_path=paths.models)
+    if not incremental:
+        return build_models(read_warehouse(spark, paths.warehouse), out_path=paths.models)
+    from cardlake.plans.incremental import _days, _exists, refresh_models
+    wh = spark.read.parquet(paths.warehouse)
+    state = f"{paths.models}/refresh_state"
+    last = spark.read.parquet(state).first()["last_batch"] if _exists(spark, state) else None
+    new = wh if last is None else wh.filter(F.col("batch_id") > F.lit(last))
+    newest = new.agg(F.max("batch_id")).first()[0]          # one scalar
+    days = None if last is None else _days(new)
+    built = refresh_models(wh.drop("batch_id"), paths.models, days)
+    if newest is not None:
+        spark.createDataFrame([(int(newest),)], "last_batch long").write.mode("overwrite").parquet(state)
+    return built
 
 
 def daily_reports(models: dict[str, DataFrame], as_of, paths: LakePaths,
