@@ -432,3 +432,26 @@ def q_stream_silver_late(spark, sf_dir):
     b.filter(late).write.mode("append").partitionBy("date").parquet(f"{root}/bronze")
     run_silver(spark, f"{root}/bronze", f"{root}/silver", f"{root}/chk", processed_at=PROCESSED_AT)
     return spark.read.schema(SILVER).parquet(f"{root}/silver")
+
+
+# ---- incremental model refresh (two rounds) ----------------------------------------
+
+def _incremental(mart: str) -> Query:
+    """The warehouse arrives in two rounds (before / from 2024-01-15, plus a late
+    row set for an early day in round two); after each round the models are
+    refreshed incrementally.  Returns ``mart`` as stored after round two."""
+    def q(spark, sf_dir):
+        from cardlake.plans.incremental import refresh_models
+        wh = transactions(spark, sf_dir)
+        d = F.col("date")
+        cut = F.lit("2024-01-15").cast("date")
+        late = (d == F.lit("2024-01-03").cast("date")) & F.col("transaction_id").endswith("3")
+        out = shared_path(spark, f"incremental_{mart}")
+        refresh_models(wh.filter((d < cut) & ~late), out)
+        second_days = [str(r[0]) for r in wh.filter((d >= cut) | late).select("date").distinct().collect()]
+        return refresh_models(wh, out, days=second_days)[mart]
+    return q
+
+
+register("mart_settlement_daily_incremental")(_incremental("mart_settlement_daily"))
+register("mart_channel_performance_incremental")(_incremental("mart_channel_performance"))

@@ -22,6 +22,9 @@ refresh reads the facts of a few days instead of all history.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -51,6 +54,13 @@ def _write_days(df: DataFrame, path: str) -> None:
      .partitionBy("date").parquet(path))
 
 
+def _together(*jobs: Callable[[], object], threads: int = 4) -> list:
+    """Run independent Spark actions from a few driver threads (Spark runs
+    their jobs side by side); returns their results in order."""
+    with ThreadPoolExecutor(max_workers=threads) as pool:
+        return [f.result() for f in [pool.submit(j) for j in jobs]]
+
+
 def _changed(old_k: DataFrame, new_k: DataFrame, keys: list[str]) -> DataFrame:
     """Merchants with a different factor (or channel set) than before.
 
@@ -89,10 +99,6 @@ def refresh_models(transactions: DataFrame, out_path: str, days: list[str] | Non
         days = _days(stg)
     stg_days = _in_days(stg, days)
 
-    # facts of the changed days
-    _write_days(models.fact_transactions(stg_days), path("fact_transactions"))
-    _write_days(models.fact_fraud_signals(stg_days), path("fact_fraud_signals"))
-
     # dimensions grow by the new rows' values; keep the old factors first
     new_dims = {"dim_merchants": models.dim_merchants(stg_days),
                 "dim_currency": models.dim_currency(stg_days),
@@ -101,11 +107,17 @@ def refresh_models(transactions: DataFrame, out_path: str, days: list[str] | Non
         old_k = models.merchant_multiplicity(new_dims["dim_merchants"].limit(0))
         old_pairs = models.channel_pairs(new_dims["dim_merchants"].limit(0))
     else:
-        old_k = models.merchant_multiplicity(read("dim_merchants")).checkpoint()
-        old_pairs = models.channel_pairs(read("dim_merchants")).checkpoint()
-    for name, fresh in new_dims.items():
+        old_k, old_pairs = _together(lambda: models.merchant_multiplicity(read("dim_merchants")).checkpoint(),
+                                     lambda: models.channel_pairs(read("dim_merchants")).checkpoint())
+
+    def grow(name: str, fresh: DataFrame) -> None:
         merged = fresh if first else read(name).unionByName(fresh).distinct()
         merged.checkpoint().write.mode("overwrite").parquet(path(name))   # lineage cut before overwrite
+
+    # facts of the changed days, and the dimensions
+    _together(lambda: _write_days(models.fact_transactions(stg_days), path("fact_transactions")),
+              lambda: _write_days(models.fact_fraud_signals(stg_days), path("fact_fraud_signals")),
+              *[(lambda n=n, f=f: grow(n, f)) for n, f in new_dims.items()])
     dim_m = read("dim_merchants")
     k = models.merchant_multiplicity(dim_m)
     pairs = models.channel_pairs(dim_m)
@@ -113,19 +125,22 @@ def refresh_models(transactions: DataFrame, out_path: str, days: list[str] | Non
     # per-day bases of the changed days
     fact = read("fact_transactions")
     fact_days = _in_days(fact, days)
-    _write_days(models.settlement_base(fact_days), path("base_settlement"))
-    _write_days(models.merchant_day_base(fact_days), path("base_merchant_day"))
-    _write_days(models.currency_base(fact_days), path("base_currency"))
+    _together(lambda: _write_days(models.settlement_base(fact_days), path("base_settlement")),
+              lambda: _write_days(models.merchant_day_base(fact_days), path("base_merchant_day")),
+              lambda: _write_days(models.currency_base(fact_days), path("base_currency")))
 
     # copies and channel ids: also the days of merchants whose factor changed
     k_changed = _changed(old_k, k, ["merchant_id"])
     pair_presence = lambda p: p.select("merchant_id", "channel", F.lit(1).alias("_k"))
     p_changed = _changed(pair_presence(old_pairs), pair_presence(pairs), ["merchant_id", "channel"])
-    alert_days = sorted(set(days) | set(_days(fact.join(k_changed, "merchant_id", "left_semi")
-                                                  .filter(F.col("is_fraud") == F.lit(True)))))
-    id_days = sorted(set(days) | set(_days(fact.join(p_changed, "merchant_id", "left_semi"))))
-    _write_days(models.mart_fraud_alerts(_in_days(fact, alert_days), dim_m), path("mart_fraud_alerts"))
-    _write_days(models.channel_ids_base(_in_days(fact, id_days), pairs), path("base_channel_ids"))
+    k_days, p_days = _together(
+        lambda: _days(fact.join(k_changed, "merchant_id", "left_semi").filter(F.col("is_fraud") == F.lit(True))),
+        lambda: _days(fact.join(p_changed, "merchant_id", "left_semi")))
+    alert_days, id_days = sorted(set(days) | set(k_days)), sorted(set(days) | set(p_days))
+    _together(lambda: _write_days(models.mart_fraud_alerts(_in_days(fact, alert_days), dim_m),
+                                  path("mart_fraud_alerts")),
+              lambda: _write_days(models.channel_ids_base(_in_days(fact, id_days), pairs),
+                                  path("base_channel_ids")))
 
     # marts from the (small) bases, rebuilt whole
     day_base = read("base_merchant_day")
@@ -137,8 +152,8 @@ def refresh_models(transactions: DataFrame, out_path: str, days: list[str] | Non
             read("base_currency"), models.currency_multiplicity(read("dim_currency"))),
         "mart_channel_performance": models.channel_from_bases(day_base, read("base_channel_ids"), pairs),
     }
-    for name, df in marts.items():
-        df.write.mode("overwrite").partitionBy("date").parquet(path(name))
+    _together(*[(lambda n=n, df=df: df.write.mode("overwrite").partitionBy("date").parquet(path(n)))
+                for n, df in marts.items()])
 
     result = {"stg_transactions": stg}
     for name in ("fact_transactions", "fact_fraud_signals", "dim_merchants", "dim_currency",

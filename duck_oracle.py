@@ -318,4 +318,6 @@ UNION ALL
 SELECT {BRONZE_COLS}, 'flagged' AS sink FROM lines WHERE error_reason IS NULL AND is_fraud"""
     q.update(_marts(False))
     q.update(_marts(True))
+    q["mart_settlement_daily_incremental"] = q["mart_settlement_daily"]
+    q["mart_channel_performance_incremental"] = q["mart_channel_performance"]
     return {k: with_base(v) for k, v in q.items()}
