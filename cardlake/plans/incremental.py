@@ -90,8 +90,7 @@ def refresh_models(transactions: DataFrame, out_path: str, days: list[str] | Non
         return f"{out}/{name}"
 
     def read(name: str) -> DataFrame:
-        df = spark.read.parquet(path(name))
-        return df
+        return spark.read.parquet(path(name))
 
     first = not (_exists(spark, path("dim_merchants")) and _exists(spark, path("base_merchant_day")))
     stg = models.stg_transactions(transactions)
