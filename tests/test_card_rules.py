@@ -2,6 +2,8 @@ import random
 
 import numpy as np
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 
 from cardlake.operators.card_rules import flag_card_rules
 from cardlake.streaming.card_state import card_rules_arrays
@@ -124,3 +126,18 @@ def test_hot_card_is_split_across_tasks(spark):
         spark.conf.set("spark.sql.adaptive.enabled", "true")
     assert parts > 1                 # one task per (card, hour), not one task for the card
     assert got == fold(rows)
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.tuples(st.integers(0, 80), st.sampled_from(["UK", "USA", None]), st.booleans()),
+                min_size=1, max_size=60))
+def test_state_arrays_property(events):
+    """Any event list (times on a 15 s grid, so many ties) agrees with the fold."""
+    rows = [payment(f"e{i:03d}", sec=t * 15, location=loc, auth="DECLINED" if dec else "APPROVED")
+            for i, (t, loc, dec) in enumerate(events)]
+    rows.sort(key=lambda e: (e[10], e[0]))
+    ts = np.array([int(e[10].timestamp() * 1e6) for e in rows], dtype=np.int64)
+    v, c, d = card_rules_arrays(ts, [e[9] for e in rows], np.array([e[8] == "DECLINED" for e in rows]),
+                                5, 60_000_000, 600_000_000, 10, 0.5)
+    got = {e[0]: (bool(v[i]), bool(c[i]), bool(d[i])) for i, e in enumerate(rows)}
+    assert got == fold(rows)
