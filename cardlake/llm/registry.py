@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cardlake.llm import chat, warc
+from cardlake.llm import chat, pieces, toxicity, warc
 from cardlake.session import shared_path
 
 
@@ -35,9 +35,27 @@ def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
                          "record_type", "refers_to")
 
 
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document scored by a machine that never saw a held-out label."""
+    docs = table(spark, sf_dir, "documents")
+    model = toxicity.fit(toxicity.training_rows(docs, table(spark, sf_dir, "labels")))
+    scored = toxicity.with_score(docs, model, columns=["doc_id"])
+    return scored.select("doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), "score",
+                         (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+def op7_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of every document, and whether decoding them gives back its text."""
+    docs = table(spark, sf_dir, "documents")
+    coded = pieces.with_ids(docs, pieces.load_vocabulary(), same="same_text", columns=["doc_id"])
+    return coded.select("doc_id", F.size("ids").alias("n_ids"), "ids", "same_text")
+
+
 QUERIES = {
     "op3_chat_formatting": op3_chat_formatting,
     "op5_warc": op5_warc,
+    "op6_toxicity": op6_toxicity,
+    "op7_sentencepiece": op7_sentencepiece,
 }
 
 # All conversations; the planted one is constant.  formatted_chars and mask_chars
