@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cardlake.llm import chat, pieces, toxicity, warc
+from cardlake.llm import chat, jaccard, pieces, toxicity, warc
 from cardlake.session import shared_path
 
 
@@ -51,11 +51,17 @@ def op7_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return coded.select("doc_id", F.size("ids").alias("n_ids"), "ids", "same_text")
 
 
+def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Component of every document under Jaccard similarity of 5-word shingles >= 0.75."""
+    return jaccard.similar_groups(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op3_chat_formatting": op3_chat_formatting,
     "op5_warc": op5_warc,
     "op6_toxicity": op6_toxicity,
     "op7_sentencepiece": op7_sentencepiece,
+    "op10_jaccard_join": op10_jaccard_join,
 }
 
 # All conversations; the planted one is constant.  formatted_chars and mask_chars
