@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cardlake.llm import chat, jaccard, pieces, toxicity, warc
+from cardlake.llm import chat, decontaminate, jaccard, pieces, toxicity, warc
 from cardlake.session import shared_path
 
 
@@ -51,6 +51,11 @@ def op7_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return coded.select("doc_id", F.size("ids").alias("n_ids"), "ids", "same_text")
 
 
+def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every benchmark item that a document holds three quarters of, by 5-word shingles."""
+    return decontaminate.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Component of every document under Jaccard similarity of 5-word shingles >= 0.75."""
     return jaccard.similar_groups(table(spark, sf_dir, "documents"))
@@ -61,6 +66,7 @@ QUERIES = {
     "op5_warc": op5_warc,
     "op6_toxicity": op6_toxicity,
     "op7_sentencepiece": op7_sentencepiece,
+    "op9_decontamination": op9_decontamination,
     "op10_jaccard_join": op10_jaccard_join,
 }
 
@@ -103,7 +109,43 @@ SELECT page_id, CAST(n AS BIGINT) AS payload_bytes, sha1(html) AS payload_digest
 FROM r
 """
 
+# Words and shingles as the operators take them (fixed values: A-Z, white space).
+_SHINGLES = r"""
+  SELECT {key} AS id, len(w) AS n_words,
+    list_distinct(list_transform(range(1, greatest(len(w) - 3, 2)), lambda i: array_to_string(w[i:i + 4], ' '))) AS s
+  FROM (SELECT {key}, list_filter(string_split_regex(
+      translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM {table})
+  WHERE len(w) > 0
+"""
+
+_LEAKS_SQL = f"""
+WITH d AS ({_SHINGLES.format(key="doc_id", table="documents")}),
+b AS ({_SHINGLES.format(key="item_id", table="benchmark")}),
+dx AS (SELECT id AS doc_id, unnest(s) AS x FROM d),
+bx AS (SELECT id AS item_id, len(s) AS n_item, unnest(s) AS x FROM b)
+SELECT doc_id, item_id, count(*) AS n_shared, CAST(n_item AS BIGINT) AS n_item, count(*) / n_item AS containment
+FROM dx JOIN bx USING (x) GROUP BY doc_id, item_id, n_item HAVING 4 * count(*) >= 3 * n_item
+"""
+
+_JACCARD_SQL = f"""
+WITH RECURSIVE d AS ({_SHINGLES.format(key="doc_id", table="documents")}),
+x AS (SELECT id, len(s) AS n, unnest(s) AS x FROM d),
+links AS (
+  SELECT a.id AS a, b.id AS b FROM x a JOIN x b ON a.x = b.x AND a.id <> b.id
+  GROUP BY a.id, b.id, a.n, b.n HAVING 100 * count(*) >= 75 * (a.n + b.n - count(*))
+),
+reach(id, other) AS (
+  SELECT a, b FROM links UNION SELECT reach.id, links.b FROM reach JOIN links ON reach.other = links.a
+)
+SELECT doc_id, CAST(coalesce(len(d.s), 0) AS BIGINT) AS n_shingles,
+  least(doc_id, coalesce((SELECT min(other) FROM reach WHERE reach.id = doc_id), doc_id)) AS component_id
+FROM documents LEFT JOIN d ON d.id = doc_id
+"""
+
 ORACLE_SQL = {
     "op3_chat_formatting": _CHAT_SQL,
     "op5_warc": _WARC_SQL,
+    "op9_decontamination": _LEAKS_SQL,
+    "op10_jaccard_join": _JACCARD_SQL,
 }
