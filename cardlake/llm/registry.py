@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cardlake.llm import chat, decontaminate, jaccard, pieces, toxicity, warc
+from cardlake.llm import chat, decontaminate, jaccard, line_templates, pieces, toxicity, warc
 from cardlake.session import shared_path
 
 
@@ -51,6 +51,12 @@ def op7_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return coded.select("doc_id", F.size("ids").alias("n_ids"), "ids", "same_text")
 
 
+def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the lines of templates that recur across documents."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return line_templates.drop_recurring(docs, lines="n_lines", dropped="n_dropped")
+
+
 def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every benchmark item that a document holds three quarters of, by 5-word shingles."""
     return decontaminate.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
@@ -66,6 +72,7 @@ QUERIES = {
     "op5_warc": op5_warc,
     "op6_toxicity": op6_toxicity,
     "op7_sentencepiece": op7_sentencepiece,
+    "op8_line_dedup": op8_line_dedup,
     "op9_decontamination": op9_decontamination,
     "op10_jaccard_join": op10_jaccard_join,
 }
