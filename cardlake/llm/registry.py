@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cardlake.llm import chat, decontaminate, jaccard, line_templates, pieces, toxicity, warc
+from cardlake.llm import chat, decontaminate, jaccard, line_templates, pieces, toxicity, vectors, warc
 from cardlake.session import shared_path
 
 
@@ -17,6 +17,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and component of every vector at cosine >= 0.95."""
+    return vectors.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 def op3_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All conversations and the planted conversation -1, read back from the formatted text."""
     turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
@@ -68,6 +73,7 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op2_embedding_near_dedup": op2_embedding_near_dedup,
     "op3_chat_formatting": op3_chat_formatting,
     "op5_warc": op5_warc,
     "op6_toxicity": op6_toxicity,
@@ -77,6 +83,26 @@ QUERIES = {
     "op10_jaccard_join": op10_jaccard_join,
 }
 
+_VECTORS_SQL = """
+WITH RECURSIVE v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS e FROM embeddings
+),
+ok AS (SELECT * FROM v WHERE e IS NOT NULL AND len(list_filter(e, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+       AND list_dot_product(e, e) > 0),
+links AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM ok a JOIN ok b ON a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
+  WHERE list_cosine_similarity(a.e, b.e) >= 0.95
+),
+reach(id, other) AS (
+  SELECT a, b FROM links UNION SELECT reach.id, links.b FROM reach JOIN links ON reach.other = links.a
+),
+c AS (SELECT id, min(other) AS m FROM reach GROUP BY id),
+n AS (SELECT a, count(*) AS n FROM links GROUP BY a)
+SELECT vec_id, CAST(coalesce(n.n, 0) AS BIGINT) AS n_links, least(vec_id, coalesce(c.m, vec_id)) AS component_id,
+  vec_id <= coalesce(c.m, vec_id) AS kept
+FROM embeddings LEFT JOIN n ON n.a = vec_id LEFT JOIN c ON c.id = vec_id
+"""
+
 # All conversations; the planted one is constant.  formatted_chars and mask_chars
 # follow from the template (marks, escapes), so they are rebuilt in SQL as well.
 _CHAT_SQL = r"""
@@ -151,6 +177,7 @@ FROM documents LEFT JOIN d ON d.id = doc_id
 """
 
 ORACLE_SQL = {
+    "op2_embedding_near_dedup": _VECTORS_SQL,
     "op3_chat_formatting": _CHAT_SQL,
     "op5_warc": _WARC_SQL,
     "op9_decontamination": _LEAKS_SQL,
