@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cardlake.llm import chat, decontaminate, jaccard, line_templates, pieces, toxicity, vectors, warc
+from cardlake.llm import chat, decontaminate, jaccard, line_templates, pieces, suffixes, toxicity, vectors, warc
 from cardlake.session import shared_path
 
 
@@ -31,6 +31,13 @@ def op3_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.read_back(chat.format_turns(turns.unionByName(planted)))
 
 
+def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the strings of 200 bytes that start anywhere else too."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return suffixes.without_repeats(docs, columns=["doc_id"]).select(
+        "doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
 def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Writes the archive of all pages under the shared folder and reads it back."""
     path = shared_path(spark, "warc")
@@ -75,6 +82,7 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op2_embedding_near_dedup": op2_embedding_near_dedup,
     "op3_chat_formatting": op3_chat_formatting,
+    "op4_suffix_dedup": op4_suffix_dedup,
     "op5_warc": op5_warc,
     "op6_toxicity": op6_toxicity,
     "op7_sentencepiece": op7_sentencepiece,
