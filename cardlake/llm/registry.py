@@ -9,7 +9,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cardlake.llm import chat, decontaminate, jaccard, line_templates, pieces, suffixes, toxicity, vectors, warc
+import corpus_pipeline
+from cardlake.llm import chat, decontaminate, html_text, jaccard, line_templates, pieces, suffixes, toxicity, vectors, warc
 from cardlake.session import shared_path
 
 
@@ -17,6 +18,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return html_text.with_main_text(pages, columns=["page_id", "url"])
+
+
 def op2_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Links and component of every vector at cosine >= 0.95."""
     return vectors.near_duplicates(table(spark, sf_dir, "embeddings"))
@@ -80,6 +87,7 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_html_extraction": op1_html_extraction,
     "op2_embedding_near_dedup": op2_embedding_near_dedup,
     "op3_chat_formatting": op3_chat_formatting,
     "op4_suffix_dedup": op4_suffix_dedup,
@@ -89,6 +97,7 @@ QUERIES = {
     "op8_line_dedup": op8_line_dedup,
     "op9_decontamination": op9_decontamination,
     "op10_jaccard_join": op10_jaccard_join,
+    "pipeline": corpus_pipeline.run,
 }
 
 _VECTORS_SQL = """
