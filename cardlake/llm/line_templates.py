@@ -33,7 +33,7 @@ from cardlake.llm.common import SMALL_BYTES, small, written
 
 # A token with a digit, and white space inside a line that isn't one space.
 FIELD = r"(?<!\S)[^\s0-9]*+[0-9]\S*+"
-SPACES = r"[ \t\x0B\f\r]*+[\t\x0B\f\r][ \t\x0B\f\r]*+| {2,}+"
+SPACES = r"[ \t\x0B\f\r]{2,}+|[\t\x0B\f\r]"
 
 
 def masked(line: Column) -> Column:
