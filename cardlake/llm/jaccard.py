@@ -241,21 +241,22 @@ def links(reps: DataFrame, docs: DataFrame, width: int = WIDTH) -> DataFrame:
     left = tagged.join(open_keys, "key")
     left = written(left, "open")
     right = left.select("key", *[F.col(c).alias(f"{c}2") for c in left.columns if c != "key"])
-    # before counting: a coordinate in common at these places must leave room for enough others
-    room = F.least(F.col("n") - F.col("at"), F.col("n2") - F.col("at2"))
     enough = (F.col("n") + F.col("n2")) * NUM
     pairs = (left.join(right, "key")
              .where((F.col("id") < F.col("id2")) & (F.col("component") != F.col("component2"))
-                    & _large_enough(F.col("n"), F.col("n2")) & (room * (NUM + DEN) >= enough))
+                    & _large_enough(F.col("n"), F.col("n2")))
              .groupBy("id", "id2", "n", "n2", "last", "last2")
-             .agg(F.count("*").alias("s"), F.max("at").alias("at"), F.max("at2").alias("at2")))
+             .agg(F.count("*").alias("s"), F.min("at").alias("from"), F.min("at2").alias("from2"),
+                  F.max("at").alias("at"), F.max("at2").alias("at2")))
     s, n, m = F.col("s"), F.col("n"), F.col("n2")
-    after = s + F.least(n - F.col("at") - 1, m - F.col("at2") - 1)
+    # what stands before the first coordinate in common, and between it and the last, is known
+    after = F.least(s + F.least(n - F.col("at") - 1, m - F.col("at2") - 1),
+                    n - F.col("from"), m - F.col("from2"))
     # the point whose leading coordinates end first has met the other in all of them
     ahead = F.least(F.when(F.col("last") < F.col("last2"), s + F.ceil(n * NUM / DEN) - 1),
                     F.when(F.col("last2") < F.col("last"), s + F.ceil(m * NUM / DEN) - 1))
     bound = F.least(after, F.coalesce(ahead, after))
-    kept = pairs.where(bound * (NUM + DEN) >= (n + m) * NUM)
+    kept = pairs.where(bound * (NUM + DEN) >= enough)
     far = verified(kept.select(F.col("id").alias("a"), F.col("id2").alias("b")), docs, width)
     return near.unionByName(far)
 
@@ -272,6 +273,7 @@ def similar_groups(docs: DataFrame, key: str = "doc_id", text: str = "text",
     rep = found.where("n > 0").groupBy("digest").agg(F.min("id").alias("rep"))
     named = rep.join(part, F.col("rep") == F.col("id"), "left").select(
         "digest", F.coalesce("component", "rep").alias("component"))
+    named = written(named, "named")  # both sides of the next join are plain, so a hot digest can be split
     lone = F.when(F.col("n") == 0, F.col("id"))
     return (found.select("id", "n", "digest").join(named, "digest", "left")
             .select(F.col("id").alias(key), F.col("n").cast("long").alias("n_shingles"),
