@@ -68,6 +68,7 @@ LABELLED = (
     (5, 0.0, 30, 0.0, 45, 0.0, 1, 2, 1), (12, 0.0, 33, 0.0, 21, 0.0, 0, 2, 1), (25, 0.3, 35, 0.0, 3, 1.0, 0, 2, 1),
     (3, 0.0, 2, 1.0, 4, 1.0, 0, 2, 0), (2, 1.0, 3, 1.0, 2, 1.0, 0, 2, 0), (6, 0.0, 4, 0.0, 0, 0.0, 0, 2, 0),
     (9, 0.8, 5, 1.0, 40, 0.0, 0, 2, 0), (30, 0.9, 12, 1.0, 8, 1.0, 0, 2, 0), (4, 0.0, 1, 1.0, 2, 0.0, 1, 2, 0),
+    (1, 1.0, 40, 0.0, 1, 1.0, 0, 2, 0), (3, 1.0, 50, 0.0, 60, 0.0, 0, 2, 0), (5, 1.0, 2, 1.0, 45, 0.0, 0, 2, 0),
     (8, 0.0, 45, 0.0, 2, 1.0, 0, 2, 0), (5, 0.0, 30, 0.0, 0, 0.0, 0, 2, 0), (60, 0.8, 20, 0.0, 25, 0.0, 0, 2, 0),
     # outside of the part that the page marks
     (50, 0.0, 0, 0.0, 30, 0.0, 0, 1, 0), (8, 0.0, 3, 1.0, 12, 0.0, 0, 1, 0), (20, 0.2, 60, 0.0, 4, 0.0, 1, 1, 0),

@@ -36,6 +36,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from cardlake.llm.common import written
+
 WORDS = re.compile(r"\w+")
 PREFIXES = (4, 5)
 KNOWN_WORDS = 1 << 18  # entries of a task's table of words seen
@@ -93,8 +95,7 @@ def training_rows(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text:
 def fit(rows: DataFrame, max_terms: int = 4096, min_docs: int = 5, factors: int = 8,
         epochs: int = 30, rate: float = 0.1, l2: float = 1e-4, seed: int = 7) -> Model:
     """Train on (label, terms) rows; see the module text for what bounds them."""
-    numbered = rows.withColumn("row", F.monotonically_increasing_id())
-    numbered = numbered.checkpoint()
+    numbered = written(rows.withColumn("row", F.monotonically_increasing_id()), "training")
     n, pos = numbered.agg(F.count("*"), F.sum("label")).first()
     n, pos = int(n), int(pos or 0)
     empty = (np.zeros(0, np.int64), np.zeros(0), np.zeros((0, factors)))
