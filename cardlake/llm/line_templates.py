@@ -38,17 +38,16 @@ SPACES = r"[ \t\x0B\f\r]{2,}+|[\t\x0B\f\r]"
 
 def masked(line: Column) -> Column:
     """The line with single spaces between tokens and ``<*>`` for tokens with a digit."""
-    spaced = F.when(line.rlike(r"[\t\x0B\f\r]|  "), F.regexp_replace(line, SPACES, " ")).otherwise(line)
-    spaced = F.trim(spaced)
-    return F.when(spaced.rlike("[0-9]"), F.regexp_replace(spaced, FIELD, "<*>")).otherwise(spaced)
+    full = F.regexp_replace(F.trim(F.regexp_replace(line, SPACES, " ")), FIELD, "<*>")
+    return F.when(line.rlike(r"[0-9\t\x0B\f\r]|  "), full).otherwise(F.trim(line))
 
 
 def parsed_lines(docs: DataFrame, key: str, text: str, depth: int, min_tokens: int) -> DataFrame:
     """(id, text_hash, at, line, tokens, leaf): the lines with enough tokens, masked."""
+    # masked inside the array, so that a line is masked once, whatever reads it
     rows = docs.select(F.col(key).alias("id"), F.xxhash64(text).alias("text_hash"),
-                       F.posexplode(F.split(F.col(text), "\n")).alias("at", "raw"))
-    rows = rows.select("id", "text_hash", "at", masked(F.col("raw")).alias("line"))
-    tokens = F.length("line") - F.length(F.replace("line", F.lit(" "), F.lit(""))) + 1
+                       F.posexplode(F.transform(F.split(F.col(text), "\n"), masked)).alias("at", "line"))
+    tokens = F.size(F.split("line", " "))
     return (rows.withColumn("tokens", tokens).where(F.col("tokens") >= min_tokens)
             .withColumn("leaf", F.xxhash64("tokens", F.substring_index("line", " ", depth))))
 
@@ -83,7 +82,7 @@ def recurring_lines(docs: DataFrame, rows: DataFrame, key: str, text: str, depth
              .groupBy("leaf", "hash")
              .agg(F.count("*").alias("k"),
                   F.sum(F.xxhash64("at", "token").cast("decimal(38,0)")).cast("string").alias("shape")))
-    width = F.length("line") - F.length(F.replace("line", F.lit(" "), F.lit(""))) + 1
+    width = F.size(F.split("line", " "))
     template = F.when(F.col("k") >= similarity * width, F.col("shape")).otherwise(
         F.concat(F.lit("line "), F.col("hash").cast("string")))
     named = written(spelled.join(shape, ["leaf", "hash"], "left")
