@@ -14,9 +14,12 @@ Plan: one shuffle on (card, time bucket).  Each row is also copied, as
 context, into the next bucket when it lies within the look-back of that
 bucket's start, so every frame is complete inside its partition and the
 results are exact.  A card with a huge share of all rows is thus split into
-one task per bucket instead of one task for the card.  All frames are
-sliding aggregates (count / min / max / sum / lag), O(1) per row: no arrays
-of events are built.
+one task per bucket instead of one task for the card.  Inside a partition all
+rules come from one sort and cost a constant per row: velocity looks back
+``velocity_n`` rows, cross-border keeps the running maximum of the times at
+which the location changed, the decline rate sums a frame of ``last_n`` rows.
+(A sliding time range would be evaluated again over its whole frame for each
+row, which is quadratic for a busy card.)
 """
 
 from __future__ import annotations
@@ -62,47 +65,31 @@ def flag_card_rules(df: DataFrame, velocity_n: int = VELOCITY_N, velocity_s: int
     x = x.select(*[F.col(c) if c in needed else F.when(own_row, F.col(c)).alias(c) for c in cols],
                  "_us", "_own", "_bucket")
 
-    part = [key, "_bucket"]
-    w_rows = Window.partitionBy(*part).orderBy("_us", tie)
-    w_tie = (Window.partitionBy(*part, "_us").orderBy(tie)
-             .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-
-    def earlier(span_us: int) -> Window:
-        # strictly earlier rows within the span; ties are added from w_tie
-        return Window.partitionBy(*part).orderBy("_us").rangeBetween(-span_us, -1)
-
-    one, loc = F.lit(1), F.col("location")
+    # one window, one sort: every rule is a look back by rows or a running maximum
+    w = Window.partitionBy(key, "_bucket").orderBy("_us", tie)
     declined = F.coalesce(F.col("auth_result") == "DECLINED", F.lit(False)).cast("int")
-    # (1) windows ordered by (time, id): they fix the sort order of the partition
-    x = x.select("*",
-                 F.count(one).over(w_tie).alias("_t_n"),
-                 F.count(loc).over(w_tie).alias("_t_nloc"),
-                 F.min(loc).over(w_tie).alias("_t_min"),
-                 F.max(loc).over(w_tie).alias("_t_max"),
-                 F.sum(declined).over(w_rows.rowsBetween(-(last_n - 1), 0)).alias("_declined"),
-                 F.lag("_us", last_n - 1).over(w_rows).alias("_oldest"))
-    # (2) time-range frames of strictly earlier rows (same sort, prefix order)
-    w_v, w_w = earlier(velocity_us), earlier(window_us)
     x = x.select("*",
-                 F.count(one).over(w_v).alias("_v_n"),
-                 F.count(one).over(w_w).alias("_w_n"),
-                 F.count(loc).over(w_w).alias("_w_nloc"),
-                 F.min(loc).over(w_w).alias("_w_min"),
-                 F.max(loc).over(w_w).alias("_w_max"))
-
-    velocity = F.col("_v_n") + F.col("_t_n")
-    lo = F.least("_w_min", "_t_min")
-    hi = F.greatest("_w_max", "_t_max")
-    n_all = F.col("_w_n") + F.col("_t_n")
-    n_loc = F.col("_w_nloc") + F.col("_t_nloc")
-    cross = F.coalesce(lo != hi, F.lit(False)) | ((n_all > n_loc) & (n_loc > 0))
-    decline = F.coalesce((F.col("_oldest") >= F.col("_us") - F.lit(window_us))
-                         & (F.col("_declined") / F.lit(last_n) > F.lit(ratio)), F.lit(False))
+                 F.lag("_us", velocity_n).over(w).alias("_nth_before"),
+                 F.lag("_us", 1).over(w).alias("_before"),
+                 F.lag("location", 1).over(w).alias("_loc_before"),
+                 F.sum(declined).over(w.rowsBetween(-(last_n - 1), 0)).alias("_declined"),
+                 F.lag("_us", last_n - 1).over(w).alias("_oldest"))
+    # time of the newest earlier row that a change of location parts from this one
+    moved = F.when(~F.col("location").eqNullSafe(F.col("_loc_before")), F.col("_before"))
+    x = x.withColumn("_moved", F.max(moved).over(
+        w.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+
+    def since(c: str, span_us: int) -> Column:
+        return F.coalesce(F.col(c) >= F.col("_us") - F.lit(span_us), F.lit(False))
+
+    velocity = since("_nth_before", velocity_us)
+    cross = since("_moved", window_us)
+    decline = since("_oldest", window_us) & (F.col("_declined") / F.lit(last_n) > F.lit(ratio))
 
     def known(c: Column) -> Column:
         return F.when(F.col("_us").isNotNull(), c)
 
-    return x.filter(own_row).select(*cols, known(velocity > velocity_n).alias("rule_velocity"),
+    return x.filter(own_row).select(*cols, known(velocity).alias("rule_velocity"),
                                      known(cross).alias("rule_cross_border"),
                                      known(decline).alias("rule_decline_rate"))
 

@@ -110,3 +110,10 @@ def test_mart_distinct_count_spreads_hot_groups(spark):
     plan = _static(spark, lambda: _plan(E.queries()["mart_settlement_daily"](spark, SMOKE)))
     assert re.search(r"Exchange hashpartitioning\(date#\d+, merchant_id#\d+, currency#\d+, transaction_id#\d+", plan)
     assert "partial_sum" in plan
+
+
+def test_card_rules_use_one_sort_and_no_range_frame(spark):
+    from cardlake.plans.catalog import REGISTRY
+    plan = REGISTRY["flag_all_rules"](spark, SMOKE)._jdf.queryExecution().executedPlan().toString()
+    assert "RangeFrame, -" not in plan and "rangebetween" not in plan.lower()
+    assert plan.count("Sort [") <= 1
