@@ -19,10 +19,6 @@ ALL_RULES = STATELESS_RULES + [("rule_velocity", "VELOCITY"),
                                ("rule_cross_border", "CROSS_BORDER"),
                                ("rule_decline_rate", "DECLINE_RATE")]
 
-# A blacklist table is broadcast only when it is proven this small.
-BLACKLIST_BROADCAST_MAX_ROWS = 2_000_000
-
-
 def blacklist_table(spark: SparkSession, merchants: Iterable[str] = DEFAULT_BLACKLIST) -> DataFrame:
     """Literal one-column table of listed merchants."""
     return spark.createDataFrame([(m,) for m in merchants], "merchant_id string")
@@ -35,15 +31,15 @@ def flag_high_amount(df: DataFrame, limit: float = HIGH_AMOUNT_LIMIT,
 
 
 def flag_blacklist(df: DataFrame, blacklist: DataFrame | Sequence[str] = DEFAULT_BLACKLIST,
-                   out: str = "rule_blacklist",
-                   max_broadcast_rows: int = BLACKLIST_BROADCAST_MAX_ROWS) -> DataFrame:
+                   out: str = "rule_blacklist") -> DataFrame:
     """True when the merchant is listed, else false (never null).
 
     A literal list becomes an ``IN`` set inside the scan's codegen stage: no
     join at all.  A table is de-duplicated first (a repeated entry must not
-    multiply rows); it is broadcast only after its row count is checked,
-    otherwise Spark plans a shuffled join.  Works for streaming ``df``
-    (stream-static join).
+    multiply rows) and joined without a hint: Spark broadcasts it where its
+    measured size allows, and shuffles both sides otherwise.  A null merchant
+    matches nothing, so null keys are spread over many values that can't match
+    either.  Works for streaming ``df`` (stream-static join).
     """
     if not isinstance(blacklist, DataFrame):
         members = sorted({m for m in blacklist if m is not None})
@@ -51,16 +47,11 @@ def flag_blacklist(df: DataFrame, blacklist: DataFrame | Sequence[str] = DEFAULT
         return df.withColumn(out, flag)
     listed = (blacklist.select(F.col("merchant_id").alias("_bl_merchant"))
               .where(F.col("_bl_merchant").isNotNull()).distinct().withColumn("_listed", F.lit(True)))
-    if listed.count() <= max_broadcast_rows:
-        joined = df.join(F.broadcast(listed), df["merchant_id"] == listed["_bl_merchant"], "left")
-    else:
-        # shuffled join: a null merchant never matches, so spread null keys
-        # over many partitions instead of hashing them all to one
-        spread = F.when(F.col("merchant_id").isNull(),
-                        F.concat(F.lit("\u0000"), (F.abs(F.xxhash64(*df.columns)) % 4096).cast("string"))
-                        ).otherwise(F.col("merchant_id"))
-        keyed = df.withColumn("_bl_key", spread)
-        joined = keyed.join(listed, keyed["_bl_key"] == listed["_bl_merchant"], "left").drop("_bl_key")
+    spread = F.when(F.col("merchant_id").isNull(),
+                    F.concat(F.lit("\u0000"), (F.abs(F.xxhash64(*df.columns)) % 4096).cast("string"))
+                    ).otherwise(F.col("merchant_id"))
+    keyed = df.withColumn("_bl_key", spread)
+    joined = keyed.join(listed, keyed["_bl_key"] == listed["_bl_merchant"], "left").drop("_bl_key")
     return (joined.withColumn(out, F.coalesce(F.col("_listed"), F.lit(False)))
                   .drop("_listed", "_bl_merchant"))
 

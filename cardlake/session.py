@@ -22,13 +22,17 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     # state store: Spark's default (in-memory maps + delta files) suits the
-    # small state of local runs; cluster_conf switches to RocksDB.
+    # small state of local runs; stream_conf switches to RocksDB.
 }
 
 
-def local_session(cores: int = 8, shuffle_partitions: int | None = None,
-                  app: str = "cardlake") -> SparkSession:
-    """A local session with the library's settings (tests and bench only)."""
+def local_session(cores: int = 8, shuffle_partitions: int | None = None, app: str = "cardlake",
+                  checkpoint_dir: str | None = None) -> SparkSession:
+    """A local session with the library's settings (tests and bench only).
+
+    ``checkpoint_dir``: the folder that a cluster would name in
+    ``spark.checkpoint.dir``; the caller owns it and removes it.
+    """
     b = (SparkSession.builder.master(f"local[{cores}]").appName(app)
          .config("spark.ui.enabled", "false")
          .config("spark.ui.showConsoleProgress", "false")
@@ -36,6 +40,8 @@ def local_session(cores: int = 8, shuffle_partitions: int | None = None,
          .config("spark.sql.shuffle.partitions", str(shuffle_partitions or cores)))
     for k, v in DEFAULT_CONF.items():
         b = b.config(k, v)
+    if checkpoint_dir:
+        b = b.config("spark.checkpoint.dir", checkpoint_dir)
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
@@ -100,8 +106,9 @@ def cluster_conf(input_bytes: int, total_cores: int, partition_mb: int = 256,
     * shuffle width = input / ``partition_mb`` (at least 3 waves of the
       cluster), as AQE's initial width; AQE then coalesces small partitions
       to the advisory size and splits skewed ones in joins;
-    * broadcast only below ``broadcast_mb`` as measured at run time;
-    * RocksDB state with changelog checkpoints for the keyed streaming state.
+    * broadcast only below ``broadcast_mb`` as measured at run time.
+
+    Streaming jobs take their width from ``stream_conf``.
     """
     width = max(3 * total_cores, -(-int(input_bytes) // (partition_mb * MB)))
     return {
@@ -116,6 +123,21 @@ def cluster_conf(input_bytes: int, total_cores: int, partition_mb: int = 256,
         "spark.sql.autoBroadcastJoinThreshold": str(broadcast_mb * MB),
         "spark.sql.adaptive.autoBroadcastJoinThreshold": str(broadcast_mb * MB),
         "spark.sql.session.timeZone": "UTC",
+    }
+
+
+def stream_conf(batch_bytes: int, state_bytes: int, total_cores: int, partition_mb: int = 64) -> dict[str, str]:
+    """Settings for a session that runs the streaming jobs.
+
+    The shuffle width of a stateful query is fixed in its checkpoint and AQE
+    doesn't coalesce it, and each partition is a state store of its own; so it
+    follows the rows of one batch and the state kept between batches, never
+    the size of the corpus.  Apply over ``cluster_conf`` where one session
+    does both.
+    """
+    width = max(total_cores, -(-max(int(batch_bytes), int(state_bytes)) // (partition_mb * MB)))
+    return {
+        "spark.sql.shuffle.partitions": str(width),
         "spark.sql.streaming.stateStore.providerClass":
             "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
         "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",

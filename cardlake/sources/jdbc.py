@@ -32,11 +32,6 @@ def read_table(spark: SparkSession, url: str, table: str, properties: dict | Non
     return spark.read.jdbc(url, table, properties=props)
 
 
-def day_predicates(column: str, days: Sequence[str]) -> list[str]:
-    """One predicate per day: a scan task per day of a date-keyed table."""
-    return [f"{column} = DATE '{d}'" for d in days]
-
-
 def append_table(df: DataFrame, url: str, table: str, properties: dict | None = None,
                  writers: int = 2, batch_rows: int = 10000) -> None:
     """Append with at most ``writers`` connections and ``batch_rows`` per insert.
@@ -49,11 +44,6 @@ def append_table(df: DataFrame, url: str, table: str, properties: dict | None =
      .option("batchsize", int(batch_rows)).jdbc(url, table, properties=properties or {}))
 
 
-def mart_table_name(schema: str, model: str) -> str:
-    """Blank base schema + model schema gives ``_<schema>.<model>`` (e.g. _analytics)."""
-    return f"_{schema}.{model}"
-
-
 def execute(spark: SparkSession, url: str, statement: str, properties: dict | None = None) -> int:
     """Run one statement on the database from the driver (e.g. a delete).
 

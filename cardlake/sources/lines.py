@@ -9,11 +9,13 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def kafka_stream(spark: SparkSession, servers: str, topic: str,
-                 starting_offsets: str = "earliest", fail_on_data_loss: bool = False,
+                 starting_offsets: str = "latest", fail_on_data_loss: bool = True,
                  max_offsets_per_trigger: int | None = None,
                  min_partitions: int | None = None) -> DataFrame:
     """Streaming read of a broker topic (needs the spark-sql-kafka package).
 
+    Starting point and behaviour on expired offsets default to the source's
+    own: going on after a loss is the caller's choice.
     ``max_offsets_per_trigger`` bounds a micro-batch, and with it the rows
     of one card that the keyed state function sees at once.
     ``min_partitions`` splits the offset ranges of a few topic partitions
@@ -40,10 +42,6 @@ def text_stream(spark: SparkSession, path: str, max_files_per_trigger: int | Non
     return r.load(path)
 
 
-def text_lines(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.format("text").load(path)
-
-
 def write_lines(lines: DataFrame, path: str, mode: str = "append") -> None:
     """Deliver payloads as text files (a stand-in for producing to a topic)."""
     lines.select("value").write.mode(mode).text(path)

@@ -11,9 +11,10 @@ SMOKE = "/root/testdata/sf0.001"
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     from cardlake.session import local_session
-    s = local_session("*", shuffle_partitions=8, app="cardlake-tests")
+    s = local_session("*", shuffle_partitions=8, app="cardlake-tests",
+                      checkpoint_dir=str(tmp_path_factory.mktemp("shared")))
     yield s
     s.stop()
 
