@@ -226,8 +226,10 @@ def channel_from_bases(day_base: DataFrame, ids: DataFrame, pairs: DataFrame) ->
     sums = (day_base.join(pairs, "merchant_id").groupBy("date", "channel")
                     .agg(_money(F.sum(F.col("_sum") * F.col("_k"))).alias("total_amount"),
                          F.sum(F.col("_fc") * F.col("_k")).cast("long").alias("fraud_count")))
-    return ids.join(sums, ["date", "channel"]).select(
-        "date", "channel", "transaction_count", "total_amount", "fraud_count")
+    # a null date or channel is a group of its own
+    same = ids["date"].eqNullSafe(sums["date"]) & ids["channel"].eqNullSafe(sums["channel"])
+    return ids.join(sums, same).select(
+        ids["date"], ids["channel"], "transaction_count", "total_amount", "fraud_count")
 
 
 def mart_channel_performance_exact(stg: DataFrame, dim: DataFrame) -> DataFrame:

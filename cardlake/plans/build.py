@@ -8,6 +8,8 @@ reuse the stored result instead of recomputing the chain (lineage cut).
 
 from __future__ import annotations
 
+from functools import partial
+
 from pyspark.sql import DataFrame
 
 from cardlake.operators import models
@@ -60,10 +62,21 @@ def build_levels() -> list[list[str]]:
     return [levels[k] for k in sorted(levels)]
 
 
-def build_models(transactions: DataFrame, out_path: str | None = None,
-                 staging_as_view: bool = True, threads: int = 4) -> dict[str, DataFrame]:
+# the marts in their exact form (one row per merchant instead of one per dimension row)
+EXACT = {
+    **{n: partial(fn, one_row_per_merchant=True) for n, fn in (
+        ("mart_settlement_daily", models.mart_settlement_daily),
+        ("mart_fraud_settlement_daily", models.mart_fraud_settlement_daily),
+        ("mart_fraud_rate", models.mart_fraud_rate), ("mart_fraud_alerts", models.mart_fraud_alerts))},
+    "mart_channel_performance": models.mart_channel_performance_exact,
+}
+
+
+def build_models(transactions: DataFrame, out_path: str | None = None, staging_as_view: bool = True,
+                 threads: int = 4, one_row_per_merchant: bool = False) -> dict[str, DataFrame]:
     """All models from the warehouse ``transactions`` frame.
 
+    ``one_row_per_merchant`` builds the marts in their exact form.
     Staging stays a view (a projection, never written).  Written tables use
     ``overwrite`` so a rerun replaces them (the hourly refresh).  Models of
     one dependency level are independent; their writes are submitted from
@@ -76,13 +89,17 @@ def build_models(transactions: DataFrame, out_path: str | None = None,
 
     def make(name: str) -> DataFrame:
         deps, fn, by_date = MODEL_GRAPH[name]
+        if one_row_per_merchant and name in EXACT:
+            fn = EXACT[name]
+            if name == "mart_channel_performance":
+                deps = ("stg_transactions", "dim_merchants")
         df = fn(*[built[d] for d in deps])
         if not out_path or (staging_as_view and name == "stg_transactions"):
             return df
         path = f"{out_path.rstrip('/')}/{name}"
         w = df.write.mode("overwrite")
         if by_date:
-            w = w.partitionBy("date")
+            w = df.hint("rebalance", "date").write.mode("overwrite").partitionBy("date")
         w.parquet(path)
         return spark.read.parquet(path).select(*df.columns) if by_date else \
             spark.read.schema(df.schema).parquet(path)

@@ -13,16 +13,22 @@ small per-day base aggregates:
   costs a join of small tables, not a re-read of the facts;
 * the alerts (row copies) and the channel mart's distinct counts depend on
   the dimension beyond a factor: they are recomputed for the changed days
-  plus the days of merchants whose factor / channel set changed (found with
-  semi-joins; only dates, bounded by the calendar, reach the driver).
+  plus the days of merchants whose factor or channel set changed, which the
+  (date, merchant) base tells without a look at the facts.
 
-The result equals ``build_models`` over the whole warehouse (tested), while a
-refresh reads the facts of a few days instead of all history.
+A refresh that stops anywhere is repeated by the next one.  What it writes in
+place it derives from the warehouse alone, and the dimensions it grows go to a
+new version, so the old version still says what the marts were last built
+with.  The version is published last, together with the loads it covers; a
+version counts once its folder is complete.
+
+Dates may be null; such rows form a day of their own.  The result equals
+``build_models`` over the whole warehouse (tested).
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
@@ -30,27 +36,45 @@ from pyspark.sql import functions as F
 
 from cardlake.operators import models
 
-DATE_PARTITIONED = ("fact_transactions", "fact_fraud_signals", "base_settlement", "base_merchant_day",
-                    "base_currency", "base_channel_ids", "mart_fraud_alerts")
+DIMENSIONS = {"dim_merchants": models.dim_merchants, "dim_currency": models.dim_currency,
+              "dim_auth_results": models.dim_auth_results}
+MARTS = ("mart_settlement_daily", "mart_fraud_settlement_daily", "mart_fraud_rate", "mart_currency_volume",
+         "mart_channel_performance", "mart_fraud_alerts")
+PUBLISHED = "generation string, last_batch long, models string"
+
+
+def _complete(spark: SparkSession, path: str) -> list[str]:
+    """Names of the sub-folders of ``path`` that a finished write has marked."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}/*/_SUCCESS")
+    found = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(p)
+    return [f.getPath().getParent().getName() for f in found or []]
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+def published(spark: SparkSession, out_path: str) -> tuple[int, list[tuple[str, int]], set[str]]:
+    """(version, [(stream generation, last batch)], models) of the last complete refresh; version 0: none."""
+    root = f"{out_path.rstrip('/')}/published"
+    versions = [int(n.removeprefix("v")) for n in _complete(spark, root)]
+    if not versions:
+        return 0, [], set()
+    rows = spark.read.schema(PUBLISHED).parquet(f"{root}/v{max(versions)}").collect()   # a row a generation
+    return (max(versions), [(r[0], r[1]) for r in rows if r[0] is not None],
+            set(rows[0][2].split(",")) if rows else set())
 
 
-def _days(df: DataFrame) -> list[str]:
-    """Distinct dates of a frame (bounded by the calendar, safe to collect)."""
-    return sorted(str(r[0]) for r in df.select("date").distinct().collect() if r[0] is not None)
+def _days(df: DataFrame) -> list[str | None]:
+    """Distinct dates of a frame, a null one included (bounded by the calendar, safe to collect)."""
+    return [None if r[0] is None else str(r[0]) for r in df.select("date").distinct().collect()]
 
 
-def _in_days(df: DataFrame, days: list[str]) -> DataFrame:
-    return df.filter(F.col("date").isin([F.lit(d).cast("date") for d in days]) if days else F.lit(False))
+def _in_days(df: DataFrame, days: Sequence[str | None]) -> DataFrame:
+    known = [F.lit(d).cast("date") for d in days if d is not None]
+    chosen = F.col("date").isin(known) if known else F.lit(False)
+    return df.filter(chosen | F.col("date").isNull() if None in days else chosen)
 
 
 def _write_days(df: DataFrame, path: str) -> None:
-    (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    # rows of a day together, large days split: not one file a task and day
+    (df.hint("rebalance", "date").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy("date").parquet(path))
 
 
@@ -76,15 +100,25 @@ def _changed(old_k: DataFrame, new_k: DataFrame, keys: list[str]) -> DataFrame:
     return j.filter(diff).select(merchant).distinct()
 
 
-def refresh_models(transactions: DataFrame, out_path: str, days: list[str] | None = None,
-                   fee_rate: str = models.FEE_RATE) -> dict[str, DataFrame]:
+def refresh_models(transactions: DataFrame, out_path: str, days: Sequence[str | None] | None = None,
+                   fee_rate: str = models.FEE_RATE, marts: Sequence[str] = MARTS,
+                   one_row_per_merchant: bool = False,
+                   loads: Sequence[tuple[str, int]] = ()) -> dict[str, DataFrame]:
     """Bring the models under ``out_path`` up to date with ``transactions``.
 
-    ``days``: dates that received rows since the last refresh; ``None`` on
-    the first run (then every day present is built).
+    ``days``: dates (None: rows without one) that received rows since the
+    last published refresh.  All days are built on the first run, where
+    ``days`` is None, and where the published refresh lacks one of ``marts``
+    or had them in the other form.  ``one_row_per_merchant`` builds the exact
+    marts.  ``loads``: the last batch of each stream generation that
+    ``transactions`` covers, published with the version.
     """
     spark = transactions.sparkSession
     out = out_path.rstrip("/")
+    version, _, before = published(spark, out)
+    wanted = set(marts) | {f"exact={one_row_per_merchant}"}
+    first = version == 0 or not wanted <= before
+    version += 1
 
     def path(name: str) -> str:
         return f"{out}/{name}"
@@ -92,70 +126,90 @@ def refresh_models(transactions: DataFrame, out_path: str, days: list[str] | Non
     def read(name: str) -> DataFrame:
         return spark.read.parquet(path(name))
 
-    first = not (_exists(spark, path("dim_merchants")) and _exists(spark, path("base_merchant_day")))
+    def dim_path(name: str, v: int) -> str:
+        return f"{out}/dimensions/v{v}/{name}"
+
+    def needs(*names: str) -> bool:
+        return bool(set(names) & set(marts))
+
     stg = models.stg_transactions(transactions)
     if first or days is None:
         days = _days(stg)
     stg_days = _in_days(stg, days)
 
-    # dimensions grow by the new rows' values; keep the old factors first
-    new_dims = {"dim_merchants": models.dim_merchants(stg_days),
-                "dim_currency": models.dim_currency(stg_days),
-                "dim_auth_results": models.dim_auth_results(stg_days)}
-    if first:
-        old_k = models.merchant_multiplicity(new_dims["dim_merchants"].limit(0))
-        old_pairs = models.channel_pairs(new_dims["dim_merchants"].limit(0))
-    else:
-        old_k, old_pairs = _together(lambda: models.merchant_multiplicity(read("dim_merchants")).checkpoint(),
-                                     lambda: models.channel_pairs(read("dim_merchants")).checkpoint())
-
-    def grow(name: str, fresh: DataFrame) -> None:
-        merged = fresh if first else read(name).unionByName(fresh).distinct()
-        merged.checkpoint().write.mode("overwrite").parquet(path(name))   # lineage cut before overwrite
+    def grow(name: str) -> None:
+        fresh = DIMENSIONS[name](stg_days)
+        old = [] if first else [spark.read.parquet(dim_path(name, version - 1))]
+        for o in old:
+            fresh = o.unionByName(fresh).distinct()
+        fresh.write.mode("overwrite").parquet(dim_path(name, version))
 
-    # facts of the changed days, and the dimensions
+    # facts of the changed days, and a new version of the dimensions
     _together(lambda: _write_days(models.fact_transactions(stg_days), path("fact_transactions")),
               lambda: _write_days(models.fact_fraud_signals(stg_days), path("fact_fraud_signals")),
-              *[(lambda n=n, f=f: grow(n, f)) for n, f in new_dims.items()])
-    dim_m = read("dim_merchants")
-    k = models.merchant_multiplicity(dim_m)
+              *[(lambda n=n: grow(n)) for n in DIMENSIONS])
+    dims = {n: spark.read.parquet(dim_path(n, version)) for n in DIMENSIONS}
+    dim_m = dims["dim_merchants"]
+    k = models.merchant_multiplicity(dim_m, one_row_per_merchant)
     pairs = models.channel_pairs(dim_m)
 
     # per-day bases of the changed days
     fact = read("fact_transactions")
     fact_days = _in_days(fact, days)
-    _together(lambda: _write_days(models.settlement_base(fact_days), path("base_settlement")),
-              lambda: _write_days(models.merchant_day_base(fact_days), path("base_merchant_day")),
-              lambda: _write_days(models.currency_base(fact_days), path("base_currency")))
-
-    # copies and channel ids: also the days of merchants whose factor changed
-    k_changed = _changed(old_k, k, ["merchant_id"])
-    pair_presence = lambda p: p.select("merchant_id", "channel", F.lit(1).alias("_k"))
-    p_changed = _changed(pair_presence(old_pairs), pair_presence(pairs), ["merchant_id", "channel"])
-    k_days, p_days = _together(
-        lambda: _days(fact.join(k_changed, "merchant_id", "left_semi").filter(F.col("is_fraud") == F.lit(True))),
-        lambda: _days(fact.join(p_changed, "merchant_id", "left_semi")))
-    alert_days, id_days = sorted(set(days) | set(k_days)), sorted(set(days) | set(p_days))
-    _together(lambda: _write_days(models.mart_fraud_alerts(_in_days(fact, alert_days), dim_m),
-                                  path("mart_fraud_alerts")),
-              lambda: _write_days(models.channel_ids_base(_in_days(fact, id_days), pairs),
-                                  path("base_channel_ids")))
+    bases = [lambda: _write_days(models.merchant_day_base(fact_days), path("base_merchant_day"))]
+    if needs("mart_settlement_daily"):
+        bases.append(lambda: _write_days(models.settlement_base(fact_days), path("base_settlement")))
+    if needs("mart_currency_volume"):
+        bases.append(lambda: _write_days(models.currency_base(fact_days), path("base_currency")))
+    _together(*bases)
+    day_base = read("base_merchant_day")
+
+    # copies and channel ids: also the days of merchants whose factor or channels changed
+    if not first and not one_row_per_merchant:
+        old_dim = spark.read.parquet(dim_path("dim_merchants", version - 1))
+        presence = lambda p: p.select("merchant_id", "channel", F.lit(1).alias("_k"))
+        k_changed = _changed(models.merchant_multiplicity(old_dim), k, ["merchant_id"])
+        p_changed = _changed(presence(models.channel_pairs(old_dim)), presence(pairs), ["merchant_id", "channel"])
+        k_days, p_days = _together(
+            lambda: _days(day_base.filter("_fc > 0").join(k_changed, "merchant_id", "left_semi")),
+            lambda: _days(day_base.join(p_changed, "merchant_id", "left_semi")))
+    else:
+        k_days = p_days = []
+    rows = []
+    if needs("mart_fraud_alerts"):
+        alert_days = list({*days, *k_days})
+        rows.append(lambda: _write_days(models.mart_fraud_alerts(_in_days(fact, alert_days), dim_m,
+                                                                 one_row_per_merchant), path("mart_fraud_alerts")))
+    if needs("mart_channel_performance"):
+        if one_row_per_merchant:
+            rows.append(lambda: _write_days(models.mart_channel_performance_exact(stg_days, dim_m),
+                                            path("mart_channel_performance")))
+        else:
+            id_days = list({*days, *p_days})
+            rows.append(lambda: _write_days(models.channel_ids_base(_in_days(fact, id_days), pairs),
+                                            path("base_channel_ids")))
+    _together(*rows)
 
     # marts from the (small) bases, rebuilt whole
-    day_base = read("base_merchant_day")
-    marts = {
-        "mart_settlement_daily": models.settlement_from_base(read("base_settlement"), k, fee_rate),
-        "mart_fraud_settlement_daily": models.fraud_settlement_from_base(day_base, k),
-        "mart_fraud_rate": models.fraud_rate_from_base(day_base, k),
-        "mart_currency_volume": models.currency_from_base(
-            read("base_currency"), models.currency_multiplicity(read("dim_currency"))),
-        "mart_channel_performance": models.channel_from_bases(day_base, read("base_channel_ids"), pairs),
+    built = {
+        "mart_settlement_daily": lambda: models.settlement_from_base(read("base_settlement"), k, fee_rate),
+        "mart_fraud_settlement_daily": lambda: models.fraud_settlement_from_base(day_base, k),
+        "mart_fraud_rate": lambda: models.fraud_rate_from_base(day_base, k),
+        "mart_currency_volume": lambda: models.currency_from_base(
+            read("base_currency"), models.currency_multiplicity(dims["dim_currency"])),
     }
-    _together(*[(lambda n=n, df=df: df.write.mode("overwrite").partitionBy("date").parquet(path(n)))
-                for n, df in marts.items()])
-
-    result = {"stg_transactions": stg}
-    for name in ("fact_transactions", "fact_fraud_signals", "dim_merchants", "dim_currency",
-                 "dim_auth_results", *marts, "mart_fraud_alerts"):
+    if not one_row_per_merchant:
+        built["mart_channel_performance"] = lambda: models.channel_from_bases(day_base, read("base_channel_ids"),
+                                                                              pairs)
+    _together(*[(lambda n=n, f=f: f().hint("rebalance", "date").write.mode("overwrite").partitionBy("date")
+                 .parquet(path(n))) for n, f in built.items() if n in marts])
+
+    # published last: from here on the new dimensions are the ones the marts were built with
+    names = ",".join(sorted(wanted))
+    spark.createDataFrame([(g, int(b), names) for g, b in loads] or [(None, None, names)], PUBLISHED) \
+        .coalesce(1).write.mode("overwrite").parquet(f"{out}/published/v{version}")
+
+    result = {"stg_transactions": stg, **dims}
+    for name in ("fact_transactions", "fact_fraud_signals", *marts):
         result[name] = read(name)
     return result

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cardlake.plans.build import build_models
+from cardlake.plans.incremental import _days, published, refresh_models
 from cardlake.plans.reports import export_report
 from cardlake.streaming.jobs import read_warehouse, run_silver, run_warehouse, warehouse_writer
 
@@ -34,32 +35,33 @@ class LakePaths:
 
 
 def hourly_refresh(spark: SparkSession, paths: LakePaths, processed_at=None,
-                   silver_max_bytes: int | None = None, warehouse_max_bytes: int | None = 128 << 20,
+                   silver_max_bytes: int | None = None, warehouse_max_bytes: int | None = None,
                    warehouse_max_files: int | None = None, incremental: bool = True) -> dict[str, DataFrame]:
     """Silver and warehouse drains, then the models.
 
-    ``incremental``: only the days of warehouse batches not yet modeled are
-    re-read (``plans.incremental``); the last modeled batch id is kept in
-    ``models/refresh_state``, so a refresh that stopped between the load and
-    the models catches up next time.  ``False`` rebuilds every model in full.
+    ``incremental``: only the days of warehouse loads not yet covered by a
+    published refresh are re-read (``plans.incremental``), so a refresh that
+    stopped anywhere is made up for by the next one.  ``False`` rebuilds every
+    model in full.
     """
     run_silver(spark, paths.bronze, paths.silver, f"{paths.chk}/silver", processed_at=processed_at,
                max_bytes=silver_max_bytes)
-    run_warehouse(spark, paths.silver, f"{paths.chk}/warehouse", warehouse_writer(paths.warehouse),
+    checkpoint = f"{paths.chk}/warehouse"
+    run_warehouse(spark, paths.silver, checkpoint, warehouse_writer(paths.warehouse, checkpoint=checkpoint),
                   max_files=warehouse_max_files, max_bytes=warehouse_max_bytes)
     if not incremental:
         return build_models(read_warehouse(spark, paths.warehouse), out_path=paths.models)
-    from cardlake.plans.incremental import _days, _exists, refresh_models
     wh = spark.read.parquet(paths.warehouse)
-    state = f"{paths.models}/refresh_state"
-    last = spark.read.parquet(state).first()["last_batch"] if _exists(spark, state) else None
-    new = wh if last is None else wh.filter(F.col("batch_id") > F.lit(last))
-    newest = new.agg(F.max("batch_id")).first()[0]          # one scalar
-    days = None if last is None else _days(new)
-    built = refresh_models(wh.drop("batch_id"), paths.models, days)
-    if newest is not None:
-        spark.createDataFrame([(int(newest),)], "last_batch long").write.mode("overwrite").parquet(state)
-    return built
+    version, loads, _ = published(spark, paths.models)
+    # load ids are names of partitions: neither of these two reads a column of a file
+    generation = F.substring_index("load_id", "-", 1)
+    batch = F.substring_index("load_id", "-", -1).cast("long")
+    new = wh
+    for g, last in loads:
+        new = new.filter((generation != g) | (batch > last))
+    days = _days(new) if version else None
+    covered = wh.groupBy(generation.alias("g")).agg(F.max(batch).alias("b")).collect()   # a row a generation
+    return refresh_models(wh.drop("load_id"), paths.models, days, loads=[(r.g, r.b) for r in covered])
 
 
 def daily_reports(models: dict[str, DataFrame], as_of, paths: LakePaths,

@@ -46,9 +46,23 @@ def retention_candidates(bronze: DataFrame, as_of, days: int = 30) -> DataFrame:
     return bronze.filter(F.col("date") < cutoff)
 
 
-def archive_partitions(candidates: DataFrame, archive_path: str) -> None:
-    """Append old days to an archive table (dynamic partition overwrite, so a
-    re-run replaces the same days instead of duplicating them).  Nothing is
-    deleted from bronze."""
-    (candidates.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy("date").parquet(archive_path))
+def archive_partitions(candidates: DataFrame, archive_path: str, run_id: str) -> None:
+    """Add old days to an archive table, laid out by (``date``, ``run_id``).
+
+    Only rows that the archive of those days doesn't hold yet are written
+    (copy for copy), so a later run that brings late rows of an archived day
+    adds them and repeats none; nothing archived is replaced but an earlier
+    try of the same run.  Nothing is deleted from bronze.
+    """
+    spark = candidates.sparkSession
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{archive_path.rstrip('/')}/*/*/part-*")
+    found = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(p)
+    fresh = candidates
+    if found is not None and len(found):
+        held = spark.read.parquet(archive_path).filter(F.col("run_id") != F.lit(run_id))
+        days = candidates.select("date").distinct()
+        held = held.join(F.broadcast(days), held["date"].eqNullSafe(days["date"]), "left_semi")   # a row a day
+        fresh = candidates.exceptAll(held.select(*candidates.columns))
+    (fresh.withColumn("run_id", F.lit(run_id)).hint("rebalance", "date")
+     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy("date", "run_id").parquet(archive_path))

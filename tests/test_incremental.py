@@ -1,10 +1,12 @@
 """Incremental refresh equals a full rebuild, round after round."""
 
+import pytest
+from pyspark.sql import DataFrameWriter
 from pyspark.sql import functions as F
 
 from cardlake.operators import layers, rules
 from cardlake.plans.build import build_models
-from cardlake.plans.incremental import refresh_models
+from cardlake.plans.incremental import published, refresh_models
 from cardlake.sources import fixtures
 from tests.conftest import SMOKE
 
@@ -67,3 +69,55 @@ def test_hourly_refresh_incremental_rounds(spark, tmp_root):
         assert _same(got[name], want[name]), name
     again = hourly_refresh(spark, paths, processed_at="2024-02-01 00:00:00")   # nothing new
     assert _same(again["mart_settlement_daily"], want["mart_settlement_daily"])
+
+
+def _three_rounds(spark):
+    wh = layers.to_warehouse(layers.with_processed_at(rules.flag_stateless(fixtures.payments(spark, SMOKE)),
+                                                      "2024-02-01 00:00:00")).filter("date < date'2024-01-09'")
+    wh = wh.withColumn("date", F.when(~F.col("transaction_id").endswith("4"), F.col("date")))   # some have no date
+    novel = (wh.limit(4).withColumn("location", F.lit("Mars")).withColumn("channel", F.lit("MOTO"))
+             .withColumn("transaction_id", F.concat("transaction_id", F.lit("X")))
+             .withColumn("date", F.lit("2024-01-07").cast("date")))
+    second = (F.col("date") >= F.lit("2024-01-06").cast("date")) | F.col("transaction_id").endswith("34")
+    freeze = lambda df: spark.createDataFrame(df.collect(), wh.schema)
+    return freeze(wh.filter(~F.coalesce(second, F.lit(False)))), freeze(
+        wh.filter(F.coalesce(second, F.lit(False))).unionByName(novel))
+
+
+def _dates(df):
+    return [None if r[0] is None else str(r[0]) for r in df.select("date").distinct().collect()]
+
+
+@pytest.mark.parametrize("step", range(0, 12, 2))
+def test_a_refresh_that_stops_anywhere_is_made_up_for(spark, tmp_root, monkeypatch, step):
+    """The step-th write of the second refresh fails; the next refresh equals a full build."""
+    first, second = _three_rounds(spark)
+    out, seen = f"{tmp_root}/models", first.unionByName(second)
+    refresh_models(first, out, loads=[("g", 0)])
+    assert published(spark, out)[:2] == (1, [("g", 0)])
+    write, calls = DataFrameWriter.parquet, []
+
+    def failing(self, path, *a, **kw):
+        calls.append(path)
+        if len(calls) > step:
+            raise RuntimeError("stopped")
+        return write(self, path, *a, **kw)
+    monkeypatch.setattr(DataFrameWriter, "parquet", failing)
+    with pytest.raises(RuntimeError, match="stopped"):
+        refresh_models(seen, out, days=_dates(second), loads=[("g", 1)])
+    monkeypatch.setattr(DataFrameWriter, "parquet", write)
+    assert published(spark, out)[1] == [("g", 0)]       # the next refresh begins where the first ended
+    got, want = refresh_models(seen, out, days=_dates(second), loads=[("g", 1)]), build_models(seen)
+    assert published(spark, out)[:2] == (2, [("g", 1)])
+    for name in NAMES:
+        assert _same(got[name], want[name]), name
+
+
+def test_exact_form_and_change_of_models(spark, tmp_root):
+    first, second = _three_rounds(spark)
+    out, seen = f"{tmp_root}/models", first.unionByName(second)
+    refresh_models(first, out, marts=["mart_fraud_alerts"])
+    got = refresh_models(seen, out, days=_dates(second), one_row_per_merchant=True)
+    want = build_models(seen, one_row_per_merchant=True)
+    for name in NAMES:
+        assert _same(got[name], want[name]), name

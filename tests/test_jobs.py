@@ -1,3 +1,4 @@
+import pytest
 from pyspark.sql import functions as F
 
 from cardlake.operators import layers, rules
@@ -53,7 +54,14 @@ def test_card_rules_ingest_end_to_end(spark, tmp_root):
 def test_routed_ingest_and_schema_check(spark, tmp_root):
     write_lines(fixtures.raw_lines(spark, SMOKE), f"{tmp_root}/in")
     await_all(start_routed_ingest(text_stream(spark, f"{tmp_root}/in"), f"{tmp_root}/clean",
-                                  f"{tmp_root}/flagged", f"{tmp_root}/chk", trigger="available_now"))
+                                  f"{tmp_root}/flagged", f"{tmp_root}/chk", dlq_path=f"{tmp_root}/dlq",
+                                  trigger="available_now"))
+    letters = spark.read.parquet(f"{tmp_root}/dlq").count()
+    flagged_rows = spark.read.parquet(f"{tmp_root}/flagged").count()
+    lines = fixtures.raw_lines(spark, SMOKE).count()
+    assert spark.read.parquet(f"{tmp_root}/clean").count() + letters == lines and letters > flagged_rows
+    with pytest.raises(ValueError):
+        start_routed_ingest(None, "a", "b", "c")
     clean = spark.read.parquet(f"{tmp_root}/clean")
     flagged = spark.read.parquet(f"{tmp_root}/flagged")
     assert clean.filter("is_fraud").count() == 0 and flagged.filter("not is_fraud").count() == 0
@@ -101,9 +109,13 @@ def test_archive_partitions_is_rerunnable(spark, tmp_root):
     from cardlake.plans.reports import archive_partitions
     old = retention_candidates(rules.flag_stateless(fixtures.payments(spark, SMOKE)), "2024-02-15", 30)
     n = old.count()
-    archive_partitions(old, f"{tmp_root}/archive")
-    archive_partitions(old, f"{tmp_root}/archive")      # a rerun replaces the same days
+    late = F.col("transaction_id").endswith("5")
+    archive_partitions(old.filter(~late), f"{tmp_root}/archive", "r1")
+    archive_partitions(old.filter(~late), f"{tmp_root}/archive", "r1")   # the same run again replaces itself
+    archive_partitions(old.filter(late), f"{tmp_root}/archive", "r2")    # late rows of archived days are added
+    archive_partitions(old, f"{tmp_root}/archive", "r3")                 # nothing new: nothing repeated
+    assert spark.read.parquet(f"{tmp_root}/archive").count() == n
     newer = retention_candidates(rules.flag_stateless(fixtures.payments(spark, SMOKE)), "2024-02-16", 30)
-    archive_partitions(newer, f"{tmp_root}/archive")     # adds one more day, keeps the others
+    archive_partitions(newer, f"{tmp_root}/archive", "r4")     # adds one more day, keeps the others
     got = spark.read.parquet(f"{tmp_root}/archive")
     assert got.count() == newer.count() and newer.count() > n
