@@ -15,21 +15,24 @@ DEDUP_DELAY = "24 hours"
 
 def dedup_first(df: DataFrame, keys: Sequence[str] = DEDUP_KEYS,
                 order_by: Sequence[str] | None = None) -> DataFrame:
-    """One row per key (null keys compare equal), chosen deterministically.
+    """One row per key (null keys compare equal): the first seen.
 
-    The kept row is the smallest by ``order_by`` (e.g. an arrival sequence),
-    then by the remaining columns.  Implemented as an aggregate of
+    First is by ``order_by`` (e.g. an arrival sequence), by default the order
+    in which the input is read, as in a stream.  Implemented as an aggregate of
     ``min(struct(...))`` so Spark combines map-side before the shuffle:
     a key repeated millions of times collapses in each task instead of
     landing whole on one reducer (a window's row_number would ship it all).
     """
     keys = list(keys)
-    order = list(order_by or [])
+    columns = df.columns
+    if order_by is None:
+        df, order_by = df.withColumn("_arrival", F.monotonically_increasing_id()), ["_arrival"]
+    order = list(order_by)
     rest = [c for c in df.columns if c not in keys and c not in order]
     packed = F.struct(*[F.col(c) for c in order + rest]).alias("_row")
     picked = df.groupBy(*keys).agg(F.min(packed).alias("_row"))
     return picked.select(*[F.col(k) for k in keys],
-                         *[F.col(f"_row.{c}").alias(c) for c in order + rest]).select(*df.columns)
+                         *[F.col(f"_row.{c}").alias(c) for c in order + rest]).select(*columns)
 
 
 def to_silver(df: DataFrame, delay: str = DEDUP_DELAY, processed_at=None,
@@ -40,8 +43,8 @@ def to_silver(df: DataFrame, delay: str = DEDUP_DELAY, processed_at=None,
     The amount filter stays *after* the dedup (as in the reference): a first
     copy with a negative amount removes its later good copy too.  Streaming
     input uses a watermark-bounded ``dropDuplicates`` (rows later than
-    ``delay`` are dropped and id state expires); batch input the
-    deterministic aggregate above.
+    ``delay`` are dropped and id state expires); batch input the aggregate
+    above.  Both keep the first seen copy.
     """
     if df.isStreaming:
         marked = df.withWatermark("event_ts", delay)

@@ -16,6 +16,7 @@ MISSING_ID = "MISSING_ID"
 INVALID_EVENT_TS = "INVALID_EVENT_TS"
 MISSING_AMOUNT = "MISSING_AMOUNT"
 FRAUD_DETECTED = "FRAUD_DETECTED"
+LATE_EVENT = "LATE_EVENT"
 
 
 def _now(as_of) -> Column:

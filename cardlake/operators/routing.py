@@ -60,7 +60,7 @@ def dead_letters(lines: DataFrame, blacklist=None, as_of=None, key: str = "card_
                .when(F.col("is_fraud"), F.lit(FRAUD_DETECTED))
                .when(F.col("is_fraud").isNull(), F.lit(MISSING_AMOUNT)))
     decided = [c for c in flagged.columns if c not in RAW_FIELDS + ["raw_value", "_error"]]
-    fields = ([F.col(c) for c in RAW_FIELDS if c != "merchant_id"] + [F.col("merchant_id")]
+    fields = ([F.col(c) for c in RAW_FIELDS]
               + [F.when(~bad, F.col(c)).alias(c) for c in decided]
               + [F.col("_reason").alias("error_reason"), _now(as_of).alias("dlq_ts"),
                  F.when(bad, F.col("raw_value")).alias("raw_value")])

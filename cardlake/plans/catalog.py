@@ -20,17 +20,17 @@ from cardlake.operators.routing import dead_letters, to_value
 from cardlake.plans.fixture_params import (DLQ_TS, FRESHNESS_AS_OF, FRESHNESS_MAX_LAG_S,
                                            PROCESSED_AT, REPORT_DAY, RETENTION_AS_OF,
                                            RETENTION_DAYS)
-from cardlake.plans.reports import export_report, read_report, retention_candidates
+from cardlake.plans.incremental import MARTS, refresh_models
+from cardlake.plans.reports import archive_partitions, export_report, read_report, retention_candidates
 from cardlake.schemas import (BRONZE, CARD_RULE_COLUMNS, PARSED, RAW_FIELDS, SILVER,
                               WAREHOUSE_COLUMNS)
 from cardlake.session import shared_path
 from cardlake.sources import fixtures
 from cardlake.sources.lines import text_stream, write_lines
-from cardlake.streaming.card_state import card_rule_schema, flag_card_rules_stream
 from cardlake.streaming.jobs import (await_all, read_warehouse, run_silver, run_warehouse,
                                      start_card_rules_ingest, start_ingest, start_routed_ingest,
                                      warehouse_writer)
-from cardlake.streaming.sinks import drain, parquet_sink
+from cardlake.streaming.sinks import drain
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -97,7 +97,7 @@ def q_rule_high_amount(spark, sf_dir):
 
 @register("rule_blacklist")
 def q_rule_blacklist(spark, sf_dir):
-    """Table form (join path): the blacklist as a literal table, size-checked."""
+    """Table form (join path): the blacklist as a literal table."""
     p = fixtures.payments(spark, sf_dir)
     return (rules.flag_blacklist(p, rules.blacklist_table(spark))
             .select("transaction_id", "merchant_id", "rule_blacklist"))
@@ -282,23 +282,36 @@ def q_dq_unique(spark, sf_dir):
     return quality.unique(models.fact_transactions(unchecked_stg(spark, sf_dir)), "transaction_id")
 
 
+def dq_children(spark, sf_dir):
+    """The unvalidated load with references that no dimension has: payments from
+    India name a terminal instead of a merchant, or no currency at all where the
+    code is 4111; cash withdrawals online have an unknown currency."""
+    india = F.col("location") == "India"
+    merchant = F.when(india, F.concat(F.lit("T"), F.col("mcc"))).otherwise(F.col("merchant_id"))
+    currency = (F.when(india & (F.col("mcc") == "4111"), F.lit(None).cast("string"))
+                .when((F.col("mcc") == "6011") & (F.col("channel") == "ECOM"), F.lit("XXX"))
+                .otherwise(F.col("currency")))
+    return unchecked_stg(spark, sf_dir).withColumns({"merchant_id": merchant, "currency": currency})
+
+
 @register("dq_rel_merchant")
 def q_dq_rel_merchant(spark, sf_dir):
-    s = unchecked_stg(spark, sf_dir)
-    return quality.foreign_key(models.fact_transactions(s), "merchant_id", models.dim_merchants(s), "merchant_id")
+    return quality.foreign_key(models.fact_transactions(dq_children(spark, sf_dir)), "merchant_id",
+                               models.dim_merchants(stg(spark, sf_dir)), "merchant_id")
 
 
 @register("dq_rel_currency")
 def q_dq_rel_currency(spark, sf_dir):
-    s = unchecked_stg(spark, sf_dir)
-    return quality.foreign_key(models.fact_transactions(s), "currency", models.dim_currency(s), "currency_code")
+    return quality.foreign_key(models.fact_transactions(dq_children(spark, sf_dir)), "currency",
+                               models.dim_currency(stg(spark, sf_dir)), "currency_code")
 
 
 @register("dq_rel_signal")
 def q_dq_rel_signal(spark, sf_dir):
-    s = unchecked_stg(spark, sf_dir)
-    return quality.foreign_key(models.fact_fraud_signals(s), "transaction_id",
-                               models.fact_transactions(s), "transaction_id")
+    """Signals of the unvalidated load against the facts of the validated one."""
+    checked = models.stg_transactions(q_warehouse(spark, sf_dir))
+    return quality.foreign_key(models.fact_fraud_signals(unchecked_stg(spark, sf_dir)), "transaction_id",
+                               models.fact_transactions(checked), "transaction_id")
 
 
 @register("dq_amount_non_negative")
@@ -308,8 +321,8 @@ def q_dq_amount(spark, sf_dir):
 
 @register("dq_valid_currency")
 def q_dq_currency(spark, sf_dir):
-    s = unchecked_stg(spark, sf_dir)
-    return quality.valid_currency(models.fact_transactions(s), models.dim_currency(s))
+    return quality.valid_currency(models.fact_transactions(dq_children(spark, sf_dir)),
+                                  models.dim_currency(stg(spark, sf_dir)))
 
 
 @register("dq_profile")
@@ -342,6 +355,18 @@ def q_retention(spark, sf_dir):
     return old.groupBy("date").agg(F.count(F.lit(1)).alias("row_count"))
 
 
+@register("archive_days")
+def q_archive(spark, sf_dir):
+    """Two archive runs: the second brings late rows of a day that the first archived."""
+    old = retention_candidates(bronze(spark, sf_dir), RETENTION_AS_OF, RETENTION_DAYS)
+    late = (F.col("date") == F.lit("2024-01-03").cast("date")) & F.col("transaction_id").endswith("7")
+    path = shared_path(spark, "archive")
+    archive_partitions(old.filter(~late), path, "first")
+    archive_partitions(old, path, "second")
+    return spark.read.parquet(path).groupBy("date").agg(F.count(F.lit(1)).alias("row_count"),
+                                                        F.countDistinct("transaction_id").alias("ids"))
+
+
 # ---- streaming jobs -------------------------------------------------------------------
 
 @register("stream_bronze")
@@ -364,13 +389,22 @@ def q_stream_dlq(spark, sf_dir):
 
 @register("stream_routes")
 def q_stream_routes(spark, sf_dir):
-    """Clean and flagged sinks of the routed ingest, read back with the sink name."""
+    """All three sinks of the routed ingest, read back with the sink name: every
+    delivered line is in clean, in the dead letter, or (flagged) in both of its sinks."""
     root = delivered(spark, "stream_routes", fixtures.raw_lines(spark, sf_dir))
     await_all(start_routed_ingest(text_stream(spark, f"{root}/in"), f"{root}/clean", f"{root}/flagged",
-                                  f"{root}/chk", trigger="available_now"))
-    clean = spark.read.schema(BRONZE).parquet(f"{root}/clean").withColumn("sink", F.lit("clean"))
-    flagged = spark.read.schema(BRONZE).parquet(f"{root}/flagged").withColumn("sink", F.lit("flagged"))
-    return clean.unionByName(flagged)
+                                  f"{root}/chk", dlq_path=f"{root}/dlq", trigger="available_now", as_of=DLQ_TS))
+    kept = ["transaction_id", "card_hash", "amount", "is_fraud"]
+    clean = spark.read.schema(BRONZE).parquet(f"{root}/clean").select(
+        F.lit("clean").alias("sink"), *kept, F.lit(None).cast("string").alias("error_reason"))
+    flagged = spark.read.schema(BRONZE).parquet(f"{root}/flagged").select(
+        F.lit("flagged").alias("sink"), *kept, F.lit(None).cast("string").alias("error_reason"))
+    letters = from_value(spark.read.schema("key string, value string").parquet(f"{root}/dlq"),
+                         [*kept, "error_reason"])
+    letters = letters.select(F.lit("dead letter").alias("sink"), "transaction_id", "card_hash",
+                             F.col("amount").cast("double").alias("amount"),
+                             F.col("is_fraud").cast("boolean").alias("is_fraud"), "error_reason")
+    return clean.unionByName(flagged).unionByName(letters)
 
 
 @register("stream_silver")
@@ -386,16 +420,19 @@ def q_stream_warehouse(spark, sf_dir):
     root = shared_path(spark, "stream_warehouse")
     silver = layers.to_silver(bronze_dirty(spark, sf_dir), processed_at=PROCESSED_AT)
     silver.write.partitionBy("date").parquet(f"{root}/silver")
-    # parquet target: batches bounded by input bytes, not by the 10-file database limit
-    run_warehouse(spark, f"{root}/silver", f"{root}/chk", warehouse_writer(f"{root}/wh"),
-                  max_bytes=128 * 1024 * 1024)
+    run_warehouse(spark, f"{root}/silver", f"{root}/chk", 
+                  warehouse_writer(f"{root}/wh", checkpoint=f"{root}/chk"))
     return read_warehouse(spark, f"{root}/wh").select(*WAREHOUSE_COLUMNS)
 
 
+def decided_rows(spark, path):
+    return spark.read.parquet(path).select(*CARD_RULE_COLUMNS, "is_fraud", "fraud_reason")
+
+
 @register("stream_card_rules")
 def q_stream_card_rules(spark, sf_dir):
     """payments_fast delivered in four 15-minute slices, one drain per slice
-    with the same checkpoint: later slices see the state of earlier ones."""
+    with the same checkpoint: later slices look back into earlier ones."""
     root = shared_path(spark, "stream_card_rules")
     fast = fixtures.payments_fast(spark, sf_dir)
     start = F.lit("2024-01-01 00:00:00").cast("timestamp")
@@ -404,19 +441,52 @@ def q_stream_card_rules(spark, sf_dir):
         hi = start + F.expr(f"INTERVAL {15 * (i + 1)} MINUTES")
         cond = (F.col("event_ts") >= lo) & (F.col("event_ts") < hi) if i < 3 else (F.col("event_ts") >= lo)
         fast.filter(cond).write.mode("append").parquet(f"{root}/in")
-        stream = flag_card_rules_stream(spark.readStream.schema(PARSED).parquet(f"{root}/in"))
-        parquet_sink(stream, f"{root}/out", f"{root}/chk", trigger="available_now").awaitTermination()
-    return rules.combine_flags(spark.read.schema(card_rule_schema()).parquet(f"{root}/out"), rules.ALL_RULES)
+        await_all(start_card_rules_ingest(spark.readStream.schema(PARSED).parquet(f"{root}/in"),
+                                          f"{root}/decided", f"{root}/chk", trigger="available_now",
+                                          payloads=False))
+    return decided_rows(spark, f"{root}/decided")
 
 
 @register("stream_card_rules_ingest")
 def q_stream_card_rules_ingest(spark, sf_dir):
-    """Stateful ingest from JSON payloads of payments_fast: decided rows read back."""
+    """Ingest from JSON payloads of payments_fast: decided rows read back."""
     payloads = fixtures.payments_fast(spark, sf_dir).select(F.to_json(F.struct(*RAW_FIELDS)).alias("value"))
     root = delivered(spark, "stream_card_rules_ingest", payloads)
     await_all(start_card_rules_ingest(text_stream(spark, f"{root}/in"), f"{root}/decided", f"{root}/chk",
                                       dlq_path=f"{root}/dlq", trigger="available_now", as_of=DLQ_TS))
-    return spark.read.parquet(f"{root}/decided").select(*CARD_RULE_COLUMNS, "is_fraud", "fraud_reason")
+    return decided_rows(spark, f"{root}/decided")
+
+
+@register("stream_card_rules_late")
+def q_stream_card_rules_late(spark, sf_dir):
+    """Half of the cards are delivered in a second drain: their rows that are over
+    15 minutes behind the first drain's newest are letters, the others decided.
+    Every payment is in one of the two, decided or ``LATE_EVENT``."""
+    fast = fixtures.payments_fast(spark, sf_dir)
+    root = shared_path(spark, "stream_card_rules_late")
+    second = F.col("card_hash") >= "8"
+    for part in (~second, second):
+        fast.filter(part).select(F.to_json(F.struct(*RAW_FIELDS)).alias("value")) \
+            .write.mode("append").text(f"{root}/in")
+        await_all(start_card_rules_ingest(text_stream(spark, f"{root}/in"), f"{root}/decided", f"{root}/chk",
+                                          dlq_path=f"{root}/dlq", trigger="available_now", as_of=DLQ_TS))
+    letters = from_value(spark.read.parquet(f"{root}/dlq").select("key", "value"),
+                         ["transaction_id", "error_reason"]).filter("error_reason = 'LATE_EVENT'")
+    return (decided_rows(spark, f"{root}/decided")
+            .select("transaction_id", F.lit("decided").alias("outcome"), "is_fraud", "fraud_reason")
+            .unionByName(letters.select("transaction_id", F.col("error_reason").alias("outcome"),
+                                        F.lit(None).cast("boolean").alias("is_fraud"),
+                                        F.lit(None).cast("string").alias("fraud_reason"))))
+
+
+@register("stream_blacklist_table")
+def q_stream_blacklist(spark, sf_dir):
+    """Stream joined to the static blacklist table."""
+    root = shared_path(spark, "stream_blacklist")
+    fixtures.payments(spark, sf_dir).write.parquet(f"{root}/in")
+    stream = rules.flag_blacklist(spark.readStream.schema(PARSED).parquet(f"{root}/in"),
+                                  rules.blacklist_table(spark))
+    return drain(stream.select("transaction_id", "merchant_id", "rule_blacklist"), f"{root}/out", f"{root}/chk")
 
 
 @register("stream_silver_late")
@@ -441,17 +511,16 @@ def _incremental(mart: str) -> Query:
     row set for an early day in round two); after each round the models are
     refreshed incrementally.  Returns ``mart`` as stored after round two."""
     def q(spark, sf_dir):
-        from cardlake.plans.incremental import refresh_models
         wh = transactions(spark, sf_dir)
         d = F.col("date")
         cut = F.lit("2024-01-15").cast("date")
         late = (d == F.lit("2024-01-03").cast("date")) & F.col("transaction_id").endswith("3")
         out = shared_path(spark, f"incremental_{mart}")
-        refresh_models(wh.filter((d < cut) & ~late), out)
+        refresh_models(wh.filter((d < cut) & ~late), out, marts=[mart])
         second_days = [str(r[0]) for r in wh.filter((d >= cut) | late).select("date").distinct().collect()]
-        return refresh_models(wh, out, days=second_days)[mart]
+        return refresh_models(wh, out, days=second_days, marts=[mart])[mart]
     return q
 
 
-register("mart_settlement_daily_incremental")(_incremental("mart_settlement_daily"))
-register("mart_channel_performance_incremental")(_incremental("mart_channel_performance"))
+for _mart in MARTS:
+    register(f"{_mart}_incremental")(_incremental(_mart))

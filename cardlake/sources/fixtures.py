@@ -16,7 +16,7 @@ Mapping (fixed values of the test fixtures, see FIXTURES.md section B):
 * auth_result = DECLINED for error and signup, else APPROVED
 * location = India when k >= 98, else USA for even user_id, UK for odd
 * dirty rows: amount negated where event_id mod 97 = 0, null where mod 103 = 0,
-  id null where mod 101 = 0, a second copy where mod 50 = 0
+  id null where mod 101 = 0, a second copy with amount + 1 where mod 50 = 0
 * raw lines: JSON of the dirty rows, cut to 20 characters where mod 89 = 0,
   empty where mod 83 = 0
 
@@ -117,7 +117,8 @@ def dirty_from_events(ev: DataFrame, keep_event_id: bool = False) -> DataFrame:
     # one or two copies per event, without a self-union (one scan)
     copies = F.when(eid % DIRTY_COPY_MOD == 0, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))
     out = (p.withColumn("amount", amount).withColumn("transaction_id", txn)
-             .withColumn("_copy", F.explode(copies)).drop("_copy"))
+             .withColumn("_copy", F.explode(copies))
+             .withColumn("amount", F.col("amount") + (F.col("_copy") - 1)).drop("_copy"))
     return out if keep_event_id else out.drop("event_id")
 
 

@@ -10,12 +10,15 @@ from pyspark.sql.streaming import StreamingQuery
 
 from cardlake.operators.layers import to_silver, to_warehouse
 from cardlake.operators.parse import parse_payments
-from cardlake.operators.routing import dead_letter, dead_letters
+from cardlake.operators.routing import dead_letters
 from cardlake.operators.rules import DEFAULT_BLACKLIST, flag_stateless, route
 from cardlake.schemas import BRONZE, SILVER
+from cardlake.sources.jdbc import append_table, execute
+from cardlake.streaming.card_batches import card_rules_writer, load_id, replace_load
+from cardlake.streaming.card_state import interval_seconds
 from cardlake.streaming.sinks import kafka_sink, parquet_sink, trigger_kwargs
 
-WAREHOUSE_MAX_FILES = 10
+DATABASE_MAX_FILES = 10
 JDBC_BATCH_ROWS = 10000
 JDBC_WRITERS = 2
 
@@ -38,58 +41,59 @@ def start_ingest(lines: DataFrame, bronze_path: str, checkpoint_root: str,
     bronze = flag_stateless(valid.withWatermark("event_ts", delay), blacklist)
     queries = [parquet_sink(bronze, bronze_path, f"{checkpoint_root}/bronze", ["date"], trigger)]
     # one pass over each micro-batch (not a union of three branches of it)
-    letters = dead_letters(lines, blacklist, as_of=as_of)
-    if kafka:
-        queries.append(kafka_sink(letters, kafka[0], kafka[1], f"{checkpoint_root}/dlq", trigger))
-    elif dlq_path:
-        queries.append(parquet_sink(letters, dlq_path, f"{checkpoint_root}/dlq", (), trigger))
+    if kafka or dlq_path:
+        letters = dead_letters(lines, blacklist, as_of=as_of)
+        queries.append(_letters_sink(letters, dlq_path, kafka, checkpoint_root, trigger))
     return queries
 
 
 def start_routed_ingest(lines: DataFrame, clean_path: str, flagged_path: str, checkpoint_root: str,
+                        dlq_path: str | None = None, kafka: tuple[str, str] | None = None,
                         trigger: str | None = "10 seconds", blacklist=DEFAULT_BLACKLIST,
-                        delay: str = "15 minutes") -> list[StreamingQuery]:
-    """Variant with separate clean / flagged parquet sinks (no day partitions).
+                        delay: str = "15 minutes", as_of=None) -> list[StreamingQuery]:
+    """Variant with three sinks: dead letter, clean and flagged parquet (no day partitions).
 
-    A row whose decision is null goes to neither sink here (as in that
-    variant); ``start_ingest`` keeps every row.
+    Every payload ends in clean, flagged or the dead letter: flagged rows,
+    rows whose decision is null (``MISSING_AMOUNT``) and payloads that don't
+    parse are letters, as in ``start_ingest``.  A dead-letter target is
+    required, since undecided rows have no other sink.
     """
-    valid, _ = parse_payments(lines)
+    if not (kafka or dlq_path):
+        raise ValueError("the routed ingest needs a dead-letter sink (dlq_path or kafka)")
+    valid, _ = parse_payments(lines, as_of=as_of)
     bronze = flag_stateless(valid.withWatermark("event_ts", delay), blacklist)
     clean, flagged, _ = route(bronze)
-    return [parquet_sink(clean, clean_path, f"{checkpoint_root}/clean", (), trigger),
+    return [_letters_sink(dead_letters(lines, blacklist, as_of=as_of), dlq_path, kafka, checkpoint_root, trigger),
+            parquet_sink(clean, clean_path, f"{checkpoint_root}/clean", (), trigger),
             parquet_sink(flagged, flagged_path, f"{checkpoint_root}/flagged", (), trigger)]
 
 
+def _letters_sink(letters: DataFrame, dlq_path: str | None, kafka: tuple[str, str] | None,
+                  checkpoint_root: str, trigger: str | None) -> StreamingQuery:
+    if kafka:
+        return kafka_sink(letters, kafka[0], kafka[1], f"{checkpoint_root}/dlq", trigger)
+    return parquet_sink(letters, dlq_path, f"{checkpoint_root}/dlq", (), trigger)
+
+
 def start_card_rules_ingest(lines: DataFrame, decided_path: str, checkpoint_root: str,
                             dlq_path: str | None = None, kafka: tuple[str, str] | None = None,
                             trigger: str | None = "1 minute", blacklist=DEFAULT_BLACKLIST,
-                            delay: str = "15 minutes", as_of=None, **rule_params) -> list[StreamingQuery]:
-    """All five rules on a stream.
-
-    One stateful query writes every decided row (by ``event_date``); readers
-    split clean / flagged with ``route``.  The dead letter is a second,
-    stateless query: flagged rows read back from the decided table's
-    committed files, plus payloads that do not parse.  So the keyed state runs
-    once, not once per sink.
+                            delay: str = "15 minutes", as_of=None, payloads: bool = True,
+                            **rule_params) -> list[StreamingQuery]:
+    """All five rules on a stream (``streaming.card_batches``).
+
+    Decided rows go to ``decided_path`` (by ``event_date``, then load);
+    readers split clean / flagged with ``route``.  The dead letter has flagged
+    rows, rows without a decision (``MISSING_AMOUNT``), rows later than
+    ``delay`` (``LATE_EVENT``, not decided) and payloads that don't parse, so
+    every payload is in one of the two.  ``payloads=False``: the stream has
+    parsed payments instead of a JSON ``value``.
     """
-    from cardlake.operators.rules import ALL_RULES, combine_flags
-    from cardlake.streaming.card_state import flag_card_rules_stream
-    spark = lines.sparkSession
-    valid, invalid = parse_payments(lines, as_of=as_of)
-    decided = combine_flags(flag_card_rules_stream(valid, blacklist, delay, **rule_params), ALL_RULES)
-    queries = [parquet_sink(decided, decided_path, f"{checkpoint_root}/decided", ["event_date"], trigger)]
-    if not (kafka or dlq_path):
-        return queries
-    if trigger in (None, "available_now", "once"):
-        queries[0].awaitTermination()      # drain mode: decided files first
-    flagged = route(spark.readStream.schema(decided.schema).parquet(decided_path))[1]
-    letters = dead_letter(flagged, invalid, as_of=as_of)
-    if kafka:
-        queries.append(kafka_sink(letters, kafka[0], kafka[1], f"{checkpoint_root}/dlq", trigger))
-    else:
-        queries.append(parquet_sink(letters, dlq_path, f"{checkpoint_root}/dlq", (), trigger))
-    return queries
+    checkpoint = f"{checkpoint_root}/decided"
+    writer = card_rules_writer(decided_path, checkpoint, interval_seconds(delay), dlq_path, kafka, blacklist,
+                               payloads, as_of, **rule_params)
+    return [(lines.writeStream.foreachBatch(writer).option("checkpointLocation", checkpoint)
+             .trigger(**trigger_kwargs(trigger)).start())]
 
 
 def await_all(queries: Sequence[StreamingQuery]) -> None:
@@ -146,41 +150,42 @@ def run_silver(spark: SparkSession, bronze_path: str, silver_path: str, checkpoi
 
 def warehouse_writer(target: str | None = None, jdbc_url: str | None = None, table: str = "transactions",
                      properties: dict | None = None, writers: int = JDBC_WRITERS,
-                     batch_rows: int = JDBC_BATCH_ROWS,
+                     batch_rows: int = JDBC_BATCH_ROWS, checkpoint: str | None = None,
                      batch_column: str | None = None) -> Callable[[DataFrame, int], None]:
     """``foreachBatch`` function appending a micro-batch to the warehouse.
 
-    Parquet target: the batch is written to its own ``batch_id`` partition
-    with dynamic overwrite, so a retried batch replaces itself (idempotent);
-    the batch is read once (an empty batch writes no files, so no emptiness
-    check that would read it a second time).
+    Parquet target: rows are laid out by (``date``, ``load_id``), so readers of
+    a few days open those days only.  A load is one batch of one generation of
+    the stream's ``checkpoint``; dynamic overwrite makes a repeated batch
+    replace itself and leaves the loads of older checkpoints alone.
     JDBC target: empty batches are skipped with ``isEmpty`` before any
     connection opens; append with ``writers`` connections and ``batch_rows``
-    per insert.  With ``batch_column`` (a bigint column of the table) each
-    batch first deletes its own rows, then appends them tagged with its id,
-    so a retried batch replaces itself (not tested here: no database).
+    per insert.  A retried batch repeats its rows unless ``batch_column`` (a
+    bigint column of the table) is given: then each batch first deletes its
+    own rows and appends them tagged with its id (not tested here: no database).
     """
+    if not jdbc_url and not (target and checkpoint):
+        raise ValueError("a parquet warehouse needs its path and the stream's checkpoint")
+
     def write(batch: DataFrame, batch_id: int) -> None:
-        if jdbc_url:
-            if batch.isEmpty():
-                return
-            out = batch
-            if batch_column:
-                from cardlake.sources.jdbc import execute
-                execute(batch.sparkSession, jdbc_url,
-                        f"DELETE FROM {table} WHERE {batch_column} = {int(batch_id)}", properties)
-                out = batch.withColumn(batch_column, F.lit(batch_id).cast("long"))
-            (out.write.mode("append").option("numPartitions", writers)
-             .option("batchsize", batch_rows)
-             .jdbc(jdbc_url, table, properties=properties or {}))
+        if not jdbc_url:
+            # rows of a day together, large days split: not one file a task and day
+            replace_load(batch.hint("rebalance", "date"), target, load_id(batch.sparkSession, checkpoint, batch_id),
+                         ("date",))
+            return
+        if batch.isEmpty():
             return
-        (batch.withColumn("batch_id", F.lit(batch_id).cast("long"))
-         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy("batch_id").parquet(target))
+        if batch_column:
+            execute(batch.sparkSession, jdbc_url,
+                    f"DELETE FROM {table} WHERE {batch_column} = {int(batch_id)}", properties)
+            batch = batch.withColumn(batch_column, F.lit(batch_id).cast("long"))
+        append_table(batch, jdbc_url, table, properties, writers, batch_rows)
     return write
 
 
 def _rate_limited(spark: SparkSession, schema, max_files: int | None, max_bytes: int | None):
+    if max_files and max_bytes:
+        raise ValueError("bound a batch by max_files or by max_bytes, not by both")
     r = spark.readStream.schema(schema)
     if max_bytes:
         return r.option("maxBytesPerTrigger", int(max_bytes))
@@ -191,13 +196,14 @@ def _rate_limited(spark: SparkSession, schema, max_files: int | None, max_bytes:
 
 def run_warehouse(spark: SparkSession, silver_path: str, checkpoint: str,
                   writer: Callable[[DataFrame, int], None],
-                  max_files: int | None = WAREHOUSE_MAX_FILES, max_bytes: int | None = None,
+                  max_files: int | None = None, max_bytes: int | None = None,
                   schema=SILVER, trigger: str | None = "available_now") -> StreamingQuery:
     """New silver files -> warehouse projection -> writer, one bounded batch at a time.
 
-    The batch bound is ``max_bytes`` of input when given (steady batch size
-    whatever the file sizes), else ``max_files`` files (10: the reference's
-    limit, meant to protect a database target).
+    A batch is bounded by ``max_bytes`` of input or by ``max_files`` files, as
+    the target needs it (``DATABASE_MAX_FILES`` protects a database); without
+    a bound a drain takes what is there in one batch, which Spark splits into
+    tasks like any other job.
     """
     src = _rate_limited(spark, schema, max_files, max_bytes).parquet(silver_path)
     # per-batch row count as a query metric (lastProgress.observedMetrics), no extra job
@@ -210,4 +216,5 @@ def run_warehouse(spark: SparkSession, silver_path: str, checkpoint: str,
 
 
 def read_warehouse(spark: SparkSession, target: str) -> DataFrame:
-    return spark.read.parquet(target).drop("batch_id")
+    """Warehouse rows; the table is laid out by ``date``, so a day filter prunes."""
+    return spark.read.parquet(target).drop("load_id")

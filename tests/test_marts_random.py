@@ -20,12 +20,9 @@ SQL = {
         select date, merchant_id, currency, cast(money as decimal(38,2)) total_amount,
                n transaction_count, cast(round(money * 0.02, 2) as decimal(38,2)) fees,
                cast(round(money - round(money * 0.02, 2), 2) as decimal(38,2)) total_settlement
-        from (select date, merchant_id, currency,
-                     sum(amount) filter (where not is_fraud and auth_result = 'APPROVED') money,
-                     count(distinct transaction_id) filter (where not is_fraud and auth_result = 'APPROVED') n,
-                     count(*) filter (where not is_fraud and auth_result = 'APPROVED') kept
-              from {PAIRS} group by all)
-        where kept > 0""",
+        from (select date, merchant_id, currency, sum(amount) money, count(distinct transaction_id) n
+              from {PAIRS} where not is_fraud and auth_result = 'APPROVED'
+              group by date, merchant_id, currency)""",
     "fraud_settlement": f"""
         select date, merchant_id, cast(sum(amount) as decimal(38,2)) total_amount,
                count(distinct transaction_id) transaction_count,

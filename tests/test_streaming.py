@@ -1,3 +1,4 @@
+import pytest
 import datetime as dt
 
 from pyspark.sql import functions as F
@@ -34,19 +35,39 @@ def test_silver_restart_dedup_and_late_rows(spark, tmp_root):
 def test_warehouse_writer_is_idempotent_per_batch(spark, tmp_root):
     batch = layers.to_warehouse(layers.to_silver(_bronze(spark, [payment("a", 5), payment("b", 6)]),
                                                  processed_at="2024-02-01 00:00:00"))
-    write = warehouse_writer(f"{tmp_root}/wh")
-    write(batch, 7)
-    write(batch, 7)          # retried batch replaces itself
-    write(batch.limit(0), 8)  # empty batch: nothing written
-    assert read_warehouse(spark, f"{tmp_root}/wh").count() == 2
+    for generation in ("11111111-aaaa", "22222222-bbbb"):
+        spark.createDataFrame([(f'{{"id":"{generation}"}}',)], "value string").coalesce(1) \
+            .write.text(f"{tmp_root}/{generation}/metadata")
+        write = warehouse_writer(f"{tmp_root}/wh", checkpoint=f"{tmp_root}/{generation}")
+        write(batch, 7)
+        write(batch, 7)          # retried batch replaces itself
+        write(batch.limit(0), 8)  # empty batch: nothing written
+    # a new checkpoint counts its batches from 0 again and leaves older loads alone
+    assert read_warehouse(spark, f"{tmp_root}/wh").count() == 4
+
+
+def test_warehouse_days_are_pruned(spark, tmp_root):
+    silver = layers.to_silver(_bronze(spark, [payment(f"t{i}", i, sec=i * 86400) for i in range(9)]),
+                              processed_at="2024-02-01 00:00:00")
+    silver.write.partitionBy("date").parquet(f"{tmp_root}/silver")
+    run_warehouse(spark, f"{tmp_root}/silver", f"{tmp_root}/chk",
+                  warehouse_writer(f"{tmp_root}/wh", checkpoint=f"{tmp_root}/chk"))
+    day = read_warehouse(spark, f"{tmp_root}/wh").filter("date = date'2024-01-03'")
+    assert day.count() == 1
+    assert "PartitionFilters: [isnotnull(date" in day._jdf.queryExecution().executedPlan().toString()
+
+
+def test_batch_bounds_exclude_each_other(spark):
+    with pytest.raises(ValueError):
+        run_silver(spark, "in", "out", "chk", max_files=1, max_bytes=1)
 
 
 def test_warehouse_stream_equals_batch(spark, tmp_root):
     silver = layers.to_silver(_bronze(spark, [payment(f"t{i}", i, sec=i * 3600) for i in range(30)]),
                               processed_at="2024-02-01 00:00:00")
     silver.write.partitionBy("date").parquet(f"{tmp_root}/silver")
-    run_warehouse(spark, f"{tmp_root}/silver", f"{tmp_root}/chk", warehouse_writer(f"{tmp_root}/wh"),
-                  max_files=1)
+    run_warehouse(spark, f"{tmp_root}/silver", f"{tmp_root}/chk", 
+                  warehouse_writer(f"{tmp_root}/wh", checkpoint=f"{tmp_root}/chk"), max_files=1)
     got = read_warehouse(spark, f"{tmp_root}/wh").select(*layers.to_warehouse(silver).columns)
     assert got.exceptAll(layers.to_warehouse(silver)).count() == 0
     assert got.count() == 30
@@ -129,7 +150,8 @@ def test_progress_recorder_reports_rows_and_state(spark, tmp_root):
         silver = layers.to_silver(_bronze(spark, [payment(f"t{i}", i, sec=i * 3600) for i in range(20)]),
                                   processed_at="2024-02-01 00:00:00")
         silver.write.partitionBy("date").parquet(f"{tmp_root}/silver")
-        run_warehouse(spark, f"{tmp_root}/silver", f"{tmp_root}/chk", warehouse_writer(f"{tmp_root}/wh"))
+        run_warehouse(spark, f"{tmp_root}/silver", f"{tmp_root}/chk",
+                      warehouse_writer(f"{tmp_root}/wh", checkpoint=f"{tmp_root}/chk"))
         df = payments_df(spark, [payment(f"x{i}", card=f"c{i % 3}", sec=i) for i in range(30)])
         df.write.parquet(f"{tmp_root}/in")
         stream = flag_card_rules_stream(spark.readStream.schema(PARSED).parquet(f"{tmp_root}/in"))
@@ -206,3 +228,54 @@ def test_card_state_stream_in_non_utc_session(spark, tmp_root):
     finally:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
     assert got == want
+
+
+def test_card_rules_keep_every_payload_and_split_a_hot_card(spark, tmp_root):
+    """One card with a third of all rows, late rows in a second drain, a batch run twice."""
+    import random
+
+    from cardlake.operators.card_rules import flag_card_rules
+    from cardlake.operators.rules import flag_blacklist, flag_high_amount
+    from cardlake.streaming.jobs import await_all, start_card_rules_ingest
+    rnd = random.Random(11)
+    rows = [payment(f"x{i:04d}", card="hot" if i % 3 == 0 else f"c{rnd.randrange(40)}", sec=rnd.randrange(0, 7200),
+                    location=rnd.choice(["UK", "USA", None]), auth=rnd.choice(["APPROVED", "DECLINED"]),
+                    amount=None if i % 50 == 0 else 5.0) for i in range(900)]
+    late = [r for i, r in enumerate(rows) if i % 10 == 0]
+    early = [r for i, r in enumerate(rows) if i % 10]
+    for part in (early, late):
+        payments_df(spark, part).write.mode("append").parquet(f"{tmp_root}/in")
+        await_all(start_card_rules_ingest(
+            spark.readStream.schema(PARSED).parquet(f"{tmp_root}/in"), f"{tmp_root}/decided", f"{tmp_root}/chk",
+            dlq_path=f"{tmp_root}/dlq", trigger="available_now", payloads=False))
+    decided = spark.read.parquet(f"{tmp_root}/decided")
+    letters = spark.read.parquet(f"{tmp_root}/dlq").selectExpr(
+        "get_json_object(value, '$.transaction_id') id", "get_json_object(value, '$.error_reason') reason").collect()
+    too_late = {r.id for r in letters if r.reason == "LATE_EVENT"}
+    ids = [r[0] for r in decided.select("transaction_id").collect()]
+    assert len(ids) == len(set(ids)) and not too_late & set(ids)
+    assert set(ids) | too_late == {r[0] for r in rows} and too_late
+    undecided = {r.transaction_id for r in decided.filter("is_fraud is null").collect()}
+    assert undecided <= {r.id for r in letters if r.reason == "MISSING_AMOUNT"}
+    # the first drain equals the table form; a late row in time sees what came before it
+    flags = ("rule_velocity", "rule_cross_border", "rule_decline_rate")
+    got = {r.transaction_id: tuple(r[f] for f in flags) for r in decided.collect()}
+
+    def table(part):
+        p = flag_blacklist(flag_high_amount(payments_df(spark, part)))
+        return {r.transaction_id: tuple(r[f] for f in flags) for r in flag_card_rules(p).collect()}
+    first = table(early)
+    assert {k: v for k, v in got.items() if k in first} == first
+    in_time = [r for r in late if r[0] not in too_late]
+    both = table(early + in_time)
+    assert in_time and all(got[r[0]] == both[r[0]] for r in in_time)
+
+
+def test_first_seen_copy_is_kept_in_table_and_stream(spark, tmp_root):
+    rows = [payment("a", 9), payment("a", 3), payment("b", -1), payment("b", 4), payment("c", 2), payment("c", -2)]
+    bronze = _bronze(spark, rows).coalesce(1)
+    table = {r.transaction_id: r.amount for r in layers.to_silver(bronze).collect()}
+    bronze.write.partitionBy("date").parquet(f"{tmp_root}/bronze")
+    run_silver(spark, f"{tmp_root}/bronze", f"{tmp_root}/silver", f"{tmp_root}/chk")
+    stream = {r.transaction_id: r.amount for r in spark.read.schema(SILVER).parquet(f"{tmp_root}/silver").collect()}
+    assert table == stream == {"a": 9.0, "c": 2.0}      # b's first copy is negative: both copies go
