@@ -195,17 +195,11 @@ def mart_channel_performance(fact: DataFrame, dim: DataFrame) -> DataFrame:
     """Per (date, dimension channel), as written.
 
     A merchant with rows in several channels counts its transactions in each
-    of them.  Facts are joined to one row per (merchant, channel) with the
-    dimension row count ``_k``, so rows repeat once per channel (not once per
-    dimension row) and sums are scaled by ``_k``.
+    of them.  Sums come from one row per (date, merchant), scaled by the
+    dimension row count; only the distinct ids meet the channels row by row.
     """
-    kc = merchant_multiplicity(dim, by=("channel",))
-    j = fact.select("date", "merchant_id", "transaction_id", "amount", "is_fraud").join(kc, "merchant_id")
-    fraud = F.sum(F.when(F.col("is_fraud"), F.col("_k")).otherwise(F.lit(0)))
-    return (j.groupBy("date", "channel")
-             .agg(F.countDistinct("transaction_id").cast("long").alias("transaction_count"),
-                  _money(F.sum(F.col("amount") * F.col("_k"))).alias("total_amount"),
-                  fraud.cast("long").alias("fraud_count")))
+    pairs = channel_pairs(dim)
+    return channel_from_bases(merchant_day_base(fact), channel_ids_base(fact, pairs), pairs)
 
 
 def channel_pairs(dim: DataFrame) -> DataFrame:
@@ -215,8 +209,8 @@ def channel_pairs(dim: DataFrame) -> DataFrame:
 
 def channel_ids_base(fact: DataFrame, pairs: DataFrame) -> DataFrame:
     """Per (date, dimension channel): distinct ids over the merchants in that channel."""
-    j = fact.select("date", "merchant_id", "transaction_id").join(pairs.select("merchant_id", "channel"),
-                                                                   "merchant_id")
+    ids = fact.select("date", "merchant_id", "transaction_id").distinct()
+    j = ids.join(pairs.select("merchant_id", "channel"), "merchant_id")
     return (j.groupBy("date", "channel")
              .agg(F.countDistinct("transaction_id").cast("long").alias("transaction_count")))
 
