@@ -8,16 +8,20 @@ Vectors are compared by cosine.  Unit vectors with cosine >= t are at most
    coded by the nearest of a small codebook; the exact error of the code is
    kept with it.
 3. Sufficient probes: a vector y of another list lies beyond the plane halfway
-   between the two centroids, so x probes exactly the lists whose plane is
-   within r of x.  No pair can be missed.
+   between the two centroids, so x probes the lists whose plane is within
+   ``reach * r`` of x.  With reach 1 no pair can be missed.  In d dimensions a
+   step of length r crosses a given plane by r / sqrt(d) as a rule (standard
+   deviation), so the default is min(1, 3.5 / sqrt(d)): without loss up to
+   twelve dimensions, 3.5 deviations beyond.  README has the measured recall.
 4. Asymmetric distances: x looks up its distance to every code of a probed
    list in tables (one entry a subspace and codeword) and keeps y unless
    distance - error of y > r.  By the triangle inequality no pair is missed.
 5. Exact rerank: cosine in double precision from the vectors themselves.
 
 Centroids and codebooks are fitted on the ``sample_rows`` distinct vectors
-with the smallest hash of their id (a bounded sample); there are at most
-``max_lists`` lists.  Every vector is indexed and every vector is a query.
+with the smallest hash of their id (a bounded sample); there is a list for each
+``list_rows`` vectors and ``max_lists`` at most.  Every vector is indexed and
+every vector is a query.
 
 Equal vectors are one point with a number of copies.  Lists are cut into
 blocks of ``block_rows`` members; a block is one stream: its members are held,
@@ -26,8 +30,8 @@ its points connected, never all pairs.
 
 Defined cases: vectors that are null, empty, zero, or hold null or non-finite
 components link with nothing; vectors of different length link with nothing;
-a null id links with nothing, but its vector counts for its copies; an id with
-several vectors has the links of each and one component; an empty table gives
+a null id is no component's smallest, its row has the links of its vector; an
+id with several vectors has the links of each and one component; an empty table gives
 an empty one; extra columns are ignored.
 """
 
@@ -51,10 +55,17 @@ def usable(v: Column) -> Column:
     return F.coalesce(v.isNotNull() & ~odd & F.exists(v, lambda x: x != 0), F.lit(False))
 
 
-def _unit(rows: list, size: int) -> np.ndarray:
-    out = np.zeros((len(rows), size))
+def _padded(rows: list, size: int, kind: str) -> np.ndarray:
+    """Vectors as rows of one array, shorter ones filled up with zeros."""
+    out = np.zeros((len(rows), size), kind)
     for i, v in enumerate(rows):
         out[i, :len(v)] = v
+    return out
+
+
+def _unit(raw: np.ndarray) -> np.ndarray:
+    """Unit vectors in double precision."""
+    out = raw.astype(float)
     out /= np.abs(out).max(1, keepdims=True)
     return out / np.sqrt((out * out).sum(1, keepdims=True))
 
@@ -79,12 +90,12 @@ class Index:
 
     def __init__(self, sample: np.ndarray, lists: int, parts: int, words: int, seed: int = 5):
         rng = np.random.default_rng(seed)
-        self.centroids = _lloyd(sample, lists, 8, rng)
+        self.centroids = _lloyd(sample, lists, 5, rng)
+        self.apart = np.sqrt(_squares(self.centroids, self.centroids))
         near = _squares(sample, self.centroids).argmin(1)
         rest = sample - self.centroids[near]
         self.cuts = [c for c in np.array_split(np.arange(sample.shape[1]), parts) if len(c)]
         self.books = [_lloyd(rest[:, c], words, 6, rng) for c in self.cuts]
-        self.apart = np.sqrt(_squares(self.centroids, self.centroids))
 
     def encode(self, x: np.ndarray):
         """(list, codes, error of the code) of unit vectors, and their squared distances to centroids."""
@@ -113,31 +124,28 @@ class Index:
         return np.sqrt(total)
 
 
-def fit(points: DataFrame, n: int, size: int, sample_rows: int, max_lists: int, parts: int,
-        words: int) -> Index:
+def fit(points: DataFrame, n: int, size: int, sample_rows: int, max_lists: int, list_rows: int,
+        parts: int, words: int) -> Index:
     rows = (points.orderBy(F.xxhash64("id"), "id").limit(sample_rows).select("v").collect())
-    sample = _unit([r["v"] for r in rows], size)
-    lists = max(1, min(max_lists, int(math.sqrt(n)), len(sample)))
+    sample = _unit(_padded([r["v"] for r in rows], size, "f8"))
+    lists = max(1, min(max_lists, -(-n // list_rows), len(sample)))
     return Index(sample, lists, parts, min(words, len(sample)))
 
 
-ROW = "list int, block int, part int, id {id}, copies long, size int, codes binary, error double, v binary"
-
-
-def _rows(points: DataFrame, index: Index, size: int, radius: float) -> tuple[DataFrame, DataFrame]:
+def _rows(points: DataFrame, index: Index, size: int, radius: float, kind_: str) -> tuple[DataFrame, DataFrame]:
     """(members, queries): one member row a point; one query row for each list a point probes."""
     def members(batches):
         for b in batches:
             if not b.num_rows:
                 continue
             raw = b["v"].to_pylist()
-            x = _unit(raw, size)
-            near, codes, lost, _ = index.encode(x)
+            padded = _padded(raw, size, kind_)
+            near, codes, lost, _ = index.encode(_unit(padded))
             yield pa.RecordBatch.from_arrays(
                 [pa.array(near, pa.int32()), b["id"], b["copies"],
                  pa.array([len(v) for v in raw], pa.int32()),
                  pa.array([c.tobytes() for c in codes], pa.binary()), pa.array(lost),
-                 pa.array([v.tobytes() for v in x], pa.binary())],
+                 pa.array([v.tobytes() for v in padded], pa.binary())],
                 names=["list", "id", "copies", "size", "codes", "error", "v"])
 
     def queries(batches):
@@ -145,10 +153,10 @@ def _rows(points: DataFrame, index: Index, size: int, radius: float) -> tuple[Da
             if not b.num_rows:
                 continue
             raw = b["v"].to_pylist()
-            x = _unit(raw, size)
-            near, _, _, d2 = index.encode(x)
+            padded = _padded(raw, size, kind_)
+            near, _, _, d2 = index.encode(_unit(padded))
             who, where = np.nonzero(index.probes(near, d2, radius))
-            packed = [v.tobytes() for v in x]
+            packed = [v.tobytes() for v in padded]
             for i in range(0, len(who), 8192):
                 w = who[i:i + 8192]
                 yield pa.RecordBatch.from_arrays(
@@ -164,13 +172,14 @@ def _rows(points: DataFrame, index: Index, size: int, radius: float) -> tuple[Da
 
 
 def near_duplicates(df: DataFrame, key: str = "vec_id", vector: str = "embedding",
-                    threshold: float = 0.95, sample_rows: int = 40_000, max_lists: int = 2048,
+                    threshold: float = 0.95, reach: float | None = None,
+                    sample_rows: int = 32_000, max_lists: int = 2048, list_rows: int = 25,
                     parts: int = 8, words: int = 64, block_rows: int = 2048) -> DataFrame:
     """(key, n_links, component_id, kept) of every row; see the module text."""
     src = df.select(F.col(key).alias("id"), F.col(vector).alias("v"))
     points = written(src.where(usable(F.col("v"))).groupBy("v")
                      .agg(F.min("id").alias("id"), F.count("*").alias("copies")), "points")
-    facts = points.agg(F.count("*"), F.max(F.size("v"))).first()
+    facts = points.where("id is not null").agg(F.count("*"), F.max(F.size("v"))).first()
     kind = dict(src.dtypes)["id"]
     if not facts[0]:
         return src.select(F.col("id").alias(key), F.lit(0).cast("long").alias("n_links"),
@@ -178,8 +187,11 @@ def near_duplicates(df: DataFrame, key: str = "vec_id", vector: str = "embedding
     n, size = int(facts[0]), int(facts[1])
     known = points.where("id is not null")
     radius = math.sqrt(max(0.0, 2 - 2 * threshold))
-    index = fit(points, n, size, sample_rows, max_lists, parts, words)
-    members, queries = _rows(known, index, size, radius)
+    reach = min(1.0, 3.5 / math.sqrt(size)) if reach is None else reach
+    index = fit(known, n, size, sample_rows, max_lists, list_rows, parts, words)
+    # vectors travel in their own precision
+    number = "<f4" if dict(src.dtypes)["v"] == "array<float>" else "<f8"
+    members, queries = _rows(known, index, size, radius * reach, number)
     members, queries = written(members, "members"), written(queries, "queries")
     blocks = written(members.groupBy("list").agg(
         F.ceil(F.count("*") / block_rows).cast("int").alias("blocks")), "blocks")
@@ -210,7 +222,7 @@ def near_duplicates(df: DataFrame, key: str = "vec_id", vector: str = "embedding
             if not waiting or book is None or not book["id"]:
                 waiting = []
                 return None
-            x = np.frombuffer(b"".join(w[2] for w in waiting)).reshape(-1, size)
+            x = _unit(np.frombuffer(b"".join(w[2] for w in waiting), number).reshape(-1, size))
             look = index.distances(x, at[0], book["codes"])
             q, m = np.nonzero(look - book["error"][None, :] <= radius + SLACK)
             out_a, out_b, out_n = [], [], []
@@ -241,7 +253,7 @@ def near_duplicates(df: DataFrame, key: str = "vec_id", vector: str = "embedding
                     "copies": np.array([r[1] for r in rows], float),
                     "size": np.array([r[2] for r in rows]), "codes": codes,
                     "error": np.array([r[4] for r in rows]),
-                    "v": np.frombuffer(b"".join(r[5] for r in rows)).reshape(len(rows), -1)}
+                    "v": _unit(np.frombuffer(b"".join(r[5] for r in rows), number).reshape(-1, size))}
 
         rows = []
         for b in batches:

@@ -34,7 +34,8 @@ def cosine(a, b):
     return sum(x * y for x, y in zip(a, b)) / math.sqrt(sum(x * x for x in a)) / math.sqrt(sum(y * y for y in b))
 
 
-@pytest.mark.parametrize("settings_", [{}, {"block_rows": 4, "max_lists": 3}, {"max_lists": 40, "words": 4, "parts": 3}])
+@pytest.mark.parametrize("settings_", [{}, {"block_rows": 4, "max_lists": 3},
+                                       {"list_rows": 5, "words": 4, "parts": 3}])
 def test_vectors_equal_all_pairs(spark, settings_):
     rng = np.random.default_rng(8)
     rows, i = [], 0
@@ -55,6 +56,21 @@ def test_vectors_equal_all_pairs(spark, settings_):
     assert got == {k: (degree[k], part[k], part[k] == k) for k, _ in rows}
 
 
+def test_recall_in_many_dimensions(spark):
+    """All pairs at the very threshold, where the default probes may miss some."""
+    rng = np.random.default_rng(2)
+    base = rng.normal(size=(600, 64))
+    base /= np.linalg.norm(base, axis=1, keepdims=True)
+    side = rng.normal(size=(600, 64))
+    side -= (side * base).sum(1, keepdims=True) * base
+    side /= np.linalg.norm(side, axis=1, keepdims=True)
+    near = 0.9505 * base + math.sqrt(1 - 0.9505 ** 2) * side
+    rows = [(i, v.tolist()) for i, v in enumerate(np.concatenate((base, near)))]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = vectors.near_duplicates(df, list_rows=10).agg({"n_links": "sum"}).first()[0]
+    assert 1200 * 0.99 <= got <= 1200
+
+
 def test_vectors_edges(spark):
     schema = "vec_id long, embedding array<float>, v int, id string"
     assert vectors.near_duplicates(spark.createDataFrame([], schema)).collect() == []
