@@ -46,6 +46,7 @@ from pyspark.sql import functions as F
 
 from cardlake.llm.common import components, small, written
 
+SLICE = 1024  # vectors whose distances to all centroids are held at a time
 SLACK = 1e-7  # rounding, on the side of keeping candidates
 
 
@@ -74,10 +75,15 @@ def _squares(x: np.ndarray, c: np.ndarray) -> np.ndarray:
     return np.maximum((x * x).sum(1)[:, None] + (c * c).sum(1)[None, :] - 2 * x @ c.T, 0)
 
 
+def _nearest(x: np.ndarray, c: np.ndarray) -> np.ndarray:
+    """Row of c nearest to each row of x, a slice of x at a time."""
+    return np.concatenate([_squares(x[i:i + SLICE], c).argmin(1) for i in range(0, len(x), SLICE)])
+
+
 def _lloyd(x: np.ndarray, k: int, rounds: int, rng) -> np.ndarray:
     c = x[rng.choice(len(x), min(k, len(x)), replace=False)].copy()
     for _ in range(rounds):
-        near = _squares(x, c).argmin(1)
+        near = _nearest(x, c)
         total = np.zeros_like(c)
         np.add.at(total, near, x)
         count = np.bincount(near, minlength=len(c))
@@ -91,8 +97,7 @@ class Index:
     def __init__(self, sample: np.ndarray, lists: int, parts: int, words: int, seed: int = 5):
         rng = np.random.default_rng(seed)
         self.centroids = _lloyd(sample, lists, 5, rng)
-        self.apart = np.sqrt(_squares(self.centroids, self.centroids))
-        near = _squares(sample, self.centroids).argmin(1)
+        near = _nearest(sample, self.centroids)
         rest = sample - self.centroids[near]
         self.cuts = [c for c in np.array_split(np.arange(sample.shape[1]), parts) if len(c)]
         self.books = [_lloyd(rest[:, c], words, 6, rng) for c in self.cuts]
@@ -113,7 +118,8 @@ class Index:
     def probes(self, near: np.ndarray, d2: np.ndarray, radius: float) -> np.ndarray:
         """Which lists a vector must probe (module text, 3)."""
         gap = d2 - d2[np.arange(len(near)), near][:, None]
-        return gap <= 2 * self.apart[near] * (radius + SLACK) + SLACK
+        apart = np.sqrt(_squares(self.centroids[near], self.centroids))
+        return gap <= 2 * apart * (radius + SLACK) + SLACK
 
     def distances(self, x: np.ndarray, which: int, codes: np.ndarray) -> np.ndarray:
         """Distance of each x to each code of a list, by table lookup."""
@@ -134,10 +140,13 @@ def fit(points: DataFrame, n: int, size: int, sample_rows: int, max_lists: int,
 
 def _rows(points: DataFrame, index: Index, size: int, radius: float, kind_: str) -> tuple[DataFrame, DataFrame]:
     """(members, queries): one member row a point; one query row for each list a point probes."""
-    def members(batches):
+    def slices(batches):
         for b in batches:
-            if not b.num_rows:
-                continue
+            for i in range(0, b.num_rows, SLICE):
+                yield b.slice(i, SLICE)
+
+    def members(batches):
+        for b in slices(batches):
             raw = b["v"].to_pylist()
             padded = _padded(raw, size, kind_)
             near, codes, lost, _ = index.encode(_unit(padded))
@@ -149,9 +158,7 @@ def _rows(points: DataFrame, index: Index, size: int, radius: float, kind_: str)
                 names=["list", "id", "copies", "size", "codes", "error", "v"])
 
     def queries(batches):
-        for b in batches:
-            if not b.num_rows:
-                continue
+        for b in slices(batches):
             raw = b["v"].to_pylist()
             padded = _padded(raw, size, kind_)
             near, _, _, d2 = index.encode(_unit(padded))
