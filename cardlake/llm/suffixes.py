@@ -189,7 +189,7 @@ def contexts(members: DataFrame, src: DataFrame, length: int, gram: int) -> Data
     back = length - gram
     places = written(members.groupBy("doc").agg(F.collect_set(F.struct("at", "settled")).alias("places")),
                      "places")
-    joined = src.join(_sized(places, F.size("places") * 8 + 32), "doc").select("doc", "text", "places")
+    joined = src.join(_sized(places, F.size("places") * 32 + 64), "doc").select("doc", "text", "places")
 
     def run(batches):
         for b in batches:
@@ -426,7 +426,7 @@ def without_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", le
     stay), ``n_bytes``, ``n_removed``, ``n_spans`` and ``kept_sha256``."""
     keep = [c for c in docs.columns if c != text] if columns is None else columns
     merged = repeated_spans(docs, key, text, length, gram, hot).withColumnRenamed("doc", "__doc")
-    side = _sized(merged, F.size("begins") * 8 + 48)
+    side = _sized(merged, F.size("begins") * 8 + 96)
     joined = docs.join(side, doc_key(docs[key], docs[text]) == F.col("__doc"), "left").select(
         *keep, docs[text].alias("__text"), "begins", "stops")
     extra = [T.StructField("kept", T.BinaryType()), T.StructField("n_bytes", T.LongType()),
