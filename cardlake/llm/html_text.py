@@ -148,7 +148,8 @@ def blocks(page: str) -> list[tuple[str, int, int, int, int]]:
         zone = open_[-1][1] if open_ else ""
 
     at = 0
-    for m in _MARKUP.finditer(page):
+    # without a ">" to come nothing is a tag, so nothing is looked for there
+    for m in _MARKUP.finditer(page, 0, page.rfind(">") + 1):
         text(page[at:m.start()])
         at = m.end()
         name = m[3]

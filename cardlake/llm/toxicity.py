@@ -195,7 +195,7 @@ def with_score(df: DataFrame, model: Model, text: str = "text", score: str = "sc
             idx = np.array(flat, np.int64)
             row = np.repeat(np.arange(len(counts)), counts)
             z, _ = _score(idx, row, len(counts), model.bias, model.linear, model.factors)
-            p = 1 / (1 + np.exp(-np.clip(z, -500, 500)))
+            p = np.where(np.isneginf(z), 0.0, 1 / (1 + np.exp(-np.clip(z, -500, 500))))
             yield pa.RecordBatch.from_arrays([*[b[c] for c in keep], pa.array(p, pa.float64())],
                                              names=[*keep, score])
 
