@@ -85,6 +85,7 @@ _MARKUP = re.compile(
     r"|<[!?][^>]*+>?"
     r"|<(/?)([a-zA-Z][^\s/>]*+)((?:\"[^\"]*\"|'[^']*'|[^'\">])*+)>"
     r"|</?[a-zA-Z][^>]*+>", re.S | re.I)
+_SHUT = re.compile(r"(?:</[a-zA-Z]+\s*>|--!?>|<!-->)\Z")
 _ATTRIBUTE = re.compile(r"([^\s=/\"']+)\s*(?:=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"']+)))?")
 _PARTS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|[0-9]+")
 
@@ -147,11 +148,13 @@ def blocks(page: str) -> list[tuple[str, int, int, int, int]]:
         heading = sum(n in HEADINGS for n, _ in open_)
         zone = open_[-1][1] if open_ else ""
 
-    at = 0
+    at, limit, swallowed = 0, page.rfind(">") + 1, False
     # without a ">" to come nothing is a tag, so nothing is looked for there
-    for m in _MARKUP.finditer(page, 0, page.rfind(">") + 1):
+    for m in _MARKUP.finditer(page, 0, limit):
         text(page[at:m.start()])
         at = m.end()
+        if at == limit:  # what stays open here takes the rest of the page with it
+            swallowed = not (_SHUT.search(m[0]) if m[1] or m[0].startswith("<!--") else True)
         name = m[3]
         if name is None:
             if m[1]:
@@ -198,7 +201,8 @@ def blocks(page: str) -> list[tuple[str, int, int, int, int]]:
             links += 1
         elif name in HEADINGS:
             heading += 1
-    text(page[at:])
+    if not swallowed:
+        text(page[at:].split("<!--", 1)[0])
     flush()
     return out
 

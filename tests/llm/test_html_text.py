@@ -30,7 +30,9 @@ def test_tree_learns_its_table():
     ("<article><p>a<ul><li>one<li>two</ul></article>", "a\n\none\n\ntwo"),
     ("<article><p title='a > b'>x</p><p hidden>y</p><p style='display: none'>z</p></article>", "x"),
     ("<article><p>open", "open"), ("<article><p>a < b and c > d</p></article>", "a < b and c > d"),
-    ("<article><p>x</p><!-- open comment <p>y</p>", "x"),
+    ("<article><p>x</p><!-- open comment <p>y</p>", "x"), ("<article><p>x</p><!-- open", "x"),
+    ("<article><p>x</p><script>var a = 1", "x"), ("<article><p>x</p><script>var a</script>y", "x\n\ny"),
+    ("<article><p>x</p><!-- c -->y", "x\n\ny"), ("<article><p>x<b", "x<b"),
     (f"<div><h2>Head</h2><p>{LONG}</p><p>short one</p><p>{LONG}</p></div><ul><li><a href=x>a</a><li><a>b</a></ul>",
      f"Head\n\n{LONG.strip()}\n\nshort one\n\n{LONG.strip()}"),
 ])
