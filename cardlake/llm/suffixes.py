@@ -187,9 +187,10 @@ CONTEXT = "doc long, at int, settled boolean, left binary, right binary"
 def contexts(members: DataFrame, src: DataFrame, length: int, gram: int) -> DataFrame:
     """The bytes around the anchors: ``left`` backwards from the anchor, ``right`` forwards."""
     back = length - gram
-    places = written(members.groupBy("doc").agg(F.collect_set(F.struct("at", "settled")).alias("places")),
-                     "places")
-    joined = src.join(_sized(places, F.size("places") * 32 + 64), "doc").select("doc", "text", "places")
+    # place and settled in one number: a text has under 2**62 bytes
+    packed = F.col("at").cast("long") * 2 + F.col("settled").cast("long")
+    places = written(members.groupBy("doc").agg(F.collect_set(packed).alias("places")), "places")
+    joined = src.join(_sized(places, F.size("places") * 8 + 64), "doc").select("doc", "text", "places")
 
     def run(batches):
         for b in batches:
@@ -197,8 +198,8 @@ def contexts(members: DataFrame, src: DataFrame, length: int, gram: int) -> Data
             for doc, t, places in zip(b["doc"].to_pylist(), b["text"], b["places"]):
                 data = _raw(t)
                 for p in places.as_py():
-                    at = p["at"]
-                    rows.append((doc, at, p["settled"], data[max(0, at - back):at][::-1],
+                    at = p >> 1
+                    rows.append((doc, at, bool(p & 1), data[max(0, at - back):at][::-1],
                                  data[at:at + length]))
                 if len(rows) > 20_000:
                     yield _contexts(rows)
