@@ -88,7 +88,8 @@ def _dates(df):
     return [None if r[0] is None else str(r[0]) for r in df.select("date").distinct().collect()]
 
 
-@pytest.mark.parametrize("step", range(0, 12, 2))
+# of the 16 writes: facts and dimensions, bases, row tables, marts, publication
+@pytest.mark.parametrize("step", [4, 9, 13, 15])
 def test_a_refresh_that_stops_anywhere_is_made_up_for(spark, tmp_root, monkeypatch, step):
     """The step-th write of the second refresh fails; the next refresh equals a full build."""
     first, second = _three_rounds(spark)
