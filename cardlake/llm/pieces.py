@@ -16,7 +16,8 @@ paths of all open boundaries meet in one boundary, the ids up to it are
 committed and everything before it goes.
 
 In bulk, texts are fed between boundaries that no piece can span (before a
-run of spaces, around a line end; both are derived from the vocabulary): all
+run of spaces, around a line end, between a letter and a punctuation mark, as
+far as the vocabulary has no piece across): all
 paths meet there at once, so the committed ids of a short stretch don't depend
 on what surrounds it and may be remembered, in a table of bounded size.
 
@@ -30,8 +31,9 @@ from __future__ import annotations
 import math
 import re
 from array import array
-from dataclasses import dataclass
+from dataclasses import dataclass, field, replace
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
@@ -40,20 +42,23 @@ DEFAULT_MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 CACHE_ENTRIES = 1 << 19
 CACHE_CHARS = 48
 CHUNK = 512  # characters taken into the window at a time
-MISSING = ()
+LOWEST = -(1 << 62)  # below any score of a path
 
 
 @dataclass(frozen=True)
 class Vocabulary:
     """Bounded tables of a model file: what encoding and decoding need."""
 
-    # piece with plain spaces -> (score, (id,)); a beginning of pieces that is none -> None
-    pieces: dict[str, tuple[int, tuple[int]] | None]
+    pieces: dict[str, tuple[int, tuple[int]]]  # piece with plain spaces -> (score, (id,))
+    # the same as a tree of characters: character -> (what follows it, its pieces' entry or None)
+    tree: dict
     byte_ids: tuple[int, ...]           # id of each of the 256 byte pieces
     byte_score: int                     # score of one byte piece
     table: tuple[bytes, ...]            # id -> bytes that it stands for
     max_len: int                        # characters of the longest piece
     stretch: str                        # pattern of a stretch between sure boundaries
+    # ids of short stretches seen; as part of a broadcast it lasts as long as the Python worker
+    known: dict[str, array] = field(default_factory=dict, compare=False, repr=False)
 
 
 def load_vocabulary(path: str = DEFAULT_MODEL) -> Vocabulary:
@@ -65,20 +70,30 @@ def load_vocabulary(path: str = DEFAULT_MODEL) -> Vocabulary:
                                     or model.is_byte(i) or model.is_unused(i))]
     text = {i: model.id_to_piece(i).replace("▁", " ") for i in plain}
     ranked = sorted(plain, key=lambda i: (-model.get_score(i), i))
-    pieces = {text[i][:n]: None for i in plain for n in range(1, len(text[i]))}
-    pieces |= {text[i]: (-round(1e6 * math.log(r + 2)), (i,)) for r, i in enumerate(ranked)}
+    pieces = {text[i]: (-round(1e6 * math.log(r + 2)), (i,)) for r, i in enumerate(ranked)}
+    tree: dict = {}
+    for piece, entry in pieces.items():
+        node = tree
+        for c in piece[:-1]:
+            node = node.setdefault(c, ({}, None))[0]
+        node[piece[-1]] = (node.get(piece[-1], ({}, None))[0], entry)
     byte_ids = {int(model.id_to_piece(i)[1:-1], 16): i for i in ids if model.is_byte(i)}
     if len(byte_ids) != 256:
         raise ValueError("the vocabulary has no byte pieces; exact decoding needs them")
     table = [text[i].encode() if i in text else b"" for i in ids]
     for value, i in byte_ids.items():
         table[i] = bytes([value])
-    # stretches may end before a space run and around a line end unless a piece goes across
-    space = not any(re.search(r"[^ ] ", p) for p in text.values())
-    line = not any("\n" in p and len(p) > 1 for p in text.values())
+    # a stretch may end before a run of spaces, around a line end, and between a letter and
+    # a mark, unless a piece goes across
+    space = not any(re.search(r"[^ ] ", p) for p in pieces)
+    line = not any("\n" in p and len(p) > 1 for p in pieces)
+    across = {c for p in pieces for c in re.findall(r"(?<=[^\W\d_])[,.!?;:]", p)}
+    marks = "".join(c for c in ",.!?;:" if c not in across)
     stretch = {(True, True): r"\n| *[^ \n]+| +", (True, False): r" *[^ ]+| +",
                (False, True): r"\n|[^\n]+", (False, False): r"(?s).+"}[space, line]
-    return Vocabulary(pieces, tuple(byte_ids[b] for b in range(256)),
+    if marks:
+        stretch = rf"{' *+' if space else ''}[^\W\d_]++(?=[{marks}])|{stretch}"
+    return Vocabulary(pieces, tree, tuple(byte_ids[b] for b in range(256)),
                       -round(2e6 * math.log(len(ranked) + 2)), tuple(table),
                       max(map(len, text.values())), stretch)
 
@@ -102,34 +117,34 @@ class StreamingViterbi:
         return out
 
     def _read(self, text: str, last: bool = False) -> list[int]:
-        find, max_len = self.v.pieces.get, self.v.max_len
+        root, pieces, max_len = self.v.tree, self.v.pieces, self.v.max_len
         score, back, step = self.score, self.back, self.step
         out: list[int] = []
         text = self.text + text
         n, at = len(text), self.at
         grow = n + 1 - len(score)
-        score += [None] * grow
+        score += [LOWEST] * grow
         back += [0] * grow
         step += [()] * grow
         # a piece from boundary i may end max_len further on, so that much must be read
         stop = n if last else n - max_len + 1
         while at < stop:
-            base, end = score[at], at + 1
-            hit = find(text[at:end], MISSING)
-            whole = hit
-            while hit is not MISSING:
-                if hit:                  # else it only begins pieces
-                    total = base + hit[0]
-                    if score[end] is None or total > score[end]:
-                        score[end], back[end], step[end] = total, at, hit[1]
-                end += 1
-                if end > n:
+            base, end, node = score[at], at, root
+            for c in text[at:at + max_len]:
+                if c not in node:
                     break
-                hit = find(text[at:end], MISSING)
-            if not whole:
+                node, entry = node[c]
+                end += 1
+                if entry is not None:
+                    total = base + entry[0]
+                    if total > score[end]:
+                        score[end] = total
+                        back[end] = at
+                        step[end] = entry[1]
+            if text[at] not in pieces:
                 raw = text[at].encode("utf-8", "surrogatepass")
                 total = base + self.v.byte_score * len(raw)
-                if score[at + 1] is None or total > score[at + 1]:
+                if total > score[at + 1]:
                     score[at + 1], back[at + 1] = total, at
                     step[at + 1] = tuple(self.v.byte_ids[b] for b in raw)
             at += 1
@@ -158,7 +173,7 @@ class StreamingViterbi:
 
     def _meeting(self, first: int, last: int) -> int:
         """The last boundary on the paths of all boundaries that are still open."""
-        live = {i for i in range(first, last + 1) if self.score[i] is not None}
+        live = {i for i in range(first, last + 1) if self.score[i] > LOWEST}
         while len(live) > 1:
             live.add(self.back[live_max := max(live)])
             live.remove(live_max)
@@ -171,7 +186,7 @@ class StreamingViterbi:
             steps.append(self.step[at])
             at = self.back[at]
         base = self.score[boundary]  # only differences matter from here on
-        self.score[:] = [None if x is None else x - base for x in self.score[boundary:]]
+        self.score[:] = [x if x == LOWEST else x - base for x in self.score[boundary:]]
         self.back[:] = [max(0, x - boundary) for x in self.back[boundary:]]
         del self.step[:boundary]
         return [i for ids in reversed(steps) for i in ids]
@@ -183,8 +198,11 @@ class Encoder:
     def __init__(self, vocabulary: Vocabulary, cache_entries: int = CACHE_ENTRIES):
         self.v, self.entries = vocabulary, cache_entries
         self.stretches = re.compile(vocabulary.stretch).findall
-        self.known: dict[str, array] = {}
+        self.known = vocabulary.known
         self.stream = StreamingViterbi(vocabulary)
+        self.blob = np.frombuffer(b"".join(vocabulary.table), np.uint8)
+        self.size = np.array([len(b) for b in vocabulary.table])
+        self.place = np.cumsum(self.size) - self.size
 
     def stretch(self, text: str) -> array:
         ids = array("i", self.stream.finish(text))
@@ -202,7 +220,12 @@ class Encoder:
         return out
 
     def decode(self, ids) -> str:
-        return b"".join(map(self.v.table.__getitem__, ids)).decode("utf-8", "surrogatepass")
+        """The bytes of the pieces one after the other, gathered from one blob of all pieces."""
+        which = np.asarray(ids, np.int32)
+        size = self.size[which]
+        at = np.repeat(self.place[which] - (np.cumsum(size) - size), size)
+        at += np.arange(len(at))
+        return self.blob[at].tobytes().decode("utf-8", "surrogatepass")
 
 
 def with_ids(df: DataFrame, vocabulary: Vocabulary, text: str = "text", ids: str = "ids",
@@ -217,8 +240,11 @@ def with_ids(df: DataFrame, vocabulary: Vocabulary, text: str = "text", ids: str
     keep = [c for c in (df.columns if columns is None else columns) if c not in names]
     src = df.select(*keep, *([] if text in keep else [text]))
 
+    # a reused worker keeps a broadcast's value, and with it the stretches it has seen
+    shared = df.sparkSession.sparkContext.broadcast(replace(vocabulary, known={}))
+
     def run(batches):
-        encoder = Encoder(vocabulary)
+        encoder = Encoder(shared.value)
         for b in batches:
             flat, ends, texts, equal = array("i"), [0], [], []
             for value in b[text]:
