@@ -8,25 +8,27 @@ Vectors are compared by cosine.  Unit vectors with cosine >= t are at most
    coded by the nearest of a small codebook; the exact error of the code is
    kept with it.
 3. Sufficient probes: a vector y of another list lies beyond the plane halfway
-   between the two centroids, so x probes the lists whose plane is within
-   ``reach * r`` of x.  With reach 1 no pair can be missed.  In d dimensions a
-   step of length r crosses a given plane by r / sqrt(d) as a rule (standard
-   deviation), so the default is min(1, 3.5 / sqrt(d)): without loss up to
-   twelve dimensions, 3.5 deviations beyond.  README has the measured recall.
-4. Asymmetric distances: x looks up its distance to every code of a probed
-   list in tables (one entry a subspace and codeword) and keeps y unless
-   distance - error of y > r.  By the triangle inequality no pair is missed.
+   between the two centroids, and no nearer and no farther from its own
+   centroid than the list's members are.  So x probes the lists whose plane is
+   within ``reach * r`` of x and whose shell (smallest to largest distance of a
+   member) is within r of x.  With reach 1, the default, no pair can be missed.
+   Of two lists only the one that comes first probes the other; what is found
+   counts for both sides.
+4. Asymmetric distances: x is compared with the decoded code of y.  As y's
+   distance from its code is known, ``x . code >= y . code - (1 - t) - r * error``
+   for every y within r of x (the triangle inequality, squared): no pair is missed.
 5. Exact rerank: cosine in double precision from the vectors themselves.
 
 Centroids and codebooks are fitted on the ``sample_rows`` distinct vectors
-with the smallest hash of their id (a bounded sample); there is a list for each
+with the smallest hash (a bounded sample); there is a list for each
 ``list_rows`` vectors and ``max_lists`` at most.  Every vector is indexed and
 every vector is a query.
 
-Equal vectors are one point with a number of copies.  Lists are cut into
-blocks of ``block_rows`` members; a block is one stream: its members are held,
-its queries pass by.  From a block come counts, and only such links as keep
-its points connected, never all pairs.
+Equal vectors are one point with a number of copies.  Neighbouring lists form
+cells of up to ``block_rows`` members, a larger list is cut into blocks; a
+block is one stream: its members are held, its queries pass by, many packed in
+a row.  From a block come counts, and only such links as keep its points
+connected, never all pairs.
 
 Defined cases: vectors that are null, empty, zero, or hold null or non-finite
 components link with nothing; vectors of different length link with nothing;
@@ -115,185 +117,248 @@ class Index:
             lost += ((rest[:, c] - book[codes[:, j]]) ** 2).sum(1)
         return near, codes, np.sqrt(lost), d2
 
-    def probes(self, near: np.ndarray, d2: np.ndarray, radius: float) -> np.ndarray:
+    def probes(self, near: np.ndarray, d2: np.ndarray, reach: float, radius: float,
+               low: np.ndarray, high: np.ndarray) -> np.ndarray:
         """Which lists a vector must probe (module text, 3)."""
         gap = d2 - d2[np.arange(len(near)), near][:, None]
         apart = np.sqrt(_squares(self.centroids[near], self.centroids))
-        return gap <= 2 * apart * (radius + SLACK) + SLACK
+        far = np.sqrt(d2)
+        return ((gap <= 2 * apart * (reach * radius + SLACK) + SLACK)
+                & (far <= high + radius + SLACK) & (far >= low - radius - SLACK))
 
-    def distances(self, x: np.ndarray, which: int, codes: np.ndarray) -> np.ndarray:
-        """Distance of each x to each code of a list, by table lookup."""
-        rest = x - self.centroids[which]
-        total = np.zeros((len(x), len(codes)))
+    def decode(self, near: np.ndarray, codes: np.ndarray) -> np.ndarray:
+        """The vectors that codes stand for."""
+        out = self.centroids[near]
         for j, (c, book) in enumerate(zip(self.cuts, self.books)):
-            total += _squares(rest[:, c], book)[:, codes[:, j]]
-        return np.sqrt(total)
+            out[:, c] += book[codes[:, j]]
+        return out
+
+
+class Cells:
+    """Lists in an order that keeps neighbours together, cut into cells of ``rows`` members or one list."""
+
+    def __init__(self, index: Index, facts: list, rows: int):
+        lists = len(index.centroids)
+        self.count = np.zeros(lists, np.int64)
+        self.low, self.high = np.full(lists, np.inf), np.full(lists, -np.inf)
+        for which, n, low, high in facts:
+            self.count[which], self.low[which], self.high[which] = n, low, high
+        rough = _lloyd(index.centroids, math.isqrt(lists), 5, np.random.default_rng(6))
+        self.order = np.argsort(_nearest(index.centroids, rough), kind="stable")
+        self.rank = np.empty(lists, np.int64)
+        self.rank[self.order] = np.arange(lists)
+        self.starts, held = [0], 0
+        for i, n in enumerate(self.count[self.order]):
+            if held and held + n > rows:
+                self.starts.append(i)
+                held = 0
+            held += int(n)
+        self.cell = np.empty(lists, np.int64)
+        self.cell[self.order] = np.searchsorted(self.starts, np.arange(lists), "right") - 1
+        total = np.bincount(self.cell, self.count, len(self.starts)).astype(np.int64)
+        self.blocks = np.maximum(1, -(-total // rows))
 
 
 def fit(points: DataFrame, n: int, size: int, sample_rows: int, max_lists: int, list_rows: int,
         parts: int, words: int) -> Index:
-    rows = (points.orderBy(F.xxhash64("id"), "id").limit(sample_rows).select("v").collect())
+    rows = (points.orderBy(F.xxhash64("v"), "pt").limit(sample_rows).select("v").collect())
     sample = _unit(_padded([r["v"] for r in rows], size, "f8"))
     lists = max(1, min(max_lists, -(-n // list_rows), len(sample)))
     return Index(sample, lists, parts, min(words, len(sample)))
 
 
-def _rows(points: DataFrame, index: Index, size: int, radius: float, kind_: str) -> tuple[DataFrame, DataFrame]:
-    """(members, queries): one member row a point; one query row for each list a point probes."""
-    def slices(batches):
-        for b in batches:
-            for i in range(0, b.num_rows, SLICE):
-                yield b.slice(i, SLICE)
+def _slices(batches):
+    for b in batches:
+        for i in range(0, b.num_rows, SLICE):
+            yield b.slice(i, SLICE)
+
 
-    def members(batches):
-        for b in slices(batches):
+def _members(points: DataFrame, index: Index, size: int, number: str) -> DataFrame:
+    """One row a point, with its list, code and distance to the centroid."""
+    def run(batches):
+        for b in _slices(batches):
             raw = b["v"].to_pylist()
-            padded = _padded(raw, size, kind_)
-            near, codes, lost, _ = index.encode(_unit(padded))
+            padded = _padded(raw, size, number)
+            near, codes, lost, d2 = index.encode(_unit(padded))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(near, pa.int32()), b["id"], b["copies"],
+                [pa.array(near, pa.int32()), b["pt"], b["id"], b["copies"],
                  pa.array([len(v) for v in raw], pa.int32()),
                  pa.array([c.tobytes() for c in codes], pa.binary()), pa.array(lost),
+                 pa.array(np.sqrt(d2[np.arange(len(near)), near])),
                  pa.array([v.tobytes() for v in padded], pa.binary())],
-                names=["list", "id", "copies", "size", "codes", "error", "v"])
+                names=["list", "pt", "id", "copies", "size", "codes", "error", "far", "v"])
 
-    def queries(batches):
-        for b in slices(batches):
-            raw = b["v"].to_pylist()
-            padded = _padded(raw, size, kind_)
-            near, _, _, d2 = index.encode(_unit(padded))
-            who, where = np.nonzero(index.probes(near, d2, radius))
-            packed = [v.tobytes() for v in padded]
-            for i in range(0, len(who), 8192):
-                w = who[i:i + 8192]
+    kind = dict(points.dtypes)["id"]
+    return points.mapInArrow(run, f"list int, pt long, id {kind}, copies long, size int, codes binary, "
+                                  "error double, far double, v binary")
+
+
+def _queries(members: DataFrame, index: Index, cells: Cells, size: int, number: str, reach: float,
+             radius: float) -> DataFrame:
+    """Points with the cells they probe: a row holds the points of a slice that probe one cell."""
+    names = ["list", "pt", "id", "copies", "size"]
+
+    def run(batches):
+        for b in _slices(batches):
+            v = np.frombuffer(b"".join(b["v"].to_pylist()), number).reshape(-1, size)
+            near = np.array(b["list"])
+            must = index.probes(near, _squares(_unit(v), index.centroids), reach, radius,
+                                cells.low, cells.high)
+            must &= cells.rank[None, :] >= cells.rank[near][:, None]
+            must = np.logical_or.reduceat(must[:, cells.order], cells.starts, axis=1)
+            for cell in np.flatnonzero(must.any(0)):
+                who = np.flatnonzero(must[:, cell])
+                take = pa.array(who)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(where[i:i + 8192], pa.int32()), b["id"].take(pa.array(w)),
-                     pa.array([len(raw[k]) for k in w], pa.int32()),
-                     pa.array([packed[k] for k in w], pa.binary())],
-                    names=["list", "id", "size", "v"])
+                    [pa.array([cell], pa.int32()),
+                     *[pa.ListArray.from_arrays(pa.array([0, len(who)], pa.int32()), b[c].take(take))
+                       for c in names], pa.array([v[who].tobytes()], pa.binary())],
+                    names=["cell", *names, "v"])
 
-    kind = dict(points.dtypes)["id"]
-    return (points.mapInArrow(members, f"list int, id {kind}, copies long, size int, codes binary, "
-                                       "error double, v binary"),
-            points.mapInArrow(queries, f"list int, id {kind}, size int, v binary"))
+    kind = dict(members.dtypes)["id"]
+    return members.select(*names, "v").mapInArrow(
+        run, f"cell int, list array<int>, pt array<long>, id array<{kind}>, copies array<long>, "
+             "size array<int>, v binary")
 
 
 def near_duplicates(df: DataFrame, key: str = "vec_id", vector: str = "embedding",
-                    threshold: float = 0.95, reach: float | None = None,
+                    threshold: float = 0.95, reach: float = 1.0,
                     sample_rows: int = 32_000, max_lists: int = 2048, list_rows: int = 25,
                     parts: int = 8, words: int = 64, block_rows: int = 2048) -> DataFrame:
     """(key, n_links, component_id, kept) of every row; see the module text."""
     src = df.select(F.col(key).alias("id"), F.col(vector).alias("v"))
     points = written(src.where(usable(F.col("v"))).groupBy("v")
-                     .agg(F.min("id").alias("id"), F.count("*").alias("copies")), "points")
-    facts = points.where("id is not null").agg(F.count("*"), F.max(F.size("v"))).first()
+                     .agg(F.min("id").alias("id"), F.count("*").alias("copies"))
+                     .withColumn("pt", F.monotonically_increasing_id()), "points")
+    known = points.where("id is not null")
+    facts = known.agg(F.count("*"), F.max(F.size("v"))).first()
     kind = dict(src.dtypes)["id"]
     if not facts[0]:
         return src.select(F.col("id").alias(key), F.lit(0).cast("long").alias("n_links"),
                           F.col("id").alias("component_id"), F.lit(True).alias("kept"))
     n, size = int(facts[0]), int(facts[1])
-    known = points.where("id is not null")
     radius = math.sqrt(max(0.0, 2 - 2 * threshold))
-    reach = min(1.0, 3.5 / math.sqrt(size)) if reach is None else reach
     index = fit(known, n, size, sample_rows, max_lists, list_rows, parts, words)
     # vectors travel in their own precision
     number = "<f4" if dict(src.dtypes)["v"] == "array<float>" else "<f8"
-    members, queries = _rows(known, index, size, radius * reach, number)
-    members, queries = written(members, "members"), written(queries, "queries")
-    blocks = written(members.groupBy("list").agg(
-        F.ceil(F.count("*") / block_rows).cast("int").alias("blocks")), "blocks")
-    held = (members.join(small(blocks, 16), "list")
-            .select("list", F.pmod(F.hash("id"), F.col("blocks")).alias("block"), F.lit(0).alias("part"),
-                    "id", "copies", "size", "codes", "error", "v"))
-    passing = (queries.join(small(blocks, 16), "list")
-               .select("list", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"),
-                       F.lit(1).alias("part"), "id", F.lit(0).cast("long").alias("copies"), "size",
-                       F.lit(None).cast("binary").alias("codes"),
+    members = written(_members(known, index, size, number), "members")
+    # at most max_lists rows of four numbers
+    cells = Cells(index, members.groupBy("list").agg(F.count("*"), F.min("far"), F.max("far")).collect(),
+                  block_rows)
+    queries = written(_queries(members, index, cells, size, number, reach, radius), "queries")
+    spark = df.sparkSession
+    place = spark.createDataFrame([(i, int(c), int(cells.blocks[c])) for i, c in enumerate(cells.cell)],
+                                  "list int, cell int, blocks int")
+    # a crowded cell's queries pass in slices, each with the block's members
+    crowd = queries.groupBy("cell").agg(F.ceil(F.sum(F.size("pt")) / (4 * block_rows)).cast("int").alias("slices"))
+    crowd = written(crowd.join(F.broadcast(place.select("cell", "blocks").distinct()), "cell"), "crowd")
+    names = ["list", "pt", "id", "copies", "size"]
+    held = (members.join(F.broadcast(place), "list").drop("blocks").join(F.broadcast(crowd), "cell")
+            .select("cell", F.pmod(F.hash("pt"), F.col("blocks")).alias("block"),
+                    F.explode(F.sequence(F.lit(0), F.col("slices") - 1)).alias("slice"), F.lit(0).alias("part"),
+                    *[F.array(c).alias(c) for c in names], "codes", "error", "v"))
+    passing = (queries.join(F.broadcast(crowd), "cell")
+               .select("cell", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"),
+                       F.pmod(F.xxhash64(F.col("pt")[0]), F.col("slices")).cast("int").alias("slice"),
+                       F.lit(1).alias("part"), *names, F.lit(None).cast("binary").alias("codes"),
                        F.lit(None).cast("double").alias("error"), "v"))
-    # a crowded block's queries pass in slices, each with the block's members
-    crowd = (passing.groupBy("list", "block").agg(
-        F.ceil(F.count("*") / (8 * block_rows)).cast("int").alias("slices")))
-    crowd = written(crowd, "crowd")
-    passing = (passing.join(small(crowd, 20), ["list", "block"])
-               .withColumn("slice", F.pmod(F.xxhash64("id"), F.col("slices")).cast("int")).drop("slices"))
-    held = (held.join(small(crowd, 20), ["list", "block"])
-            .withColumn("slice", F.explode(F.sequence(F.lit(0), F.col("slices") - 1))).drop("slices"))
-    stream = (held.unionByName(passing).repartition("list", "block", "slice")
-              .sortWithinPartitions("list", "block", "slice", "part"))
+    stream = (held.unionByName(passing).repartition("cell", "block", "slice")
+              .sortWithinPartitions("cell", "block", "slice", "part"))
+    slack = 2.0 ** -22 * (size + 8)  # rounding of a product in single precision
+    rank = cells.rank
+
+    def close(rows):
+        """Members of a block as arrays."""
+        near = np.array([r[0][0] for r in rows])
+        codes = np.frombuffer(b"".join(r[5] for r in rows), np.uint8).reshape(len(rows), -1)
+        v = _unit(np.frombuffer(b"".join(r[7] for r in rows), number).reshape(-1, size))
+        code = index.decode(near, codes)
+        least = np.einsum("ij,ij->i", v, code) - radius * radius / 2 - radius * np.array([r[6] for r in rows])
+        return {"rank": rank[near], "pt": np.array([r[1][0] for r in rows]),
+                "id": np.array([r[2][0] for r in rows] + [None], object)[:-1],
+                "copies": np.array([r[3][0] for r in rows], np.int64),
+                "size": np.array([r[4][0] for r in rows]), "v": v,
+                "code": code.astype("f4").T.copy(), "least": (least - slack).astype("f4"),
+                "label": np.arange(len(rows)), "more": np.zeros(len(rows), np.int64)}
+
+    def links(book, row):
+        """(a, b, n) of a row of queries against the members."""
+        near, pts, ids, copies, sizes = (row[0], row[1], row[2], row[3], row[4])
+        x = _unit(np.frombuffer(row[7], number).reshape(-1, size))
+        mine = rank[np.array(near)]
+        q, m = np.nonzero(x.astype("f4") @ book["code"] >= book["least"])
+        ok = mine[q] <= book["rank"][m]
+        q, m = q[ok], m[ok]
+        cos = np.concatenate([np.einsum("ij,ij->i", x[q[i:i + 65536]], book["v"][m[i:i + 65536]])
+                              for i in range(0, len(q), 65536)] or [np.zeros(0)])
+        ids = np.array([*ids, None], object)[:-1]
+        pts, copies, sizes = np.array(pts), np.array(copies, np.int64), np.array(sizes)
+        ok = (cos >= threshold) & (sizes[q] == book["size"][m]) & (pts[q] != book["pt"][m])
+        q, m = q[ok], m[ok]
+        # two vectors of one id have no link with each other
+        ok = (ids[q] != book["id"][m]) | np.equal(ids[q], None)
+        q, m = q[ok.astype(bool)], m[ok.astype(bool)]
+        total = np.zeros(len(pts), np.int64)
+        np.add.at(total, q, book["copies"][m])
+        other = mine[q] < book["rank"][m]
+        np.add.at(book["more"], m[other], copies[q[other]])
+        a, b, n = [], [], []
+        cut = np.searchsorted(q, np.arange(len(pts) + 1))
+        for i in np.unique(q):
+            these, lab = m[cut[i]:cut[i + 1]], book["label"]
+            labels, first = np.unique(lab[these], return_index=True)
+            for k, f in enumerate(first):  # one link to each part of the block it joins
+                a.append(pts[i])
+                b.append(book["pt"][these[f]])
+                n.append(total[i] if k == 0 else 0)
+            if len(labels) > 1:
+                lab[np.isin(lab, labels)] = labels[0]
+        return a, b, n
 
     def compare(batches):
-        at, book, lab, waiting = None, None, None, []
-
-        def flush():
-            nonlocal waiting
-            if not waiting or book is None or not book["id"]:
-                waiting = []
-                return None
-            x = _unit(np.frombuffer(b"".join(w[2] for w in waiting), number).reshape(-1, size))
-            look = index.distances(x, at[0], book["codes"])
-            q, m = np.nonzero(look - book["error"][None, :] <= radius + SLACK)
-            out_a, out_b, out_n = [], [], []
-            if len(q):
-                cos = np.einsum("ij,ij->i", x[q], book["v"][m])
-                ids = np.array([w[0] for w in waiting], object)
-                sizes = np.array([w[1] for w in waiting])
-                ok = (cos >= threshold) & (sizes[q] == book["size"][m]) & (ids[q] != book["ids"][m])
-                q, m = q[ok], m[ok]
-                total = np.bincount(q, book["copies"][m], len(waiting)).astype(np.int64)
-                cut = np.searchsorted(q, np.arange(len(waiting) + 1))
-                for i in np.unique(q):
-                    mine = m[cut[i]:cut[i + 1]]
-                    labels, first = np.unique(lab[mine], return_index=True)
-                    for k, f in enumerate(first):  # one link to each part of the block it joins
-                        out_a.append(waiting[i][0])
-                        out_b.append(book["id"][mine[f]])
-                        out_n.append(int(total[i]) if k == 0 else 0)
-                    if len(labels) > 1:
-                        lab[np.isin(lab, labels)] = labels[0]
-            waiting = []
-            return pa.RecordBatch.from_arrays([pa.array(out_a, id_type), pa.array(out_b, id_type),
-                                               pa.array(out_n, pa.int64())], names=["a", "b", "n"])
-
-        def close(rows):
-            codes = np.frombuffer(b"".join(r[3] for r in rows), np.uint8).reshape(len(rows), -1)
-            return {"id": [r[0] for r in rows], "ids": np.array([r[0] for r in rows], object),
-                    "copies": np.array([r[1] for r in rows], float),
-                    "size": np.array([r[2] for r in rows]), "codes": codes,
-                    "error": np.array([r[4] for r in rows]),
-                    "v": _unit(np.frombuffer(b"".join(r[5] for r in rows), number).reshape(-1, size))}
-
-        rows = []
+        def batch(a, b, n):
+            return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in (a, b, n)], names=["a", "b", "n"])
+
+        def rest(book):
+            """What queries of earlier lists found counts for the members, too."""
+            some = book["more"] > 0
+            return batch(book["pt"][some], book["pt"][some], book["more"][some])
+
+        at, book, rows = None, None, []
         for b in batches:
-            id_type = b.schema.field("id").type
-            cols = [b[c].to_pylist() for c in ("list", "block", "slice", "part", "id", "copies", "size",
-                                               "codes", "error", "v")]
-            for where, block, piece, part, i, copies, length, codes, error, v in zip(*cols):
-                if (where, block, piece) != at:
-                    out = flush()
-                    if out is not None:
-                        yield out
-                    at, book, rows = (where, block, piece), None, []
+            cols = [b[c].to_pylist() for c in ("cell", "block", "slice", "part", *names, "codes", "error", "v")]
+            for cell, block, piece, part, *row in zip(*cols):
+                if (cell, block, piece) != at:
+                    if book:
+                        yield rest(book)
+                    at, book, rows = (cell, block, piece), None, []
                 if part == 0:
-                    rows.append((i, copies, length, codes, error, v))
+                    rows.append(row)
                     continue
                 if book is None and rows:
-                    book = close(rows)
-                    lab = np.arange(len(rows))
-                waiting.append((i, length, v))
-                if len(waiting) == 256:
-                    out = flush()
-                    if out is not None:
-                        yield out
-        out = flush()
-        if out is not None:
-            yield out
-
-    found = written(stream.mapInArrow(compare, f"a {kind}, b {kind}, n long"), "found")
-    degree = found.groupBy(F.col("a").alias("id")).agg(F.sum("n").alias("n"))
-    part = components(found)
-    facts = (points.join(written(degree, "degree"), "id", "left").join(written(part, "parts"), "id", "left")
-             .select("v", (F.coalesce("n", F.lit(0)) + F.col("copies") - 1).alias("n_links"),
-                     F.coalesce("component", "id").alias("component_id")))
+                    book, rows = close(rows), []
+                if book:
+                    yield batch(*links(book, row))
+        if book:
+            yield rest(book)
+
+    found = written(stream.mapInArrow(compare, "a long, b long, n long"), "found")
+    degree = written(found.groupBy(F.col("a").alias("pt")).agg(F.sum("n").alias("n")), "degree")
+    # the vectors of one id are one node
+    named = points.where("id is not null").select("id", "pt")
+    twice = written(named.groupBy("id").agg(F.min("pt").alias("a"), F.count("*").alias("c"))
+                    .where("c > 1").drop("c"), "twice")
+    same = written(named.join(small(twice, 32), "id").select("id", "a", F.col("pt").alias("b")), "same")
+    whole = written(same.join(degree, same["b"] == degree["pt"]).groupBy("id").agg(F.sum("n").alias("all_n")),
+                    "whole")
+    part = written(components(found.select("a", "b").unionByName(same.select("a", "b")))
+                   .withColumnRenamed("id", "pt"), "parts")
+    name = written(points.select("pt", "id").join(part, "pt").groupBy("component")
+                   .agg(F.min("id").alias("component_id")), "names")
+    facts = (points.join(degree, "pt", "left").join(small(whole, 32), "id", "left")
+             .join(part.join(name, "component").select("pt", "component_id"), "pt", "left")
+             .select("v", (F.coalesce("all_n", "n", F.lit(0)) + F.col("copies") - 1).alias("n_links"),
+                     F.coalesce("component_id", "id").alias("component_id")))
     rows = src.withColumn("ok", usable(F.col("v")))
     linked = rows.join(facts, (rows["v"] == facts["v"]) & rows["ok"], "left")
     return linked.select(

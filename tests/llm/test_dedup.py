@@ -71,6 +71,23 @@ def test_recall_in_many_dimensions(spark):
     assert 1200 * 0.99 <= got <= 1200
 
 
+def _linked(rows, t=0.95):
+    """Directed links at cosine t or more, by vector."""
+    x = np.array([v for _, v in rows], float)
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    return dict(zip((k for k, _ in rows), ((x @ x.T >= t).sum(1) - 1).tolist()))
+
+
+@pytest.mark.parametrize("latent", [2, 3, 4, 5])
+def test_vectors_that_vary_in_few_directions(spark, latent):
+    rng = np.random.default_rng(latent)
+    x = rng.normal(size=(1200, latent)) @ np.linalg.qr(rng.normal(size=(64, latent)))[0].T
+    rows = list(enumerate(x.tolist()))
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = {r.vec_id: r.n_links for r in vectors.near_duplicates(df, block_rows=300).collect()}
+    assert got == _linked(rows)
+
+
 def test_vectors_edges(spark):
     schema = "vec_id long, embedding array<float>, v int, id string"
     assert vectors.near_duplicates(spark.createDataFrame([], schema)).collect() == []
