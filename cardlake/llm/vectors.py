@@ -32,9 +32,9 @@ connected, never all pairs.
 
 Defined cases: vectors that are null, empty, zero, or hold null or non-finite
 components link with nothing; vectors of different length link with nothing;
-a null id is no component's smallest, its row has the links of its vector; an
-id with several vectors has the links of each and one component; an empty table gives
-an empty one; extra columns are ignored.
+a null id is no component's smallest (of null ids only, the component is null),
+but its vector links like any other; an id with several vectors has the links of
+each and one component; an empty table gives an empty one; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -230,18 +230,17 @@ def near_duplicates(df: DataFrame, key: str = "vec_id", vector: str = "embedding
     points = written(src.where(usable(F.col("v"))).groupBy("v")
                      .agg(F.min("id").alias("id"), F.count("*").alias("copies"))
                      .withColumn("pt", F.monotonically_increasing_id()), "points")
-    known = points.where("id is not null")
-    facts = known.agg(F.count("*"), F.max(F.size("v"))).first()
+    facts = points.agg(F.count("*"), F.max(F.size("v"))).first()
     kind = dict(src.dtypes)["id"]
     if not facts[0]:
         return src.select(F.col("id").alias(key), F.lit(0).cast("long").alias("n_links"),
                           F.col("id").alias("component_id"), F.lit(True).alias("kept"))
     n, size = int(facts[0]), int(facts[1])
     radius = math.sqrt(max(0.0, 2 - 2 * threshold))
-    index = fit(known, n, size, sample_rows, max_lists, list_rows, parts, words)
+    index = fit(points, n, size, sample_rows, max_lists, list_rows, parts, words)
     # vectors travel in their own precision
     number = "<f4" if dict(src.dtypes)["v"] == "array<float>" else "<f8"
-    members = written(_members(known, index, size, number), "members")
+    members = written(_members(points, index, size, number), "members")
     # at most max_lists rows of four numbers
     cells = Cells(index, members.groupBy("list").agg(F.count("*"), F.min("far"), F.max("far")).collect(),
                   block_rows)

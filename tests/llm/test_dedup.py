@@ -96,6 +96,16 @@ def test_vectors_edges(spark):
     assert sorted((r.vec_id or 0, r.n_links, r.component_id) for r in got) == [(0, 2, 1), (1, 2, 1), (1, 2, 1), (2, 0, 2)]
 
 
+def test_vectors_under_null_ids_only(spark):
+    schema = "vec_id long, embedding array<double>"
+    rows = [(1, [1.0, 0.0, 0.0]), (None, [1.0, 0.3, 0.0]), (2, [1.0, 0.6, 0.0]), (None, [0.0, 0.0, 1.0]), (None, [0.0, 0.1, 1.0])]
+    got = vectors.near_duplicates(spark.createDataFrame(rows, schema)).collect()
+    assert sorted((r.vec_id or 0, r.n_links, r.component_id or 0) for r in got) == [
+        (0, 1, 0), (0, 1, 0), (0, 2, 1), (1, 1, 1), (2, 1, 1)]
+    nulls = vectors.near_duplicates(spark.createDataFrame([(None, [1.0, 2.0])] * 3, schema)).collect()
+    assert [r.n_links for r in nulls] == [2, 2, 2]
+
+
 # ---- suffixes --------------------------------------------------------------------------
 
 @given(st.lists(st.binary(max_size=20).map(lambda b: bytes(x % 3 for x in b)), max_size=60))
