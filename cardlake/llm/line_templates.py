@@ -11,8 +11,8 @@ tokens are constant, else the line stands for itself.
 
 A template that recurs, i.e. whose lines occur in ``min_docs`` different texts
 or more, is dropped from every document but the one with the smallest id, so
-that no content goes from the corpus altogether.  Lines of fewer than
-``min_tokens`` tokens are left alone.
+that no content goes from the corpus altogether.  So is a line that recurs
+exactly, token by token, in ``exact_docs`` texts.
 
 What is counted is (line, text): equal texts count once, a line that a text
 repeats counts once, and two lines of one template in one text count twice.
@@ -36,37 +36,52 @@ FIELD = r"(?<!\S)[^\s0-9]*+[0-9]\S*+"
 SPACES = r"[ \t\x0B\f\r]{2,}+|[\t\x0B\f\r]"
 
 
+def spaced(line: Column) -> Column:
+    """The line with single spaces between tokens."""
+    return F.when(line.rlike(r"[\t\x0B\f\r]|  "),
+                  F.trim(F.regexp_replace(line, SPACES, " "))).otherwise(F.trim(line))
+
+
 def masked(line: Column) -> Column:
-    """The line with single spaces between tokens and ``<*>`` for tokens with a digit."""
-    full = F.regexp_replace(F.trim(F.regexp_replace(line, SPACES, " ")), FIELD, "<*>")
-    return F.when(line.rlike(r"[0-9\t\x0B\f\r]|  "), full).otherwise(F.trim(line))
+    """A spaced line with ``<*>`` for tokens with a digit."""
+    return F.when(line.rlike("[0-9]"), F.regexp_replace(line, FIELD, "<*>")).otherwise(line)
 
 
 def parsed_lines(docs: DataFrame, key: str, text: str, depth: int, min_tokens: int) -> DataFrame:
-    """(id, text_hash, at, line, tokens, leaf): the lines with enough tokens, masked."""
+    """(id, text_hash, at, line, tokens, leaf, exact): the lines with enough tokens, masked.
+
+    ``exact``: hash of the line itself if masking changed it, else null.
+    """
     # masked inside the array, so that a line is masked once, whatever reads it
+    lines = F.transform(F.transform(F.split(F.col(text), "\n"), spaced),
+                        lambda x: F.struct(x.alias("plain"), masked(x).alias("line")))
     rows = docs.select(F.col(key).alias("id"), F.xxhash64(text).alias("text_hash"),
-                       F.posexplode(F.transform(F.split(F.col(text), "\n"), masked)).alias("at", "line"))
+                       F.posexplode(lines).alias("at", "both"))
+    rows = rows.select("id", "text_hash", "at", F.col("both.plain").alias("plain"), F.col("both.line").alias("line"))
     tokens = F.size(F.split("line", " "))
     return (rows.withColumn("tokens", tokens).where(F.col("tokens") >= min_tokens)
-            .withColumn("leaf", F.xxhash64("tokens", F.substring_index("line", " ", depth))))
+            .withColumn("leaf", F.xxhash64("tokens", F.substring_index("line", " ", depth)))
+            .withColumn("exact", F.when(F.col("plain") != F.col("line"), F.xxhash64("plain"))).drop("plain"))
 
 
 def recurring_lines(docs: DataFrame, rows: DataFrame, key: str, text: str, depth: int, min_tokens: int,
-                    min_docs: int, similarity: float) -> DataFrame:
-    """(leaf, hash, keeper): the lines whose template recurs, and the id that keeps it.
+                    min_docs: int, similarity: float, exact_docs: int) -> DataFrame:
+    """(leaf, hash, keeper): the lines whose template recurs or that recur with
+    all tokens constant, and the id that keeps them.
 
-    ``rows``: (id, text_hash, at, leaf, hash) of all parsed lines.
+    ``rows``: (id, text_hash, at, leaf, hash, exact) of all parsed lines.
     """
-    lines = (rows.groupBy("leaf", "hash", "text_hash").agg(F.min("id").alias("id"))
-             .groupBy("leaf", "hash").agg(F.count("*").alias("n"), F.min("id").alias("first")))
+    least = F.when(F.col("exact").isNull(), exact_docs).otherwise(min_docs)
+    lines = (rows.withColumn("least", least)
+             .groupBy("leaf", "hash", "text_hash").agg(F.min("id").alias("id"), F.max("least").alias("least"))
+             .groupBy("leaf", "hash").agg(F.count("*").alias("n"), F.min("id").alias("first"),
+                                          F.max("least").alias("least")))
     lines = written(lines, "lines")
     # leaves in which something can recur, and where lines differ
     leaves = (lines.groupBy("leaf").agg(F.sum("n").alias("m"), F.count("*").alias("variants"))
               .where(F.col("m") >= min_docs))
     leaves = written(leaves, "leaves")
-    alone = lines.join(leaves.where("variants = 1").select("leaf"), "leaf").select(
-        "leaf", "hash", F.col("first").alias("keeper"))
+    alone = lines.where("n >= least").select("leaf", "hash", F.col("first").alias("keeper"))
     mixed = small(leaves.where("variants > 1").select("leaf"), 8)
     # the tokens of each distinct line in the other leaves
     spelled = (parsed_lines(docs, key, text, depth, min_tokens).select("leaf", "line")
@@ -90,23 +105,34 @@ def recurring_lines(docs: DataFrame, rows: DataFrame, key: str, text: str, depth
     recurring = (named.groupBy("leaf", "template")
                  .agg(F.sum("n").alias("m"), F.min("first").alias("keeper"))
                  .where(F.col("m") >= min_docs).drop("m"))
-    return alone.unionByName(named.join(recurring, ["leaf", "template"])
-                             .select("leaf", "hash", "keeper"))
+    # a template's keeper is the smaller one, as its lines include the line
+    return (alone.unionByName(named.join(recurring, ["leaf", "template"]).select("leaf", "hash", "keeper"))
+            .groupBy("leaf", "hash").agg(F.min("keeper").alias("keeper")))
+
+
+def recurring_fields(rows: DataFrame, exact_docs: int) -> DataFrame:
+    """(exact, keeper): the lines with variable fields that recur with the same fields."""
+    return (rows.where("exact is not null").groupBy("exact", "text_hash").agg(F.min("id").alias("id"))
+            .groupBy("exact").agg(F.count("*").alias("n"), F.min("id").alias("keeper"))
+            .where(F.col("n") >= exact_docs).drop("n"))
 
 
 def drop_recurring(docs: DataFrame, key: str = "doc_id", text: str = "text", depth: int = 3,
                    min_tokens: int = 4, min_docs: int = 5, similarity: float = 0.8,
-                   lines: str | None = None, dropped: str | None = None) -> DataFrame:
+                   exact_docs: int = 2, lines: str | None = None, dropped: str | None = None) -> DataFrame:
     """``docs`` without the lines of recurring templates (see the module text).
 
     ``lines`` and ``dropped`` name optional columns for the number of lines and
     of those dropped.
     """
     rows = written(parsed_lines(docs, key, text, depth, min_tokens)
-                   .select("id", "text_hash", "at", "leaf", F.xxhash64("line").alias("hash")), "rows")
-    gone = written(recurring_lines(docs, rows, key, text, depth, min_tokens, min_docs, similarity),
+                   .select("id", "text_hash", "at", "leaf", F.xxhash64("line").alias("hash"), "exact"), "rows")
+    gone = written(recurring_lines(docs, rows, key, text, depth, min_tokens, min_docs, similarity, exact_docs),
                    "recurring")
-    drops = (rows.join(small(gone, 24), ["leaf", "hash"])
+    same = written(recurring_fields(rows, exact_docs), "recurring-fields")
+    places = ["id", "text_hash", "at", "keeper"]
+    drops = (rows.join(small(gone, 24), ["leaf", "hash"]).select(places)
+             .unionByName(rows.where("exact is not null").join(small(same, 16), "exact").select(places))
              .where(~F.col("id").eqNullSafe(F.col("keeper")))
              .groupBy("id", "text_hash").agg(F.collect_set("at").alias("__drop")))
     drops = written(drops.withColumnsRenamed({"id": "__id", "text_hash": "__hash"}), "drops")

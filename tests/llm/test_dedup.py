@@ -241,6 +241,17 @@ def test_variable_fields_and_keeper(spark):
     assert dict(alone.collect()) == dict(rows[:4])
 
 
+@pytest.mark.parametrize("copies", [2, 3, 4])
+def test_long_lines_that_recur_exactly(spark, copies):
+    rng = random.Random(copies)
+    words = lambda n: " ".join("".join(rng.choice("abcdefgh") for _ in range(6)) for _ in range(n))
+    plain, fields, other = words(60), words(30) + " 12 " + words(30), words(8) + " 7"
+    rows = [(i, f"{words(9)}\n{plain}\n{fields.replace(' ', '  ')}\n{other}{i}") for i in range(copies)] + [(9, words(70))]
+    got = dict(line_templates.drop_recurring(spark.createDataFrame(rows, "doc_id long, text string")).collect())
+    first = lambda t: t.split("\n")[0] + "\n" + t.split("\n")[3]
+    assert got == {k: t if k in (0, 9) else first(t) for k, t in rows}
+
+
 # ---- decontamination -----------------------------------------------------------------------
 
 def test_leaks_equal_direct_containment(spark):
