@@ -12,7 +12,8 @@ tokens are constant, else the line stands for itself.
 A template that recurs, i.e. whose lines occur in ``min_docs`` different texts
 or more, is dropped from every document but the one with the smallest id, so
 that no content goes from the corpus altogether.  So is a line that recurs
-exactly, token by token, in ``exact_docs`` texts.
+exactly, token by token, in ``exact_docs`` texts, or ``short_docs`` if it has
+fewer than ``min_tokens`` tokens; such short lines have no variable fields.
 
 What is counted is (line, text): equal texts count once, a line that a text
 repeats counts once, and two lines of one template in one text count twice.
@@ -48,30 +49,33 @@ def masked(line: Column) -> Column:
 
 
 def parsed_lines(docs: DataFrame, key: str, text: str, depth: int, min_tokens: int) -> DataFrame:
-    """(id, text_hash, at, line, tokens, leaf, exact): the lines with enough tokens, masked.
+    """(id, text_hash, at, line, tokens, leaf, exact): the lines that aren't blank, masked.
 
+    A line of fewer than ``min_tokens`` tokens isn't masked and is a leaf of its own.
     ``exact``: hash of the line itself if masking changed it, else null.
     """
     # masked inside the array, so that a line is masked once, whatever reads it
     lines = F.transform(F.transform(F.split(F.col(text), "\n"), spaced),
-                        lambda x: F.struct(x.alias("plain"), masked(x).alias("line")))
+                        lambda x: F.struct(x.alias("plain"), F.size(F.split(x, " ")).alias("tokens"),
+                                           masked(x).alias("line")))
     rows = docs.select(F.col(key).alias("id"), F.xxhash64(text).alias("text_hash"),
                        F.posexplode(lines).alias("at", "both"))
-    rows = rows.select("id", "text_hash", "at", F.col("both.plain").alias("plain"), F.col("both.line").alias("line"))
-    tokens = F.size(F.split("line", " "))
-    return (rows.withColumn("tokens", tokens).where(F.col("tokens") >= min_tokens)
-            .withColumn("leaf", F.xxhash64("tokens", F.substring_index("line", " ", depth)))
+    short = F.col("tokens") < min_tokens
+    rows = (rows.select("id", "text_hash", "at", "both.*").where("plain <> ''")
+            .withColumn("line", F.when(short, F.col("plain")).otherwise(F.col("line"))))
+    start = F.when(short, F.col("line")).otherwise(F.substring_index("line", " ", depth))
+    return (rows.withColumn("leaf", F.xxhash64("tokens", start))
             .withColumn("exact", F.when(F.col("plain") != F.col("line"), F.xxhash64("plain"))).drop("plain"))
 
 
 def recurring_lines(docs: DataFrame, rows: DataFrame, key: str, text: str, depth: int, min_tokens: int,
-                    min_docs: int, similarity: float, exact_docs: int) -> DataFrame:
+                    min_docs: int, similarity: float, exact_docs: int, short_docs: int) -> DataFrame:
     """(leaf, hash, keeper): the lines whose template recurs or that recur with
     all tokens constant, and the id that keeps them.
 
-    ``rows``: (id, text_hash, at, leaf, hash, exact) of all parsed lines.
+    ``rows``: (id, text_hash, at, leaf, hash, exact, short) of all parsed lines.
     """
-    least = F.when(F.col("exact").isNull(), exact_docs).otherwise(min_docs)
+    least = F.when(F.col("short"), short_docs).when(F.col("exact").isNull(), exact_docs).otherwise(min_docs)
     lines = (rows.withColumn("least", least)
              .groupBy("leaf", "hash", "text_hash").agg(F.min("id").alias("id"), F.max("least").alias("least"))
              .groupBy("leaf", "hash").agg(F.count("*").alias("n"), F.min("id").alias("first"),
@@ -119,16 +123,17 @@ def recurring_fields(rows: DataFrame, exact_docs: int) -> DataFrame:
 
 def drop_recurring(docs: DataFrame, key: str = "doc_id", text: str = "text", depth: int = 3,
                    min_tokens: int = 4, min_docs: int = 5, similarity: float = 0.8,
-                   exact_docs: int = 2, lines: str | None = None, dropped: str | None = None) -> DataFrame:
+                   exact_docs: int = 2, short_docs: int = 10, lines: str | None = None, dropped: str | None = None) -> DataFrame:
     """``docs`` without the lines of recurring templates (see the module text).
 
     ``lines`` and ``dropped`` name optional columns for the number of lines and
     of those dropped.
     """
     rows = written(parsed_lines(docs, key, text, depth, min_tokens)
-                   .select("id", "text_hash", "at", "leaf", F.xxhash64("line").alias("hash"), "exact"), "rows")
-    gone = written(recurring_lines(docs, rows, key, text, depth, min_tokens, min_docs, similarity, exact_docs),
-                   "recurring")
+                   .select("id", "text_hash", "at", "leaf", F.xxhash64("line").alias("hash"), "exact",
+                           (F.col("tokens") < min_tokens).alias("short")), "rows")
+    gone = written(recurring_lines(docs, rows, key, text, depth, min_tokens, min_docs, similarity, exact_docs,
+                                   short_docs), "recurring")
     same = written(recurring_fields(rows, exact_docs), "recurring-fields")
     places = ["id", "text_hash", "at", "keeper"]
     drops = (rows.join(small(gone, 24), ["leaf", "hash"]).select(places)

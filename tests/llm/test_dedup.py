@@ -252,6 +252,14 @@ def test_long_lines_that_recur_exactly(spark, copies):
     assert got == {k: t if k in (0, 9) else first(t) for k, t in rows}
 
 
+def test_short_lines_that_recur(spark):
+    rows = [(i, f"own{i} text\nAll rights reserved.\n\nPage {i}\nPage\t7\n}}") for i in range(24)]
+    rows += [(100 + i, f"more{i}\nAd.") for i in range(9)]
+    got = dict(line_templates.drop_recurring(spark.createDataFrame(rows, "doc_id long, text string")).collect())
+    assert got == {k: t if k in (0, *range(100, 109)) else f"own{k} text\n" + f"\nPage {k}" * (k != 7)
+                   for k, t in rows}
+
+
 # ---- decontamination -----------------------------------------------------------------------
 
 def test_leaks_equal_direct_containment(spark):
