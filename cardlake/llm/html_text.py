@@ -90,6 +90,10 @@ _ATTRIBUTE = re.compile(r"([^\s=/\"']+)\s*(?:=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s
 _PARTS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|[0-9]+")
 
 
+# Elements that hold the page's text; their classes and ids tell of the layout.
+WHOLE = ("html", "body", "main", "article")
+
+
 def zone_mark(name: str, attributes: str) -> str:
     """How an element marks what is inside: "main", "apart", "sticky" or "" (not at all)."""
     if name in STICKY:
@@ -99,7 +103,7 @@ def zone_mark(name: str, attributes: str) -> str:
         mark = "header"
     for m in _ATTRIBUTE.finditer(attributes) if attributes and attributes != "/" else ():
         key, value = m[1].lower(), references.unescape(m[2] or m[3] or m[4] or "")
-        if key in ("class", "id"):
+        if key in ("class", "id") and name not in WHOLE:
             parts = {p.lower() for p in _PARTS.findall(value)}
             if parts & STICKY_HINTS:
                 return "sticky"
