@@ -4,9 +4,9 @@ Each stage takes (spark, docs, sf_dir) and returns a DataFrame that is written
 as Parquet and read again as the next stage's ``docs``.  All stages but the
 last return the columns of ``documents``.
 
-Rows with null or repeated ids are allowed: a null id is never rejected by an
-id-based decision; rows that repeat an id and its text are one document after
-the join stage, rows that repeat an id with other texts stand or fall together.
+Rows with null or repeated ids are allowed: decisions hold for an id (or none)
+with its text, so every row stands or falls by its own text; rows that repeat
+an id and its text are one document after the join stage.
 """
 
 from __future__ import annotations
@@ -18,9 +18,14 @@ from cardlake.llm import decontaminate, jaccard, line_templates, pieces, toxicit
 from cardlake.llm.common import small, written
 
 
-def _without(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """``docs`` but for the rows with these ids (a written table of doc_id)."""
-    return docs.join(small(ids, 16), "doc_id", "left_anti")
+def _keyed(docs: DataFrame) -> DataFrame:
+    """``docs`` with ``__key``: hash of the text and, unless null, the id."""
+    return docs.withColumn("__key", F.concat_ws(":", F.xxhash64("text").cast("string"), F.col("doc_id").cast("string")))
+
+
+def _without(docs: DataFrame, keys: DataFrame) -> DataFrame:
+    """Keyed ``docs`` but for the rows with these keys (a written table of __key)."""
+    return docs.join(small(keys, 64), "__key", "left_anti")
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -39,18 +44,31 @@ def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of documents joined by 5-word shingle similarity the one with the smallest id."""
-    groups = written(jaccard.similar_groups(docs), "groups")
-    kept = _without(docs, written(groups.where("doc_id <> component_id").select("doc_id").distinct(),
-                                  "copies"))
-    twice = groups.where("doc_id is not null").groupBy("doc_id").count().where("count > 1")
-    return kept if twice.isEmpty() else kept.dropDuplicates(["doc_id", "text"])
+    keyed = _keyed(docs)
+    groups = written(jaccard.similar_groups(keyed, key="__key"), "groups")
+    kind = dict(docs.dtypes)["doc_id"]
+    at = F.instr("__key", ":")
+    number = F.when(at > 0, F.col("__key").substr(at + 1, F.length("__key"))).cast(kind)
+    # null ids last, then by id
+    first = groups.groupBy("component_id").agg(F.min(F.struct(
+        number.isNull().alias("none"), number.alias("id"), F.col("__key").alias("key")))["key"].alias("first"))
+    copies = (groups.join(written(first, "firsts"), "component_id").where("__key <> first")
+              .select("__key").distinct())
+    kept = _without(keyed, written(copies, "copies"))
+    twice = written(groups.groupBy("__key").count().where("count > 1").select("__key"), "twice")
+    if twice.isEmpty():
+        return kept.drop("__key")
+    once = _without(kept, twice)
+    again = kept.join(small(twice, 64), "__key", "left_semi").dropDuplicates(["__key", "text"])
+    return once.unionByName(again).drop("__key")
 
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no benchmark item."""
     items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
-    leaks = decontaminate.leaks(docs, items)
-    return _without(docs, written(leaks.where("doc_id is not null").select("doc_id").distinct(), "leaks"))
+    keyed = _keyed(docs)
+    leaks = decontaminate.leaks(keyed, items, key="__key")
+    return _without(keyed, written(leaks.select("__key").distinct(), "leaks")).drop("__key")
 
 
 def to_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
