@@ -1,16 +1,16 @@
-"""Benchmark decontamination by size-partitioned MinHash containment search.
+"""Benchmark decontamination by MinHash containment search.
 
 Finds short test items inside long documents.  An item's containment is the
 share of its distinct word shingles that a document has; at ``num / den`` or
 more the document is contaminated.
 
 Resemblance of whole sets says nothing about a short item in a long document,
-so the search is partitioned by item size and made on the item's own minima.
-In the partition of items of about n shingles the sketch of an item is its k
+so the search is made on the item's own minima.  The sketch of an item of n
+shingles is its k
 smallest shingle hashes (bottom-k MinHash) with k = n - ceil(num/den n) + 1: a
 document that contains the item misses k - 1 shingles at most and so has one
-of the sketch.  The search therefore loses nothing, and each partition needs
-to look only below its own largest sketch value.  Candidates are then verified
+of the sketch.  The search therefore loses nothing, and looks only below
+the largest sketch value of any item (items aren't partitioned).  Candidates are then verified
 by exact containment over all shingles of the item.
 
 Documents are read once.  A task tests its documents' shingles against two bit
@@ -80,7 +80,7 @@ def document_hits(docs: DataFrame, items: DataFrame, key: str, text: str, width:
     """(id, sketch, hits) of the documents that hit a sketch; see the module text."""
     src = docs.select(F.col(key).alias("id"), F.col(text).alias("text"))
     sketch_bits, all_bits = _bits(items.where("in_sketch")), _bits(items)
-    # the largest sketch value of any size partition, as unsigned; and the lengths of short items
+    # the largest sketch value of any item, as unsigned; and the lengths of short items
     flip = F.col("shingle").bitwiseXOR(F.lit(-(1 << 63)))
     facts = items.where("in_sketch").agg(F.max(flip), F.collect_set("words")).first()
     if facts[0] is None:
