@@ -13,7 +13,7 @@ no sum of single weights can tell.
 Training is bounded, whatever the corpus: of the labelled rows that may be
 learnt from, the ``max_rows`` with the smallest hash of their id; of their
 terms, the ``max_terms`` that tell the labels apart best (chi-square) among
-those in at least ``min_docs`` of these rows.  Only hashed terms of that
+those in at least ``min_docs`` of these rows.  An id with several texts gives one.  Only hashed terms of that
 sample reach the driver.  The model (at most ``max_terms * (factors + 2)``
 numbers) goes along with the scoring tasks.  Every document is scored, whole.
 
@@ -71,7 +71,10 @@ def training_rows(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text:
               .orderBy(F.xxhash64("key"), "key").limit(max_rows))
     # at most max_rows rows of two numbers: a bounded side
     found = (docs.select(F.col(key).alias("key"), F.col(text).alias("text"))
-             .join(F.broadcast(sample), "key").select("label", "text"))
+             .join(F.broadcast(sample), "key"))
+    # one text of an id, so that no id outweighs others and max_rows bounds the rows
+    found = (found.groupBy("key", "label").agg(F.min(F.struct(F.xxhash64("text").alias("h"), "text"))["text"].alias("text"))
+             .select("label", "text"))
 
     def run(batches):
         known: dict[str, list[int]] = {}
