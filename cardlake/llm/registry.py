@@ -10,9 +10,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from cardlake.llm import chat, decontaminate, html_text, jaccard, line_templates, pieces, suffixes, toxicity, vectors, warc
+from cardlake.llm import (centroids, chat, codebooks, decontaminate, html_text, jaccard, line_templates, pieces, shards,
+                          suffixes, toxicity, vectors, warc)
+from cardlake.llm.round_sql import CENTROIDS_SQL, CODEBOOKS_SQL, SHARDS_SQL
 from cardlake.session import shared_path
 
+SHARDS = 40  # of op11
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -86,6 +90,23 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.similar_groups(table(spark, sf_dir, "documents"))
 
 
+def op11_minimax_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in 40 shards of near equal size, equal texts together."""
+    rows = shards.sharded(table(spark, sf_dir, "documents"), SHARDS)
+    return rows.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
+                       F.lit(None).cast("int").alias("grown_shard"))
+
+
+def op12_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every vector's cluster after three rounds of sixteen integer centroids."""
+    return centroids.clustered(table(spark, sf_dir, "embeddings"))
+
+
+def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every vector's code under eight fitted codebooks of sixteen entries."""
+    return codebooks.with_codes(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {
     "op1_html_extraction": op1_html_extraction,
     "op2_embedding_near_dedup": op2_embedding_near_dedup,
@@ -97,6 +118,9 @@ QUERIES = {
     "op8_line_dedup": op8_line_dedup,
     "op9_decontamination": op9_decontamination,
     "op10_jaccard_join": op10_jaccard_join,
+    "op11_minimax_shards": op11_minimax_shards,
+    "op12_centroid_clustering": op12_centroid_clustering,
+    "op13_vector_codes": op13_vector_codes,
     "pipeline": corpus_pipeline.run,
 }
 
@@ -199,4 +223,7 @@ ORACLE_SQL = {
     "op5_warc": _WARC_SQL,
     "op9_decontamination": _LEAKS_SQL,
     "op10_jaccard_join": _JACCARD_SQL,
+    "op11_minimax_shards": SHARDS_SQL,
+    "op12_centroid_clustering": CENTROIDS_SQL,
+    "op13_vector_codes": CODEBOOKS_SQL,
 }

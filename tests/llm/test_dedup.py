@@ -170,39 +170,52 @@ def test_repeats_in_long_texts_and_repeated_rows(spark):
 
 # ---- line templates ----------------------------------------------------------------------
 
-def brute_lines(rows, depth=3, min_tokens=4, min_docs=5, similarity=0.8):
-    """{(id, text): kept text}"""
-    def tokens(line):
-        return tuple("<*>" if re.search("[0-9]", w) else w
-                     for w in re.split(r"[ \t\x0b\x0c\r]+", line.strip(" ")) if w)
-    texts, first = collections.defaultdict(set), {}
+def brute_lines(rows, depth=3, min_tokens=4, min_docs=5, similarity=0.8, exact_docs=2, short_docs=10):
+    """Kept text of each (id, text)."""
     big = float("inf")
+
+    def plain(line):
+        return tuple(w for w in re.split(r"[ \t\x0b\x0c\r]+", line.strip(" ")) if w)
+
+    def masked(t):
+        return t if len(t) < min_tokens else tuple("<*>" if re.search("[0-9]", w) else w for w in t)
+
+    def note(where, t, text, i):
+        have, low = where.get(t, (set(), big))
+        where[t] = have | {text}, min(low, big if i is None else i)
+
+    lines, exact, least = {}, {}, collections.defaultdict(int)
     for i, text in rows:
-        for line in (text or "").split("\n"):
-            t = tokens(line)
-            if len(t) >= min_tokens:
-                texts[t].add(text)
-                first[t] = min(first.get(t, big), big if i is None else i)
+        for t in filter(None, map(plain, (text or "").split("\n"))):
+            m = masked(t)
+            note(lines, m, text, i)
+            least[m] = max(least[m], short_docs if len(t) < min_tokens else exact_docs if m == t else min_docs)
+            if m != t:
+                note(exact, t, text, i)
+    keeper = {t: low for t, (have, low) in lines.items() if len(have) >= least[t]}
     leaves = collections.defaultdict(list)
-    for t in texts:
-        leaves[len(t), t[:depth]].append(t)
-    keeper = {}
-    for lines in leaves.values():
+    for t in lines:
+        if len(t) >= min_tokens:
+            leaves[len(t), t[:depth]].append(t)
+    for leaf in leaves.values():
         count = collections.Counter()
-        for t in lines:
+        for t in leaf:
             for place in enumerate(t):
-                count[place] += len(texts[t])
+                count[place] += len(lines[t][0])
         templates = collections.defaultdict(list)
-        for t in lines:
+        for t in leaf:
             shape = tuple(p for p in enumerate(t) if count[p] >= min_docs)
             templates[shape if len(shape) >= similarity * len(t) else t].append(t)
-        for lines_ in templates.values():
-            if sum(len(texts[t]) for t in lines_) >= min_docs:
-                for t in lines_:
-                    keeper[t] = min(first[u] for u in lines_)
-    return [None if text is None else "\n".join(
-        line for line in text.split("\n")
-        if keeper.get(tokens(line), big if i is None else i) == (big if i is None else i)) for i, text in rows]
+        for alike in templates.values():
+            if sum(len(lines[t][0]) for t in alike) >= min_docs:
+                low = min(lines[t][1] for t in alike)
+                keeper.update((t, min(low, keeper.get(t, big))) for t in alike)
+    same = {t: low for t, (have, low) in exact.items() if len(have) >= exact_docs}
+
+    def stays(line, i):
+        t, i = plain(line), big if i is None else i
+        return keeper.get(masked(t), i) == i and same.get(t, i) == i
+    return [None if text is None else "\n".join(x for x in text.split("\n") if stays(x, i)) for i, text in rows]
 
 
 @pytest.mark.parametrize("seed", range(2))

@@ -14,7 +14,7 @@ from tools.oracle_check import compare, duck
 def test_all_are_registered():
     names = set(registry.QUERIES)
     assert names <= set(E.queries()) and set(registry.ORACLE_SQL) <= names
-    assert {n.split("_")[0] for n in names} == {f"op{i}" for i in range(1, 11)} | {"pipeline"}
+    assert {n.split("_")[0] for n in names} == {f"op{i}" for i in range(1, 14)} | {"pipeline"}
 
 
 @pytest.mark.parametrize("name", sorted(registry.ORACLE_SQL))
