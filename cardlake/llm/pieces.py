@@ -19,7 +19,9 @@ In bulk, texts are fed between boundaries that no piece can span (before a
 run of spaces, around a line end, between a letter and a punctuation mark, as
 far as the vocabulary has no piece across): all
 paths meet there at once, so the committed ids of a short stretch don't depend
-on what surrounds it and may be remembered, in a table of bounded size.
+on what surrounds it and may be remembered: in two tables of bounded size that
+end with the task.  When the younger one is full the older one goes, so what
+occurs often stays.  Results leave in batches of bounded size as well.
 
 Defined cases: a null text counts as empty and has no ids; very long texts and
 texts without any space are streamed; repeated rows and extra columns pass
@@ -31,16 +33,18 @@ from __future__ import annotations
 import math
 import re
 from array import array
-from dataclasses import dataclass, field, replace
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 DEFAULT_MODEL = "/opt/tokenizers/piece_bpe_32k.model"
-CACHE_ENTRIES = 1 << 19
-CACHE_CHARS = 48
+CACHE_ENTRIES = 1 << 17  # stretches in each of the two tables
+CACHE_CHARS = 48         # of the longest stretch remembered
+BATCH_CHARS = 1 << 20    # characters of text that one batch of results stands for, or one text
 CHUNK = 512  # characters taken into the window at a time
 LOWEST = -(1 << 62)  # below any score of a path
 
@@ -57,8 +61,6 @@ class Vocabulary:
     table: tuple[bytes, ...]            # id -> bytes that it stands for
     max_len: int                        # characters of the longest piece
     stretch: str                        # pattern of a stretch between sure boundaries
-    # ids of short stretches seen; as part of a broadcast it lasts as long as the Python worker
-    known: dict[str, array] = field(default_factory=dict, compare=False, repr=False)
 
 
 def load_vocabulary(path: str = DEFAULT_MODEL) -> Vocabulary:
@@ -198,25 +200,27 @@ class Encoder:
     def __init__(self, vocabulary: Vocabulary, cache_entries: int = CACHE_ENTRIES):
         self.v, self.entries = vocabulary, cache_entries
         self.stretches = re.compile(vocabulary.stretch).findall
-        self.known = vocabulary.known
+        self.known: dict[str, array] = {}
+        self.older: dict[str, array] = {}
         self.stream = StreamingViterbi(vocabulary)
         self.blob = np.frombuffer(b"".join(vocabulary.table), np.uint8)
         self.size = np.array([len(b) for b in vocabulary.table])
         self.place = np.cumsum(self.size) - self.size
 
     def stretch(self, text: str) -> array:
-        ids = array("i", self.stream.finish(text))
+        """Ids of a stretch that the younger table doesn't have."""
+        ids = self.older.get(text) or array("i", self.stream.finish(text))
         if len(text) <= CACHE_CHARS:
             if len(self.known) >= self.entries:
-                self.known.clear()
+                self.known, self.older = {}, self.known
             self.known[text] = ids
         return ids
 
     def encode(self, text: str, into: array | None = None) -> array:
         out = array("i") if into is None else into
-        get, add = self.known.get, out.extend
+        add = out.extend
         for part in self.stretches(text):
-            add(get(part) or self.stretch(part))
+            add(self.known.get(part) or self.stretch(part))
         return out
 
     def decode(self, ids) -> str:
@@ -240,26 +244,38 @@ def with_ids(df: DataFrame, vocabulary: Vocabulary, text: str = "text", ids: str
     keep = [c for c in (df.columns if columns is None else columns) if c not in names]
     src = df.select(*keep, *([] if text in keep else [text]))
 
-    # a reused worker keeps a broadcast's value, and with it the stretches it has seen
-    shared = df.sparkSession.sparkContext.broadcast(replace(vocabulary, known={}))
+    shared = df.sparkSession.sparkContext.broadcast(vocabulary)
 
     def run(batches):
         encoder = Encoder(shared.value)
-        for b in batches:
-            flat, ends, texts, equal = array("i"), [0], [], []
-            for value in b[text]:
-                source = value.as_py() or ""
-                encoder.encode(source, flat)
-                if decoded or same:
-                    back = encoder.decode(flat[ends[-1]:])
-                    texts.append(back)
-                    equal.append(back == source)
-                ends.append(len(flat))
-            values = pa.Array.from_buffers(pa.int32(), len(flat), [None, pa.py_buffer(flat)])
-            made = [pa.ListArray.from_arrays(pa.array(ends, pa.int32()), values)]
-            made += [pa.array(texts, pa.string())] if decoded else []
-            made += [pa.array(equal, pa.bool_())] if same else []
-            yield pa.RecordBatch.from_arrays([*[b[c] for c in keep], *made],
-                                             names=[*keep, *(f.name for f in extra)])
+        for whole in batches:
+            for b in _slices(whole, text):
+                flat, ends, texts, equal = array("i"), [0], [], []
+                for value in b[text]:
+                    source = value.as_py() or ""
+                    encoder.encode(source, flat)
+                    if decoded or same:
+                        back = encoder.decode(flat[ends[-1]:])
+                        equal.append(back == source)
+                        if decoded:
+                            texts.append(back)
+                    ends.append(len(flat))
+                values = pa.Array.from_buffers(pa.int32(), len(flat), [None, pa.py_buffer(flat)])
+                made = [pa.ListArray.from_arrays(pa.array(ends, pa.int32()), values)]
+                made += [pa.array(texts, pa.string())] if decoded else []
+                made += [pa.array(equal, pa.bool_())] if same else []
+                yield pa.RecordBatch.from_arrays([*[b[c] for c in keep], *made],
+                                                 names=[*keep, *(f.name for f in extra)])
 
     return src.mapInArrow(run, T.StructType([*[src.schema[c] for c in keep], *extra]))
+
+
+def _slices(b: pa.RecordBatch, text: str):
+    """The batch in slices of BATCH_CHARS characters or one row."""
+    length = np.cumsum(pc.fill_null(pc.utf8_length(b[text]), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
+    at = 0
+    while at < b.num_rows:
+        before = int(length[at - 1]) if at else 0
+        end = max(at + 1, int(np.searchsorted(length, before + BATCH_CHARS, "right")))
+        yield b.slice(at, end - at)
+        at = end

@@ -1,6 +1,6 @@
 import random
-from dataclasses import replace
 
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -55,8 +55,21 @@ def test_window_stays_small_on_text_without_spaces():
 
 def test_cache_never_changes_ids():
     texts = ["the thing the", "thing " * 50, "x\ny the"] * 3
-    tiny = pieces.Encoder(replace(V, known={}), cache_entries=2)
+    tiny = pieces.Encoder(V, cache_entries=2)
     assert [list(tiny.encode(t)) for t in texts] == [brute(t) for t in texts]
+    assert len(tiny.known) <= 2 and len(tiny.older) <= 2
+    big = pieces.Encoder(V, cache_entries=50)
+    for i in range(2000):
+        big.encode(f"the x{i}y")
+    assert len(big.known) <= 50 and len(big.older) <= 50 and "the" in {**big.known, **big.older}
+
+
+def test_batches_of_results_are_small():
+    text = ["a" * 300_000, None, "b" * 900_000, "", "c" * 3_000_000, "d", "e"]
+    b = pa.RecordBatch.from_arrays([pa.array(text), pa.array(range(7))], names=["t", "k"])
+    got = list(pieces._slices(b, "t"))
+    assert [x.num_rows for x in got] == [2, 2, 1, 2] and pa.Table.from_batches(got)["k"].to_pylist() == list(range(7))
+    assert list(pieces._slices(b.slice(0, 0), "t")) == []
 
 
 def test_table_edges(spark):
