@@ -1,30 +1,34 @@
-"""N-gram Jaccard join over an index of hashed token groups.
+"""N-gram Jaccard join over an R-tree of hashed token groups.
 
 A document is the set of its 5-word shingles.  Shingles are hashed into
 groups, and a document is the point of its group counts: |A & B| can't exceed
-the sum over the groups of min(a_g, b_g).  With that bound the index works in
-three levels, like a tree whose root fans out by coordinate:
-
-1. Root.  Coordinates have one order for all documents: group hash, after
-   that the groups that hold far more shingles than others (bounded list),
-   lightest first.  For a linked pair the minima must sum to
-   3/7 (|A| + |B|) >= 3/4 max(|A|, |B|), hence both have a non-zero coordinate
-   in common among the first |A| - ceil(3/4 |A|) + 1 of each.  A document
-   enters the subtrees of these leading coordinates only.
-2. Subtree.  Points that meet are compared by size and by the bound itself:
-   the minima summed over the coordinates that both are known to have, plus
-   the most that the coordinates after them can add.
-3. Leaf.  Surviving pairs are verified on the whole texts.
-
-A dense vector of few groups was measured and left: see the README.
-
-Work that a large group of copies would repeat is done once.  Texts with the
-same shingle set are one point.  First every point is verified against the one
-point (the smallest of a subtree) that it meets most often; subtrees whose
-points are then all in one component hold no unknown link between components
-and go; only pairs across components are compared further.  No link between
-components is lost, which is what the result needs: ids of components, not the
-pairs inside them.
+the sum over the groups of min(a_g, b_g).  Such points are joined in four steps:
+
+1. Root.  The index fans out by shingle.  Shingles have one order for all
+   documents: by hash, after that those of groups that hold far more than
+   others (bounded list), lightest first.  Linked documents share
+   3/7 (|A| + |B|) >= 3/4 max(|A|, |B|) shingles, hence one among the first
+   |A| - ceil(3/4 |A|) + 1 of each.  A document enters the subtrees of these
+   leading shingles only.
+2. First links.  Every point is verified against the one point (the smallest of a
+   subtree) that it meets most often.  Subtrees whose points are then all in one
+   component hold no unknown link between components and go.
+3. Crowded subtrees (more than ``CROWD`` points) are R-trees of the group counts
+   (``overlap_tree``).  Points outside the largest component of their subtree
+   search it for points of other components that the summed minima allow.  As
+   long as an eighth of them find a link so, each takes its best partner only,
+   and near copies join in a few rounds of one pair a point.
+4. What is still apart: all that the searches allow now, and the other subtrees
+   joined by shingle, at most ``CROWD`` rows to one.  A pair is then known with
+   all leading shingles that both have, and pruned by their number plus the most that
+   those after them can add.
+
+Survivors are verified on the whole texts by their 64-bit shingle hashes.
+
+Texts with the same shingle set are one point.  A crowded subtree is cut into blocks of
+``BLOCK`` points, and the searching points visit each block, so no task holds
+more than a block.  No link between components is lost, which is what the
+result needs: ids of components, not the pairs inside them.
 
 Defined cases: null, empty and blank texts have no shingles, and link with
 nothing; a text of fewer than five words is one shingle; an id that occurs
@@ -42,12 +46,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cardlake.llm import overlap_tree
 from cardlake.llm.common import components, small, written
 from cardlake.llm.shingles import WIDTH, Shingler, texts
 
 GROUP_BITS = 20      # groups that counts are kept of, to find the heavy ones
 HEAVY_GROUPS = 1 << 16
 LINKS_PER_BLOCK = 256
+CROWD = 32           # points of the largest subtree that is joined pair by pair
+BLOCK = 2048         # points of a crowded subtree that a task holds
 NUM, DEN = 3, 4      # the similarity of linked documents, as a fraction
 
 
@@ -79,12 +86,12 @@ def heavy_groups(docs: DataFrame, text: str, width: int) -> np.ndarray:
     return np.array([r["grp"] for r in reversed(top.collect())], np.int64)
 
 
-POINT = "id {id}, n int, digest binary, last long, lead array<long>"
+POINT = "id {id}, n int, digest binary, last long, lead array<long>, counts binary"
 
 
 def points(docs: DataFrame, key: str, text: str, width: int) -> DataFrame:
-    """(id, n, digest, last, lead): set size, digest of the set, leading coordinates in
-    their order, and the place of the last of them in the order of all coordinates."""
+    """(id, n, digest, last, lead, counts): set size, digest of the set, leading shingles in their
+    order, the place of the last of them in the order of all shingles, and the group counts."""
     src = docs.select(F.col(key).alias("id"), F.col(text).alias("text"))
     heavy = heavy_groups(src, "text", width)
 
@@ -93,12 +100,13 @@ def points(docs: DataFrame, key: str, text: str, width: int) -> DataFrame:
         rank[heavy] = np.arange(1, len(heavy) + 1, dtype=np.uint64)
         maker = Shingler(width)
         for b in batches:
-            ns, digests, lasts, flat, ends = [], [], [], [], [0]
+            ns, digests, lasts, flat, ends, counts = [], [], [], [], [0], []
             for t in texts(b["text"]):
                 found = maker.shingles(t)
                 n = len(found)
                 ns.append(n)
                 digests.append(hashlib.blake2b(found.tobytes(), digest_size=16).digest())
+                counts.append(overlap_tree.count_vector(found))
                 lead = found[:0]
                 if n:
                     length = n - needed(n) + 1
@@ -114,8 +122,8 @@ def points(docs: DataFrame, key: str, text: str, width: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [b["id"], pa.array(ns, pa.int32()), pa.array(digests, pa.binary()),
                  pa.array(lasts, pa.int64()),
-                 pa.ListArray.from_arrays(pa.array(ends, pa.int32()), values)],
-                names=["id", "n", "digest", "last", "lead"])
+                 pa.ListArray.from_arrays(pa.array(ends, pa.int32()), values), pa.array(counts, pa.binary())],
+                names=["id", "n", "digest", "last", "lead", "counts"])
 
     return src.mapInArrow(run, POINT.format(id=dict(src.dtypes)["id"]))
 
@@ -222,18 +230,110 @@ def _large_enough(n, m):
     return DEN * F.least(n, m) >= NUM * F.greatest(n, m)
 
 
-def links(reps: DataFrame, docs: DataFrame, width: int = WIDTH) -> DataFrame:
-    """Verified links (a, b) that join all points which links join (see the module text)."""
+def tree_pairs(rows: DataFrame, all_of_them: bool) -> DataFrame:
+    """Pairs of the crowded subtrees that the group counts allow, as (id, n, last, at) of the one
+    and (id2, n2, last2, at2) of the other: all, or each searching point's best in a block.
+
+    ``rows``: (key, block, part, id, n, last, at, component, outside, counts); in a block the
+    points to be found (part 0) come before those that search (part 1).
+    """
+    kind = dict(rows.dtypes)["id"]
+    side, second = (f"id{x} {kind}, n{x} int, last{x} long, at{x} int" for x in ("", "2"))
+    rows = rows.repartition("key", "block").sortWithinPartitions("key", "block", "part")
+
+    def run(batches):
+        unit, held, tree = None, [], None
+        for b in batches:
+            if not b.num_rows:
+                continue
+            key, block, part = (b[c].to_numpy() for c in ("key", "block", "part"))
+            new = (key[1:] != key[:-1]) | (block[1:] != block[:-1]) | (part[1:] != part[:-1])
+            start = np.concatenate(([0], np.flatnonzero(new) + 1, [len(key)]))
+            made = []
+            for s, e in zip(start[:-1], start[1:]):
+                if unit != (key[s], block[s]):
+                    unit, held, tree = (key[s], block[s]), [], None
+                mine = [b[c].slice(s, e - s).to_numpy(zero_copy_only=False)
+                        for c in ("id", "n", "last", "at", "component", "outside")]
+                mine.append(overlap_tree.as_matrix(b["counts"].slice(s, e - s).to_pylist()))
+                if part[s] == 0:
+                    held.append(mine)
+                    continue
+                if tree is None:
+                    points = [np.concatenate(c) for c in zip(*held)]
+                    # classes as numbers, for ids of any type
+                    names, own = np.unique(points[4], return_inverse=True)
+                    tree = overlap_tree.Tree(points[6], points[1].astype(np.int64), own, NUM, DEN)
+                place = np.searchsorted(names, mine[4]).clip(max=len(names) - 1)
+                known = np.where(names[place] == mine[4], place, -1)
+                i, j, bound = tree.search(mine[6], mine[1].astype(np.int64), known)
+                if all_of_them:
+                    # two points that both search meet twice
+                    pick = np.flatnonzero(~points[5][j] | (mine[0][i] < points[0][j]))
+                else:
+                    pick = overlap_tree.best_of_each(i, j, bound, mine[1], points[1])
+                i, j, bound = i[pick], j[pick], bound[pick]
+                made.append([*(c[i] for c in mine[:4]), *(c[j] for c in points[:4]), bound / (mine[1][i] + points[1][j])])
+            if made:
+                kinds = [b.schema.field(c).type for c in ("id", "n", "last", "at")] * 2 + [pa.float64()]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.concatenate(c), t) for c, t in zip(zip(*made), kinds)],
+                    names=["id", "n", "last", "at", "id2", "n2", "last2", "at2", "share"])
+
+    return rows.mapInArrow(run, f"{side}, {second}, share double")
+
+
+def crowded_rows(entries: DataFrame, crowded: DataFrame, counts: DataFrame, near: DataFrame, docs: DataFrame,
+                 width: int) -> tuple[DataFrame, DataFrame]:
+    """(links, rows): ``near`` and the links to best partners in the ``crowded`` subtrees (key, many),
+    and the rows for ``tree_pairs`` of what is still apart."""
+    points = written(entries.drop("first").join(small(crowded, 16), "key"), "crowded")
+    vectors = written(counts.join(small(written(points.select("id").distinct(), "ids"), 16), "id"), "counts")
+    while True:
+        part = written(components(near), "parts")
+        named = points.join(part, "id", "left").withColumn("component", F.coalesce("component", "id"))
+        classes = named.groupBy("key", "component").agg(F.count("*").alias("c"))
+        main = (classes.groupBy("key").agg(F.max(F.struct("c", "component")).alias("m"), F.count("*").alias("k"))
+                .where("k > 1").select("key", F.col("m.component").alias("main")))
+        open_ = named.join(small(written(main, "main"), 24), "key")
+        open_ = written(open_.select("key", F.ceil(F.col("many") / BLOCK).cast("int").alias("blocks"), "id", "n", "last",
+                                     "at", "component", (F.col("component") != F.col("main")).alias("outside")), "open")
+        held = open_.withColumns({"block": F.pmod(F.hash("id"), "blocks"), "part": F.lit(0)})
+        searching = open_.where("outside").withColumns(
+            {"block": F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)), "part": F.lit(1)})
+        rows = held.unionByName(searching).join(vectors, "id")
+        best = (tree_pairs(rows, False).groupBy("id").agg(F.max(F.struct("share", "id2")).alias("m"))
+                .select(F.col("id").alias("a"), F.col("m.id2").alias("b")))
+        best = written(best, "best")
+        found = verified(best, docs, width)
+        near = written(near.unionByName(found), "near")
+        # rows that fell into one component since are no harm: their pairs are only known already
+        if found.count() * 8 <= best.count():
+            return near, rows
+
+
+def links(reps: DataFrame, docs: DataFrame, counts: DataFrame, width: int = WIDTH) -> DataFrame:
+    """Verified links (a, b) that join all points which links join (see the module text).
+
+    ``counts``: (id, counts) of all points.
+    """
     entries = written(subtrees(reps), "entries")
-    # level 1: each point against the point it meets most often
     met = (entries.where(F.col("id") != F.col("first"))
            .groupBy("id", "first", "n").agg(F.count("*").alias("s")))
     best = (met.where(F.col("s") * 8 >= F.col("n") - F.ceil(F.col("n") * NUM / DEN) + 1)
             .groupBy("id").agg(F.max(F.struct("s", "first")).alias("m")))
     near = verified(best.select(F.col("m.first").alias("a"), F.col("id").alias("b")), docs, width)
-    # level 2: pairs across components, by the bound
+    crowded = written(entries.groupBy("key").agg(F.count("*").alias("many")).where(F.col("many") > CROWD), "crowded-keys")
+    meetings = None
+    if not crowded.isEmpty():
+        near, rows = crowded_rows(entries, crowded, counts, near, docs, width)
+        found = tree_pairs(rows, True).drop("share")
+        swap = F.col("id") > F.col("id2")
+        meetings = found.select(*[F.when(swap, F.col(d)).otherwise(F.col(c)).alias(c) for c, d in zip(
+            found.columns, found.columns[4:] + found.columns[:4])])
+    # the other subtrees, pair by pair
     part = written(components(near), "parts")
-    tagged = (entries.drop("first").join(part, "id", "left")
+    tagged = (entries.drop("first").join(small(crowded.select("key"), 8), "key", "left_anti").join(part, "id", "left")
               .withColumn("component", F.coalesce("component", "id")))
     tagged = written(tagged, "tagged")
     open_keys = (tagged.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y"))
@@ -245,9 +345,11 @@ def links(reps: DataFrame, docs: DataFrame, width: int = WIDTH) -> DataFrame:
     pairs = (left.join(right, "key")
              .where((F.col("id") < F.col("id2")) & (F.col("component") != F.col("component2"))
                     & _large_enough(F.col("n"), F.col("n2")))
-             .groupBy("id", "id2", "n", "n2", "last", "last2")
-             .agg(F.count("*").alias("s"), F.min("at").alias("from"), F.min("at2").alias("from2"),
-                  F.max("at").alias("at"), F.max("at2").alias("at2")))
+             .drop("key", "component", "component2"))
+    # a pair that the group counts allow is here once for each leading shingle that both have
+    pairs = (pairs if meetings is None else pairs.unionByName(meetings)).groupBy("id", "id2", "n", "n2", "last", "last2")
+    pairs = pairs.agg(F.count("*").alias("s"), F.min("at").alias("from"), F.min("at2").alias("from2"),
+                      F.max("at").alias("at"), F.max("at2").alias("at2"))
     s, n, m = F.col("s"), F.col("n"), F.col("n2")
     # what stands before the first coordinate in common, and between it and the last, is known
     after = F.least(s + F.least(n - F.col("at") - 1, m - F.col("at2") - 1),
@@ -269,7 +371,9 @@ def similar_groups(docs: DataFrame, key: str = "doc_id", text: str = "text",
     reps = (found.where("n > 0 and id is not null").groupBy("digest")
             .agg(F.min("id").alias("id"), F.first("n").alias("n"), F.first("last").alias("last"),
                  F.first("lead").alias("lead")))
-    part = written(components(links(reps, src, width)), "parts")
+    # an id with several texts has several vectors
+    counts = found.where("n > 0 and id is not null").groupBy("id", "digest").agg(F.first("counts").alias("counts"))
+    part = written(components(links(reps, src, counts.select("id", "counts"), width)), "parts")
     rep = found.where("n > 0").groupBy("digest").agg(F.min("id").alias("rep"))
     named = rep.join(part, F.col("rep") == F.col("id"), "left").select(
         "digest", F.coalesce("component", "rep").alias("component"))

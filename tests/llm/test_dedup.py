@@ -11,7 +11,7 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from cardlake.llm import decontaminate, jaccard, line_templates, suffixes, vectors
+from cardlake.llm import decontaminate, jaccard, line_templates, overlap_tree, suffixes, vectors
 from tests.llm.test_shingles_components import brute as word_set
 
 
@@ -340,9 +340,11 @@ def _near_copies(seed):
     return list(enumerate(rows))
 
 
-@pytest.mark.parametrize("seed", range(2))
-def test_groups_equal_all_pairs(spark, seed, monkeypatch):
+@pytest.mark.parametrize("seed,crowd,block", [(0, 32, 2048), (1, 2, 5), (2, 5, 2048)])
+def test_groups_equal_all_pairs(spark, seed, crowd, block, monkeypatch):
     monkeypatch.setattr(jaccard, "LINKS_PER_BLOCK", 3)
+    monkeypatch.setattr(jaccard, "CROWD", crowd)
+    monkeypatch.setattr(jaccard, "BLOCK", block)
     rows = _near_copies(seed) + [(900, None), (901, ""), (902, " \n"), (903, "a b"), (904, "A  b"), (905, "w " * 20000)]
     df = spark.createDataFrame([(*r, 0, "x") for r in rows], "doc_id long, text string, n int, id string")
     got = jaccard.similar_groups(df)
@@ -356,3 +358,61 @@ def test_groups_edges(spark):
     got = jaccard.similar_groups(spark.createDataFrame(rows, schema)).collect()
     assert sorted((r.doc_id or 0, r.n_shingles, r.component_id or 0) for r in got) == [
         (0, 0, 0), (0, 3, 5), (2, 1, 2), (3, 1, 2), (5, 3, 5), (5, 3, 5)]
+
+
+def test_crowded_group_of_near_copies(spark, monkeypatch):
+    """Copies that differ from each other more than from their origin, which isn't the smallest id."""
+    monkeypatch.setattr(jaccard, "BLOCK", 40)
+    rng = random.Random(9)
+    base = [f"t{i}" for i in range(150)]
+    rows = []
+    for i in range(110):
+        t = list(base)
+        for _ in range(rng.choice([1, 3, 5, 7, 9])):
+            t[rng.randrange(150)] = f"e{i}x{rng.randint(0, 99)}"
+        rows.append((i, " ".join(t)))
+    rows.append((200, " ".join(base)))
+    got = jaccard.similar_groups(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert sorted(map(tuple, got.collect())) == brute_groups(rows)
+
+
+def test_words_that_cancel_out_in_sums_of_powers(spark):
+    """Thue-Morse words: they collide under any polynomial modulo 2**64."""
+    a = "a"
+    for _ in range(12):
+        a += a.translate({97: 98, 98: 97})
+    b = a.translate({97: 98, 98: 97})
+    for n in (64, 1024, 4096):
+        docs = spark.createDataFrame([(1, a[:n]), (2, b[:n])], "doc_id long, text string")
+        assert [r.component_id for r in jaccard.similar_groups(docs).orderBy("doc_id").collect()] == [1, 2]
+        items = docs.where("doc_id = 1").withColumnRenamed("doc_id", "item_id")
+        assert [r.doc_id for r in decontaminate.leaks(docs, items).collect()] == [1]
+
+
+@given(st.integers(0, 10 ** 6))
+@settings(max_examples=40, deadline=None)
+def test_overlap_tree_loses_nothing(seed):
+    rng = np.random.default_rng(seed)
+    sets, base = [], rng.integers(0, 1 << 63, 300)
+    for i in range(150):
+        keep = base[rng.random(300) < rng.choice([0.1, 0.6, 0.9])]
+        sets.append(np.unique(np.concatenate((keep, rng.integers(0, 1 << 63, rng.integers(0, 60))))).astype(np.uint64))
+    own = rng.integers(0, 40, 150)
+    counts = overlap_tree.as_matrix([overlap_tree.count_vector(s) for s in sets])
+    size = np.array([len(s) for s in sets])
+    i, j, bound = overlap_tree.Tree(counts, size, own, 3, 4).search(counts[:30], size[:30], own[:30])
+    found = dict(zip(zip(i.tolist(), j.tolist()), bound.tolist()))
+    assert all(own[a] != own[b] for a, b in found) and len(found) == len(i)
+    for a in range(30):
+        for b in range(150):
+            both = len(np.intersect1d(sets[a], sets[b]))
+            assert found.get((a, b), both) >= both
+            if own[a] != own[b] and 7 * both >= 3 * (size[a] + size[b]):
+                assert (a, b) in found
+    best = overlap_tree.best_of_each(i, j, bound, size, size)
+    assert sorted(i[best].tolist()) == sorted(set(i.tolist()))
+
+
+def test_large_counts_take_four_bytes():
+    many = np.zeros(70_000, np.uint64)
+    assert overlap_tree.as_matrix([overlap_tree.count_vector(many), overlap_tree.count_vector(many[:0])])[:, 0].tolist() == [70_000, 0]
