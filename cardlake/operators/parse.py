@@ -17,6 +17,7 @@ INVALID_EVENT_TS = "INVALID_EVENT_TS"
 MISSING_AMOUNT = "MISSING_AMOUNT"
 FRAUD_DETECTED = "FRAUD_DETECTED"
 LATE_EVENT = "LATE_EVENT"
+FUTURE_EVENT = "FUTURE_EVENT"
 
 
 def _now(as_of) -> Column:
@@ -56,7 +57,11 @@ def parse_payments(lines: DataFrame, value_col: str = "value",
     dlq_ts, the raw payload (kept for replay) and whatever fields parsed.
     Works on batch and streaming frames alike.
     """
-    tagged = tag_payloads(lines, value_col)
+    return split_payloads(tag_payloads(lines, value_col), as_of)
+
+
+def split_payloads(tagged: DataFrame, as_of=None) -> tuple[DataFrame, DataFrame]:
+    """``parse_payments`` of payloads that ``tag_payloads`` has parsed."""
     valid = (tagged.filter(F.col("_error").isNull())
              .select(*RAW_FIELDS, "event_ts", utc_day("event_ts").alias("date")))
     invalid = (tagged.filter(F.col("_error").isNotNull())

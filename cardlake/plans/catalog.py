@@ -457,6 +457,17 @@ def q_stream_card_rules_ingest(spark, sf_dir):
     return decided_rows(spark, f"{root}/decided")
 
 
+def _outcomes(spark, root, undecided):
+    """Decided rows and the letters of undecided ones, as (transaction_id, outcome, is_fraud, fraud_reason)."""
+    letters = from_value(spark.read.parquet(f"{root}/dlq").select("key", "value"),
+                         ["transaction_id", "error_reason"]).filter(undecided)
+    return (decided_rows(spark, f"{root}/decided")
+            .select("transaction_id", F.lit("decided").alias("outcome"), "is_fraud", "fraud_reason")
+            .unionByName(letters.select("transaction_id", F.col("error_reason").alias("outcome"),
+                                        F.lit(None).cast("boolean").alias("is_fraud"),
+                                        F.lit(None).cast("string").alias("fraud_reason"))))
+
+
 @register("stream_card_rules_late")
 def q_stream_card_rules_late(spark, sf_dir):
     """Half of the cards are delivered in a second drain: their rows that are over
@@ -468,15 +479,33 @@ def q_stream_card_rules_late(spark, sf_dir):
     for part in (~second, second):
         fast.filter(part).select(F.to_json(F.struct(*RAW_FIELDS)).alias("value")) \
             .write.mode("append").text(f"{root}/in")
+        await_all(start_card_rules_ingest(text_stream(spark, f"{root}/in"), f"{root}/decided", f"{root}/chk",
+                                          dlq_path=f"{root}/dlq", trigger="available_now", as_of=DLQ_TS, support=1))
+    return _outcomes(spark, root, "error_reason = 'LATE_EVENT'")
+
+
+@register("stream_card_rules_future")
+def q_stream_card_rules_future(spark, sf_dir):
+    """Wrongly dated payments in the first of two drains: copies dated ten years ahead,
+    and copies of one card dated two hours ahead.  The former are letters of their own
+    kind; neither makes any other payment late or cuts what rules look back on."""
+    fast = fixtures.payments_fast(spark, sf_dir)
+    root = shared_path(spark, "stream_card_rules_future")
+    middle = F.lit("2024-01-01 00:30:00").cast("timestamp")
+    first, second = fast.filter(F.col("event_ts") < middle), fast.filter(F.col("event_ts") >= middle)
+    card = fast.agg(F.min("card_hash")).first()[0]
+
+    def dated(rows, mark, ahead):
+        ts = F.col("event_ts") + F.expr(f"INTERVAL {ahead}")
+        return (rows.withColumn("transaction_id", F.concat("transaction_id", F.lit(mark))).withColumn("event_ts", ts)
+                .withColumn("ts_event", F.date_format(ts, fixtures.TS_TEXT_FORMAT)))
+    wrong = dated(first.filter(F.col("transaction_id").endswith("50")), "-Y", "10 YEARS").unionByName(
+        dated(first.filter(F.col("card_hash") == card), "-H", "2 HOURS"))
+    for part in (first.unionByName(wrong), second):
+        part.select(F.to_json(F.struct(*RAW_FIELDS)).alias("value")).write.mode("append").text(f"{root}/in")
         await_all(start_card_rules_ingest(text_stream(spark, f"{root}/in"), f"{root}/decided", f"{root}/chk",
                                           dlq_path=f"{root}/dlq", trigger="available_now", as_of=DLQ_TS))
-    letters = from_value(spark.read.parquet(f"{root}/dlq").select("key", "value"),
-                         ["transaction_id", "error_reason"]).filter("error_reason = 'LATE_EVENT'")
-    return (decided_rows(spark, f"{root}/decided")
-            .select("transaction_id", F.lit("decided").alias("outcome"), "is_fraud", "fraud_reason")
-            .unionByName(letters.select("transaction_id", F.col("error_reason").alias("outcome"),
-                                        F.lit(None).cast("boolean").alias("is_fraud"),
-                                        F.lit(None).cast("string").alias("fraud_reason"))))
+    return _outcomes(spark, root, "error_reason in ('LATE_EVENT', 'FUTURE_EVENT')")
 
 
 @register("stream_blacklist_table")

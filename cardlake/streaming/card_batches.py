@@ -5,12 +5,15 @@ still look back to) and decided by ``operators.card_rules``: one shuffle on
 (card, time bucket), all rules on the JVM, a busy card split into buckets.
 Nothing is kept per card and no card's rows have to fit one task.
 
-* On time are rows that are at most ``delay`` behind the newest event of the
-  batches before.  Later ones are not decided; they go to the dead letter as
-  ``LATE_EVENT``.
+* On time are rows that are at most ``delay`` behind the clock of the batches
+  before (``streaming.clock``: a time that several cards have reached).  Later
+  ones are not decided; they go to the dead letter as ``LATE_EVENT``.  Rows
+  dated further ahead of their arrival than ``ahead_s`` go there as
+  ``FUTURE_EVENT``, and neither the clock nor the tail hears of them.
+* A payload is parsed once: the parsed batch is kept while its sinks are written.
 * The tail (card, time, id, location, result of the last ``delay`` plus the
-  longest look-back) is written after each batch into one of two folders in
-  turn, so a batch that is run again still finds the tail it began with.
+  longest look-back) and the clock are written after each batch into one of two
+  folders in turn, so a batch that is run again still finds those it began with.
 * Decided rows and letters are written under the id of the load (stream
   generation and batch), with dynamic overwrite: a repeated batch replaces
   itself, and a new checkpoint never touches rows of an older one.
@@ -27,11 +30,13 @@ from pyspark.sql import functions as F
 
 from cardlake.functions.columns import micros
 from cardlake.operators.card_rules import VELOCITY_S, WINDOW_S, flag_card_rules
-from cardlake.operators.parse import LATE_EVENT, parse_payments
+from cardlake.operators.parse import FUTURE_EVENT, LATE_EVENT, split_payloads, tag_payloads
 from cardlake.operators.routing import dead_letter, undecided_as_invalid
 from cardlake.operators.rules import (ALL_RULES, DEFAULT_BLACKLIST, combine_flags, flag_blacklist,
                                       flag_high_amount, route)
 from cardlake.schemas import CARD_RULE_COLUMNS
+from cardlake.streaming.clock import (AHEAD_S, CLOCK, SUPPORT, clock_time, merged_clock, newest_cards,
+                                      too_far_ahead)
 
 TAIL = "card_hash string, event_ts timestamp, transaction_id string, location string, auth_result string"
 TAIL_COLUMNS = [c.split()[0] for c in TAIL.split(", ")]
@@ -51,11 +56,13 @@ def replace_load(df: DataFrame, path: str, load: str, partitions: tuple[str, ...
 
 def card_rules_writer(decided_path: str, checkpoint: str, delay_s: int, dlq_path: str | None = None,
                       kafka: tuple[str, str] | None = None, blacklist=DEFAULT_BLACKLIST, payloads: bool = True,
-                      as_of=None, **rule_params) -> Callable[[DataFrame, int], None]:
+                      as_of=None, ahead_s: int = AHEAD_S, support: int = SUPPORT,
+                      **rule_params) -> Callable[[DataFrame, int], None]:
     """``foreachBatch`` function; see the module text.
 
     ``payloads``: the batch has a raw JSON ``value`` column; otherwise it has
-    the columns of parsed payments.
+    the columns of parsed payments.  ``as_of`` stands for the time of arrival
+    (default: the time at which the batch is run).
     """
     look_back = max(rule_params.get("velocity_s", VELOCITY_S), rule_params.get("window_s", WINDOW_S))
     keep_us = (look_back + delay_s) * 1_000_000
@@ -64,15 +71,19 @@ def card_rules_writer(decided_path: str, checkpoint: str, delay_s: int, dlq_path
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         load = load_id(spark, root, batch_id)
-        batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
+        batch = (tag_payloads(batch) if payloads else batch).persist(StorageLevel.MEMORY_AND_DISK)
+        now = F.current_timestamp() if as_of is None else F.lit(as_of).cast("timestamp")
         try:
-            valid, invalid = parse_payments(batch, as_of=as_of) if payloads else (batch, None)
-            tail = (spark.read.schema(TAIL).parquet(f"{root}/tail/{(batch_id - 1) % 2}") if batch_id
-                    else spark.createDataFrame([], TAIL))
-            newest = tail.agg(F.max(micros("event_ts"))).first()[0] if batch_id else None
+            valid, invalid = split_payloads(batch, as_of) if payloads else (batch, None)
+            last, this = (batch_id - 1) % 2, batch_id % 2
+            tail, clock = ((spark.read.schema(TAIL).parquet(f"{root}/tail/{last}"),
+                            spark.read.schema(CLOCK).parquet(f"{root}/clock/{last}")) if batch_id
+                           else (spark.createDataFrame([], TAIL), spark.createDataFrame([], CLOCK)))
+            newest = clock_time(clock)
+            future = too_far_ahead(now, ahead_s)
             on_time = F.lit(True) if newest is None else F.coalesce(
                 micros("event_ts") >= F.lit(newest - delay_s * 1_000_000), F.lit(True))
-            fresh = valid.filter(on_time)
+            fresh = valid.filter(on_time & ~future)
             p = flag_blacklist(flag_high_amount(fresh), blacklist)
             if "event_date" not in p.columns:
                 p = p.withColumnRenamed("date", "event_date")
@@ -82,9 +93,9 @@ def card_rules_writer(decided_path: str, checkpoint: str, delay_s: int, dlq_path
                                     .select(*CARD_RULE_COLUMNS), ALL_RULES)
             replace_load(decided, decided_path, load, ("event_date",))
             if dlq_path or kafka:
-                late = (valid.filter(~on_time).withColumn("error_reason", F.lit(LATE_EVENT))
-                        .withColumn("dlq_ts", F.current_timestamp() if as_of is None
-                                    else F.lit(as_of).cast("timestamp")))
+                reason = F.when(future, F.lit(FUTURE_EVENT)).otherwise(F.lit(LATE_EVENT))
+                late = (valid.filter(~on_time | future).withColumn("error_reason", reason)
+                        .withColumn("dlq_ts", now))
                 # read back what was written: decided once, whatever the sinks
                 back = (spark.read.parquet(decided_path).filter(F.col("load_id") == load)
                         .select(*decided.columns) if _any(spark, decided_path, load) else decided.limit(0))
@@ -98,11 +109,12 @@ def card_rules_writer(decided_path: str, checkpoint: str, delay_s: int, dlq_path
                      .option("topic", kafka[1]).save())
                 else:
                     replace_load(letters, dlq_path, load)
-            seen = fresh.agg(F.max(micros("event_ts"))).first()[0]
-            newest = max(x for x in (newest, seen, 0) if x is not None)
+            merged_clock(clock.unionByName(newest_cards(fresh, support)), support).coalesce(1) \
+                .write.mode("overwrite").parquet(f"{root}/clock/{this}")
+            reached = clock_time(spark.read.schema(CLOCK).parquet(f"{root}/clock/{this}"))
             (tail.unionByName(fresh.select(*TAIL_COLUMNS))
-             .filter(micros("event_ts") >= F.lit(newest - keep_us))
-             .write.mode("overwrite").parquet(f"{root}/tail/{batch_id % 2}"))
+             .filter(micros("event_ts") >= F.lit((reached or 0) - keep_us))
+             .write.mode("overwrite").parquet(f"{root}/tail/{this}"))
         finally:
             batch.unpersist()
 

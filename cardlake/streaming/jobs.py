@@ -85,9 +85,11 @@ def start_card_rules_ingest(lines: DataFrame, decided_path: str, checkpoint_root
     Decided rows go to ``decided_path`` (by ``event_date``, then load);
     readers split clean / flagged with ``route``.  The dead letter has flagged
     rows, rows without a decision (``MISSING_AMOUNT``), rows later than
-    ``delay`` (``LATE_EVENT``, not decided) and payloads that don't parse, so
-    every payload is in one of the two.  ``payloads=False``: the stream has
-    parsed payments instead of a JSON ``value``.
+    ``delay`` (``LATE_EVENT``, not decided), rows dated ahead of their arrival
+    (``FUTURE_EVENT``, not decided) and payloads that don't parse, so every
+    payload is in one of the two.  ``payloads=False``: the stream has parsed
+    payments instead of a JSON ``value``.  ``ahead_s`` and ``support``: see
+    ``streaming.clock``.
     """
     checkpoint = f"{checkpoint_root}/decided"
     writer = card_rules_writer(decided_path, checkpoint, interval_seconds(delay), dlq_path, kafka, blacklist,

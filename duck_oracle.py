@@ -320,6 +320,13 @@ SELECT transaction_id, 'decided' AS outcome, is_fraud, fraud_reason FROM card_ru
 UNION ALL SELECT transaction_id, 'decided', is_fraud, fraud_reason FROM ({_card_rules("second")})
 UNION ALL SELECT transaction_id, 'LATE_EVENT', NULL, NULL FROM payments_fast, newest
           WHERE card_hash >= '8' AND event_ts < t - INTERVAL 15 MINUTE"""
+    q["stream_card_rules_future"] = f"""
+WITH first AS (SELECT * FROM payments_fast WHERE event_ts < TIMESTAMP '2024-01-01 00:30:00'),
+     ahead AS (SELECT * REPLACE (transaction_id || '-H' AS transaction_id, event_ts + INTERVAL 2 HOUR AS event_ts)
+               FROM first WHERE card_hash = (SELECT min(card_hash) FROM payments_fast)),
+     every AS (SELECT * FROM payments_fast UNION ALL SELECT * FROM ahead)
+SELECT transaction_id, 'decided' AS outcome, is_fraud, fraud_reason FROM ({_card_rules("every")})
+UNION ALL SELECT transaction_id || '-Y', 'FUTURE_EVENT', NULL, NULL FROM first WHERE transaction_id LIKE '%50'"""
     q["stream_blacklist_table"] = q["rule_blacklist"]
     q["archive_days"] = """SELECT date, count(*) AS row_count, count(DISTINCT transaction_id) AS ids FROM bronze
                            WHERE date < DATE '2024-02-15' - INTERVAL 30 DAY GROUP BY date"""
