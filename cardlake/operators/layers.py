@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -17,8 +18,11 @@ def dedup_first(df: DataFrame, keys: Sequence[str] = DEDUP_KEYS,
                 order_by: Sequence[str] | None = None) -> DataFrame:
     """One row per key (null keys compare equal): the first seen.
 
-    First is by ``order_by`` (e.g. an arrival sequence), by default the order
-    in which the input is read, as in a stream.  Implemented as an aggregate of
+    First is by ``order_by`` (e.g. an arrival sequence).  Without it the order is
+    that of arrival as files tell it: the time at which the row's file was
+    written, then its path (``with_arrival``); for a frame that doesn't read files,
+    the order of its rows.  Spark packs files into tasks by size, so the order
+    of reading says nothing about arrival.  Implemented as an aggregate of
     ``min(struct(...))`` so Spark combines map-side before the shuffle:
     a key repeated millions of times collapses in each task instead of
     landing whole on one reducer (a window's row_number would ship it all).
@@ -26,7 +30,7 @@ def dedup_first(df: DataFrame, keys: Sequence[str] = DEDUP_KEYS,
     keys = list(keys)
     columns = df.columns
     if order_by is None:
-        df, order_by = df.withColumn("_arrival", F.monotonically_increasing_id()), ["_arrival"]
+        df, order_by = with_arrival(df), list(ARRIVAL)
     order = list(order_by)
     rest = [c for c in df.columns if c not in keys and c not in order]
     packed = F.struct(*[F.col(c) for c in order + rest]).alias("_row")
@@ -35,6 +39,19 @@ def dedup_first(df: DataFrame, keys: Sequence[str] = DEDUP_KEYS,
                          *[F.col(f"_row.{c}").alias(c) for c in order + rest]).select(*columns)
 
 
+ARRIVAL = ("_written", "_file", "_row")
+
+
+def with_arrival(df: DataFrame) -> DataFrame:
+    """``df`` with the columns that order rows by arrival (see ``dedup_first``)."""
+    try:
+        read = df.select("*", F.col("_metadata.file_modification_time").alias("_written"),
+                         F.col("_metadata.file_path").alias("_file"))
+    except AnalysisException:   # not a scan of files: no file's time to go by
+        read = df.select("*", F.lit(None).cast("timestamp").alias("_written"), F.lit(None).cast("string").alias("_file"))
+    return read.withColumn("_row", F.monotonically_increasing_id())
+
+
 def to_silver(df: DataFrame, delay: str = DEDUP_DELAY, processed_at=None,
               order_by: Sequence[str] | None = None, keys: Sequence[str] = DEDUP_KEYS,
               within_watermark: bool = False) -> DataFrame:

@@ -498,7 +498,7 @@ def q_stream_card_rules_future(spark, sf_dir):
     def dated(rows, mark, ahead):
         ts = F.col("event_ts") + F.expr(f"INTERVAL {ahead}")
         return (rows.withColumn("transaction_id", F.concat("transaction_id", F.lit(mark))).withColumn("event_ts", ts)
-                .withColumn("ts_event", F.date_format(ts, fixtures.TS_TEXT_FORMAT)))
+                .withColumn("ts_event", F.date_format(F.to_utc_timestamp(ts, F.current_timezone()), fixtures.TS_TEXT_FORMAT)))
     wrong = dated(first.filter(F.col("transaction_id").endswith("50")), "-Y", "10 YEARS").unionByName(
         dated(first.filter(F.col("card_hash") == card), "-H", "2 HOURS"))
     for part in (first.unionByName(wrong), second):

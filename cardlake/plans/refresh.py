@@ -10,10 +10,9 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from cardlake.plans.build import build_models
-from cardlake.plans.incremental import _days, published, refresh_models
+from cardlake.plans.incremental import published, refresh_models
 from cardlake.plans.reports import export_report
 from cardlake.streaming.jobs import read_warehouse, run_silver, run_warehouse, warehouse_writer
 
@@ -52,16 +51,27 @@ def hourly_refresh(spark: SparkSession, paths: LakePaths, processed_at=None,
     if not incremental:
         return build_models(read_warehouse(spark, paths.warehouse), out_path=paths.models)
     wh = spark.read.parquet(paths.warehouse)
-    version, loads, _ = published(spark, paths.models)
-    # load ids are names of partitions: neither of these two reads a column of a file
-    generation = F.substring_index("load_id", "-", 1)
-    batch = F.substring_index("load_id", "-", -1).cast("long")
-    new = wh
-    for g, last in loads:
-        new = new.filter((generation != g) | (batch > last))
-    days = _days(new) if version else None
-    covered = wh.groupBy(generation.alias("g")).agg(F.max(batch).alias("b")).collect()   # a row a generation
-    return refresh_models(wh.drop("load_id"), paths.models, days, loads=[(r.g, r.b) for r in covered])
+    version, done, _ = published(spark, paths.models)
+    loads = warehouse_loads(spark, paths.warehouse)
+    covered: dict[str, int] = {}
+    for _, generation, batch in loads:
+        covered[generation] = max(batch, covered.get(generation, -1))
+    last = dict(done)
+    days = sorted({d for d, g, b in loads if b > last.get(g, -1)}, key=str) if version else None
+    return refresh_models(wh.drop("load_id"), paths.models, days, loads=sorted(covered.items()))
+
+
+def warehouse_loads(spark: SparkSession, path: str) -> list[tuple[str | None, str, int]]:
+    """(date, stream generation, batch) of each load of a day in the warehouse: a listing of
+    folders, bounded by the calendar and the loads; no file is opened."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/date=*/load_id=*")
+    found = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(p)
+    out = []
+    for f in found or []:
+        generation, batch = f.getPath().getName().removeprefix("load_id=").rsplit("-", 1)
+        day = f.getPath().getParent().getName().removeprefix("date=")
+        out.append((None if day == "__HIVE_DEFAULT_PARTITION__" else day, generation, int(batch)))
+    return out
 
 
 def daily_reports(models: dict[str, DataFrame], as_of, paths: LakePaths,

@@ -1,0 +1,83 @@
+"""Archive by digests, loads by listing, and arrival by file time."""
+
+import time
+
+from pyspark.sql import functions as F
+
+from cardlake.operators.layers import dedup_first
+from cardlake.plans import reports
+from cardlake.plans.refresh import warehouse_loads
+from cardlake.plans.reports import archive_partitions, differing_buckets, new_rows
+
+SCHEMA = "transaction_id string, amount double, date date"
+
+
+def _rows(spark, days, n=40, mark=""):
+    return spark.range(n).select(F.concat(F.lit(mark), F.col("id").cast("string")).alias("transaction_id"),
+                                 (F.col("id") / 3).alias("amount")).crossJoin(
+        spark.createDataFrame([(d,) for d in days], "d string")).select("transaction_id", "amount", F.col("d").cast("date").alias("date"))
+
+
+def test_only_differing_days_are_compared_and_read(spark, tmp_root):
+    path, days = f"{tmp_root}/archive", ["2024-01-01", "2024-01-02", None]
+    old = _rows(spark, days).unionByName(_rows(spark, ["2024-01-01"], 3))   # copies count
+    archive_partitions(old, path, "r1")
+    assert differing_buckets(old, path, "r2").collect() == []
+    late = old.unionByName(_rows(spark, ["2024-01-02"], 1, "late"))
+    assert {str(r.date) for r in differing_buckets(late, path, "r2").collect()} == {"2024-01-02"}
+    plan = new_rows(late, path, "r2")._jdf.queryExecution().toString()
+    scan = [x for x in plan.split("\n") if "PartitionFilters" in x]
+    assert scan and all("2024-01-02" in x.split("PartitionFilters")[1] for x in scan)
+    archive_partitions(late, path, "r2")
+    archive_partitions(late, path, "r3")
+    got = spark.read.parquet(path)
+    assert got.drop("run_id").exceptAll(late).count() == 0 and got.count() == late.count()
+    assert {r.run_id for r in got.select("run_id").distinct().collect()} == {"r1", "r2"}
+    removed = late.where("date = '2024-01-02' and transaction_id <> '7'")     # fewer rows than archived: nothing to add
+    assert new_rows(removed, path, "r4").count() == 0
+
+
+def test_a_run_that_stopped_before_its_digests(spark, tmp_root, monkeypatch):
+    path = f"{tmp_root}/archive"
+    rows = _rows(spark, ["2024-01-01", None])
+
+    def stop(*_):
+        raise RuntimeError("stopped")
+    with monkeypatch.context() as m:
+        m.setattr(reports, "_write_digests", stop)
+        try:
+            archive_partitions(rows, path, "r1")
+        except RuntimeError:
+            pass
+    more = rows.unionByName(_rows(spark, ["2024-01-01"], 2, "x"))
+    archive_partitions(more, path, "r2")
+    assert spark.read.parquet(path).count() == more.count()
+    archive_partitions(more, path, "r1")    # the stopped run again
+    assert spark.read.parquet(path).count() == more.count()
+
+
+def test_loads_are_listed(spark, tmp_root):
+    for load, day in (("ab12-000000000", "2024-01-01"), ("ab12-000000003", None), ("cd34-000000001", "2024-01-01")):
+        spark.createDataFrame([(1, day, load)], "v int, date string, load_id string").write.mode("append") \
+            .partitionBy("date", "load_id").parquet(f"{tmp_root}/wh")
+    assert sorted(warehouse_loads(spark, f"{tmp_root}/wh"), key=str) == sorted(
+        [("2024-01-01", "ab12", 0), (None, "ab12", 3), ("2024-01-01", "cd34", 1)], key=str)
+    assert warehouse_loads(spark, f"{tmp_root}/none") == []
+
+
+def test_the_copy_that_was_written_first_is_kept(spark, tmp_root):
+    schema = "transaction_id string, event_ts timestamp, v int"
+    ts = "2024-01-01 00:00:00"
+    row = lambda i, v: spark.createDataFrame([(f"T{i}", v)], "transaction_id string, v int").select(
+        "transaction_id", F.lit(ts).cast("timestamp").alias("event_ts"), "v")
+    row(0, 1).coalesce(1).write.parquet(f"{tmp_root}/in")
+    time.sleep(1.1)
+    many = spark.range(5000).select(F.concat(F.lit("T"), F.col("id").cast("string")).alias("transaction_id"),
+                                    F.lit(ts).cast("timestamp").alias("event_ts"), F.lit(2).alias("v"))
+    many.coalesce(1).write.mode("append").parquet(f"{tmp_root}/in")     # the larger file is read first
+    got = dedup_first(spark.read.schema(schema).parquet(f"{tmp_root}/in"))
+    assert got.columns == ["transaction_id", "event_ts", "v"] and got.count() == 5000
+    assert got.where("transaction_id = 'T0'").first().v == 1
+    plain = spark.createDataFrame([("a", 1), ("a", 2)], "transaction_id string, v int").withColumn(
+        "event_ts", F.lit(ts).cast("timestamp")).coalesce(1)
+    assert [r.v for r in dedup_first(plain).collect()] == [1]
