@@ -3,7 +3,9 @@
 ``build_models`` returns the frames; with ``out_path`` each model is written
 (facts and marts partitioned by ``date`` so day reports prune) and the
 returned frames read the written tables back, so later models and callers
-reuse the stored result instead of recomputing the chain (lineage cut).
+reuse the stored result instead of recomputing the chain (lineage cut).  The
+tables are a new snapshot (``plans.snapshots``), published when all are
+written, so readers have the models of the last build until then.
 """
 
 from __future__ import annotations
@@ -13,6 +15,7 @@ from functools import partial
 from pyspark.sql import DataFrame
 
 from cardlake.operators import models
+from cardlake.plans.snapshots import Draft
 
 # name -> (models it reads, builder, written partitioned by date)
 MODEL_GRAPH = {
@@ -77,14 +80,13 @@ def build_models(transactions: DataFrame, out_path: str | None = None, staging_a
     """All models from the warehouse ``transactions`` frame.
 
     ``one_row_per_merchant`` builds the marts in their exact form.
-    Staging stays a view (a projection, never written).  Written tables use
-    ``overwrite`` so a rerun replaces them (the hourly refresh).  Models of
+    Staging stays a view (a projection, never written).  Models of
     one dependency level are independent; their writes are submitted from
     ``threads`` driver threads, so Spark runs those jobs side by side.
     """
     from concurrent.futures import ThreadPoolExecutor
 
-    spark = transactions.sparkSession
+    draft = Draft(transactions.sparkSession, out_path, empty=True) if out_path else None
     built: dict[str, DataFrame] = {"transactions": transactions}
 
     def make(name: str) -> DataFrame:
@@ -94,19 +96,19 @@ def build_models(transactions: DataFrame, out_path: str | None = None, staging_a
             if name == "mart_channel_performance":
                 deps = ("stg_transactions", "dim_merchants")
         df = fn(*[built[d] for d in deps])
-        if not out_path or (staging_as_view and name == "stg_transactions"):
+        if draft is None or (staging_as_view and name == "stg_transactions"):
             return df
-        path = f"{out_path.rstrip('/')}/{name}"
-        w = df.write.mode("overwrite")
         if by_date:
-            w = df.hint("rebalance", "date").write.mode("overwrite").partitionBy("date")
-        w.parquet(path)
-        return spark.read.parquet(path).select(*df.columns) if by_date else \
-            spark.read.schema(df.schema).parquet(path)
+            draft.write(df, name)
+        else:
+            draft.write_whole(df, name)
+        return draft.read(name)
 
     with ThreadPoolExecutor(max_workers=max(1, threads)) as pool:
         for level in build_levels():
             for name, df in zip(level, pool.map(make, level)):
                 built[name] = df
     built.pop("transactions")
+    if draft is not None:
+        draft.publish()
     return built

@@ -17,6 +17,7 @@ import datetime as dt
 from pyspark.sql import SparkSession
 
 from cardlake.plans.refresh import LakePaths, daily_reports, hourly_refresh
+from cardlake.plans.snapshots import read_table
 from cardlake.session import ensure_checkpoint_dir
 from cardlake.sources.lines import kafka_stream, text_stream
 from cardlake.streaming.jobs import (await_any, start_card_rules_ingest, start_ingest,
@@ -85,7 +86,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> di
                                warehouse_max_bytes=args.warehouse_max_bytes)
         return {"models": sorted(built)}
     as_of = args.as_of or (dt.datetime.now(dt.timezone.utc).date() - dt.timedelta(days=1)).isoformat()
-    models = {name: spark.read.parquet(f"{paths.models}/{name}")
+    models = {name: read_table(spark, paths.models, name)
               for name in ("mart_settlement_daily", "mart_fraud_settlement_daily")}
     return daily_reports(models, as_of, paths, files=args.files)
 

@@ -1,9 +1,8 @@
 """Incremental model refresh: re-read only the days that received rows.
 
 The warehouse only grows, so a refresh knows the days that changed.  Facts
-of those days are rewritten (dynamic partition overwrite by ``date``), the
-dimensions grow by the new rows' values, and the marts are rebuilt from
-small per-day base aggregates:
+of those days are written anew, the dimensions grow by the new rows' values,
+and the marts are rebuilt from small per-day base aggregates:
 
 * base_settlement (date, merchant, currency), base_merchant_day
   (date, merchant), base_currency (date, currency): unscaled sums and
@@ -16,11 +15,11 @@ small per-day base aggregates:
   plus the days of merchants whose factor or channel set changed, which the
   (date, merchant) base tells without a look at the facts.
 
-A refresh that stops anywhere is repeated by the next one.  What it writes in
-place it derives from the warehouse alone, and the dimensions it grows go to a
-new version, so the old version still says what the marts were last built
-with.  The version is published last, together with the loads it covers; a
-version counts once its folder is complete.
+All of it goes to a draft (``plans.snapshots``): folders of the next version,
+which readers see once its list is published, the last write.  So readers
+always have the models of one refresh, whole; a refresh that stops anywhere
+leaves them as they were and is repeated by the next.  The list also tells the
+loads that the version covers.
 
 Dates may be null; such rows form a day of their own.  The result equals
 ``build_models`` over the whole warehouse (tested).
@@ -35,30 +34,19 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cardlake.operators import models
+from cardlake.plans.snapshots import Draft, Snapshot
 
 DIMENSIONS = {"dim_merchants": models.dim_merchants, "dim_currency": models.dim_currency,
               "dim_auth_results": models.dim_auth_results}
 MARTS = ("mart_settlement_daily", "mart_fraud_settlement_daily", "mart_fraud_rate", "mart_currency_volume",
          "mart_channel_performance", "mart_fraud_alerts")
-PUBLISHED = "generation string, last_batch long, models string"
-
-
-def _complete(spark: SparkSession, path: str) -> list[str]:
-    """Names of the sub-folders of ``path`` that a finished write has marked."""
-    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}/*/_SUCCESS")
-    found = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(p)
-    return [f.getPath().getParent().getName() for f in found or []]
 
 
 def published(spark: SparkSession, out_path: str) -> tuple[int, list[tuple[str, int]], set[str]]:
-    """(version, [(stream generation, last batch)], models) of the last complete refresh; version 0: none."""
-    root = f"{out_path.rstrip('/')}/published"
-    versions = [int(n.removeprefix("v")) for n in _complete(spark, root)]
-    if not versions:
-        return 0, [], set()
-    rows = spark.read.schema(PUBLISHED).parquet(f"{root}/v{max(versions)}").collect()   # a row a generation
-    return (max(versions), [(r[0], r[1]) for r in rows if r[0] is not None],
-            set(rows[0][2].split(",")) if rows else set())
+    """(version, [(stream generation, last batch)], models) of the published refresh; version 0: none."""
+    snap = Snapshot(spark, out_path)
+    loads = [(name, number) for kind, name, _, number, _ in snap.notes if kind == "load"]
+    return snap.version, loads, {name for kind, name, *_ in snap.notes if kind == "model"}
 
 
 def _days(df: DataFrame) -> list[str | None]:
@@ -72,12 +60,6 @@ def _in_days(df: DataFrame, days: Sequence[str | None]) -> DataFrame:
     return df.filter(chosen | F.col("date").isNull() if None in days else chosen)
 
 
-def _write_days(df: DataFrame, path: str) -> None:
-    # rows of a day together, large days split: not one file a task and day
-    (df.hint("rebalance", "date").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy("date").parquet(path))
-
-
 def _together(*jobs: Callable[[], object], threads: int = 4) -> list:
     """Run independent Spark actions from a few driver threads (Spark runs
     their jobs side by side); returns their results in order."""
@@ -114,41 +96,32 @@ def refresh_models(transactions: DataFrame, out_path: str, days: Sequence[str |
     ``transactions`` covers, published with the version.
     """
     spark = transactions.sparkSession
-    out = out_path.rstrip("/")
-    version, _, before = published(spark, out)
+    version, _, before = published(spark, out_path)
     wanted = set(marts) | {f"exact={one_row_per_merchant}"}
     first = version == 0 or not wanted <= before
-    version += 1
-
-    def path(name: str) -> str:
-        return f"{out}/{name}"
-
-    def read(name: str) -> DataFrame:
-        return spark.read.parquet(path(name))
-
-    def dim_path(name: str, v: int) -> str:
-        return f"{out}/dimensions/v{v}/{name}"
+    stg = models.stg_transactions(transactions)
+    result = [*DIMENSIONS, "fact_transactions", "fact_fraud_signals", *marts]
+    if not first and days is not None and not days:     # nothing came in
+        return {"stg_transactions": stg, **{n: Snapshot(spark, out_path).read(n) for n in result}}
+    draft = Draft(spark, out_path, empty=first)
+    read, old = draft.read, draft.before
 
     def needs(*names: str) -> bool:
         return bool(set(names) & set(marts))
 
-    stg = models.stg_transactions(transactions)
     if first or days is None:
         days = _days(stg)
     stg_days = _in_days(stg, days)
 
     def grow(name: str) -> None:
         fresh = DIMENSIONS[name](stg_days)
-        old = [] if first else [spark.read.parquet(dim_path(name, version - 1))]
-        for o in old:
-            fresh = o.unionByName(fresh).distinct()
-        fresh.write.mode("overwrite").parquet(dim_path(name, version))
+        draft.write_whole(fresh if first else old.read(name).unionByName(fresh).distinct(), name)
 
     # facts of the changed days, and a new version of the dimensions
-    _together(lambda: _write_days(models.fact_transactions(stg_days), path("fact_transactions")),
-              lambda: _write_days(models.fact_fraud_signals(stg_days), path("fact_fraud_signals")),
+    _together(lambda: draft.write(models.fact_transactions(stg_days), "fact_transactions", days),
+              lambda: draft.write(models.fact_fraud_signals(stg_days), "fact_fraud_signals", days),
               *[(lambda n=n: grow(n)) for n in DIMENSIONS])
-    dims = {n: spark.read.parquet(dim_path(n, version)) for n in DIMENSIONS}
+    dims = {n: read(n) for n in DIMENSIONS}
     dim_m = dims["dim_merchants"]
     k = models.merchant_multiplicity(dim_m, one_row_per_merchant)
     pairs = models.channel_pairs(dim_m)
@@ -156,17 +129,17 @@ def refresh_models(transactions: DataFrame, out_path: str, days: Sequence[str |
     # per-day bases of the changed days
     fact = read("fact_transactions")
     fact_days = _in_days(fact, days)
-    bases = [lambda: _write_days(models.merchant_day_base(fact_days), path("base_merchant_day"))]
+    bases = [lambda: draft.write(models.merchant_day_base(fact_days), "base_merchant_day", days)]
     if needs("mart_settlement_daily"):
-        bases.append(lambda: _write_days(models.settlement_base(fact_days), path("base_settlement")))
+        bases.append(lambda: draft.write(models.settlement_base(fact_days), "base_settlement", days))
     if needs("mart_currency_volume"):
-        bases.append(lambda: _write_days(models.currency_base(fact_days), path("base_currency")))
+        bases.append(lambda: draft.write(models.currency_base(fact_days), "base_currency", days))
     _together(*bases)
     day_base = read("base_merchant_day")
 
     # copies and channel ids: also the days of merchants whose factor or channels changed
     if not first and not one_row_per_merchant:
-        old_dim = spark.read.parquet(dim_path("dim_merchants", version - 1))
+        old_dim = old.read("dim_merchants")
         presence = lambda p: p.select("merchant_id", "channel", F.lit(1).alias("_k"))
         k_changed = _changed(models.merchant_multiplicity(old_dim), k, ["merchant_id"])
         p_changed = _changed(presence(models.channel_pairs(old_dim)), presence(pairs), ["merchant_id", "channel"])
@@ -178,16 +151,16 @@ def refresh_models(transactions: DataFrame, out_path: str, days: Sequence[str |
     rows = []
     if needs("mart_fraud_alerts"):
         alert_days = list({*days, *k_days})
-        rows.append(lambda: _write_days(models.mart_fraud_alerts(_in_days(fact, alert_days), dim_m,
-                                                                 one_row_per_merchant), path("mart_fraud_alerts")))
+        rows.append(lambda: draft.write(models.mart_fraud_alerts(_in_days(fact, alert_days), dim_m,
+                                                                 one_row_per_merchant), "mart_fraud_alerts", alert_days))
     if needs("mart_channel_performance"):
         if one_row_per_merchant:
-            rows.append(lambda: _write_days(models.mart_channel_performance_exact(stg_days, dim_m),
-                                            path("mart_channel_performance")))
+            rows.append(lambda: draft.write(models.mart_channel_performance_exact(stg_days, dim_m),
+                                            "mart_channel_performance", days))
         else:
             id_days = list({*days, *p_days})
-            rows.append(lambda: _write_days(models.channel_ids_base(_in_days(fact, id_days), pairs),
-                                            path("base_channel_ids")))
+            rows.append(lambda: draft.write(models.channel_ids_base(_in_days(fact, id_days), pairs),
+                                            "base_channel_ids", id_days))
     _together(*rows)
 
     # marts from the (small) bases, rebuilt whole
@@ -201,15 +174,8 @@ def refresh_models(transactions: DataFrame, out_path: str, days: Sequence[str |
     if not one_row_per_merchant:
         built["mart_channel_performance"] = lambda: models.channel_from_bases(day_base, read("base_channel_ids"),
                                                                               pairs)
-    _together(*[(lambda n=n, f=f: f().hint("rebalance", "date").write.mode("overwrite").partitionBy("date")
-                 .parquet(path(n))) for n, f in built.items() if n in marts])
-
-    # published last: from here on the new dimensions are the ones the marts were built with
-    names = ",".join(sorted(wanted))
-    spark.createDataFrame([(g, int(b), names) for g, b in loads] or [(None, None, names)], PUBLISHED) \
-        .coalesce(1).write.mode("overwrite").parquet(f"{out}/published/v{version}")
-
-    result = {"stg_transactions": stg, **dims}
-    for name in ("fact_transactions", "fact_fraud_signals", *marts):
-        result[name] = read(name)
-    return result
+    _together(*[(lambda n=n, f=f: draft.write(f(), n)) for n, f in built.items() if n in marts])
+
+    draft.publish([("load", g, None, int(b), None) for g, b in loads]
+                  + [("model", name, None, None, None) for name in sorted(wanted)])
+    return {"stg_transactions": stg, **{n: read(n) for n in result}}

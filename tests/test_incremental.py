@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from cardlake.operators import layers, rules
 from cardlake.plans.build import build_models
 from cardlake.plans.incremental import published, refresh_models
+from cardlake.plans.snapshots import read_table
 from cardlake.sources import fixtures
 from tests.conftest import SMOKE
 
@@ -108,10 +109,17 @@ def test_a_refresh_that_stops_anywhere_is_made_up_for(spark, tmp_root, monkeypat
         refresh_models(seen, out, days=_dates(second), loads=[("g", 1)])
     monkeypatch.setattr(DataFrameWriter, "parquet", write)
     assert published(spark, out)[1] == [("g", 0)]       # the next refresh begins where the first ended
+    watched = ("fact_transactions", "dim_merchants", "mart_channel_performance")
+    held = {n: read_table(spark, out, n) for n in watched}
+    before = {n: build_models(first)[n] for n in watched}
+    for name in watched:                                # readers have the first refresh, whole
+        assert _same(held[name], before[name]), name
     got, want = refresh_models(seen, out, days=_dates(second), loads=[("g", 1)]), build_models(seen)
     assert published(spark, out)[:2] == (2, [("g", 1)])
     for name in NAMES:
         assert _same(got[name], want[name]), name
+    for name in watched:                                # also who opened them before the second
+        assert _same(held[name], before[name]), name
 
 
 def test_exact_form_and_change_of_models(spark, tmp_root):
