@@ -17,6 +17,7 @@ from cardlake.operators import layers, models, quality, rules
 from cardlake.operators.card_rules import flag_all_rules
 from cardlake.operators.parse import parse_payments
 from cardlake.operators.routing import dead_letters, to_value
+from cardlake.plans.compaction import compact, read_compacted
 from cardlake.plans.fixture_params import (DLQ_TS, FRESHNESS_AS_OF, FRESHNESS_MAX_LAG_S,
                                            PROCESSED_AT, REPORT_DAY, RETENTION_AS_OF,
                                            RETENTION_DAYS)
@@ -425,6 +426,28 @@ def q_stream_warehouse(spark, sf_dir):
     return read_warehouse(spark, f"{root}/wh").select(*WAREHOUSE_COLUMNS)
 
 
+@register("warehouse_compacted")
+def q_warehouse_compacted(spark, sf_dir):
+    """The warehouse in 50 loads, ten a day: six are packed, two more stay beside the
+    part, and with the last two all are packed again where a day got rows of each."""
+    path = f"{shared_path(spark, 'warehouse_compacted')}/wh"
+    turn = F.pmod(F.crc32(F.col("transaction_id")), F.lit(10))
+    number = F.coalesce(F.dayofmonth("date") % 5, F.lit(0)) + 5 * turn
+    load = F.concat(F.lit("a1b2c3d4-"), F.lpad(number.cast("string"), 9, "0"))
+    rows = q_warehouse(spark, sf_dir).select(*WAREHOUSE_COLUMNS)
+
+    def deliver(turns):
+        (rows.filter(turns).withColumn("load_id", load).hint("rebalance", "date")
+         .write.mode("append").partitionBy("date", "load_id").parquet(path))
+    deliver(turn < 6)
+    compact(spark, path, max_parts=5)
+    deliver(turn.between(6, 7))
+    compact(spark, path, max_parts=5)
+    deliver(turn >= 8)
+    compact(spark, path, max_parts=4)
+    return read_compacted(spark, path).select(*WAREHOUSE_COLUMNS)
+
+
 def decided_rows(spark, path):
     return spark.read.parquet(path).select(*CARD_RULE_COLUMNS, "is_fraud", "fraud_reason")
 

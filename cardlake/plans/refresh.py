@@ -12,9 +12,10 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 
 from cardlake.plans.build import build_models
+from cardlake.plans.compaction import MAX_PARTS, compact, read_compacted, warehouse_loads
 from cardlake.plans.incremental import published, refresh_models
 from cardlake.plans.reports import export_report
-from cardlake.streaming.jobs import read_warehouse, run_silver, run_warehouse, warehouse_writer
+from cardlake.streaming.jobs import run_silver, run_warehouse, warehouse_writer
 
 
 @dataclass(frozen=True)
@@ -35,8 +36,10 @@ class LakePaths:
 
 def hourly_refresh(spark: SparkSession, paths: LakePaths, processed_at=None,
                    silver_max_bytes: int | None = None, warehouse_max_bytes: int | None = None,
-                   warehouse_max_files: int | None = None, incremental: bool = True) -> dict[str, DataFrame]:
-    """Silver and warehouse drains, then the models.
+                   warehouse_max_files: int | None = None, incremental: bool = True,
+                   compact_after: int | None = MAX_PARTS) -> dict[str, DataFrame]:
+    """Silver and warehouse drains, compaction of the warehouse's days that have
+    more than ``compact_after`` small parts (None: never), then the models.
 
     ``incremental``: only the days of warehouse loads not yet covered by a
     published refresh are re-read (``plans.incremental``), so a refresh that
@@ -48,30 +51,19 @@ def hourly_refresh(spark: SparkSession, paths: LakePaths, processed_at=None,
     checkpoint = f"{paths.chk}/warehouse"
     run_warehouse(spark, paths.silver, checkpoint, warehouse_writer(paths.warehouse, checkpoint=checkpoint),
                   max_files=warehouse_max_files, max_bytes=warehouse_max_bytes)
+    if compact_after is not None:
+        compact(spark, paths.warehouse, max_parts=compact_after)
+    wh = read_compacted(spark, paths.warehouse)
     if not incremental:
-        return build_models(read_warehouse(spark, paths.warehouse), out_path=paths.models)
-    wh = spark.read.parquet(paths.warehouse)
+        return build_models(wh, out_path=paths.models)
     version, done, _ = published(spark, paths.models)
     loads = warehouse_loads(spark, paths.warehouse)
-    covered: dict[str, int] = {}
+    covered: dict[str, int] = dict(done)    # folders of packed loads may be gone by now
     for _, generation, batch in loads:
         covered[generation] = max(batch, covered.get(generation, -1))
     last = dict(done)
     days = sorted({d for d, g, b in loads if b > last.get(g, -1)}, key=str) if version else None
-    return refresh_models(wh.drop("load_id"), paths.models, days, loads=sorted(covered.items()))
-
-
-def warehouse_loads(spark: SparkSession, path: str) -> list[tuple[str | None, str, int]]:
-    """(date, stream generation, batch) of each load of a day in the warehouse: a listing of
-    folders, bounded by the calendar and the loads; no file is opened."""
-    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/date=*/load_id=*")
-    found = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(p)
-    out = []
-    for f in found or []:
-        generation, batch = f.getPath().getName().removeprefix("load_id=").rsplit("-", 1)
-        day = f.getPath().getParent().getName().removeprefix("date=")
-        out.append((None if day == "__HIVE_DEFAULT_PARTITION__" else day, generation, int(batch)))
-    return out
+    return refresh_models(wh, paths.models, days, loads=sorted(covered.items()))
 
 
 def daily_reports(models: dict[str, DataFrame], as_of, paths: LakePaths,

@@ -311,6 +311,7 @@ FROM (SELECT max(event_ts) AS max_event_ts FROM payments)"""
     q["stream_silver_late"] = f"""SELECT {BRONZE_COLS}, {PROCESSED_AT} AS processed_at FROM bronze
                                   WHERE event_ts >= TIMESTAMP '2024-01-03 00:00:00'"""
     q["stream_warehouse"] = q["warehouse_transactions"]
+    q["warehouse_compacted"] = q["warehouse_transactions"]
     q["stream_card_rules"] = q["flag_all_rules"]
     q["stream_card_rules_ingest"] = q["flag_all_rules"]
     q["stream_card_rules_late"] = f"""

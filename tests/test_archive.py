@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from cardlake.operators.layers import dedup_first
 from cardlake.plans import reports
-from cardlake.plans.refresh import warehouse_loads
+from cardlake.plans.compaction import warehouse_loads
 from cardlake.plans.reports import archive_partitions, differing_buckets, new_rows
 
 SCHEMA = "transaction_id string, amount double, date date"
