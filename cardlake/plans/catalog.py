@@ -27,6 +27,7 @@ from cardlake.schemas import (BRONZE, CARD_RULE_COLUMNS, PARSED, RAW_FIELDS, SIL
                               WAREHOUSE_COLUMNS)
 from cardlake.session import shared_path
 from cardlake.sources import fixtures
+from cardlake.sources.generations import read_generations
 from cardlake.sources.lines import text_stream, write_lines
 from cardlake.streaming.jobs import (await_all, read_warehouse, run_silver, run_warehouse,
                                      start_card_rules_ingest, start_ingest, start_routed_ingest,
@@ -156,6 +157,18 @@ def q_src_raw_lines(spark, sf_dir):
                       (F.col("value") == "").alias("is_blank"))
 
 
+@register("src_generations")
+def q_src_generations(spark, sf_dir):
+    """Files of two schema generations: the older ones have float amounts and no location."""
+    root = shared_path(spark, "src_generations")
+    p = fixtures.payments(spark, sf_dir)
+    old = F.col("date") < F.lit("2024-01-15").cast("date")
+    p.filter(old).withColumn("amount", F.col("amount").cast("float")).drop("location").write.parquet(f"{root}/1")
+    p.filter(~old).write.parquet(f"{root}/2")
+    return read_generations(spark, [f"{root}/1", f"{root}/2"], PARSED, required=["transaction_id"]).select(
+        "transaction_id", "amount", "location", "mcc", "date")
+
+
 @register("parse_payments")
 def q_parse(spark, sf_dir):
     return parsed(spark, sf_dir)[0]

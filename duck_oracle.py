@@ -306,6 +306,9 @@ FROM (SELECT max(event_ts) AS max_event_ts FROM payments)"""
     q["report_fraud_daily"] = "SELECT * FROM (" + _marts(False)["mart_fraud_settlement_daily"] + ") WHERE date = DATE '2024-01-15'"
     q["retention_candidates"] = """SELECT date, count(*) AS row_count FROM bronze
                                    WHERE date < DATE '2024-02-15' - INTERVAL 30 DAY GROUP BY date"""
+    q["src_generations"] = """
+SELECT transaction_id, CASE WHEN date < DATE '2024-01-15' THEN CAST(CAST(amount AS FLOAT) AS DOUBLE) ELSE amount END AS amount,
+       CASE WHEN date >= DATE '2024-01-15' THEN location END AS location, mcc, date FROM payments"""
     q["stream_bronze"] = q["bronze_payments"]
     q["stream_silver"] = q["silver_payments"]
     q["stream_silver_late"] = f"""SELECT {BRONZE_COLS}, {PROCESSED_AT} AS processed_at FROM bronze
