@@ -52,9 +52,19 @@ def dead_letters(lines: DataFrame, blacklist=None, as_of=None, key: str = "card_
     (in a stream: every micro-batch three times).  Fields that do not belong
     to a letter's kind are null, so its JSON matches the union form.
     """
+    return letters_of(decide_payloads(lines, blacklist, value_col), as_of, key)
+
+
+def decide_payloads(lines: DataFrame, blacklist=None, value_col: str = "value") -> DataFrame:
+    """All payloads parsed and tagged with the two stateless rules; ``_error`` is
+    set for those that do not parse."""
     from cardlake.operators.rules import DEFAULT_BLACKLIST, flag_stateless
     tagged = tag_payloads(lines, value_col).withColumn("date", utc_day("event_ts"))
-    flagged = flag_stateless(tagged, DEFAULT_BLACKLIST if blacklist is None else blacklist)
+    return flag_stateless(tagged, DEFAULT_BLACKLIST if blacklist is None else blacklist)
+
+
+def letters_of(flagged: DataFrame, as_of=None, key: str = "card_hash") -> DataFrame:
+    """``dead_letters`` of payloads that ``decide_payloads`` has tagged."""
     bad = F.col("_error").isNotNull()
     reason = (F.when(bad, F.col("_error"))
                .when(F.col("is_fraud"), F.lit(FRAUD_DETECTED))

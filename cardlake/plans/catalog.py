@@ -21,6 +21,7 @@ from cardlake.plans.compaction import compact, read_compacted
 from cardlake.plans.fixture_params import (DLQ_TS, FRESHNESS_AS_OF, FRESHNESS_MAX_LAG_S,
                                            PROCESSED_AT, REPORT_DAY, RETENTION_AS_OF,
                                            RETENTION_DAYS)
+from cardlake.plans.key_index import KeyIndex
 from cardlake.plans.incremental import MARTS, refresh_models
 from cardlake.plans.reports import archive_partitions, export_report, read_report, retention_candidates
 from cardlake.schemas import (BRONZE, CARD_RULE_COLUMNS, PARSED, RAW_FIELDS, SILVER,
@@ -296,6 +297,42 @@ def q_dq_unique(spark, sf_dir):
     return quality.unique(models.fact_transactions(unchecked_stg(spark, sf_dir)), "transaction_id")
 
 
+def in_three_loads(df: DataFrame) -> list[tuple[str, DataFrame]]:
+    """Payments by arrival: cards of 0 to 7, the others, and those of 4 to b again."""
+    card = F.substring("card_hash", 1, 1)
+    return [("l1", df.filter(card < "8")), ("l2", df.filter((card >= "8") | card.isNull())),
+            ("l3", df.filter(card.between("4", "b")))]
+
+
+@register("dq_unique_incremental")
+def q_dq_unique_incremental(spark, sf_dir):
+    """Each load checked against all before it: its keys that now occur more than once."""
+    index = KeyIndex(spark, shared_path(spark, "dq_unique_incremental"))
+    out = []
+    for name, load in in_three_loads(models.fact_transactions(unchecked_stg(spark, sf_dir))
+                                     .select("transaction_id", "card_hash")):
+        found = shared_path(spark, "repeated")
+        index.repeated(load, name).select(F.lit(name).alias("load"), "transaction_id", "n").write.parquet(found)
+        index.add(load, name)
+        out.append(found)
+    return spark.read.parquet(*out)
+
+
+@register("dedup_backfill")
+def q_dedup_backfill(spark, sf_dir):
+    """Loads against the index of known ids: the third is a backfill of ids that are there."""
+    index = KeyIndex(spark, shared_path(spark, "dedup_backfill"))
+    out = []
+    for name, load in in_three_loads(bronze_dirty(spark, sf_dir).select(
+            "transaction_id", "card_hash", "amount", "event_ts")):
+        found = shared_path(spark, "first_seen")
+        (index.first_seen(load.filter("transaction_id IS NOT NULL"), name)
+         .select(F.lit(name).alias("load"), "transaction_id", "card_hash").write.parquet(found))
+        index.add(load, name)
+        out.append(found)
+    return spark.read.parquet(*out)
+
+
 def dq_children(spark, sf_dir):
     """The unvalidated load with references that no dimension has: payments from
     India name a terminal instead of a merchant, or no currency at all where the
@@ -407,7 +444,8 @@ def q_stream_routes(spark, sf_dir):
     delivered line is in clean, in the dead letter, or (flagged) in both of its sinks."""
     root = delivered(spark, "stream_routes", fixtures.raw_lines(spark, sf_dir))
     await_all(start_routed_ingest(text_stream(spark, f"{root}/in"), f"{root}/clean", f"{root}/flagged",
-                                  f"{root}/chk", dlq_path=f"{root}/dlq", trigger="available_now", as_of=DLQ_TS))
+                                  f"{root}/chk", dlq_path=f"{root}/dlq", trigger="available_now", as_of=DLQ_TS,
+                                  one_pass=True))
     kept = ["transaction_id", "card_hash", "amount", "is_fraud"]
     clean = spark.read.schema(BRONZE).parquet(f"{root}/clean").select(
         F.lit("clean").alias("sink"), *kept, F.lit(None).cast("string").alias("error_reason"))

@@ -30,6 +30,7 @@ def _parser() -> argparse.ArgumentParser:
     ing = sub.add_parser("ingest", help="raw payloads -> bronze + dead letter (runs until stopped)")
     ing.add_argument("--root", required=True)
     ing.add_argument("--variant", choices=["bronze", "routed", "card-rules"], default="bronze")
+    ing.add_argument("--one-pass", action="store_true", help="routed: one read and parse a batch for all sinks")
     ing.add_argument("--lines", help="folder of newline-delimited JSON payload files")
     ing.add_argument("--kafka", help="bootstrap servers")
     ing.add_argument("--topic", default="payments.raw")
@@ -71,7 +72,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> di
             qs = start_ingest(lines, paths.bronze, chk, trigger=args.trigger or "10 seconds", **dlq)
         elif args.variant == "routed":
             qs = start_routed_ingest(lines, f"{paths.bronze}_clean", f"{paths.bronze}_flagged", chk,
-                                     trigger=args.trigger or "10 seconds", **dlq)
+                                     trigger=args.trigger or "10 seconds", one_pass=args.one_pass, **dlq)
         else:
             qs = start_card_rules_ingest(lines, f"{paths.bronze}_decided", chk,
                                          trigger=args.trigger or "1 minute", **dlq)

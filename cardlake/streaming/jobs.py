@@ -10,12 +10,13 @@ from pyspark.sql.streaming import StreamingQuery
 
 from cardlake.operators.layers import to_silver, to_warehouse
 from cardlake.operators.parse import parse_payments
-from cardlake.operators.routing import dead_letters
+from cardlake.operators.routing import dead_letters, decide_payloads, letters_of
 from cardlake.operators.rules import DEFAULT_BLACKLIST, flag_stateless, route
-from cardlake.schemas import BRONZE, SILVER
+from cardlake.schemas import BRONZE, BRONZE_COLUMNS, SILVER
 from cardlake.sources.jdbc import append_table, execute
 from cardlake.streaming.card_batches import card_rules_writer, load_id, replace_load
 from cardlake.streaming.card_state import interval_seconds
+from cardlake.streaming.fanout import fanout_writer
 from cardlake.streaming.sinks import kafka_sink, parquet_sink, trigger_kwargs
 
 DATABASE_MAX_FILES = 10
@@ -50,16 +51,40 @@ def start_ingest(lines: DataFrame, bronze_path: str, checkpoint_root: str,
 def start_routed_ingest(lines: DataFrame, clean_path: str, flagged_path: str, checkpoint_root: str,
                         dlq_path: str | None = None, kafka: tuple[str, str] | None = None,
                         trigger: str | None = "10 seconds", blacklist=DEFAULT_BLACKLIST,
-                        delay: str = "15 minutes", as_of=None) -> list[StreamingQuery]:
+                        delay: str = "15 minutes", as_of=None, one_pass: bool = False) -> list[StreamingQuery]:
     """Variant with three sinks: dead letter, clean and flagged parquet (no day partitions).
 
     Every payload ends in clean, flagged or the dead letter: flagged rows,
     rows whose decision is null (``MISSING_AMOUNT``) and payloads that don't
     parse are letters, as in ``start_ingest``.  A dead-letter target is
     required, since undecided rows have no other sink.
+
+    ``one_pass``: one query that reads and parses each micro-batch once and
+    gives it to all three sinks (``streaming.fanout``); their folders are then
+    laid out by ``load_id``.  Otherwise three queries, each of which reads the
+    source and writes through its own file-sink log.  A set of sink folders and
+    checkpoints belongs to one of the two forms.
     """
     if not (kafka or dlq_path):
         raise ValueError("the routed ingest needs a dead-letter sink (dlq_path or kafka)")
+    if one_pass:
+        checkpoint = f"{checkpoint_root}/routed"
+        good = F.col("_error").isNull()
+
+        def to_topic(letters: DataFrame, load: str) -> None:
+            (letters.write.format("kafka").option("kafka.bootstrap.servers", kafka[0])
+             .option("topic", kafka[1]).save())
+
+        def to_files(path: str):
+            return lambda rows, load: replace_load(rows, path, load)
+        sinks = {"letters": (lambda rows: letters_of(rows, as_of), to_topic if kafka else to_files(dlq_path)),
+                 "clean": (lambda rows: rows.filter(good & ~F.col("is_fraud")).select(*BRONZE_COLUMNS),
+                           to_files(clean_path)),
+                 "flagged": (lambda rows: rows.filter(good & F.col("is_fraud")).select(*BRONZE_COLUMNS),
+                             to_files(flagged_path))}
+        writer = fanout_writer(lambda batch: decide_payloads(batch, blacklist), sinks, checkpoint)
+        return [(lines.writeStream.foreachBatch(writer).option("checkpointLocation", checkpoint)
+                 .trigger(**trigger_kwargs(trigger)).start())]
     valid, _ = parse_payments(lines, as_of=as_of)
     bronze = flag_stateless(valid.withWatermark("event_ts", delay), blacklist)
     clean, flagged, _ = route(bronze)

@@ -282,6 +282,21 @@ SELECT * FROM (
             FROM usignals)"""
     q["dq_unique_txn"] = """SELECT transaction_id, count(*) AS n FROM ufact WHERE transaction_id IS NOT NULL
                             GROUP BY transaction_id HAVING count(*) > 1"""
+    card = "substr(card_hash, 1, 1)"
+    loads = [("l1", f"{card} < '8'"), ("l2", f"({card} >= '8' OR card_hash IS NULL)"),
+             ("l3", f"{card} BETWEEN '4' AND 'b'")]
+    rows = [" UNION ALL ".join(f"SELECT '{n}' AS load, transaction_id, card_hash FROM {src} "
+                               f"WHERE transaction_id IS NOT NULL AND {w}" for n, w in loads)
+            for src in ("ufact", "bronze_dirty")]
+    q["dq_unique_incremental"] = f"""
+SELECT l.load, l.transaction_id, count(*) AS n
+FROM (SELECT DISTINCT load, transaction_id FROM ({rows[0]})) l
+JOIN ({rows[0]}) r ON r.transaction_id = l.transaction_id AND r.load <= l.load
+GROUP BY l.load, l.transaction_id HAVING count(*) > 1"""
+    q["dedup_backfill"] = f"""
+SELECT load, transaction_id, min(card_hash) AS card_hash FROM ({rows[1]}) r
+WHERE load = (SELECT min(load) FROM ({rows[1]}) f WHERE f.transaction_id = r.transaction_id)
+GROUP BY load, transaction_id"""
     q["dq_rel_merchant"] = """SELECT f.* FROM cfact f LEFT JOIN (SELECT DISTINCT merchant_id FROM dim_merchants) d
                               ON f.merchant_id = d.merchant_id
                               WHERE f.merchant_id IS NOT NULL AND d.merchant_id IS NULL"""
