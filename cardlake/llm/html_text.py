@@ -10,7 +10,11 @@ Zones: 3 inside ``article`` or ``main``; 2 no such element on the page; 1
 outside of it on a page that has one; 0 inside menus, headers, footers,
 sidebars, notices, adverts, forms, reader comments or hidden elements, told by
 element, role, id and class.  The nearest such element decides, but nothing
-inside a sidebar, a list of related pages or comments counts as main.
+inside a sidebar, a list of related pages or comments counts as main.  Inside
+``article`` or ``main`` a class or id tells an element apart only if that is what
+it names in the end: ``cookie-banner``, ``ad-slot`` and ``user-comments`` do,
+``promotion-history``, ``search-results`` and ``legal-analysis`` don't, and the rest
+of an article stays, its lists of links included.
 
 Text of a block: character references decoded, white space turned into one
 space, trimmed.  Kept blocks are joined in page order by two line feeds.
@@ -18,7 +22,7 @@ space, trimmed.  Kept blocks are joined in page order by two line feeds.
 Defined cases: null html, html without text and pages without main text give
 an empty text; unclosed elements end where HTML lets them end or with the
 page; an unclosed script, style or comment swallows the rest, as in browsers;
-very long pages are read in one linear pass; repeated rows and extra columns
+very long and deeply nested pages are read in one linear pass; repeated rows and extra columns
 pass through; an empty table gives an empty one.
 """
 
@@ -26,6 +30,7 @@ from __future__ import annotations
 
 import html as references
 import re
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -37,7 +42,7 @@ BLOCKS = frozenset("""address article aside blockquote body caption center dd de
  fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 head header hgroup hr html legend li main menu nav
  ol optgroup option p pre section summary table tbody td tfoot th thead tr ul""".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-SKIPPED = ("script", "style", "noscript", "template", "iframe", "svg", "math", "title", "textarea", "select",
+SKIPPED = ("script", "style", "noscript", "template", "iframe", "svg", "title", "textarea", "select",
            "canvas", "audio", "video", "object", "button")
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 # a start tag on the left ends an open element on the right
@@ -52,6 +57,10 @@ HINTS = frozenset("""ad ads adv advert adverts advertisement advertising sponsor
  sharing social pagination pager copyright legal disclaimer search toolbar skip topbar""".split())
 STICKY_HINTS = frozenset("""sidebar aside related recommended recommendations teaser teasers widget widgets
  comment comments commentlist disqus reply replies discussion respond""".split())
+# what an element holds or how it looks, of words in a class or id
+PLAIN = frozenset("""area bar block body bottom box button buttons card container content entry form holder icon
+ icons inner item items label left link links list outer panel post posts articles stories right row section slot
+ small text title top unit wrap wrapper""".split())
 
 # words, link density, the same of the block before and after, heading, zone -> main text
 LABELLED = (
@@ -60,8 +69,8 @@ LABELLED = (
     (8, 0.0, 0, 0.0, 45, 0.0, 1, 3, 1), (3, 0.0, 6, 1.0, 12, 0.0, 1, 3, 1), (6, 0.0, 9, 0.0, 1, 0.0, 1, 3, 1),
     (14, 0.2, 3, 0.0, 7, 0.0, 0, 3, 1), (45, 0.4, 20, 0.1, 33, 0.0, 0, 3, 1), (1, 0.0, 1, 1.0, 1, 1.0, 0, 3, 1),
     (5, 0.0, 9, 0.0, 0, 0.0, 0, 3, 1), (4, 1.0, 50, 0.0, 60, 0.1, 0, 3, 1), (10, 0.6, 22, 0.0, 18, 0.0, 0, 3, 1),
-    (2, 1.0, 2, 1.0, 3, 1.0, 0, 3, 0), (4, 1.0, 3, 1.0, 2, 1.0, 0, 3, 0), (1, 1.0, 2, 1.0, 1, 1.0, 0, 3, 0),
-    (6, 1.0, 7, 1.0, 5, 1.0, 0, 3, 0),
+    (2, 1.0, 2, 1.0, 3, 1.0, 0, 3, 1), (4, 1.0, 3, 1.0, 2, 1.0, 0, 3, 1), (1, 1.0, 2, 1.0, 1, 1.0, 0, 3, 1),
+    (6, 1.0, 7, 1.0, 5, 1.0, 0, 3, 1),
     # the page marks no main part
     (60, 0.0, 40, 0.0, 55, 0.0, 0, 2, 1), (35, 0.1, 3, 0.0, 80, 0.0, 0, 2, 1), (90, 0.2, 2, 1.0, 4, 0.0, 0, 2, 1),
     (18, 0.0, 50, 0.0, 25, 0.1, 0, 2, 1), (4, 0.0, 40, 0.0, 60, 0.0, 0, 2, 1), (7, 0.0, 2, 1.0, 50, 0.0, 1, 2, 1),
@@ -70,6 +79,11 @@ LABELLED = (
     (9, 0.8, 5, 1.0, 40, 0.0, 0, 2, 0), (30, 0.9, 12, 1.0, 8, 1.0, 0, 2, 0), (4, 0.0, 1, 1.0, 2, 0.0, 1, 2, 0),
     (1, 1.0, 40, 0.0, 1, 1.0, 0, 2, 0), (3, 1.0, 50, 0.0, 60, 0.0, 0, 2, 0), (5, 1.0, 2, 1.0, 45, 0.0, 0, 2, 0),
     (8, 0.0, 45, 0.0, 2, 1.0, 0, 2, 0), (5, 0.0, 30, 0.0, 0, 0.0, 0, 2, 0), (60, 0.8, 20, 0.0, 25, 0.0, 0, 2, 0),
+    (7, 0.0, 16, 0.0, 13, 0.0, 0, 2, 1), (4, 0.0, 11, 0.0, 7, 0.0, 1, 2, 1), (8, 0.0, 9, 0.0, 21, 0.0, 0, 2, 1),
+    (5, 0.0, 7, 0.0, 12, 0.0, 0, 2, 1), (14, 0.0, 10, 0.0, 0, 0.0, 0, 2, 0), (11, 0.0, 30, 0.0, 0, 0.0, 0, 2, 0),
+    (17, 0.0, 12, 0.0, 10, 0.0, 0, 2, 1), (9, 0.0, 9, 0.0, 9, 0.0, 1, 2, 1), (2, 0.0, 2, 0.0, 2, 0.0, 0, 2, 1),
+    (13, 0.0, 55, 0.0, 6, 0.0, 0, 2, 1), (10, 0.0, 1, 1.0, 9, 0.0, 0, 2, 0), (12, 0.0, 2, 1.0, 6, 0.0, 0, 2, 0),
+    (2, 0.0, 0, 0.0, 0, 0.0, 0, 2, 1), (9, 0.0, 0, 0.0, 0, 0.0, 0, 2, 1), (3, 1.0, 0, 0.0, 0, 0.0, 0, 2, 0),
     # outside of the part that the page marks
     (50, 0.0, 0, 0.0, 30, 0.0, 0, 1, 0), (8, 0.0, 3, 1.0, 12, 0.0, 0, 1, 0), (20, 0.2, 60, 0.0, 4, 0.0, 1, 1, 0),
     (2, 1.0, 2, 1.0, 2, 1.0, 0, 1, 0), (5, 0.0, 40, 0.0, 0, 0.0, 1, 1, 0),
@@ -94,8 +108,22 @@ _PARTS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|[0-9]+")
 WHOLE = ("html", "body", "main", "article")
 
 
-def zone_mark(name: str, attributes: str) -> str:
-    """How an element marks what is inside: "main", "apart", "sticky" or "" (not at all)."""
+def _hints(value: str, inside: bool) -> tuple[bool, bool, bool]:
+    """Whether a class or id tells of (a sidebar or comments, another part of a layout, a header)."""
+    named = set()
+    for token in value.split():
+        parts = [p.lower() for p in _PARTS.findall(token)]
+        if inside:      # what the element is stands last
+            parts = [p for p in parts if p not in PLAIN and not p.isdigit()][-1:]
+        named.update(parts)
+    return bool(named & STICKY_HINTS), bool(named & HINTS), "header" in named
+
+
+def zone_mark(name: str, attributes: str, inside: bool = False) -> str:
+    """How an element marks what is inside: "main", "apart", "sticky" or "" (not at all).
+
+    ``inside``: it stands in an ``article`` or ``main``.
+    """
     if name in STICKY:
         return "sticky"
     mark = "apart" if name in APART else "main" if name in ("article", "main") else ""
@@ -104,12 +132,12 @@ def zone_mark(name: str, attributes: str) -> str:
     for m in _ATTRIBUTE.finditer(attributes) if attributes and attributes != "/" else ():
         key, value = m[1].lower(), references.unescape(m[2] or m[3] or m[4] or "")
         if key in ("class", "id") and name not in WHOLE:
-            parts = {p.lower() for p in _PARTS.findall(value)}
-            if parts & STICKY_HINTS:
+            sticky, apart, header = _hints(value, inside)
+            if sticky:
                 return "sticky"
-            if parts & HINTS:
+            if apart:
                 mark = "apart"
-            elif "header" in parts and not mark:
+            elif header and not mark:
                 mark = "header"
         elif key == "role" and value.lower() in ROLES:
             mark = "apart"
@@ -121,14 +149,24 @@ def zone_mark(name: str, attributes: str) -> str:
     return mark
 
 
+class _Open(NamedTuple):
+    """An open element: the zone it makes, and the links and headings that it stands in, itself included."""
+
+    name: str
+    zone: str
+    links: int
+    headings: int
+
+
 def blocks(page: str) -> list[tuple[str, int, int, int, int]]:
     """(text, words, words in links, heading, zone) of every block, zones 0, 1 (no mark) and 3."""
     out: list[tuple] = []
-    open_: list[tuple[str, str]] = []       # element and zone it makes, outermost first
+    open_: list[_Open] = []                 # outermost first
+    places: dict[str, list[int]] = {}       # of the open elements of a name, outermost first
+    borders = [-1]                          # of the open block elements that aren't paragraphs
     pieces: list[str] = []
     linked: list[str] = []
-    links = heading = 0
-    zone = ""
+    now = top = _Open("", "", 0, 0)         # the innermost open element
 
     def flush():
         nonlocal pieces, linked
@@ -136,21 +174,24 @@ def blocks(page: str) -> list[tuple[str, int, int, int, int]]:
             words = references.unescape("".join(pieces)).split()
             if words:
                 in_links = len(references.unescape(" ".join(linked)).split()) if linked else 0
-                out.append((" ".join(words), len(words), min(in_links, len(words)), int(heading > 0),
-                            {"main": 3, "": 1}.get(zone, 0)))
+                out.append((" ".join(words), len(words), min(in_links, len(words)), int(now.headings > 0),
+                            {"main": 3, "": 1}.get(now.zone, 0)))
             pieces, linked = [], []
 
     def text(value):
         if value:
             pieces.append(value)
-            if links:
+            if now.links:
                 linked.append(value)
 
-    def settle():
-        nonlocal links, heading, zone
-        links = sum(n == "a" for n, _ in open_)
-        heading = sum(n in HEADINGS for n, _ in open_)
-        zone = open_[-1][1] if open_ else ""
+    def close(i):
+        """Close the element at place ``i`` with all that is open inside it."""
+        nonlocal now
+        while len(open_) > i:
+            places[open_.pop().name].pop()
+        while borders[-1] >= i:
+            borders.pop()
+        now = open_[-1] if open_ else top
 
     at, limit, swallowed = 0, page.rfind(">") + 1, False
     # without a ">" to come nothing is a tag, so nothing is looked for there
@@ -172,39 +213,30 @@ def blocks(page: str) -> list[tuple[str, int, int, int, int]]:
         if block:
             flush()
         if m[2]:
-            for i in range(len(open_) - 1, -1, -1):
-                if open_[i][0] == name:
-                    del open_[i:]
-                    settle()
-                    break
+            if places.get(name):
+                close(places[name][-1])
             continue
         if name in VOID or m[4].endswith("/") and not block:
             continue
-        if block and any(n == "p" for n, _ in open_[-4:]):
-            # a block element ends an open paragraph and what is open inside it
-            i = max(i for i, (n, _) in enumerate(open_) if n == "p")
-            if not any(n in BLOCKS and n != "p" for n, _ in open_[i:]):
-                del open_[i:]
-                settle()
-        if name == "a" and open_ and open_[-1][0] == "a":
-            open_.pop()
+        if block and places.get("p") and places["p"][-1] > borders[-1]:
+            close(places["p"][-1])      # a block element ends an open paragraph and what is open inside it
+        if name == "a" and now.name == "a":
+            close(len(open_) - 1)
         for i in range(len(open_) - 1, max(-1, len(open_) - 6), -1):
-            if open_[i][0] in ENDS.get(name, ()):
-                del open_[i:]
-                settle()
+            if open_[i].name in ENDS.get(name, ()):
+                close(i)
                 break
-            if open_[i][0] in ("ul", "ol", "dl", "table", "select"):
+            if open_[i].name in ("ul", "ol", "dl", "table", "select"):
                 break
-        above = open_[-1][1] if open_ else ""
-        mark = zone_mark(name, m[4])
+        mark = zone_mark(name, m[4], now.zone == "main")
         if mark == "header":
-            mark = "" if above == "main" else "apart"
-        open_.append((name, above if above == "sticky" or not mark else mark))
-        zone = open_[-1][1]
-        if name == "a":
-            links += 1
-        elif name in HEADINGS:
-            heading += 1
+            mark = "" if now.zone == "main" else "apart"
+        places.setdefault(name, []).append(len(open_))
+        if block and name != "p":
+            borders.append(len(open_))
+        now = _Open(name, now.zone if now.zone == "sticky" or not mark else mark,
+                    now.links + (name == "a"), now.headings + (name in HEADINGS))
+        open_.append(now)
     if not swallowed:
         text(page[at:].split("<!--", 1)[0])
     flush()
@@ -223,7 +255,7 @@ def features(found: list[tuple]) -> np.ndarray:
 class Tree:
     """A binary decision tree grown by Gini impurity; ``nodes``: (feature, threshold, left, right, label)."""
 
-    def __init__(self, rows, depth: int = 6):
+    def __init__(self, rows, depth: int = 9):
         data = np.array(rows, float)
         self.nodes: list[tuple] = []
         self._grow(data[:, :-1], data[:, -1], depth)

@@ -1,5 +1,6 @@
 import html
 import re
+import time
 
 import pytest
 
@@ -40,6 +41,51 @@ def test_pages(page, want):
     assert text(page) == want
 
 
+@pytest.mark.parametrize("inner, want", [
+    ('<p class="promotion-history">a b</p>', "a b"), ('<section id="search-results"><p>a b</p></section>', "a b"),
+    ('<section class="legal-analysis"><p>a b</p></section>', "a b"), ("<p>let <math><mi>x</mi></math> be</p>", "let x be"),
+    ("<ul><li><a>one</a><li><a>two</a><li><a>three</a></ul>", "one\n\ntwo\n\nthree"),
+    ('<div class="ad-slot-1">buy</div>', ""), ('<div class="cookieBanner">c</div>', ""),
+    ('<div id="post-comments">c<article>d</article></div>', ""), ('<ul class="share-links"><li>s</ul>', ""),
+    ('<div class="related-posts">r</div>', ""), ('<p class="lead notice">n</p>', ""),
+])
+def test_articles_keep_all_that_is_theirs(inner, want):
+    assert text(f"<article><p>start</p>{inner}</article>") == f"start\n\n{want}".strip()
+
+
+def test_a_page_of_one_block():
+    assert text("<body><p>Hello world</p></body>") == "Hello world"
+    assert text("<body><p><a href=x>Hello world</a></p></body>") == ""
+
+
+@pytest.mark.parametrize("page", ["<i>" * 50_000 + "</b>" * 50_000, "<span><p>x</p>" * 50_000,
+                                  "<div>" * 50_000 + "x" + "</div>" * 50_000, "<a><h2>" * 50_000 + "</p>" * 50_000,
+                                  "<p><b><i><u><s><span>x" * 10_000 + "<div>y"], ids=range(5))
+def test_time_is_linear(page):
+    def seconds(p):
+        begin = time.process_time()
+        H.blocks(p)
+        return time.process_time() - begin
+    half = page[:len(page) // 2]
+    assert seconds(page) < max(6 * seconds(half), 2)
+
+
+def test_unmarked_pages(spark):
+    """Without marks, classes and structural elements the tree has the dealt features alone."""
+    right = found = wanted = 0
+    for r in spark.read.parquet("/root/testdata/sf0.01/pages.parquet").select("html").collect():
+        marked = H.blocks(r.html or "")
+        bare = re.sub(r"<(/?)(?:article|main|nav|header|footer|aside|form|section)\b[^>]*>", r"<\1div>", r.html or "")
+        bare = re.sub(r"\s(?:class|id|role|hidden|style)(?:=(?:\"[^\"]*\"|'[^']*'|[^\s>]+))?(?=[\s>])", "", bare)
+        shown = H.blocks(bare)
+        assert [b[0] for b in shown] == [b[0] for b in marked] and all(b[4] == 1 for b in shown)
+        if shown:
+            kept = TREE.predict(H.features(shown))
+            truth = TREE.predict(H.features(marked))
+            right, found, wanted = right + (kept & truth).sum(), found + kept.sum(), wanted + truth.sum()
+    assert right / found > 0.9 and right / wanted > 0.9, (right / found, right / wanted)
+
+
 def test_long_and_odd_pages_are_linear():
     assert text("<" * 200_000) in ("", "<" * 200_000)
     assert len(text("<article>" + "<p>a" * 50_000)) == 50_000 + 2 * 49_999
