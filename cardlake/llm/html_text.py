@@ -72,6 +72,7 @@ LABELLED = (
     (2, 1.0, 2, 1.0, 3, 1.0, 0, 3, 1), (4, 1.0, 3, 1.0, 2, 1.0, 0, 3, 1), (1, 1.0, 2, 1.0, 1, 1.0, 0, 3, 1),
     (6, 1.0, 7, 1.0, 5, 1.0, 0, 3, 1),
     # the page marks no main part
+    (40, 0.0, 1, 0.0, 3, 0.0, 0, 2, 1), (38, 0.0, 2, 0.0, 1, 1.0, 0, 2, 1), (80, 0.0, 3, 0.0, 0, 0.0, 0, 2, 1),
     (60, 0.0, 40, 0.0, 55, 0.0, 0, 2, 1), (35, 0.1, 3, 0.0, 80, 0.0, 0, 2, 1), (90, 0.2, 2, 1.0, 4, 0.0, 0, 2, 1),
     (18, 0.0, 50, 0.0, 25, 0.1, 0, 2, 1), (4, 0.0, 40, 0.0, 60, 0.0, 0, 2, 1), (7, 0.0, 2, 1.0, 50, 0.0, 1, 2, 1),
     (5, 0.0, 30, 0.0, 45, 0.0, 1, 2, 1), (12, 0.0, 33, 0.0, 21, 0.0, 0, 2, 1), (25, 0.3, 35, 0.0, 3, 1.0, 0, 2, 1),
@@ -82,7 +83,8 @@ LABELLED = (
     (7, 0.0, 16, 0.0, 13, 0.0, 0, 2, 1), (4, 0.0, 11, 0.0, 7, 0.0, 1, 2, 1), (8, 0.0, 9, 0.0, 21, 0.0, 0, 2, 1),
     (5, 0.0, 7, 0.0, 12, 0.0, 0, 2, 1), (14, 0.0, 10, 0.0, 0, 0.0, 0, 2, 0), (11, 0.0, 30, 0.0, 0, 0.0, 0, 2, 0),
     (17, 0.0, 12, 0.0, 10, 0.0, 0, 2, 1), (9, 0.0, 9, 0.0, 9, 0.0, 1, 2, 1), (2, 0.0, 2, 0.0, 2, 0.0, 0, 2, 1),
-    (13, 0.0, 55, 0.0, 6, 0.0, 0, 2, 1), (10, 0.0, 1, 1.0, 9, 0.0, 0, 2, 0), (12, 0.0, 2, 1.0, 6, 0.0, 0, 2, 0),
+    (13, 0.0, 55, 0.0, 6, 0.0, 0, 2, 1), (2, 0.0, 45, 0.0, 38, 0.0, 0, 2, 1), (1, 0.0, 0, 0.0, 36, 0.0, 1, 2, 1),
+    (10, 0.0, 1, 1.0, 9, 0.0, 0, 2, 0), (12, 0.0, 2, 1.0, 6, 0.0, 0, 2, 0),
     (2, 0.0, 0, 0.0, 0, 0.0, 0, 2, 1), (9, 0.0, 0, 0.0, 0, 0.0, 0, 2, 1), (3, 1.0, 0, 0.0, 0, 0.0, 0, 2, 0),
     # outside of the part that the page marks
     (50, 0.0, 0, 0.0, 30, 0.0, 0, 1, 0), (8, 0.0, 3, 1.0, 12, 0.0, 0, 1, 0), (20, 0.2, 60, 0.0, 4, 0.0, 1, 1, 0),
