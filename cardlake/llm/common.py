@@ -10,6 +10,14 @@ from cardlake.session import shared_path
 SMALL_BYTES = 16 << 20  # a side is only ever broadcast below this, as counted
 
 
+def free(df: DataFrame, name: str) -> str:
+    """``name``, or with as many underscores after it as keep it apart from the columns of ``df``."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def written(df: DataFrame, name: str = "step") -> DataFrame:
     """``df`` written to the shared folder and read back: cuts the lineage, and a
     lost executor costs no recomputation of what came before."""

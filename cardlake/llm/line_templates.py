@@ -22,7 +22,7 @@ Defined cases: a null text stays null; a text that loses all lines becomes
 empty; blank lines stay; rows with the same id and text are treated alike (all
 keep the template, or none); a null id counts as larger than any other id;
 very long lines and texts need no special care; an empty table gives an empty
-one; extra columns pass through.
+one; extra columns pass through, but for those that ``lines`` and ``dropped`` name.
 """
 
 from __future__ import annotations
@@ -30,7 +30,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cardlake.llm.common import SMALL_BYTES, small, written
+from cardlake.llm.common import SMALL_BYTES, free, small, written
 
 # A token with a digit, and white space inside a line that isn't one space.
 FIELD = r"(?<!\S)[^\s0-9]*+[0-9]\S*+"
@@ -140,16 +140,19 @@ def drop_recurring(docs: DataFrame, key: str = "doc_id", text: str = "text", dep
              .unionByName(rows.where("exact is not null").join(small(same, 16), "exact").select(places))
              .where(~F.col("id").eqNullSafe(F.col("keeper")))
              .groupBy("id", "text_hash").agg(F.collect_set("at").alias("__drop")))
-    drops = written(drops.withColumnsRenamed({"id": "__id", "text_hash": "__hash"}), "drops")
-    size = drops.agg(F.sum(F.size("__drop") * 4 + 48)).first()[0] or 0
+    names = {c: free(docs, f"__{c}") for c in ("id", "text_hash", "drop")}
+    drops = written(drops.withColumnsRenamed({"id": names["id"], "text_hash": names["text_hash"],
+                                              "__drop": names["drop"]}), "drops")
+    gone_at = F.col(names["drop"])
+    size = drops.agg(F.sum(F.size(gone_at) * 4 + 48)).first()[0] or 0
     joined = docs.join(F.broadcast(drops) if size <= SMALL_BYTES else drops,
-                       docs[key].eqNullSafe(F.col("__id"))
-                       & (F.xxhash64(docs[text]) == F.col("__hash")), "left")
-    kept = F.when(F.col("__drop").isNull(), docs[text]).otherwise(F.array_join(
-        F.filter(F.split(docs[text], "\n"), lambda x, i: ~F.array_contains(F.col("__drop"), i)), "\n"))
-    out = [kept.alias(c) if c == text else docs[c] for c in docs.columns]
+                       docs[key].eqNullSafe(F.col(names["id"]))
+                       & (F.xxhash64(docs[text]) == F.col(names["text_hash"])), "left")
+    kept = F.when(gone_at.isNull(), docs[text]).otherwise(F.array_join(
+        F.filter(F.split(docs[text], "\n"), lambda x, i: ~F.array_contains(gone_at, i)), "\n"))
+    out = [kept.alias(c) if c == text else docs[c] for c in docs.columns if c not in (lines, dropped)]
     if lines:
         out.append(F.coalesce(F.size(F.split(docs[text], "\n")), F.lit(0)).alias(lines))
     if dropped:
-        out.append(F.when(F.col("__drop").isNull(), 0).otherwise(F.size("__drop")).alias(dropped))
+        out.append(F.when(gone_at.isNull(), 0).otherwise(F.size(gone_at)).alias(dropped))
     return joined.select(*out)

@@ -43,7 +43,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cardlake.llm.common import SMALL_BYTES, written
+from cardlake.llm.common import SMALL_BYTES, free, written
 from cardlake.llm.shingles import SPAN, _BASE, _powers, mix
 
 LENGTH, GRAM = 200, 100
@@ -371,7 +371,7 @@ def compared(rows: DataFrame, length: int, reach: int, hot: int = HOT) -> list[D
         cold = keyed.join(_sized(groups.where(F.col("n") <= hot).select("lead"), F.lit(16)), "lead")
         out.append(written(compare_buckets(cold.drop("lead"), sizes[0], length, reach), "spans"))
     if sizes[1] is not None and sizes[1] > hot and reach:
-        crowd = keyed.join(F.broadcast(groups.where(F.col("n") > hot).select("lead")), "lead")
+        crowd = keyed.join(_sized(groups.where(F.col("n") > hot).select("lead"), F.lit(16)), "lead")
         crowd = written(crowd.drop("lead"), "crowd")
         one, near, two, far = _halves(crowd, length, reach)
         for part, width in ((one, near), (two, far)):
@@ -424,12 +424,17 @@ def doc_key(key: Column, text: Column) -> Column:
 def without_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", length: int = LENGTH,
                     gram: int = GRAM, hot: int = HOT, columns: list[str] | None = None) -> DataFrame:
     """``docs`` (its ``columns``; default all but the text) with ``kept`` (binary: the bytes that
-    stay), ``n_bytes``, ``n_removed``, ``n_spans`` and ``kept_sha256``."""
-    keep = [c for c in docs.columns if c != text] if columns is None else columns
-    merged = repeated_spans(docs, key, text, length, gram, hot).withColumnRenamed("doc", "__doc")
-    side = _sized(merged, F.size("begins") * 8 + 96)
-    joined = docs.join(side, doc_key(docs[key], docs[text]) == F.col("__doc"), "left").select(
-        *keep, docs[text].alias("__text"), "begins", "stops")
+    stay), ``n_bytes``, ``n_removed``, ``n_spans`` and ``kept_sha256``, which replace columns
+    of these names."""
+    made = ("kept", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+    keep = [c for c in (docs.columns if columns is None else columns)
+            if c not in made and (c != text or columns is not None)]
+    place = {c: free(docs, f"__{c}") for c in ("doc", "text", "begins", "stops")}
+    merged = repeated_spans(docs, key, text, length, gram, hot).withColumnsRenamed(
+        {c: place[c] for c in ("doc", "begins", "stops")})
+    side = _sized(merged, F.size(place["begins"]) * 8 + 96)
+    joined = docs.join(side, doc_key(docs[key], docs[text]) == F.col(place["doc"]), "left").select(
+        *[docs[c] for c in keep], docs[text].alias(place["text"]), place["begins"], place["stops"])
     extra = [T.StructField("kept", T.BinaryType()), T.StructField("n_bytes", T.LongType()),
              T.StructField("n_removed", T.LongType()), T.StructField("n_spans", T.LongType()),
              T.StructField("kept_sha256", T.StringType())]
@@ -437,7 +442,7 @@ def without_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", le
     def run(batches):
         for b in batches:
             out = [[], [], [], [], []]
-            for t, begins, stops in zip(b["__text"], b["begins"].to_pylist(), b["stops"].to_pylist()):
+            for t, begins, stops in zip(b[place["text"]], b[place["begins"]].to_pylist(), b[place["stops"]].to_pylist()):
                 data = _raw(t)
                 rest = data
                 if begins:

@@ -14,7 +14,8 @@ payloads are all ``response``.
 Defined cases: a null url is written as an empty target URI; white space
 other than a plain space in a url (it could break a header line) is percent
 encoded; a null key is kept (record id ``urn:page:null``) and counts as the
-smallest; repeated rows give repeated records, of which exactly one can be
+smallest; a key that is no whole number is percent encoded in the header and
+read back as ``key_type``; repeated rows give repeated records, of which exactly one can be
 the response (the tie is broken by url, then by a row number inside the tie);
 an empty table gives an empty archive; extra columns are ignored.
 
@@ -59,14 +60,29 @@ def record_headers(kind: Column, key: Column, url: Column, date: str, sha1: Colu
     return F.concat(F.concat_ws(CRLF, *lines), F.lit(CRLF + CRLF))
 
 
+WHOLE = ("tinyint", "smallint", "int", "bigint")
+
+
+def _named(key: Column, kind: str) -> Column:
+    """A key as headers name it: whole numbers as they are, others so that they can't break a line.
+
+    The text "null" is encoded, too, so that it differs from no key.
+    """
+    if kind in WHOLE:
+        return key
+    text = key.cast("string")
+    return F.when(text == "null", F.lit("%6Eull")).otherwise(F.url_encode(text))
+
+
 def write_archive(pages: DataFrame, path: str, key: str = "page_id", url: str = "url",
                   html: str = "html", date: str = "2024-01-01T00:00:00Z",
                   revisit_min_bytes: int = 1000) -> None:
     """Write ``path/payloads`` and ``path/records`` (see the module text)."""
     spark = pages.sparkSession
+    kind = dict(pages.dtypes)[key]
     src = pages.select(F.col(key).alias("key"), F.col(url).alias("url"),
                        F.coalesce(F.col(html), F.lit("")).cast("binary").alias("payload"))
-    packed = src.mapInArrow(_pack, f"key {dict(src.dtypes)['key']}, url string, sha256 string, "
+    packed = src.mapInArrow(_pack, f"key {kind}, url string, sha256 string, "
                                    "packed binary")
     (packed.groupBy("sha256")
      .agg(F.max(F.struct("key", "url")).alias("top"), F.first("packed").alias("packed"))
@@ -83,8 +99,8 @@ def write_archive(pages: DataFrame, path: str, key: str = "page_id", url: str =
     (rows.join(top, "sha256")
      .withColumn("copy", F.explode(F.sequence(F.lit(0), F.col("copies").cast("int") - 1)))
      .withColumn("kind", F.when(revisit, F.lit("revisit")).otherwise(F.lit("response")))
-     .select("sha256", record_headers(F.col("kind"), F.col("key"), F.col("url"), date,
-                                      F.col("sha1"), F.col("top.key"), F.col("n_bytes"))
+     .select("sha256", record_headers(F.col("kind"), _named(F.col("key"), kind), F.col("url"), date,
+                                      F.col("sha1"), _named(F.col("top.key"), kind), F.col("n_bytes"))
              .cast("binary").alias("header"))
      .write.mode("overwrite").parquet(f"{path}/records"))
 
@@ -129,8 +145,8 @@ def _unpack(batches):
              pa.array(records, pa.binary())], names=["sha256", "header", "payload", "record"])
 
 
-def parse_records(records: DataFrame) -> DataFrame:
-    """Header fields and payload facts read back out of the records."""
+def parse_records(records: DataFrame, key_type: str = "bigint") -> DataFrame:
+    """Header fields and payload facts read back out of the records; keys of ``key_type``."""
     # the line end before the empty line stays, so that every field ends in one
     head = F.concat(F.substring_index(F.col("record").cast("string"), CRLF + CRLF, 1), F.lit(CRLF))
 
@@ -138,7 +154,11 @@ def parse_records(records: DataFrame) -> DataFrame:
         return F.regexp_extract(head, f"\r\n{name}: ([^\r\n]*)", 1)
 
     def page(name: str) -> Column:
-        return F.regexp_extract(head, f"\r\n{name}: <urn:page:(-?[0-9]+)>", 1).try_cast("long")
+        if key_type not in WHOLE:
+            named = F.regexp_extract(head, f"\r\n{name}: <urn:page:([^\r\n>]*)>", 1)
+            there = head.rlike(f"\r\n{name}: ") & (named != "null")
+            return F.when(there, F.url_decode(F.when(there, named))).try_cast(key_type)
+        return F.regexp_extract(head, f"\r\n{name}: <urn:page:(-?[0-9]+)>", 1).try_cast(key_type)
 
     return records.select(
         page("WARC-Record-ID").alias("key"), field("WARC-Target-URI").alias("url"),

@@ -85,3 +85,15 @@ def test_empty_archive_and_damage(spark):
     spark.read.parquet(f"{path}/hurt").write.parquet(f"{path}/x/payloads")
     with pytest.raises(Exception, match="doesn't match its digest"):
         warc.read_records(spark, f"{path}/x").collect()
+
+
+def test_keys_that_are_text(spark):
+    keys = ["a", "b>\r\nWARC-Type: x", "null", None, "", "é %20", "12"]
+    big = "<p>same" * 300
+    path = shared_path(spark, "warc-test")
+    warc.write_archive(spark.createDataFrame([(k, "u", big) for k in keys], "page_id string, url string, html string"), path)
+    parsed = warc.parse_records(warc.read_records(spark, path), key_type="string").collect()
+    assert sorted((r.key is None, r.key or "") for r in parsed) == sorted((k is None, k or "") for k in keys)
+    top = max(k for k in keys if k is not None)
+    assert {(r.key, r.record_type, r.refers_to) for r in parsed} == {
+        (k, "response" if k == top else "revisit", None if k == top else top) for k in keys}

@@ -273,6 +273,23 @@ def test_short_lines_that_recur(spark):
                    for k, t in rows}
 
 
+def test_columns_that_clash(spark):
+    """Extra columns pass through; those named like the outputs are replaced."""
+    shared = "a passage that many documents share " * 12
+    rows = [(i, f"{shared}\nown {i} words here", 1, 2, 3, 4, 5, 6) for i in range(3)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, begins int, n_bytes int, kept int, __drop int, "
+                                       "__doc int, n_lines int")
+    out = suffixes.without_repeats(docs)
+    assert sorted(out.columns) == sorted(["doc_id", "begins", "__drop", "__doc", "n_lines", "kept", "n_bytes",
+                                          "n_removed", "n_spans", "kept_sha256"])
+    assert all((r.begins, r["__drop"], r["__doc"], r.n_lines) == (1, 4, 5, 6) and r.n_bytes > 400 and r.n_removed > 400
+               for r in out.collect())
+    out = line_templates.drop_recurring(docs, lines="n_lines", dropped="n_dropped")
+    assert sorted(out.columns) == sorted([*docs.columns, "n_dropped"])
+    got = {r.doc_id: (r.n_lines, r.n_dropped, r["__drop"]) for r in out.collect()}
+    assert got == {0: (2, 0, 4), 1: (2, 1, 4), 2: (2, 1, 4)}
+
+
 # ---- decontamination -----------------------------------------------------------------------
 
 def test_leaks_equal_direct_containment(spark):
@@ -304,6 +321,24 @@ def test_leaks_equal_direct_containment(spark):
     assert sorted(map(tuple, got.collect())) == sorted(want)
 
 
+def test_items_of_all_sizes_have_bounds_of_their_own(spark):
+    """Items of 1 to 5,000 words, whole and with every fifth of ten shingles changed, in long documents."""
+    rng = random.Random(9)
+    some = lambda n: [f"w{rng.randrange(10 ** 6)}" for _ in range(n)]
+    items = [(n, some(n)) for n in (1, 2, 3, 5, 8, 20, 90, 400, 1500, 5000)]
+    docs = [(n, " ".join(some(300) + item + some(300))) for n, item in items]
+    cut = [(10_000 + n, " ".join(some(50) + item[:n * 9 // 10] + some(50))) for n, item in items if n >= 90]
+    half = [(20_000 + n, " ".join(some(50) + item[:n // 2] + some(50))) for n, item in items if n >= 90]
+    table = spark.createDataFrame([(n, " ".join(w)) for n, w in items], "item_id long, text string")
+    got = decontaminate.leaks(spark.createDataFrame(docs + cut + half, "doc_id long, text string"), table)
+    assert sorted((r.doc_id, r.item_id) for r in got.collect()) == sorted(
+        [(n, n) for n, _ in items] + [(10_000 + n, n) for n, _ in items if n >= 90])
+    rows = decontaminate.item_shingles(table, "item_id", "text", 5, 3, 4)
+    bounds = {c: int(top) / 2 ** 64 for c, top, _, _ in decontaminate._tables(rows)}
+    assert set(bounds) == {max(1, n - 4).bit_length() for n, _ in items}
+    assert all(bounds[max(1, n - 4).bit_length()] < 0.35 for n in (400, 1500, 5000))
+
+
 @pytest.mark.parametrize("docs, items", [([], [(1, "a b c")]), ([(1, "a b c")], []), ([(1, None)], [(1, None)])])
 def test_no_leaks(spark, docs, items):
     got = decontaminate.leaks(spark.createDataFrame(docs, "doc_id long, text string"),
