@@ -6,7 +6,8 @@ last return the columns of ``documents``.
 
 Rows with null or repeated ids are allowed: decisions hold for an id (or none)
 with its text, so every row stands or falls by its own text; rows that repeat
-an id and its text are one document after the join stage.
+an id and its text are one document after the join stage.  Further columns of
+any name pass through the first four stages.
 """
 
 from __future__ import annotations
@@ -15,24 +16,26 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cardlake.llm import decontaminate, jaccard, line_templates, pieces, toxicity
-from cardlake.llm.common import small, written
+from cardlake.llm.common import free, small, written
 
 
-def _keyed(docs: DataFrame) -> DataFrame:
-    """``docs`` with ``__key``: hash of the text and, unless null, the id."""
-    return docs.withColumn("__key", F.concat_ws(":", F.xxhash64("text").cast("string"), F.col("doc_id").cast("string")))
+def _keyed(docs: DataFrame) -> tuple[DataFrame, str]:
+    """``docs`` with one more column, and its name: hash of the text and, unless null, the id."""
+    key = free(docs, "__key")
+    return docs.withColumn(key, F.concat_ws(":", F.xxhash64("text").cast("string"), F.col("doc_id").cast("string"))), key
 
 
-def _without(docs: DataFrame, keys: DataFrame) -> DataFrame:
-    """Keyed ``docs`` but for the rows with these keys (a written table of __key)."""
-    return docs.join(small(keys, 64), "__key", "left_anti")
+def _without(docs: DataFrame, key: str, keys: DataFrame) -> DataFrame:
+    """Keyed ``docs`` but for the rows with these keys (a written table of them)."""
+    return docs.join(small(keys, 64), key, "left_anti")
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the factorization machine scores below one half."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     model = toxicity.fit(toxicity.training_rows(docs, labels))
-    return toxicity.with_score(docs, model, score="__score").where("__score < 0.5").drop("__score")
+    score = free(docs, "__score")
+    return toxicity.with_score(docs, model, score=score).where(F.col(score) < 0.5).drop(score)
 
 
 def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -44,31 +47,31 @@ def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of documents joined by 5-word shingle similarity the one with the smallest id."""
-    keyed = _keyed(docs)
-    groups = written(jaccard.similar_groups(keyed, key="__key"), "groups")
+    keyed, key = _keyed(docs)
+    groups = written(jaccard.similar_groups(keyed, key=key), "groups")
     kind = dict(docs.dtypes)["doc_id"]
-    at = F.instr("__key", ":")
-    number = F.when(at > 0, F.col("__key").substr(at + 1, F.length("__key"))).cast(kind)
+    at = F.instr(key, ":")
+    number = F.when(at > 0, F.col(key).substr(at + 1, F.length(key))).cast(kind)
     # null ids last, then by id
     first = groups.groupBy("component_id").agg(F.min(F.struct(
-        number.isNull().alias("none"), number.alias("id"), F.col("__key").alias("key")))["key"].alias("first"))
-    copies = (groups.join(written(first, "firsts"), "component_id").where("__key <> first")
-              .select("__key").distinct())
-    kept = _without(keyed, written(copies, "copies"))
-    twice = written(groups.groupBy("__key").count().where("count > 1").select("__key"), "twice")
+        number.isNull().alias("none"), number.alias("id"), F.col(key).alias("key")))["key"].alias("first"))
+    copies = (groups.join(written(first, "firsts"), "component_id").where(F.col(key) != F.col("first"))
+              .select(key).distinct())
+    kept = _without(keyed, key, written(copies, "copies"))
+    twice = written(groups.groupBy(key).count().where("count > 1").select(key), "twice")
     if twice.isEmpty():
-        return kept.drop("__key")
-    once = _without(kept, twice)
-    again = kept.join(small(twice, 64), "__key", "left_semi").dropDuplicates(["__key", "text"])
-    return once.unionByName(again).drop("__key")
+        return kept.drop(key)
+    once = _without(kept, key, twice)
+    again = kept.join(small(twice, 64), key, "left_semi").dropDuplicates([key, "text"])
+    return once.unionByName(again).drop(key)
 
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no benchmark item."""
     items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
-    keyed = _keyed(docs)
-    leaks = decontaminate.leaks(keyed, items, key="__key")
-    return _without(keyed, written(leaks.select("__key").distinct(), "leaks")).drop("__key")
+    keyed, key = _keyed(docs)
+    leaks = decontaminate.leaks(keyed, items, key=key)
+    return _without(keyed, key, written(leaks.select(key).distinct(), "leaks")).drop(key)
 
 
 def to_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
