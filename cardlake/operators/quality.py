@@ -80,26 +80,52 @@ def valid_currency(fact: DataFrame, currencies: DataFrame) -> DataFrame:
     return miss.withColumn("currency_code", F.lit(None).cast("string"))
 
 
+def profile_parts(df: DataFrame, sketches: bool = True) -> DataFrame:
+    """(column_name, row_count, null_count, sketch): what a load adds to a profile, in one pass.
+
+    Parts of loads add up (``profile_of``).  ``sketch`` estimates a column's
+    distinct values; it has a fixed size and merges, too.
+    """
+    aggs = [F.count(F.lit(1)).alias("_rows")]
+    for i, c in enumerate(df.columns):
+        aggs.append(F.sum(F.col(c).isNull().cast("long")).alias(f"_n_{i}"))
+        if sketches:
+            aggs.append(F.hll_sketch_agg(F.col(c).cast("string")).alias(f"_s_{i}"))
+    rows = F.array(*[F.struct(F.lit(c).alias("column_name"), F.col("_rows").cast("long").alias("row_count"),
+                              F.coalesce(F.col(f"_n_{i}"), F.lit(0)).cast("long").alias("null_count"),
+                              (F.col(f"_s_{i}") if sketches else F.lit(None).cast("binary")).alias("sketch"))
+                     for i, c in enumerate(df.columns)])
+    return df.agg(*aggs).select(F.inline(rows))
+
+
+def profile_of(parts: DataFrame, duplicate_keys: Column | None = None, distinct: bool = False) -> DataFrame:
+    """The profile that the parts of loads add up to.
+
+    (column_name, row_count, null_count, null_pct, duplicate_keys[, approx_distinct])
+    """
+    aggs = [F.sum("row_count").alias("row_count"), F.sum("null_count").alias("null_count")]
+    if distinct:
+        aggs.append(F.hll_sketch_estimate(F.hll_union_agg("sketch")).alias("approx_distinct"))
+    pct = F.round(F.lit(100).cast("decimal(5,0)") * F.col("null_count") / F.nullif("row_count", F.lit(0)), 2).cast("double")
+    dup = F.lit(None) if duplicate_keys is None else duplicate_keys
+    return parts.groupBy("column_name").agg(*aggs).select(
+        "column_name", "row_count", "null_count", pct.alias("null_pct"), dup.cast("long").alias("duplicate_keys"),
+        *(["approx_distinct"] if distinct else []))
+
+
 def profile(df: DataFrame, key: str | None = None) -> DataFrame:
-    """Row count, nulls and null percent per column, and duplicate keys, in one pass.
+    """Row count, nulls and null percent per column, and duplicate keys.
 
     (column_name, row_count, null_count, null_pct, duplicate_keys)
-    ``duplicate_keys`` = non-null key rows minus distinct non-null keys.
+    ``duplicate_keys`` = non-null key rows minus distinct non-null keys, by an
+    aggregate of its own that reads the key alone, so the counts of the other
+    columns don't ride its shuffle.
     """
-    aggs = [F.count(F.lit(1)).alias("_rows")]
-    aggs += [F.sum(F.col(c).isNull().cast("long")).alias(f"_n_{i}") for i, c in enumerate(df.columns)]
+    dup = None
     if key:
-        aggs += [F.count(key).alias("_keyed"), F.countDistinct(key).alias("_distinct")]
-    agg = df.agg(*aggs)
-    dup = (F.col("_keyed") - F.col("_distinct")) if key else F.lit(None)
-    rows = F.array(*[F.struct(F.lit(c).alias("column_name"),
-                              F.coalesce(F.col(f"_n_{i}"), F.lit(0)).cast("long").alias("null_count"))
-                     for i, c in enumerate(df.columns)])
-    out = agg.select(F.col("_rows").cast("long").alias("row_count"), dup.cast("long").alias("duplicate_keys"),
-                     F.explode(rows).alias("_c"))
-    pct = F.round(F.lit(100).cast("decimal(5,0)") * F.col("_c.null_count") / F.col("row_count"), 2).cast("double")
-    return out.select(F.col("_c.column_name").alias("column_name"), "row_count",
-                      F.col("_c.null_count").alias("null_count"), pct.alias("null_pct"), "duplicate_keys")
+        per_key = df.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
+        dup = per_key.agg(F.coalesce(F.sum(F.col("_n") - 1), F.lit(0))).scalar()
+    return profile_of(profile_parts(df, sketches=False), dup)
 
 
 def freshness(df: DataFrame, as_of, max_lag_s: int = 3600, ts: str = "event_ts") -> DataFrame:

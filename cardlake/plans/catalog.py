@@ -21,8 +21,9 @@ from cardlake.plans.compaction import compact, read_compacted
 from cardlake.plans.fixture_params import (DLQ_TS, FRESHNESS_AS_OF, FRESHNESS_MAX_LAG_S,
                                            PROCESSED_AT, REPORT_DAY, RETENTION_AS_OF,
                                            RETENTION_DAYS)
-from cardlake.plans.key_index import KeyIndex
 from cardlake.plans.incremental import MARTS, refresh_models
+from cardlake.plans.key_index import KeyIndex
+from cardlake.plans.profiles import profile_load, read_profile
 from cardlake.plans.reports import archive_partitions, export_report, read_report, retention_candidates
 from cardlake.schemas import (BRONZE, CARD_RULE_COLUMNS, PARSED, RAW_FIELDS, SILVER,
                               WAREHOUSE_COLUMNS)
@@ -381,6 +382,18 @@ def q_dq_profile(spark, sf_dir):
     return quality.profile(unchecked_stg(spark, sf_dir), key="transaction_id")
 
 
+@register("dq_profile_incremental")
+def q_dq_profile_incremental(spark, sf_dir):
+    """The profile out of the parts of three loads, one of them profiled twice."""
+    root = shared_path(spark, "dq_profile_incremental")
+    index = KeyIndex(spark, f"{root}/index")
+    rows = unchecked_stg(spark, sf_dir)
+    turn = F.pmod(F.crc32(F.coalesce("card_hash", F.lit(""))), F.lit(3))
+    for number in (0, 1, 1, 2):
+        profile_load(rows.filter(turn == number), f"l{number}", f"{root}/parts", index)
+    return read_profile(spark, f"{root}/parts", distinct=False)
+
+
 @register("dq_freshness")
 def q_dq_freshness(spark, sf_dir):
     return quality.freshness(fixtures.payments(spark, sf_dir), FRESHNESS_AS_OF, FRESHNESS_MAX_LAG_S)

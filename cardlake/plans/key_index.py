@@ -9,6 +9,7 @@ a load's keys is then as small as the load.
 * ``first_seen``: the rows of a load whose key no earlier load had, one for each
   key; this holds however far behind the watermark a backfill reaches.
 * ``repeated``: keys of a load that occur more than once in all loads so far.
+* ``duplicates``: how many rows of a load repeat a key, for a profile that grows by loads.
 * ``add``: enters a load; entering it again changes nothing, and a load that is
   checked again doesn't see itself.
 
@@ -82,6 +83,14 @@ class KeyIndex:
         return (self._counts(load).unionByName(self.known(load, load_id)).groupBy("k").agg(F.sum("n").alias("n"))
                 .where("n > 1").select(F.col("k").alias(self.key), "n"))
 
+    def duplicates(self, load: DataFrame, load_id: str) -> int:
+        """Rows of the load whose key is one that an earlier load or row had: a number, summed
+        over loads the non-null key rows minus the distinct keys."""
+        counts = self._counts(load)
+        known = self.known(load, load_id).select(F.col("k").alias("_k"), F.lit(1).alias("_known"))
+        seen = counts.join(known, counts["k"] == known["_k"], "left")
+        return seen.agg(F.sum(F.col("n") - F.when(F.col("_known").isNull(), 1).otherwise(0))).first()[0] or 0
+
     def add(self, load: DataFrame, load_id: str) -> None:
         """Enter the keys of a load; keys that are there for this load already stay as they are."""
         mine = self.rows().where(F.col("load_id") == load_id).select(F.col("k").alias("_k"))

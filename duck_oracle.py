@@ -312,6 +312,7 @@ GROUP BY load, transaction_id"""
                                    OR currency NOT IN (SELECT currency_code FROM dim_currency
                                                        WHERE currency_code IS NOT NULL)"""
     q["dq_profile"] = _profile_sql()
+    q["dq_profile_incremental"] = q["dq_profile"]
     q["dq_freshness"] = """
 SELECT max_event_ts, TIMESTAMP '2024-01-31 00:30:00' AS as_of,
        CAST(epoch_us(TIMESTAMP '2024-01-31 00:30:00') - epoch_us(max_event_ts) AS DOUBLE) / 1000000 AS lag_seconds,

@@ -25,3 +25,20 @@ def test_checks(spark):
     prof = {r.column_name: (r.row_count, r.null_count, r.null_pct, r.duplicate_keys)
             for r in quality.profile(s, "transaction_id").collect()}
     assert prof["transaction_id"] == (3, 1, 33.33, 1)
+
+
+def test_profile_by_loads(spark, tmp_root):
+    from cardlake.plans.key_index import KeyIndex
+    from cardlake.plans.profiles import profile_load, read_profile
+    schema = "k string, v int, w double"
+    loads = [[("a", 1, None), ("a", 2, 1.0), (None, None, 1.0)], [], [("b", 3, 1.0), ("a", 4, 2.0)], [(None, 5, None)]]
+    index = KeyIndex(spark, f"{tmp_root}/i", key="k", buckets=2)
+    for number, rows in [*enumerate(loads), (2, loads[2])]:
+        profile_load(spark.createDataFrame(rows, schema), f"l{number}", f"{tmp_root}/p", index)
+    whole = spark.createDataFrame([r for rows in loads for r in rows], schema)
+    want = {tuple(r) for r in quality.profile(whole, "k").collect()}
+    got = read_profile(spark, f"{tmp_root}/p").collect()
+    assert {tuple(r)[:5] for r in got} == want and {r.duplicate_keys for r in got} == {2}
+    assert {r.column_name: r.approx_distinct for r in got} == {"k": 2, "v": 5, "w": 2}
+    none = quality.profile(whole.where("false"), "k").collect()
+    assert {(r.row_count, r.null_count, r.null_pct, r.duplicate_keys) for r in none} == {(0, 0, None, 0)}
