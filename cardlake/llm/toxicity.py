@@ -15,7 +15,9 @@ learnt from, the ``max_rows`` with the smallest hash of their id; of their
 terms, the ``max_terms`` that tell the labels apart best (chi-square) among
 those in at least ``min_docs`` of these rows.  An id with several texts gives one.  Only hashed terms of that
 sample reach the driver.  The model (at most ``max_terms * (factors + 2)``
-numbers) goes along with the scoring tasks.  Every document is scored, whole.
+numbers) goes along with the scoring tasks.  Every document is scored, whole;
+a task works on ``ROWS`` rows at a time, however large the batches are that Spark
+hands it, as each term present takes a row of factors.
 
 Defined cases: a null or empty text has no terms and scores by the bias alone;
 rows whose label is neither 0 nor 1 are no training rows; an id labelled more
@@ -28,6 +30,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -41,6 +44,7 @@ from cardlake.llm.common import written
 WORDS = re.compile(r"\w+")
 PREFIXES = (4, 5)
 KNOWN_WORDS = 1 << 18  # entries of a task's table of words seen
+ROWS = 128             # rows whose terms and factors a task holds side by side
 
 
 @dataclass(frozen=True)
@@ -58,6 +62,13 @@ def word_terms(word: str) -> list[int]:
                            .digest(), "big") >> 2 for p in parts]
 
 
+def _slices(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The same rows, at most ``ROWS`` at a time."""
+    for b in batches:
+        for at in range(0, b.num_rows, ROWS):
+            yield b.slice(at, ROWS)
+
+
 def held_out(key: Column, folds: int = 5) -> Column:
     """Rows that no label is learnt from: crc32 of the id as text, modulo ``folds``, is 0."""
     return F.crc32(F.coalesce(key.cast("string"), F.lit("")).cast("binary")) % folds == 0
@@ -78,7 +89,7 @@ def training_rows(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text:
 
     def run(batches):
         known: dict[str, list[int]] = {}
-        for b in batches:
+        for b in _slices(batches):
             out = []
             for t in b["text"].to_pylist():
                 terms: set[int] = set()
@@ -181,7 +192,7 @@ def with_score(df: DataFrame, model: Model, text: str = "text", score: str = "sc
     def run(batches):
         place = {int(t): i for i, t in enumerate(model.terms)}
         known: dict[str, tuple[int, ...]] = {}
-        for b in batches:
+        for b in _slices(batches):
             flat, counts = [], []
             for value in b[text]:
                 found: set[int] = set()

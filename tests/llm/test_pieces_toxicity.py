@@ -1,5 +1,6 @@
 import random
 
+import numpy as np
 import pyarrow as pa
 import pytest
 from hypothesis import given, settings
@@ -125,3 +126,24 @@ def test_degenerate_labels(spark, labelled, low, high):
     scores = [r.score for r in toxicity.with_score(docs, model).collect()]
     assert len(scores) == 4 and all(low <= s <= high for s in scores)
     assert toxicity.with_score(docs.where("false"), model).collect() == []
+
+
+def test_scoring_holds_few_rows_at_a_time(spark, monkeypatch):
+    """The batches that Spark hands over may be of any size; scores don't depend on the cut."""
+    rows = [(i, " ".join(f"w{(i * k) % 400}" for k in range(1, i % 90))) for i in range(1000)]
+    rng = np.random.default_rng(3)
+    terms = np.unique(np.array([t for w in range(400) for t in toxicity.word_terms(f"w{w}")], np.int64))
+    model = toxicity.Model(terms, -0.5, rng.normal(size=len(terms)), rng.normal(size=(len(terms), 8)))
+    docs = spark.createDataFrame([*rows, (1000, None)], "doc_id long, text string")
+    held = []
+    run = []
+    monkeypatch.setattr(type(docs), "mapInArrow", lambda self, f, schema: run.append(f))
+    toxicity.with_score(docs, model)
+    real = toxicity._score
+    monkeypatch.setattr(toxicity, "_score", lambda idx, row, n, *model: held.append(n) or real(idx, row, n, *model))
+    batch = pa.RecordBatch.from_pylist([{"doc_id": i, "text": t} for i, t in [*rows, (1000, None)]],
+                                       pa.schema([("doc_id", pa.int64()), ("text", pa.string())]))
+    cut = [x for b in run[0](iter([batch])) for x in zip(b["doc_id"].to_pylist(), b["score"].to_pylist())]
+    assert max(held) <= 256 and sum(held) == 1001
+    monkeypatch.setattr(toxicity, "ROWS", 5000)
+    assert cut == [x for b in run[0](iter([batch])) for x in zip(b["doc_id"].to_pylist(), b["score"].to_pylist())]
