@@ -15,13 +15,17 @@ the sum over the groups of min(a_g, b_g).  Such points are joined in four steps:
    component hold no unknown link between components and go.
 3. Crowded subtrees (more than ``CROWD`` points) are R-trees of the group counts
    (``overlap_tree``).  Points outside the largest component of their subtree
-   search it for points of other components that the summed minima allow.  As
+   search it for points of other components that the summed minima allow.  Two
+   points meet in every crowded subtree that both are in, often dozens, and their
+   bound is the same in each; the first one that both know they share reports
+   them (each point carries the smallest ``KNOWN`` keys of its crowded
+   subtrees), so a pair leaves once and not once a subtree.  As
    long as an eighth of them find a link so, each takes its best partner only,
    and near copies join in a few rounds of one pair a point.
 4. What is still apart: all that the searches allow now, and the other subtrees
    joined by shingle, at most ``CROWD`` rows to one.  A pair is then known with
-   all leading shingles that both have, and pruned by their number plus the most that
-   those after them can add.
+   all leading shingles that both have (the first kind: from their lists, once a
+   pair), and pruned by their number plus the most that those after them can add.
 
 Survivors are verified on the whole texts by their 64-bit shingle hashes.
 
@@ -47,7 +51,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cardlake.llm import overlap_tree
-from cardlake.llm.common import components, small, written
+from cardlake.llm.common import SMALL_BYTES, components, small, written
 from cardlake.llm.shingles import WIDTH, Shingler, texts
 
 GROUP_BITS = 20      # groups that counts are kept of, to find the heavy ones
@@ -55,6 +59,8 @@ HEAVY_GROUPS = 1 << 16
 LINKS_PER_BLOCK = 256
 CROWD = 32           # points of the largest subtree that is joined pair by pair
 BLOCK = 2048         # points of a crowded subtree that a task holds
+KNOWN = 16           # keys of crowded subtrees that a point carries
+PAIRS = 1 << 13      # pairs whose known keys are compared at a time
 NUM, DEN = 3, 4      # the similarity of linked documents, as a fraction
 
 
@@ -230,15 +236,36 @@ def _large_enough(n, m):
     return DEN * F.least(n, m) >= NUM * F.greatest(n, m)
 
 
+def _met_before(key: int, mine: np.ndarray, theirs: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """Which pairs of rows, mine[i] and theirs[j], have a known key below ``key`` in common.
+
+    At the smallest key that two points share no pair is marked, so each pair stays somewhere.
+    """
+    out = np.empty(len(i), bool)
+    for at in range(0, len(i), PAIRS):
+        x, y = mine[i[at:at + PAIRS], :, None], theirs[j[at:at + PAIRS], None, :]
+        out[at:at + PAIRS] = ((x == y) & (x < key)).any((1, 2))
+    return out
+
+
+def _known(column) -> np.ndarray:
+    """Lists of known keys as rows of a matrix, short ones filled up with a key below which nothing is."""
+    out = np.full((len(column), KNOWN), np.iinfo(np.int64).max)
+    size = np.diff(column.offsets.to_numpy())
+    out[np.arange(KNOWN) < size[:, None]] = column.flatten().to_numpy()
+    return out
+
+
 def tree_pairs(rows: DataFrame, all_of_them: bool) -> DataFrame:
-    """Pairs of the crowded subtrees that the group counts allow, as (id, n, last, at) of the one
-    and (id2, n2, last2, at2) of the other: all, or each searching point's best in a block.
+    """Pairs of the crowded subtrees that the group counts allow, as (id, n, last) of the one
+    and (id2, n2, last2) of the other: all, or each searching point's best in a block.
 
-    ``rows``: (key, block, part, id, n, last, at, component, outside, counts); in a block the
-    points to be found (part 0) come before those that search (part 1).
+    ``rows``: (key, block, part, id, n, last, component, outside, known, counts); in a block the
+    points to be found (part 0) come before those that search (part 1).  ``known``: the smallest
+    keys of the subtrees that a point is in; a pair is left to the smallest that both know.
     """
     kind = dict(rows.dtypes)["id"]
-    side, second = (f"id{x} {kind}, n{x} int, last{x} long, at{x} int" for x in ("", "2"))
+    side, second = (f"id{x} {kind}, n{x} int, last{x} long" for x in ("", "2"))
     rows = rows.repartition("key", "block").sortWithinPartitions("key", "block", "part")
 
     def run(batches):
@@ -254,41 +281,50 @@ def tree_pairs(rows: DataFrame, all_of_them: bool) -> DataFrame:
                 if unit != (key[s], block[s]):
                     unit, held, tree = (key[s], block[s]), [], None
                 mine = [b[c].slice(s, e - s).to_numpy(zero_copy_only=False)
-                        for c in ("id", "n", "last", "at", "component", "outside")]
+                        for c in ("id", "n", "last", "component", "outside")]
                 mine.append(overlap_tree.as_matrix(b["counts"].slice(s, e - s).to_pylist()))
+                mine.append(_known(b["known"].slice(s, e - s)))
                 if part[s] == 0:
                     held.append(mine)
                     continue
                 if tree is None:
                     points = [np.concatenate(c) for c in zip(*held)]
                     # classes as numbers, for ids of any type
-                    names, own = np.unique(points[4], return_inverse=True)
-                    tree = overlap_tree.Tree(points[6], points[1].astype(np.int64), own, NUM, DEN)
-                place = np.searchsorted(names, mine[4]).clip(max=len(names) - 1)
-                known = np.where(names[place] == mine[4], place, -1)
-                i, j, bound = tree.search(mine[6], mine[1].astype(np.int64), known)
+                    names, own = np.unique(points[3], return_inverse=True)
+                    tree = overlap_tree.Tree(points[5], points[1].astype(np.int64), own, NUM, DEN)
+                place = np.searchsorted(names, mine[3]).clip(max=len(names) - 1)
+                own_class = np.where(names[place] == mine[3], place, -1)
+                i, j, bound = tree.search(mine[5], mine[1].astype(np.int64), own_class)
+                pick = np.flatnonzero(~_met_before(key[s], mine[6], points[6], i, j))
+                i, j, bound = i[pick], j[pick], bound[pick]
                 if all_of_them:
                     # two points that both search meet twice
-                    pick = np.flatnonzero(~points[5][j] | (mine[0][i] < points[0][j]))
+                    pick = np.flatnonzero(~points[4][j] | (mine[0][i] < points[0][j]))
                 else:
                     pick = overlap_tree.best_of_each(i, j, bound, mine[1], points[1])
                 i, j, bound = i[pick], j[pick], bound[pick]
-                made.append([*(c[i] for c in mine[:4]), *(c[j] for c in points[:4]), bound / (mine[1][i] + points[1][j])])
+                made.append([*(c[i] for c in mine[:3]), *(c[j] for c in points[:3]), bound / (mine[1][i] + points[1][j])])
             if made:
-                kinds = [b.schema.field(c).type for c in ("id", "n", "last", "at")] * 2 + [pa.float64()]
+                kinds = [b.schema.field(c).type for c in ("id", "n", "last")] * 2 + [pa.float64()]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.concatenate(c), t) for c, t in zip(zip(*made), kinds)],
-                    names=["id", "n", "last", "at", "id2", "n2", "last2", "at2", "share"])
+                    names=["id", "n", "last", "id2", "n2", "last2", "share"])
 
     return rows.mapInArrow(run, f"{side}, {second}, share double")
 
 
-def crowded_rows(entries: DataFrame, crowded: DataFrame, counts: DataFrame, near: DataFrame, docs: DataFrame,
+def crowded_rows(entries: DataFrame, crowded: DataFrame, found: DataFrame, near: DataFrame, docs: DataFrame,
                  width: int) -> tuple[DataFrame, DataFrame]:
     """(links, rows): ``near`` and the links to best partners in the ``crowded`` subtrees (key, many),
     and the rows for ``tree_pairs`` of what is still apart."""
-    points = written(entries.drop("first").join(small(crowded, 16), "key"), "crowded")
-    vectors = written(counts.join(small(written(points.select("id").distinct(), "ids"), 16), "id"), "counts")
+    points = written(entries.drop("first", "at").join(small(crowded, 16), "key"), "crowded")
+    point = ["id", "n", "last"]
+    known = written(points.groupBy(*point).agg(
+        F.slice(F.sort_array(F.collect_set("key")), 1, KNOWN).alias("known")), "known")
+    # an id with several texts has several vectors, those of one size and last shingle in common
+    vectors = found.join(small(known, 160), point).groupBy(*point, "digest").agg(
+        F.first("known").alias("known"), F.first("counts").alias("counts")).drop("digest")
+    vectors = written(vectors, "counts")
     while True:
         part = written(components(near), "parts")
         named = points.join(part, "id", "left").withColumn("component", F.coalesce("component", "id"))
@@ -297,25 +333,67 @@ def crowded_rows(entries: DataFrame, crowded: DataFrame, counts: DataFrame, near
                 .where("k > 1").select("key", F.col("m.component").alias("main")))
         open_ = named.join(small(written(main, "main"), 24), "key")
         open_ = written(open_.select("key", F.ceil(F.col("many") / BLOCK).cast("int").alias("blocks"), "id", "n", "last",
-                                     "at", "component", (F.col("component") != F.col("main")).alias("outside")), "open")
+                                     "component", (F.col("component") != F.col("main")).alias("outside")), "open")
         held = open_.withColumns({"block": F.pmod(F.hash("id"), "blocks"), "part": F.lit(0)})
         searching = open_.where("outside").withColumns(
             {"block": F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)), "part": F.lit(1)})
-        rows = held.unionByName(searching).join(vectors, "id")
+        rows = held.unionByName(searching).join(vectors, point)
         best = (tree_pairs(rows, False).groupBy("id").agg(F.max(F.struct("share", "id2")).alias("m"))
                 .select(F.col("id").alias("a"), F.col("m.id2").alias("b")))
         best = written(best, "best")
-        found = verified(best, docs, width)
-        near = written(near.unionByName(found), "near")
+        more = verified(best, docs, width)
+        near = written(near.unionByName(more), "near")
         # rows that fell into one component since are no harm: their pairs are only known already
-        if found.count() * 8 <= best.count():
+        if more.count() * 8 <= best.count():
             return near, rows
 
 
-def links(reps: DataFrame, docs: DataFrame, counts: DataFrame, width: int = WIDTH) -> DataFrame:
+PAIR = ["id", "n", "last", "id2", "n2", "last2"]
+
+
+def _allowed(pairs: DataFrame) -> DataFrame:
+    """Pairs (a, b) that may still have the similarity, of rows with s leading shingles in common,
+    which stand from ``from`` to ``at`` (``from2`` to ``at2``) in the order of either point."""
+    s, n, m = F.col("s"), F.col("n"), F.col("n2")
+    # what stands before the first coordinate in common, and between it and the last, is known
+    after = F.least(s + F.least(n - F.col("at") - 1, m - F.col("at2") - 1),
+                    n - F.col("from"), m - F.col("from2"))
+    # the point whose leading coordinates end first has met the other in all of them
+    ahead = F.least(F.when(F.col("last") < F.col("last2"), s + F.ceil(n * NUM / DEN) - 1),
+                    F.when(F.col("last2") < F.col("last"), s + F.ceil(m * NUM / DEN) - 1))
+    bound = F.least(after, F.coalesce(ahead, after))
+    return (pairs.where(bound * (NUM + DEN) >= (n + m) * NUM)
+            .select(F.col("id").alias("a"), F.col("id2").alias("b")))
+
+
+def with_shared(pairs: DataFrame, entries: DataFrame) -> DataFrame:
+    """``pairs`` (PAIR, a written table) with s, from, from2, at and at2 of their leading shingles.
+
+    Lists hold the leading shingles that other points have too, in their order.
+    """
+    ids = written(pairs.select("id").unionByName(pairs.select(F.col("id2").alias("id"))).distinct(), "ids")
+    lists = (entries.join(small(ids, 16), "id").groupBy("id", "n", "last")
+             .agg(F.sort_array(F.collect_list(F.struct("at", "key"))).alias("l"))
+             .select("id", "n", "last", F.col("l.key").alias("keys"), F.col("l.at").alias("ats")))
+    lists = written(lists, "lists")
+    held = lists.agg(F.sum(F.size("keys") * F.lit(12) + F.lit(64)).alias("b")).first()["b"] or 0
+    side = F.broadcast if held <= SMALL_BYTES else lambda df: df
+    both = (pairs.join(side(lists), ["id", "n", "last"])
+            .join(side(lists.select(*[F.col(c).alias(f"{c}2") for c in lists.columns])), ["id2", "n2", "last2"])
+            .withColumn("shared", F.array_intersect("keys", "keys2")).where(F.size("shared") > 0))
+    # texts under one id with one size and last shingle share that shingle, so it's there twice: no bound then
+    several = ((F.size("keys") > F.size(F.array_distinct("keys")))
+               | (F.size("keys2") > F.size(F.array_distinct("keys2"))))
+    ends = {f"{name}{x}": F.element_at(f"ats{x}", F.array_position(f"keys{x}", F.element_at("shared", end)).cast("int"))
+            for x in ("", "2") for name, end in (("from", 1), ("at", -1))}
+    return both.select(*PAIR, F.when(several, F.col("n") + F.col("n2")).otherwise(F.size("shared")).alias("s"),
+                       *[F.when(several, 0).otherwise(c).alias(k) for k, c in ends.items()])
+
+
+def links(reps: DataFrame, docs: DataFrame, found: DataFrame, width: int = WIDTH) -> DataFrame:
     """Verified links (a, b) that join all points which links join (see the module text).
 
-    ``counts``: (id, counts) of all points.
+    ``found``: ``points`` of all rows, a written table.
     """
     entries = written(subtrees(reps), "entries")
     met = (entries.where(F.col("id") != F.col("first"))
@@ -326,11 +404,11 @@ def links(reps: DataFrame, docs: DataFrame, counts: DataFrame, width: int = WIDT
     crowded = written(entries.groupBy("key").agg(F.count("*").alias("many")).where(F.col("many") > CROWD), "crowded-keys")
     meetings = None
     if not crowded.isEmpty():
-        near, rows = crowded_rows(entries, crowded, counts, near, docs, width)
-        found = tree_pairs(rows, True).drop("share")
+        near, rows = crowded_rows(entries, crowded, found, near, docs, width)
         swap = F.col("id") > F.col("id2")
-        meetings = found.select(*[F.when(swap, F.col(d)).otherwise(F.col(c)).alias(c) for c, d in zip(
-            found.columns, found.columns[4:] + found.columns[:4])])
+        meetings = tree_pairs(rows, True).select(*[F.when(swap, F.col(d)).otherwise(F.col(c)).alias(c) for c, d in zip(
+            PAIR, PAIR[3:] + PAIR[:3])])
+        meetings = written(meetings.distinct(), "meetings")
     # the other subtrees, pair by pair
     part = written(components(near), "parts")
     tagged = (entries.drop("first").join(small(crowded.select("key"), 8), "key", "left_anti").join(part, "id", "left")
@@ -341,25 +419,19 @@ def links(reps: DataFrame, docs: DataFrame, counts: DataFrame, width: int = WIDT
     left = tagged.join(open_keys, "key")
     left = written(left, "open")
     right = left.select("key", *[F.col(c).alias(f"{c}2") for c in left.columns if c != "key"])
-    enough = (F.col("n") + F.col("n2")) * NUM
     pairs = (left.join(right, "key")
              .where((F.col("id") < F.col("id2")) & (F.col("component") != F.col("component2"))
                     & _large_enough(F.col("n"), F.col("n2")))
              .drop("key", "component", "component2"))
-    # a pair that the group counts allow is here once for each leading shingle that both have
-    pairs = (pairs if meetings is None else pairs.unionByName(meetings)).groupBy("id", "id2", "n", "n2", "last", "last2")
-    pairs = pairs.agg(F.count("*").alias("s"), F.min("at").alias("from"), F.min("at2").alias("from2"),
-                      F.max("at").alias("at"), F.max("at2").alias("at2"))
-    s, n, m = F.col("s"), F.col("n"), F.col("n2")
-    # what stands before the first coordinate in common, and between it and the last, is known
-    after = F.least(s + F.least(n - F.col("at") - 1, m - F.col("at2") - 1),
-                    n - F.col("from"), m - F.col("from2"))
-    # the point whose leading coordinates end first has met the other in all of them
-    ahead = F.least(F.when(F.col("last") < F.col("last2"), s + F.ceil(n * NUM / DEN) - 1),
-                    F.when(F.col("last2") < F.col("last"), s + F.ceil(m * NUM / DEN) - 1))
-    bound = F.least(after, F.coalesce(ahead, after))
-    kept = pairs.where(bound * (NUM + DEN) >= enough)
-    far = verified(kept.select(F.col("id").alias("a"), F.col("id2").alias("b")), docs, width)
+    # a pair is here once for each leading shingle that both have
+    pairs = pairs.groupBy(*PAIR).agg(F.count("*").alias("s"), F.min("at").alias("from"), F.min("at2").alias("from2"),
+                                     F.max("at").alias("at"), F.max("at2").alias("at2"))
+    kept = _allowed(pairs)
+    if meetings is not None:
+        # those that met in a crowded subtree too are judged by all that they share
+        kept = _allowed(pairs.join(small(meetings, 64), PAIR, "left_anti")).unionByName(
+            _allowed(with_shared(meetings, entries)))
+    far = verified(kept.distinct(), docs, width)
     return near.unionByName(far)
 
 
@@ -371,9 +443,7 @@ def similar_groups(docs: DataFrame, key: str = "doc_id", text: str = "text",
     reps = (found.where("n > 0 and id is not null").groupBy("digest")
             .agg(F.min("id").alias("id"), F.first("n").alias("n"), F.first("last").alias("last"),
                  F.first("lead").alias("lead")))
-    # an id with several texts has several vectors
-    counts = found.where("n > 0 and id is not null").groupBy("id", "digest").agg(F.first("counts").alias("counts"))
-    part = written(components(links(reps, src, counts.select("id", "counts"), width)), "parts")
+    part = written(components(links(reps, src, found, width)), "parts")
     rep = found.where("n > 0").groupBy("digest").agg(F.min("id").alias("rep"))
     named = rep.join(part, F.col("rep") == F.col("id"), "left").select(
         "digest", F.coalesce("component", "rep").alias("component"))

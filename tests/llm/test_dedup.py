@@ -7,6 +7,7 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -411,6 +412,54 @@ def test_crowded_group_of_near_copies(spark, monkeypatch):
     assert sorted(map(tuple, got.collect())) == brute_groups(rows)
 
 
+def test_a_pair_leaves_the_crowded_subtrees_once(spark, monkeypatch):
+    """Texts that share many leading shingles, below the similarity but within the bound of the counts."""
+    common = " ".join(f"common{i}" for i in range(238))
+    rows = [(j, f"{common} " + " ".join(f"own{j}x{i}" for i in range(48))) for j in range(40)]
+    rows += [(100 + j, t.rsplit(" ", 1)[0]) for j, t in rows[:3]]  # links of their own
+    tables = []
+
+    def kept(rows, all_of_them, real=jaccard.tree_pairs):
+        tables.append(jaccard.written(real(rows, all_of_them), "pairs"))
+        return tables[-1]
+
+    monkeypatch.setattr(jaccard, "tree_pairs", kept)
+    got = jaccard.similar_groups(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert sorted(map(tuple, got.collect())) == brute_groups(rows)
+    pairs = [tuple(sorted((r.id, r.id2))) for r in tables[-1].collect()]
+    assert len(pairs) == len(set(pairs)) and len(pairs) > 100
+    assert max(t.count() for t in tables) <= 43 * 42 // 2
+
+
+@pytest.mark.parametrize("known", [0, 1, 3])
+def test_pairs_that_know_few_of_their_subtrees(spark, known, monkeypatch):
+    """What points carry only saves rows, and texts under one id are points of their own."""
+    monkeypatch.setattr(jaccard, "KNOWN", max(known, 1))
+    if not known:
+        monkeypatch.setattr(jaccard, "_known", lambda column: np.full((len(column), 1), np.iinfo(np.int64).max))
+    monkeypatch.setattr(jaccard, "CROWD", 2)
+    rows = _near_copies(5 + known)
+    assert sorted(map(tuple, jaccard.similar_groups(spark.createDataFrame(rows, "doc_id long, text string")).collect())
+                  ) == brute_groups(rows)
+
+
+def test_met_before_leaves_each_pair_its_smallest_known_key():
+    rng = np.random.default_rng(2)
+    sets = [np.sort(rng.choice(60, rng.integers(1, 30), replace=False)) for _ in range(40)]
+    known = jaccard._known(pa.array([x[:jaccard.KNOWN].tolist() for x in sets], pa.list_(pa.int64())).slice(1))
+    i, j = np.triu_indices(39, 1)
+    stays = {}
+    for key in range(60):
+        both = np.array([key in sets[a + 1] and key in sets[b + 1] for a, b in zip(i, j)])
+        x, y = i[both], j[both]
+        left = ~jaccard._met_before(key, known, known, x, y)
+        for a, b in zip(x[left], y[left]):
+            stays.setdefault((a, b), []).append(key)
+    for a, b in zip(i, j):
+        shared = np.intersect1d(sets[a + 1], sets[b + 1])
+        assert stays.get((a, b), [])[:1] == shared[:1].tolist()
+
+
 def test_words_that_cancel_out_in_sums_of_powers(spark):
     """Thue-Morse words: they collide under any polynomial modulo 2**64."""
     a = "a"
