@@ -15,21 +15,24 @@ the sum over the groups of min(a_g, b_g).  Such points are joined in four steps:
    component hold no unknown link between components and go.
 3. Crowded subtrees (more than ``CROWD`` points) are R-trees of the group counts
    (``overlap_tree``).  Points outside the largest component of their subtree
-   search it for points of other components that the summed minima allow.  Two
+   search it for points of other components that the summed minima allow, and
+   then the bitmaps of both sets (``overlap_tree.Bitmaps``), which tell long sets
+   apart where 256 groups can't.  Two
    points meet in every crowded subtree that both are in, often dozens, and their
    bound is the same in each; the first one that both know they share reports
    them (each point carries the smallest ``KNOWN`` keys of its crowded
    subtrees), so a pair leaves once and not once a subtree.  As
    long as an eighth of them find a link so, each takes its best partner only,
    and near copies join in a few rounds of one pair a point.
-4. What is still apart: all that the searches allow now, and the other subtrees
-   joined by shingle, at most ``CROWD`` rows to one.  A pair is then known with
-   all leading shingles that both have (the first kind: from their lists, once a
-   pair), and pruned by their number plus the most that those after them can add.
+4. What is still apart: all that the searches allow now, and the pairs of the other
+   subtrees, each of at most ``CROWD`` adjacent rows of a sorted partition.  The
+   latter are then known with all leading shingles that both have, and pruned by
+   their number plus the most that those after them can add.
 
 Survivors are verified on the whole texts by their 64-bit shingle hashes.
 
-Texts with the same shingle set are one point.  A crowded subtree is cut into blocks of
+Texts with the same shingle set are one point, which has a number of its own:
+only numbers move with the shingles, ids and texts come in where pairs are verified.  A crowded subtree is cut into blocks of
 ``BLOCK`` points, and the searching points visit each block, so no task holds
 more than a block.  No link between components is lost, which is what the
 result needs: ids of components, not the pairs inside them.
@@ -44,6 +47,7 @@ rows stay; an empty table gives an empty one; extra columns are ignored.
 from __future__ import annotations
 
 import hashlib
+import itertools
 
 import numpy as np
 import pyarrow as pa
@@ -92,12 +96,13 @@ def heavy_groups(docs: DataFrame, text: str, width: int) -> np.ndarray:
     return np.array([r["grp"] for r in reversed(top.collect())], np.int64)
 
 
-POINT = "id {id}, n int, digest binary, last long, lead array<long>, counts binary"
+POINT = "id {id}, n int, digest binary, last long, lead array<long>, counts binary, bits binary"
 
 
 def points(docs: DataFrame, key: str, text: str, width: int) -> DataFrame:
-    """(id, n, digest, last, lead, counts): set size, digest of the set, leading shingles in their
-    order, the place of the last of them in the order of all shingles, and the group counts."""
+    """(id, n, digest, last, lead, counts, bits, p): set size, digest of the set, leading shingles in
+    their order, the place of the last of them in the order of all shingles, the group counts, the
+    bitmap, and a number for each row (to be written before it is used)."""
     src = docs.select(F.col(key).alias("id"), F.col(text).alias("text"))
     heavy = heavy_groups(src, "text", width)
 
@@ -106,13 +111,14 @@ def points(docs: DataFrame, key: str, text: str, width: int) -> DataFrame:
         rank[heavy] = np.arange(1, len(heavy) + 1, dtype=np.uint64)
         maker = Shingler(width)
         for b in batches:
-            ns, digests, lasts, flat, ends, counts = [], [], [], [], [0], []
+            ns, digests, lasts, flat, ends, counts, bits = [], [], [], [], [0], [], []
             for t in texts(b["text"]):
                 found = maker.shingles(t)
                 n = len(found)
                 ns.append(n)
                 digests.append(hashlib.blake2b(found.tobytes(), digest_size=16).digest())
                 counts.append(overlap_tree.count_vector(found))
+                bits.append(overlap_tree.bitmap(found))
                 lead = found[:0]
                 if n:
                     length = n - needed(n) + 1
@@ -128,32 +134,33 @@ def points(docs: DataFrame, key: str, text: str, width: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [b["id"], pa.array(ns, pa.int32()), pa.array(digests, pa.binary()),
                  pa.array(lasts, pa.int64()),
-                 pa.ListArray.from_arrays(pa.array(ends, pa.int32()), values), pa.array(counts, pa.binary())],
-                names=["id", "n", "digest", "last", "lead", "counts"])
+                 pa.ListArray.from_arrays(pa.array(ends, pa.int32()), values), pa.array(counts, pa.binary()),
+                 pa.array(bits, pa.binary())],
+                names=["id", "n", "digest", "last", "lead", "counts", "bits"])
 
-    return src.mapInArrow(run, POINT.format(id=dict(src.dtypes)["id"]))
+    return src.mapInArrow(run, POINT.format(id=dict(src.dtypes)["id"])).withColumn("p", F.monotonically_increasing_id())
 
 
-ENTRY = "key long, id {id}, n int, at int, last long, first {id}"
+ENTRY = "key long, p long, n int, at int, first long"
 
 
 def subtrees(reps: DataFrame) -> DataFrame:
-    """Entries of all subtrees with two points or more: (key, id, n, at, last, first).
+    """Entries of all subtrees with two points or more: (key, p, n, at, first).
 
     ``at``: place of the coordinate in the point's order; ``first``: the smallest
-    id in the subtree.  Rows of a subtree are adjacent in a sorted partition and
+    point in the subtree.  Rows of a subtree are adjacent in a sorted partition and
     read as a stream; nothing is held but one row.
     """
-    entries = (reps.select("id", "n", "last", F.posexplode("lead").alias("at", "key"))
-               .select("key", "id", "n", "at", "last")
-               .repartition("key").sortWithinPartitions("key", "id"))
+    entries = (reps.select("p", "n", F.posexplode("lead").alias("at", "key"))
+               .select("key", "p", "n", "at")
+               .repartition("key").sortWithinPartitions("key", "p"))
 
     def run(batches):
         held = None  # the last row so far, and whether its subtree has begun before it
         for b in batches:
             if not b.num_rows:
                 continue
-            whole = pa.Table.from_batches([b.select(["key", "id", "n", "at", "last"])])
+            whole = pa.Table.from_batches([b.select(["key", "p", "n", "at"])])
             first_known = None
             if held is not None:
                 first_known = held[1]
@@ -162,7 +169,7 @@ def subtrees(reps: DataFrame) -> DataFrame:
             new = np.concatenate(([True], key[1:] != key[:-1]))
             start = np.flatnonzero(new)
             run_of = np.cumsum(new) - 1
-            ids = whole["id"].to_numpy()
+            ids = whole["p"].to_numpy()
             first = ids[start][run_of]
             size = np.diff(np.append(start, len(key)))[run_of]
             emit = size > 1
@@ -183,7 +190,7 @@ def subtrees(reps: DataFrame) -> DataFrame:
             part = held[0].append_column("first", pa.array([held[1][1]]))
             yield from part.combine_chunks().to_batches()
 
-    return entries.mapInArrow(run, ENTRY.format(id=dict(reps.dtypes)["id"]))
+    return entries.mapInArrow(run, ENTRY)
 
 
 def verified(pairs: DataFrame, docs: DataFrame, width: int) -> DataFrame:
@@ -257,90 +264,128 @@ def _known(column) -> np.ndarray:
 
 
 def tree_pairs(rows: DataFrame, all_of_them: bool) -> DataFrame:
-    """Pairs of the crowded subtrees that the group counts allow, as (id, n, last) of the one
-    and (id2, n2, last2) of the other: all, or each searching point's best in a block.
+    """Pairs (id, id2) of points of the crowded subtrees that group counts and bitmaps allow: all,
+    or each searching point's best in a block.
 
-    ``rows``: (key, block, part, id, n, last, component, outside, known, counts); in a block the
-    points to be found (part 0) come before those that search (part 1).  ``known``: the smallest
-    keys of the subtrees that a point is in; a pair is left to the smallest that both know.
+    ``rows``: (key, block, part, id, n, component, outside, known, counts, bits); in a block the
+    points to be found (part 0) come before those of other blocks that search (part 1); those of the
+    block that are ``outside`` search too.  ``known``: the smallest keys of the subtrees that a point
+    is in; a pair is left to the smallest that both know.
     """
-    kind = dict(rows.dtypes)["id"]
-    side, second = (f"id{x} {kind}, n{x} int, last{x} long" for x in ("", "2"))
     rows = rows.repartition("key", "block").sortWithinPartitions("key", "block", "part")
 
     def run(batches):
-        unit, held, tree = None, [], None
+        unit, held, tree, made = None, [], None, []
+
+        def grown():
+            nonlocal tree
+            points = [np.concatenate(c) for c in zip(*held)]
+            tree = (points, overlap_tree.Tree(points[4], points[1].astype(np.int64), points[2], NUM, DEN),
+                    overlap_tree.Bitmaps(points[6], points[1]))
+
+        def search(mine):
+            points, boxes, maps = tree
+            size = mine[1].astype(np.int64)
+            i, j, bound = boxes.search(mine[4], size, mine[2])
+            pick = np.flatnonzero(~_met_before(unit[0], mine[5], points[5], i, j))
+            i, j, bound = i[pick], j[pick], bound[pick]
+            bound = np.minimum(bound, maps.bound(overlap_tree.Bitmaps(mine[6], mine[1]), i, j))
+            enough = bound * (NUM + DEN) >= NUM * (size[i] + points[1][j])
+            if all_of_them:
+                # two points that both search meet twice
+                enough &= ~points[3][j] | (mine[0][i] < points[0][j])
+            pick = np.flatnonzero(enough)
+            i, j, bound = i[pick], j[pick], bound[pick]
+            if not all_of_them:
+                pick = overlap_tree.best_of_each(i, j, bound, mine[1], points[1])
+                i, j, bound = i[pick], j[pick], bound[pick]
+            made.append([mine[0][i], points[0][j], bound / (mine[1][i] + points[1][j])])
+
+        def close():
+            if held and tree is None:
+                grown()
+            if held:
+                points = tree[0]
+                out = np.flatnonzero(points[3])
+                search([c[out] for c in points])
+
+        def sent():
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*made)],
+                                             names=["id", "id2", "share"])
+            made.clear()
+
         for b in batches:
             if not b.num_rows:
                 continue
             key, block, part = (b[c].to_numpy() for c in ("key", "block", "part"))
             new = (key[1:] != key[:-1]) | (block[1:] != block[:-1]) | (part[1:] != part[:-1])
             start = np.concatenate(([0], np.flatnonzero(new) + 1, [len(key)]))
-            made = []
             for s, e in zip(start[:-1], start[1:]):
                 if unit != (key[s], block[s]):
+                    close()
                     unit, held, tree = (key[s], block[s]), [], None
                 mine = [b[c].slice(s, e - s).to_numpy(zero_copy_only=False)
-                        for c in ("id", "n", "last", "component", "outside")]
+                        for c in ("id", "n", "component", "outside")]
                 mine.append(overlap_tree.as_matrix(b["counts"].slice(s, e - s).to_pylist()))
                 mine.append(_known(b["known"].slice(s, e - s)))
+                mine.append(b["bits"].slice(s, e - s).to_numpy(zero_copy_only=False))
                 if part[s] == 0:
                     held.append(mine)
                     continue
                 if tree is None:
-                    points = [np.concatenate(c) for c in zip(*held)]
-                    # classes as numbers, for ids of any type
-                    names, own = np.unique(points[3], return_inverse=True)
-                    tree = overlap_tree.Tree(points[5], points[1].astype(np.int64), own, NUM, DEN)
-                place = np.searchsorted(names, mine[3]).clip(max=len(names) - 1)
-                own_class = np.where(names[place] == mine[3], place, -1)
-                i, j, bound = tree.search(mine[5], mine[1].astype(np.int64), own_class)
-                pick = np.flatnonzero(~_met_before(key[s], mine[6], points[6], i, j))
-                i, j, bound = i[pick], j[pick], bound[pick]
-                if all_of_them:
-                    # two points that both search meet twice
-                    pick = np.flatnonzero(~points[4][j] | (mine[0][i] < points[0][j]))
-                else:
-                    pick = overlap_tree.best_of_each(i, j, bound, mine[1], points[1])
-                i, j, bound = i[pick], j[pick], bound[pick]
-                made.append([*(c[i] for c in mine[:3]), *(c[j] for c in points[:3]), bound / (mine[1][i] + points[1][j])])
+                    grown()
+                search(mine)
             if made:
-                kinds = [b.schema.field(c).type for c in ("id", "n", "last")] * 2 + [pa.float64()]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.concatenate(c), t) for c, t in zip(zip(*made), kinds)],
-                    names=["id", "n", "last", "id2", "n2", "last2", "share"])
+                yield from sent()
+        close()
+        if made:
+            yield from sent()
+
+    return rows.mapInArrow(run, "id long, id2 long, share double")
+
+
+def named(pairs: DataFrame, names: DataFrame) -> DataFrame:
+    """Pairs (a, b) of ids, of pairs (p, p2) of points."""
+    name = small(names.select("p", "id"), 48)
+    second = small(names.select(F.col("p").alias("p2"), F.col("id").alias("b")), 48)
+    return pairs.join(name, "p").join(second, "p2").select(F.col("id").alias("a"), "b").where("a <> b").distinct()
 
-    return rows.mapInArrow(run, f"{side}, {second}, share double")
+
+def with_components(names: DataFrame, near: DataFrame) -> DataFrame:
+    """(p, n, last, component): the component as the number of its smallest point, a written table."""
+    part = written(components(near), "parts")
+    tagged = written(names.join(small(part, 64), "id", "left"), "tagged-names")
+    least = written(tagged.where("component is not null").groupBy("component").agg(F.min("p").alias("least")), "least")
+    return written(tagged.join(small(least, 48), "component", "left")
+                   .select("p", "n", "last", F.coalesce("least", "p").alias("component")), "numbered")
 
 
-def crowded_rows(entries: DataFrame, crowded: DataFrame, found: DataFrame, near: DataFrame, docs: DataFrame,
-                 width: int) -> tuple[DataFrame, DataFrame]:
+def crowded_rows(entries: DataFrame, crowded: DataFrame, found: DataFrame, names: DataFrame, near: DataFrame,
+                 docs: DataFrame, width: int) -> tuple[DataFrame, DataFrame]:
     """(links, rows): ``near`` and the links to best partners in the ``crowded`` subtrees (key, many),
     and the rows for ``tree_pairs`` of what is still apart."""
-    points = written(entries.drop("first", "at").join(small(crowded, 16), "key"), "crowded")
-    point = ["id", "n", "last"]
-    known = written(points.groupBy(*point).agg(
+    points = written(entries.select("key", "p", "n").join(small(crowded, 16), "key"), "crowded")
+    known = written(points.groupBy("p").agg(
         F.slice(F.sort_array(F.collect_set("key")), 1, KNOWN).alias("known")), "known")
-    # an id with several texts has several vectors, those of one size and last shingle in common
-    vectors = found.join(small(known, 160), point).groupBy(*point, "digest").agg(
-        F.first("known").alias("known"), F.first("counts").alias("counts")).drop("digest")
-    vectors = written(vectors, "counts")
+    vectors = written(found.select("p", "counts", "bits").join(small(known, 160), "p"), "counts")
     while True:
-        part = written(components(near), "parts")
-        named = points.join(part, "id", "left").withColumn("component", F.coalesce("component", "id"))
-        classes = named.groupBy("key", "component").agg(F.count("*").alias("c"))
+        part = with_components(names, near).select("p", "component")
+        tagged = points.join(small(part, 16), "p")
+        classes = tagged.groupBy("key", "component").agg(F.count("*").alias("c"))
         main = (classes.groupBy("key").agg(F.max(F.struct("c", "component")).alias("m"), F.count("*").alias("k"))
                 .where("k > 1").select("key", F.col("m.component").alias("main")))
-        open_ = named.join(small(written(main, "main"), 24), "key")
-        open_ = written(open_.select("key", F.ceil(F.col("many") / BLOCK).cast("int").alias("blocks"), "id", "n", "last",
+        open_ = tagged.join(small(written(main, "main"), 24), "key")
+        open_ = written(open_.select("key", F.ceil(F.col("many") / BLOCK).cast("int").alias("blocks"), "p", "n",
                                      "component", (F.col("component") != F.col("main")).alias("outside")), "open")
-        held = open_.withColumns({"block": F.pmod(F.hash("id"), "blocks"), "part": F.lit(0)})
-        searching = open_.where("outside").withColumns(
-            {"block": F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)), "part": F.lit(1)})
-        rows = held.unionByName(searching).join(vectors, point)
+        held = open_.withColumns({"block": F.pmod(F.hash("p"), "blocks"), "part": F.lit(0)})
+        # a point searches its own block as one that is held there
+        searching = held.where("outside and blocks > 1").withColumn("home", F.col("block")).withColumns(
+            {"block": F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)), "part": F.lit(1)}).where(
+            "block <> home").drop("home")
+        rows = held.unionByName(searching).drop("blocks").join(vectors, "p").withColumnRenamed("p", "id")
         best = (tree_pairs(rows, False).groupBy("id").agg(F.max(F.struct("share", "id2")).alias("m"))
-                .select(F.col("id").alias("a"), F.col("m.id2").alias("b")))
-        best = written(best, "best")
+                .select(F.col("id").alias("p"), F.col("m.id2").alias("p2")))
+        best = written(named(best, names), "best")
         more = verified(best, docs, width)
         near = written(near.unionByName(more), "near")
         # rows that fell into one component since are no harm: their pairs are only known already
@@ -348,11 +393,50 @@ def crowded_rows(entries: DataFrame, crowded: DataFrame, found: DataFrame, near:
             return near, rows
 
 
-PAIR = ["id", "n", "last", "id2", "n2", "last2"]
+def small_pairs(rows: DataFrame) -> DataFrame:
+    """Pairs of points of different components in the subtrees of at most CROWD points, a row for each
+    subtree that both are in.  ``rows``: (key, p, n, at, last, component)."""
+    rows = rows.repartition("key").sortWithinPartitions("key", "p")
+    names = ["key", "p", "n", "at", "last", "component"]
+
+    def run(batches):
+        rest = None  # the rows of a subtree that may go on in the next batch
+        for b in itertools.chain(batches, [None]):
+            if b is not None:
+                if not b.num_rows:
+                    continue
+                whole = pa.Table.from_batches([b.select(names)])
+                if rest is not None:
+                    whole = pa.concat_tables([rest, whole])
+                key = whole["key"].to_numpy()
+                end = int(np.searchsorted(key, key[-1]))
+                whole, rest = whole.slice(0, end), whole.slice(end)
+            elif rest is not None:
+                whole = rest
+            else:
+                return
+            key, p, n, at, last, component = (whole[c].to_numpy() for c in names)
+            for step in range(1, len(key)):
+                together = key[step:] == key[:-step]
+                if not together.any():
+                    break
+                a, z = n[:-step].astype(np.int64), n[step:]
+                i = np.flatnonzero(together & (component[step:] != component[:-step])
+                                   & (DEN * np.minimum(a, z) >= NUM * np.maximum(a, z)))
+                if len(i):
+                    j = i + step
+                    yield pa.RecordBatch.from_arrays([pa.array(c[x]) for x in (i, j) for c in (p, n, last, at)], names=[
+                        f"{c}{x}" for x in ("", "2") for c in ("p", "n", "last", "at")])
+
+    side = ", ".join(f"p{x} long, n{x} int, last{x} long, at{x} int" for x in ("", "2"))
+    return rows.mapInArrow(run, side)
+
+
+PAIR = ["p", "n", "last", "p2", "n2", "last2"]
 
 
 def _allowed(pairs: DataFrame) -> DataFrame:
-    """Pairs (a, b) that may still have the similarity, of rows with s leading shingles in common,
+    """Pairs (p, p2) that may still have the similarity, of rows with s leading shingles in common,
     which stand from ``from`` to ``at`` (``from2`` to ``at2``) in the order of either point."""
     s, n, m = F.col("s"), F.col("n"), F.col("n2")
     # what stands before the first coordinate in common, and between it and the last, is known
@@ -363,75 +447,39 @@ def _allowed(pairs: DataFrame) -> DataFrame:
                     F.when(F.col("last2") < F.col("last"), s + F.ceil(m * NUM / DEN) - 1))
     bound = F.least(after, F.coalesce(ahead, after))
     return (pairs.where(bound * (NUM + DEN) >= (n + m) * NUM)
-            .select(F.col("id").alias("a"), F.col("id2").alias("b")))
-
-
-def with_shared(pairs: DataFrame, entries: DataFrame) -> DataFrame:
-    """``pairs`` (PAIR, a written table) with s, from, from2, at and at2 of their leading shingles.
-
-    Lists hold the leading shingles that other points have too, in their order.
-    """
-    ids = written(pairs.select("id").unionByName(pairs.select(F.col("id2").alias("id"))).distinct(), "ids")
-    lists = (entries.join(small(ids, 16), "id").groupBy("id", "n", "last")
-             .agg(F.sort_array(F.collect_list(F.struct("at", "key"))).alias("l"))
-             .select("id", "n", "last", F.col("l.key").alias("keys"), F.col("l.at").alias("ats")))
-    lists = written(lists, "lists")
-    held = lists.agg(F.sum(F.size("keys") * F.lit(12) + F.lit(64)).alias("b")).first()["b"] or 0
-    side = F.broadcast if held <= SMALL_BYTES else lambda df: df
-    both = (pairs.join(side(lists), ["id", "n", "last"])
-            .join(side(lists.select(*[F.col(c).alias(f"{c}2") for c in lists.columns])), ["id2", "n2", "last2"])
-            .withColumn("shared", F.array_intersect("keys", "keys2")).where(F.size("shared") > 0))
-    # texts under one id with one size and last shingle share that shingle, so it's there twice: no bound then
-    several = ((F.size("keys") > F.size(F.array_distinct("keys")))
-               | (F.size("keys2") > F.size(F.array_distinct("keys2"))))
-    ends = {f"{name}{x}": F.element_at(f"ats{x}", F.array_position(f"keys{x}", F.element_at("shared", end)).cast("int"))
-            for x in ("", "2") for name, end in (("from", 1), ("at", -1))}
-    return both.select(*PAIR, F.when(several, F.col("n") + F.col("n2")).otherwise(F.size("shared")).alias("s"),
-                       *[F.when(several, 0).otherwise(c).alias(k) for k, c in ends.items()])
+            .select("p", "p2"))
 
 
 def links(reps: DataFrame, docs: DataFrame, found: DataFrame, width: int = WIDTH) -> DataFrame:
     """Verified links (a, b) that join all points which links join (see the module text).
 
-    ``found``: ``points`` of all rows, a written table.
+    ``found``: ``points`` of all rows, a written table; ``reps``: those of them that stand for their text.
     """
+    names = written(reps.select("p", "id", "n", "last"), "names")
     entries = written(subtrees(reps), "entries")
-    met = (entries.where(F.col("id") != F.col("first"))
-           .groupBy("id", "first", "n").agg(F.count("*").alias("s")))
+    met = (entries.where(F.col("p") != F.col("first"))
+           .groupBy("p", "first", "n").agg(F.count("*").alias("s")))
     best = (met.where(F.col("s") * 8 >= F.col("n") - F.ceil(F.col("n") * NUM / DEN) + 1)
-            .groupBy("id").agg(F.max(F.struct("s", "first")).alias("m")))
-    near = verified(best.select(F.col("m.first").alias("a"), F.col("id").alias("b")), docs, width)
+            .groupBy("p").agg(F.max(F.struct("s", "first")).alias("m")))
+    near = verified(named(best.select(F.col("m.first").alias("p"), F.col("p").alias("p2")), names), docs, width)
     crowded = written(entries.groupBy("key").agg(F.count("*").alias("many")).where(F.col("many") > CROWD), "crowded-keys")
     meetings = None
     if not crowded.isEmpty():
-        near, rows = crowded_rows(entries, crowded, found, near, docs, width)
-        swap = F.col("id") > F.col("id2")
-        meetings = tree_pairs(rows, True).select(*[F.when(swap, F.col(d)).otherwise(F.col(c)).alias(c) for c, d in zip(
-            PAIR, PAIR[3:] + PAIR[:3])])
+        near, rows = crowded_rows(entries, crowded, found, names, near, docs, width)
+        meetings = tree_pairs(rows, True).select(F.least("id", "id2").alias("p"), F.greatest("id", "id2").alias("p2"))
         meetings = written(meetings.distinct(), "meetings")
     # the other subtrees, pair by pair
-    part = written(components(near), "parts")
-    tagged = (entries.drop("first").join(small(crowded.select("key"), 8), "key", "left_anti").join(part, "id", "left")
-              .withColumn("component", F.coalesce("component", "id")))
-    tagged = written(tagged, "tagged")
-    open_keys = (tagged.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y"))
-                 .where("x <> y").select("key"))
-    left = tagged.join(open_keys, "key")
-    left = written(left, "open")
-    right = left.select("key", *[F.col(c).alias(f"{c}2") for c in left.columns if c != "key"])
-    pairs = (left.join(right, "key")
-             .where((F.col("id") < F.col("id2")) & (F.col("component") != F.col("component2"))
-                    & _large_enough(F.col("n"), F.col("n2")))
-             .drop("key", "component", "component2"))
+    part = with_components(names, near).drop("n")
+    tagged = entries.drop("first").join(small(crowded.select("key"), 8), "key", "left_anti").join(small(part, 24), "p")
     # a pair is here once for each leading shingle that both have
-    pairs = pairs.groupBy(*PAIR).agg(F.count("*").alias("s"), F.min("at").alias("from"), F.min("at2").alias("from2"),
-                                     F.max("at").alias("at"), F.max("at2").alias("at2"))
+    pairs = small_pairs(tagged).groupBy(*PAIR).agg(
+        F.count("*").alias("s"), F.min("at").alias("from"), F.min("at2").alias("from2"),
+        F.max("at").alias("at"), F.max("at2").alias("at2"))
+    # one that met in a crowded subtree too has more in common, and is judged there
     kept = _allowed(pairs)
     if meetings is not None:
-        # those that met in a crowded subtree too are judged by all that they share
-        kept = _allowed(pairs.join(small(meetings, 64), PAIR, "left_anti")).unionByName(
-            _allowed(with_shared(meetings, entries)))
-    far = verified(kept.distinct(), docs, width)
+        kept = kept.unionByName(meetings).distinct()
+    far = verified(named(written(kept, "kept"), names), docs, width)
     return near.unionByName(far)
 
 
@@ -440,9 +488,12 @@ def similar_groups(docs: DataFrame, key: str = "doc_id", text: str = "text",
     """(key, n_shingles, component_id) of every row."""
     src = docs.select(F.col(key).alias("id"), F.col(text).alias("text"))
     found = written(points(src, "id", "text", width), "points")
-    reps = (found.where("n > 0 and id is not null").groupBy("digest")
-            .agg(F.min("id").alias("id"), F.first("n").alias("n"), F.first("last").alias("last"),
-                 F.first("lead").alias("lead")))
+    # all rows but one of each text; only numbers move
+    own = found.where("n > 0 and id is not null")
+    first = own.groupBy("digest").agg(F.min(F.struct("id", "p"))["p"].alias("first"), F.count("*").alias("c"))
+    first = written(first.where("c > 1").drop("c"), "firsts")
+    copies = written(own.select("p", "digest").join(small(first, 48), "digest").where("p <> first").select("p"), "copies")
+    reps = own.join(small(copies, 8), "p", "left_anti")
     part = written(components(links(reps, src, found, width)), "parts")
     rep = found.where("n > 0").groupBy("digest").agg(F.min("id").alias("rep"))
     named = rep.join(part, F.col("rep") == F.col("id"), "left").select(

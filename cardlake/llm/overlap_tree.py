@@ -19,14 +19,64 @@ PAIRS = 1 << 12  # pairs whose minima are summed at a time
 
 
 def count_vector(hashes: np.ndarray) -> bytes:
-    """Group counts of a set of 64-bit hashes: 2 bytes a group, 4 if one needs them."""
+    """Group counts of a set of 64-bit hashes: 1 byte a group, 2 or 4 if one needs them."""
     counts = np.bincount((hashes & np.uint64(GROUPS - 1)).astype(np.int64), minlength=GROUPS)
-    return counts.astype(np.uint16 if counts.max() < 1 << 16 else np.uint32).tobytes()
+    return counts.astype(np.min_scalar_type(counts.max())).tobytes()
 
 
 def as_matrix(vectors: list[bytes]) -> np.ndarray:
-    return np.array([np.frombuffer(v, np.uint16 if len(v) == 2 * GROUPS else np.uint32) for v in vectors],
-                    np.int32).reshape(-1, GROUPS)
+    kinds = {GROUPS: np.uint8, 2 * GROUPS: np.uint16, 4 * GROUPS: np.uint32}
+    return np.array([np.frombuffer(v, kinds[len(v)]) for v in vectors], np.int32).reshape(-1, GROUPS)
+
+
+def bitmap(hashes: np.ndarray) -> bytes:
+    """A set of 64-bit hashes as a bitmap, of a power of two of bits from twice the set's size on."""
+    bits = 1 << max(6, int(2 * len(hashes) - 1).bit_length())
+    out = np.zeros(bits, bool)
+    out[(hashes >> np.uint64(8)) & np.uint64(bits - 1)] = True
+    return np.packbits(out, bitorder="little").tobytes()
+
+
+class Bitmaps:
+    """Bitmaps of sets, that bound the overlap of two sets of about one size far closer than group counts.
+
+    A bit of one set that the other has not stands for at least one hash that the other has not.
+    Bitmaps of two lengths are compared at the smaller one, the larger folded onto it.
+    """
+
+    def __init__(self, maps, size: np.ndarray):
+        self.maps, self.size, self.tables = maps, size.astype(np.int64), {}
+        self.bits = np.array([len(m) for m in maps], np.int64)
+
+    def table(self, length: int) -> tuple[np.ndarray, np.ndarray]:
+        """The place of each bitmap in a matrix of those of ``length`` bytes or more, and the matrix."""
+        if length not in self.tables:
+            place, rows = np.full(len(self.bits), -1), []
+            # more than twice as long is more than 4/3 times as large
+            for i in np.flatnonzero((self.bits >= length) & (self.bits <= 2 * length)):
+                place[i] = len(rows)
+                words = np.frombuffer(self.maps[i], np.uint64)
+                rows.append(words if len(words) * 8 == length else words[:length // 8] | words[length // 8:])
+            self.tables[length] = place, np.array(rows, np.uint64).reshape(len(rows), length // 8)
+        return self.tables[length]
+
+    def bound(self, others: "Bitmaps", i: np.ndarray, j: np.ndarray) -> np.ndarray:
+        """The most that others[i] and self[j] can have in common, pair by pair."""
+        out = np.minimum(others.size[i], self.size[j])
+        length = np.minimum(others.bits[i], self.bits[j])
+        near = np.maximum(others.bits[i], self.bits[j]) <= 2 * length
+        for one in np.unique(length[near]):
+            (at, x), (at2, y) = others.table(int(one)), self.table(int(one))
+            pick = np.flatnonzero(near & (length == one))
+            step = max(1, (PAIRS * GROUPS) // int(one))
+            for k in range(0, len(pick), step):
+                q = pick[k:k + step]
+                a, b = x[at[i[q]]], y[at2[j[q]]]
+                both = np.bitwise_count(a & b).sum(1, dtype=np.int64)
+                out[q] = np.minimum(out[q], both + np.minimum(
+                    others.size[i[q]] - np.bitwise_count(a).sum(1, dtype=np.int64),
+                    self.size[j[q]] - np.bitwise_count(b).sum(1, dtype=np.int64)))
+        return out
 
 
 def _minima(x: np.ndarray, i: np.ndarray, y: np.ndarray, j: np.ndarray) -> np.ndarray:

@@ -443,6 +443,57 @@ def test_pairs_that_know_few_of_their_subtrees(spark, known, monkeypatch):
                   ) == brute_groups(rows)
 
 
+def test_long_texts_that_share_half_leave_no_pair(spark, monkeypatch):
+    """256 groups can't tell sets of thousands apart, bitmaps can; and no table of pairs carries shingles."""
+    common = " ".join(f"common{i}" for i in range(1500))
+    rows = [(j, f"{common} " + " ".join(f"own{j}x{i}" for i in range(1200))) for j in range(36)]
+    rows += [(100 + j, t.rsplit(" ", 1)[0]) for j, t in rows[:3]]
+    made = []
+
+    def kept(rows, all_of_them, real=jaccard.tree_pairs):
+        made.append(jaccard.written(real(rows, all_of_them), "pairs"))
+        return made[-1]
+
+    monkeypatch.setattr(jaccard, "tree_pairs", kept)
+    got = jaccard.similar_groups(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert sorted(map(tuple, got.collect())) == brute_groups(rows)
+    assert len(made) > 1 and sum(t.count() for t in made) <= 12
+
+
+@given(st.integers(0, 10 ** 6))
+@settings(max_examples=40, deadline=None)
+def test_bitmaps_bound_every_overlap(seed):
+    rng = np.random.default_rng(seed)
+    base = rng.integers(0, 1 << 63, 900)
+    sets = [np.unique(np.concatenate((base[:rng.integers(1, 900)][rng.random() < 0.9:],
+                                      rng.integers(0, 1 << 63, rng.integers(1, 90))))).astype(np.uint64) for _ in range(30)]
+    sets.append(np.zeros(0, np.uint64))
+    size = np.array([len(s) for s in sets])
+    maps = [overlap_tree.bitmap(s) for s in sets]
+    i, j = np.repeat(np.arange(31), 31), np.tile(np.arange(31), 31)
+    bound = overlap_tree.Bitmaps(maps, size).bound(overlap_tree.Bitmaps(maps, size), i, j)
+    both = np.array([len(np.intersect1d(sets[a], sets[b])) for a, b in zip(i, j)])
+    assert (bound >= both).all() and (bound <= np.minimum(size[i], size[j])).all()
+    assert (bound[i == j] == size).all()
+
+
+@pytest.mark.parametrize("batch", [2, 7, 1000])
+def test_pairs_of_small_subtrees_across_batches(spark, batch):
+    rng = random.Random(batch)
+    rows = sorted({(rng.randint(0, 12), rng.randint(0, 30)) for _ in range(120)})
+    rows = [(k, p, 100 + p % 2 * 40, p % 5, k, p % 3) for k, p in rows]
+    held = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", batch)
+    try:
+        got = jaccard.small_pairs(spark.createDataFrame(
+            rows, "key long, p long, n int, at int, last long, component long")).collect()
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", held)
+    want = sorted((a[1], b[1], a[3], b[3], a[4]) for a in rows for b in rows
+                  if a[0] == b[0] and a[1] < b[1] and a[5] != b[5] and a[2] == b[2])
+    assert sorted((r.p, r.p2, r.at, r.at2, r.last) for r in got) == want
+
+
 def test_met_before_leaves_each_pair_its_smallest_known_key():
     rng = np.random.default_rng(2)
     sets = [np.sort(rng.choice(60, rng.integers(1, 30), replace=False)) for _ in range(40)]
