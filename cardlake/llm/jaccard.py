@@ -21,7 +21,8 @@ the sum over the groups of min(a_g, b_g).  Such points are joined in four steps:
    points meet in every crowded subtree that both are in, often dozens, and their
    bound is the same in each; the first one that both know they share reports
    them (each point carries the smallest ``KNOWN`` keys of its crowded
-   subtrees), so a pair leaves once and not once a subtree.  As
+   subtrees), so a pair leaves once and not once a subtree.
+   Points that have no such pair left drop out of the rounds after.  As
    long as an eighth of them find a link so, each takes its best partner only,
    and near copies join in a few rounds of one pair a point.
 4. What is still apart: all that the searches allow now, and the pairs of the other
@@ -265,7 +266,7 @@ def _known(column) -> np.ndarray:
 
 def tree_pairs(rows: DataFrame, all_of_them: bool) -> DataFrame:
     """Pairs (id, id2) of points of the crowded subtrees that group counts and bitmaps allow: all,
-    or each searching point's best in a block.
+    or each searching point's best in a block, and with themselves (share -1) all points of such pairs.
 
     ``rows``: (key, block, part, id, n, component, outside, known, counts, bits); in a block the
     points to be found (part 0) come before those of other blocks that search (part 1); those of the
@@ -297,6 +298,8 @@ def tree_pairs(rows: DataFrame, all_of_them: bool) -> DataFrame:
             pick = np.flatnonzero(enough)
             i, j, bound = i[pick], j[pick], bound[pick]
             if not all_of_them:
+                ends = points[0][np.unique(j)]
+                made.append([ends, ends, np.full(len(ends), -1.0)])
                 pick = overlap_tree.best_of_each(i, j, bound, mine[1], points[1])
                 i, j, bound = i[pick], j[pick], bound[pick]
             made.append([mine[0][i], points[0][j], bound / (mine[1][i] + points[1][j])])
@@ -365,11 +368,14 @@ def crowded_rows(entries: DataFrame, crowded: DataFrame, found: DataFrame, names
     """(links, rows): ``near`` and the links to best partners in the ``crowded`` subtrees (key, many),
     and the rows for ``tree_pairs`` of what is still apart."""
     points = written(entries.select("key", "p", "n").join(small(crowded, 16), "key"), "crowded")
+    alive = None
     known = written(points.groupBy("p").agg(
         F.slice(F.sort_array(F.collect_set("key")), 1, KNOWN).alias("known")), "known")
     vectors = written(found.select("p", "counts", "bits").join(small(known, 160), "p"), "counts")
     while True:
         part = with_components(names, near).select("p", "component")
+        if alive is not None:
+            points = written(points.join(small(alive, 8), "p", "left_semi"), "crowded")
         tagged = points.join(small(part, 16), "p")
         classes = tagged.groupBy("key", "component").agg(F.count("*").alias("c"))
         main = (classes.groupBy("key").agg(F.max(F.struct("c", "component")).alias("m"), F.count("*").alias("k"))
@@ -385,12 +391,15 @@ def crowded_rows(entries: DataFrame, crowded: DataFrame, found: DataFrame, names
         rows = held.unionByName(searching).drop("blocks").join(vectors, "p").withColumnRenamed("p", "id")
         best = (tree_pairs(rows, False).groupBy("id").agg(F.max(F.struct("share", "id2")).alias("m"))
                 .select(F.col("id").alias("p"), F.col("m.id2").alias("p2")))
-        best = written(named(best, names), "best")
+        best = written(best, "partners")
+        # components only grow, so a point without an allowed pair now has none later
+        alive = best.select("p")
+        best = written(named(best.where("p <> p2"), names), "best")
         more = verified(best, docs, width)
         near = written(near.unionByName(more), "near")
         # rows that fell into one component since are no harm: their pairs are only known already
         if more.count() * 8 <= best.count():
-            return near, rows
+            return near, rows.join(small(alive.withColumnRenamed("p", "id"), 8), "id", "left_semi")
 
 
 def small_pairs(rows: DataFrame) -> DataFrame:
