@@ -26,6 +26,15 @@ def written(df: DataFrame, name: str = "step") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def released(df: DataFrame) -> None:
+    """Removes the files of a written table that nothing reads any more."""
+    session = df.sparkSession
+    jvm, conf = session._jvm, session._jsparkSession.sessionState().newHadoopConf()
+    for file in df.inputFiles()[:1]:
+        path = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(file)).getParent()
+        path.getFileSystem(conf).delete(path, True)
+
+
 def small(df: DataFrame, row_bytes: int) -> DataFrame:
     """``df`` (a written table), marked for broadcast if its counted rows are few
     enough; beyond that the join shuffles both sides as usual."""

@@ -25,10 +25,13 @@ with the smallest hash (a bounded sample); there is a list for each
 every vector is a query.
 
 Equal vectors are one point with a number of copies.  Neighbouring lists form
-cells of up to ``block_rows`` members, a larger list is cut into blocks; a
-block is one stream: its members are held, its queries pass by, many packed in
-a row.  From a block come counts, and only such links as keep its points
-connected, never all pairs.
+cells of up to ``block_rows`` members, a larger list is cut into blocks.  A vector
+probes a share of the lists, so copies of it for each of them would take disk with
+the square of the table; vectors stay where they are instead.  In a pass every
+task holds the members of some cells (up to ``held_bytes``), and all points go by
+where they are stored; there are as many passes as it takes to hold each member
+once.  From a block come counts, and only such links as keep its points connected,
+never all pairs.  Rows meet their points by a digest of the vector (128 bits).
 
 Defined cases: vectors that are null, empty, zero, or hold null or non-finite
 components link with nothing; vectors of different length link with nothing;
@@ -46,10 +49,13 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cardlake.llm.common import components, small, written
+from cardlake.llm.common import components, released, small, written
+from cardlake.session import shared_path
 
 SLICE = 1024  # vectors whose distances to all centroids are held at a time
 SLACK = 1e-7  # rounding, on the side of keeping candidates
+HELD_BYTES = 32 << 20  # vectors of members that a task holds at a time
+RERANK = 65536  # pairs whose cosines are computed at a time
 
 
 def usable(v: Column) -> Column:
@@ -58,6 +64,12 @@ def usable(v: Column) -> Column:
     return F.coalesce(v.isNotNull() & ~odd & F.exists(v, lambda x: x != 0), F.lit(False))
 
 
+def digest(v: Column) -> Column:
+    """128 bits of a vector's numbers, equal for equal vectors (0 and -0 are one number)."""
+    numbers = F.concat_ws(",", F.transform(v, lambda x: (x + F.lit(0).cast("tinyint")).cast("string")))
+    return F.unhex(F.substring(F.sha2(numbers, 256), 1, 32))
+
+
 def _padded(rows: list, size: int, kind: str) -> np.ndarray:
     """Vectors as rows of one array, shorter ones filled up with zeros."""
     out = np.zeros((len(rows), size), kind)
@@ -117,14 +129,14 @@ class Index:
             lost += ((rest[:, c] - book[codes[:, j]]) ** 2).sum(1)
         return near, codes, np.sqrt(lost), d2
 
-    def probes(self, near: np.ndarray, d2: np.ndarray, reach: float, radius: float,
-               low: np.ndarray, high: np.ndarray) -> np.ndarray:
-        """Which lists a vector must probe (module text, 3)."""
-        gap = d2 - d2[np.arange(len(near)), near][:, None]
-        apart = np.sqrt(_squares(self.centroids[near], self.centroids))
+    def probes(self, x: np.ndarray, near: np.ndarray, own: np.ndarray, which: np.ndarray, reach: float,
+               radius: float, low: np.ndarray, high: np.ndarray) -> np.ndarray:
+        """Which of some lists a vector must probe (module text, 3).  ``own``: its distance to its centroid."""
+        d2 = _squares(x, self.centroids[which])
+        apart = np.sqrt(_squares(self.centroids[near], self.centroids[which]))
         far = np.sqrt(d2)
-        return ((gap <= 2 * apart * (reach * radius + SLACK) + SLACK)
-                & (far <= high + radius + SLACK) & (far >= low - radius - SLACK))
+        return ((d2 - (own * own)[:, None] <= 2 * apart * (reach * radius + SLACK) + SLACK)
+                & (far <= high[which] + radius + SLACK) & (far >= low[which] - radius - SLACK))
 
     def decode(self, near: np.ndarray, codes: np.ndarray) -> np.ndarray:
         """The vectors that codes stand for."""
@@ -135,9 +147,10 @@ class Index:
 
 
 class Cells:
-    """Lists in an order that keeps neighbours together, cut into cells of ``rows`` members or one list."""
+    """Lists in an order that keeps neighbours together, cut into cells of ``rows`` members or one list,
+    and those into passes of about ``held`` members or one cell."""
 
-    def __init__(self, index: Index, facts: list, rows: int):
+    def __init__(self, index: Index, facts: list, rows: int, held: int):
         lists = len(index.centroids)
         self.count = np.zeros(lists, np.int64)
         self.low, self.high = np.full(lists, np.inf), np.full(lists, -np.inf)
@@ -147,16 +160,25 @@ class Cells:
         self.order = np.argsort(_nearest(index.centroids, rough), kind="stable")
         self.rank = np.empty(lists, np.int64)
         self.rank[self.order] = np.arange(lists)
-        self.starts, held = [0], 0
-        for i, n in enumerate(self.count[self.order]):
-            if held and held + n > rows:
-                self.starts.append(i)
+        starts = self._cut(self.count[self.order], rows)
+        self.cell = np.empty(lists, np.int64)
+        self.cell[self.order] = np.searchsorted(starts, np.arange(lists), "right") - 1
+        total = np.bincount(self.cell, self.count, len(starts)).astype(np.int64)
+        begin = self._cut(total, held)
+        # (cells, parts) of each pass: a cell that is too large alone takes several, by point
+        self.passes = [(np.arange(a, z), max(1, -(-int(total[a:z].sum()) // held)))
+                       for a, z in zip(begin, [*begin[1:], len(total)])]
+
+    @staticmethod
+    def _cut(sizes: np.ndarray, most: int) -> list[int]:
+        """Where runs of up to ``most``, or of one size, begin."""
+        starts, held = [0], 0
+        for i, n in enumerate(sizes):
+            if held and held + n > most:
+                starts.append(i)
                 held = 0
             held += int(n)
-        self.cell = np.empty(lists, np.int64)
-        self.cell[self.order] = np.searchsorted(self.starts, np.arange(lists), "right") - 1
-        total = np.bincount(self.cell, self.count, len(self.starts)).astype(np.int64)
-        self.blocks = np.maximum(1, -(-total // rows))
+        return starts
 
 
 def fit(points: DataFrame, n: int, size: int, sample_rows: int, max_lists: int, list_rows: int,
@@ -181,55 +203,134 @@ def _members(points: DataFrame, index: Index, size: int, number: str) -> DataFra
             padded = _padded(raw, size, number)
             near, codes, lost, d2 = index.encode(_unit(padded))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(near, pa.int32()), b["pt"], b["id"], b["copies"],
+                [pa.array(near, pa.int32()), b["pt"], b["id"], b["copies"], b["digest"],
                  pa.array([len(v) for v in raw], pa.int32()),
                  pa.array([c.tobytes() for c in codes], pa.binary()), pa.array(lost),
                  pa.array(np.sqrt(d2[np.arange(len(near)), near])),
                  pa.array([v.tobytes() for v in padded], pa.binary())],
-                names=["list", "pt", "id", "copies", "size", "codes", "error", "far", "v"])
+                names=["list", "pt", "id", "copies", "digest", "size", "codes", "error", "far", "v"])
 
     kind = dict(points.dtypes)["id"]
-    return points.mapInArrow(run, f"list int, pt long, id {kind}, copies long, size int, codes binary, "
-                                  "error double, far double, v binary")
+    return points.mapInArrow(run, f"list int, pt long, id {kind}, copies long, digest binary, size int, "
+                                  "codes binary, error double, far double, v binary")
 
 
-def _queries(members: DataFrame, index: Index, cells: Cells, size: int, number: str, reach: float,
-             radius: float) -> DataFrame:
-    """Points with the cells they probe: a row holds the points of a slice that probe one cell."""
-    names = ["list", "pt", "id", "copies", "size"]
+LINK = "a long, b long, n long"
 
-    def run(batches):
+
+class Block:
+    """Members of a cell, or of a part of one, that queries are compared with."""
+
+    def __init__(self, rows: dict, at: np.ndarray, index: Index, rank: np.ndarray, radius: float, slack: float):
+        self.raw, self.pt, self.id = rows["v"][at], rows["pt"][at], rows["id"][at]
+        self.copies, self.size, self.rank = rows["copies"][at], rows["size"][at], rank[rows["list"][at]]
+        code = index.decode(rows["list"][at], rows["codes"][at])
+        least = (np.einsum("ij,ij->i", _unit(self.raw), code) - radius * radius / 2 - radius * rows["error"][at])
+        self.code, self.least = code.astype("f4").T.copy(), (least - slack).astype("f4")
+        # parts that links found so far leave, and what queries of earlier lists found
+        self.label, self.more = np.arange(len(at)), np.zeros(len(at), np.int64)
+
+    def links(self, x: np.ndarray, rank: np.ndarray, pts: np.ndarray, ids: np.ndarray, copies: np.ndarray,
+              sizes: np.ndarray, threshold: float) -> tuple[list, list, list]:
+        """(a, b, n) of some queries against the members."""
+        q, m = np.divmod(np.flatnonzero(x.astype("f4") @ self.code >= self.least), len(self.least))
+        ok = rank[q] <= self.rank[m]
+        q, m = q[ok], m[ok]
+        cos = np.concatenate([np.einsum("ij,ij->i", x[q[i:i + RERANK]], _unit(self.raw[m[i:i + RERANK]]))
+                              for i in range(0, len(q), RERANK)] or [np.zeros(0)])
+        ok = (cos >= threshold) & (sizes[q] == self.size[m]) & (pts[q] != self.pt[m])
+        q, m = q[ok], m[ok]
+        # two vectors of one id have no link with each other
+        ok = (ids[q] != self.id[m]) | np.equal(ids[q], None)
+        q, m = q[ok.astype(bool)], m[ok.astype(bool)]
+        total = np.zeros(len(pts), np.int64)
+        np.add.at(total, q, self.copies[m])
+        other = rank[q] < self.rank[m]
+        np.add.at(self.more, m[other], copies[q[other]])
+        a, b, n = [], [], []
+        cut = np.searchsorted(q, np.arange(len(pts) + 1))
+        for i in np.unique(q):
+            these, lab = m[cut[i]:cut[i + 1]], self.label
+            labels, first = np.unique(lab[these], return_index=True)
+            for k, f in enumerate(first):  # one link to each part of the block it joins
+                a.append(pts[i])
+                b.append(self.pt[these[f]])
+                n.append(total[i] if k == 0 else 0)
+            if len(labels) > 1:
+                lab[np.isin(lab, labels)] = labels[0]
+        return a, b, n
+
+
+def _columns(rows, size: int, number: str) -> dict:
+    """Rows of members (an Arrow table or batch) as arrays."""
+    out = {c: np.array(rows[c].to_pylist(), np.int64) for c in ("list", "pt", "copies", "size")}
+    out["id"] = np.array([*rows["id"].to_pylist(), None], object)[:-1]
+    out["far"] = np.array(rows["far"].to_pylist())
+    out["v"] = np.frombuffer(b"".join(rows["v"].to_pylist()), number).reshape(-1, size)
+    return out
+
+
+def _compared(members: DataFrame, some: tuple, index: Index, cells: Cells, size: int, number: str,
+              threshold: float, reach: float, radius: float, block_rows: int, path: str) -> None:
+    """Writes the links (a, b, n) that one pass finds: all points against the members of some cells.
+    ``some``: the cells, and which of how many parts of their members."""
+    which, part, parts = some
+    lists = np.flatnonzero(np.isin(cells.cell, which))
+    mine = members.where(F.col("list").isin([int(c) for c in lists]))
+    if parts > 1:
+        mine = mine.where(F.pmod(F.hash("pt"), F.lit(parts)) == part)
+    table = mine.select("list", "pt", "id", "copies", "size", "codes", "error", "far", "v").toArrow()
+    rows = _columns(table, size, number)
+    rows["codes"] = np.frombuffer(b"".join(table["codes"].to_pylist()), np.uint8).reshape(-1, len(index.cuts))
+    rows["error"] = np.array(table["error"].to_pylist())
+    del table
+    slack = 2.0 ** -22 * (size + 8)  # rounding of a product in single precision
+    rank, cell, low, high = cells.rank, cells.cell, cells.low, cells.high
+    held = members.sparkSession.sparkContext.broadcast((rows, index))
+
+    def compare(batches):
+        def batch(a, b, n):
+            return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in (a, b, n)], names=["a", "b", "n"])
+
+        (rows, index), blocks = held.value, []
+        for c in which:
+            at = np.flatnonzero(cell[rows["list"]] == c)
+            for i in range(0, len(at), block_rows):
+                blocks.append((c, Block(rows, at[i:i + block_rows], index, rank, radius, slack)))
         for b in _slices(batches):
-            v = np.frombuffer(b"".join(b["v"].to_pylist()), number).reshape(-1, size)
-            near = np.array(b["list"])
-            must = index.probes(near, _squares(_unit(v), index.centroids), reach, radius,
-                                cells.low, cells.high)
-            must &= cells.rank[None, :] >= cells.rank[near][:, None]
-            must = np.logical_or.reduceat(must[:, cells.order], cells.starts, axis=1)
-            for cell in np.flatnonzero(must.any(0)):
-                who = np.flatnonzero(must[:, cell])
-                take = pa.array(who)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([cell], pa.int32()),
-                     *[pa.ListArray.from_arrays(pa.array([0, len(who)], pa.int32()), b[c].take(take))
-                       for c in names], pa.array([v[who].tobytes()], pa.binary())],
-                    names=["cell", *names, "v"])
-
-    kind = dict(members.dtypes)["id"]
-    return members.select(*names, "v").mapInArrow(
-        run, f"cell int, list array<int>, pt array<long>, id array<{kind}>, copies array<long>, "
-             "size array<int>, v binary")
+            own = _columns(b, size, number)
+            x, near = _unit(own["v"]), own["list"]
+            must = index.probes(x, near, own["far"], lists, reach, radius, low, high)
+            # of two lists the one that comes first probes the other
+            must &= rank[lists][None, :] >= rank[near][:, None]
+            for c, block in blocks:
+                who = np.flatnonzero(must[:, cell[lists] == c].any(1))
+                if len(who):
+                    found = block.links(x[who], rank[near[who]], own["pt"][who], own["id"][who], own["copies"][who],
+                                        own["size"][who], threshold)
+                    if found[0]:
+                        yield batch(*found)
+        for _, block in blocks:
+            # what queries of earlier lists found counts for the members, too
+            more = block.more > 0
+            if more.any():
+                yield batch(block.pt[more], block.pt[more], block.more[more])
+
+    found = members.select("list", "pt", "id", "copies", "size", "far", "v").mapInArrow(compare, LINK)
+    found.write.mode("append").parquet(path)
+    held.destroy()
 
 
 def near_duplicates(df: DataFrame, key: str = "vec_id", vector: str = "embedding",
                     threshold: float = 0.95, reach: float = 1.0,
                     sample_rows: int = 32_000, max_lists: int = 2048, list_rows: int = 25,
-                    parts: int = 8, words: int = 64, block_rows: int = 2048) -> DataFrame:
+                    parts: int = 8, words: int = 64, block_rows: int = 2048,
+                    held_bytes: int = HELD_BYTES) -> DataFrame:
     """(key, n_links, component_id, kept) of every row; see the module text."""
     src = df.select(F.col(key).alias("id"), F.col(vector).alias("v"))
     points = written(src.where(usable(F.col("v"))).groupBy("v")
                      .agg(F.min("id").alias("id"), F.count("*").alias("copies"))
-                     .withColumn("pt", F.monotonically_increasing_id()), "points")
+                     .withColumns({"pt": F.monotonically_increasing_id(), "digest": digest(F.col("v"))}), "points")
     facts = points.agg(F.count("*"), F.max(F.size("v"))).first()
     kind = dict(src.dtypes)["id"]
     if not facts[0]:
@@ -241,107 +342,17 @@ def near_duplicates(df: DataFrame, key: str = "vec_id", vector: str = "embedding
     # vectors travel in their own precision
     number = "<f4" if dict(src.dtypes)["v"] == "array<float>" else "<f8"
     members = written(_members(points, index, size, number), "members")
+    released(points)
     # at most max_lists rows of four numbers
     cells = Cells(index, members.groupBy("list").agg(F.count("*"), F.min("far"), F.max("far")).collect(),
-                  block_rows)
-    queries = written(_queries(members, index, cells, size, number, reach, radius), "queries")
-    spark = df.sparkSession
-    place = spark.createDataFrame([(i, int(c), int(cells.blocks[c])) for i, c in enumerate(cells.cell)],
-                                  "list int, cell int, blocks int")
-    # a crowded cell's queries pass in slices, each with the block's members
-    crowd = queries.groupBy("cell").agg(F.ceil(F.sum(F.size("pt")) / (4 * block_rows)).cast("int").alias("slices"))
-    crowd = written(crowd.join(F.broadcast(place.select("cell", "blocks").distinct()), "cell"), "crowd")
-    names = ["list", "pt", "id", "copies", "size"]
-    held = (members.join(F.broadcast(place), "list").drop("blocks").join(F.broadcast(crowd), "cell")
-            .select("cell", F.pmod(F.hash("pt"), F.col("blocks")).alias("block"),
-                    F.explode(F.sequence(F.lit(0), F.col("slices") - 1)).alias("slice"), F.lit(0).alias("part"),
-                    *[F.array(c).alias(c) for c in names], "codes", "error", "v"))
-    passing = (queries.join(F.broadcast(crowd), "cell")
-               .select("cell", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"),
-                       F.pmod(F.xxhash64(F.col("pt")[0]), F.col("slices")).cast("int").alias("slice"),
-                       F.lit(1).alias("part"), *names, F.lit(None).cast("binary").alias("codes"),
-                       F.lit(None).cast("double").alias("error"), "v"))
-    stream = (held.unionByName(passing).repartition("cell", "block", "slice")
-              .sortWithinPartitions("cell", "block", "slice", "part"))
-    slack = 2.0 ** -22 * (size + 8)  # rounding of a product in single precision
-    rank = cells.rank
-
-    def close(rows):
-        """Members of a block as arrays."""
-        near = np.array([r[0][0] for r in rows])
-        codes = np.frombuffer(b"".join(r[5] for r in rows), np.uint8).reshape(len(rows), -1)
-        v = _unit(np.frombuffer(b"".join(r[7] for r in rows), number).reshape(-1, size))
-        code = index.decode(near, codes)
-        least = np.einsum("ij,ij->i", v, code) - radius * radius / 2 - radius * np.array([r[6] for r in rows])
-        return {"rank": rank[near], "pt": np.array([r[1][0] for r in rows]),
-                "id": np.array([r[2][0] for r in rows] + [None], object)[:-1],
-                "copies": np.array([r[3][0] for r in rows], np.int64),
-                "size": np.array([r[4][0] for r in rows]), "v": v,
-                "code": code.astype("f4").T.copy(), "least": (least - slack).astype("f4"),
-                "label": np.arange(len(rows)), "more": np.zeros(len(rows), np.int64)}
-
-    def links(book, row):
-        """(a, b, n) of a row of queries against the members."""
-        near, pts, ids, copies, sizes = (row[0], row[1], row[2], row[3], row[4])
-        x = _unit(np.frombuffer(row[7], number).reshape(-1, size))
-        mine = rank[np.array(near)]
-        q, m = np.nonzero(x.astype("f4") @ book["code"] >= book["least"])
-        ok = mine[q] <= book["rank"][m]
-        q, m = q[ok], m[ok]
-        cos = np.concatenate([np.einsum("ij,ij->i", x[q[i:i + 65536]], book["v"][m[i:i + 65536]])
-                              for i in range(0, len(q), 65536)] or [np.zeros(0)])
-        ids = np.array([*ids, None], object)[:-1]
-        pts, copies, sizes = np.array(pts), np.array(copies, np.int64), np.array(sizes)
-        ok = (cos >= threshold) & (sizes[q] == book["size"][m]) & (pts[q] != book["pt"][m])
-        q, m = q[ok], m[ok]
-        # two vectors of one id have no link with each other
-        ok = (ids[q] != book["id"][m]) | np.equal(ids[q], None)
-        q, m = q[ok.astype(bool)], m[ok.astype(bool)]
-        total = np.zeros(len(pts), np.int64)
-        np.add.at(total, q, book["copies"][m])
-        other = mine[q] < book["rank"][m]
-        np.add.at(book["more"], m[other], copies[q[other]])
-        a, b, n = [], [], []
-        cut = np.searchsorted(q, np.arange(len(pts) + 1))
-        for i in np.unique(q):
-            these, lab = m[cut[i]:cut[i + 1]], book["label"]
-            labels, first = np.unique(lab[these], return_index=True)
-            for k, f in enumerate(first):  # one link to each part of the block it joins
-                a.append(pts[i])
-                b.append(book["pt"][these[f]])
-                n.append(total[i] if k == 0 else 0)
-            if len(labels) > 1:
-                lab[np.isin(lab, labels)] = labels[0]
-        return a, b, n
-
-    def compare(batches):
-        def batch(a, b, n):
-            return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in (a, b, n)], names=["a", "b", "n"])
-
-        def rest(book):
-            """What queries of earlier lists found counts for the members, too."""
-            some = book["more"] > 0
-            return batch(book["pt"][some], book["pt"][some], book["more"][some])
-
-        at, book, rows = None, None, []
-        for b in batches:
-            cols = [b[c].to_pylist() for c in ("cell", "block", "slice", "part", *names, "codes", "error", "v")]
-            for cell, block, piece, part, *row in zip(*cols):
-                if (cell, block, piece) != at:
-                    if book:
-                        yield rest(book)
-                    at, book, rows = (cell, block, piece), None, []
-                if part == 0:
-                    rows.append(row)
-                    continue
-                if book is None and rows:
-                    book, rows = close(rows), []
-                if book:
-                    yield batch(*links(book, row))
-        if book:
-            yield rest(book)
-
-    found = written(stream.mapInArrow(compare, "a long, b long, n long"), "found")
+                  block_rows, max(1, held_bytes // (size * np.dtype(number).itemsize)))
+    path = shared_path(df.sparkSession, "found")
+    for which, parts_of in cells.passes:
+        for part in range(parts_of):
+            _compared(members, (which, part, parts_of), index, cells, size, number, threshold, reach, radius,
+                      block_rows, path)
+    found = df.sparkSession.read.schema(LINK).parquet(path)
+    points = members.select("pt", "id", "copies", "digest")
     degree = written(found.groupBy(F.col("a").alias("pt")).agg(F.sum("n").alias("n")), "degree")
     # the vectors of one id are one node
     named = points.where("id is not null").select("id", "pt")
@@ -356,10 +367,12 @@ def near_duplicates(df: DataFrame, key: str = "vec_id", vector: str = "embedding
                    .agg(F.min("id").alias("component_id")), "names")
     facts = (points.join(degree, "pt", "left").join(small(whole, 32), "id", "left")
              .join(part.join(name, "component").select("pt", "component_id"), "pt", "left")
-             .select("v", (F.coalesce("all_n", "n", F.lit(0)) + F.col("copies") - 1).alias("n_links"),
+             .select("digest", (F.coalesce("all_n", "n", F.lit(0)) + F.col("copies") - 1).alias("n_links"),
                      F.coalesce("component_id", "id").alias("component_id")))
-    rows = src.withColumn("ok", usable(F.col("v")))
-    linked = rows.join(facts, (rows["v"] == facts["v"]) & rows["ok"], "left")
+    # rows without a point spread out by keys that no digest is equal to
+    met = F.when(usable(F.col("v")), digest(F.col("v"))).otherwise(F.unhex(F.hex(F.xxhash64("id"))))
+    rows = src.select("id", met.alias("met"))
+    linked = rows.join(facts, rows["met"] == facts["digest"], "left")
     return linked.select(
         rows["id"].alias(key), F.coalesce("n_links", F.lit(0).cast("long")).alias("n_links"),
         F.coalesce("component_id", rows["id"]).alias("component_id"),

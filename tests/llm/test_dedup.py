@@ -3,6 +3,7 @@
 import collections
 import hashlib
 import math
+import os
 import random
 import re
 
@@ -13,6 +14,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from cardlake.llm import decontaminate, jaccard, line_templates, overlap_tree, suffixes, vectors
+from cardlake.session import ensure_checkpoint_dir
 from tests.llm.test_shingles_components import brute as word_set
 
 
@@ -89,6 +91,42 @@ def test_vectors_that_vary_in_few_directions(spark, latent):
     assert got == _linked(rows)
 
 
+@pytest.mark.parametrize("held", [64 * 8 * 20, 64 * 8 * 90, 64 * 8 * 500])
+def test_vectors_in_passes(spark, held):
+    """Each member is held once, whatever a pass holds."""
+    rng = np.random.default_rng(9)
+    x = rng.normal(size=(400, 3)) @ np.linalg.qr(rng.normal(size=(64, 3)))[0].T
+    rows = list(enumerate(x.tolist()))
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    some = {"max_lists": 4, "block_rows": 50, "held_bytes": held}
+    got = {r.vec_id: r.n_links for r in vectors.near_duplicates(df, **some).collect()}
+    assert got == _linked(rows)
+
+
+def test_vectors_are_not_copied_for_the_lists_they_probe(spark):
+    """In 64 dimensions a vector probes most lists; what is written stays a few times the table."""
+    root = os.path.join(ensure_checkpoint_dir(spark).removeprefix("file:"), "cardlake-runs")
+
+    def used():
+        return {f: os.path.getsize(f) for d, _, names in os.walk(root) for f in (os.path.join(d, n) for n in names)}
+
+    rng = np.random.default_rng(4)
+    x = rng.normal(size=(6000, 64)).astype(np.float32)
+    df = spark.createDataFrame(list(enumerate(x.tolist())), "vec_id long, embedding array<float>")
+    before = used()
+    assert vectors.near_duplicates(df, block_rows=100).agg({"n_links": "sum"}).first()[0] == 0
+    assert sum(size for f, size in used().items() if f not in before) < 3 * x.nbytes
+
+
+def test_vectors_with_signed_zeros(spark):
+    """0 and -0 are one number, in vectors that are equal otherwise."""
+    rows = [(1, [0.0, 1.0, 0.25]), (2, [-0.0, 1.0, 0.25]), (3, [-0.0, -1.0, 0.0]), (4, [0.0, 0.0, -0.0]), (5, None)]
+    for kind in ("float", "double"):
+        df = spark.createDataFrame(rows, f"vec_id long, embedding array<{kind}>")
+        got = {r.vec_id: (r.n_links, r.component_id, r.kept) for r in vectors.near_duplicates(df).collect()}
+        assert got == {1: (1, 1, True), 2: (1, 1, False), 3: (0, 3, True), 4: (0, 4, True), 5: (0, 5, True)}
+
+
 def test_vectors_edges(spark):
     schema = "vec_id long, embedding array<float>, v int, id string"
     assert vectors.near_duplicates(spark.createDataFrame([], schema)).collect() == []
