@@ -66,6 +66,7 @@ CROWD = 32           # points of the largest subtree that is joined pair by pair
 BLOCK = 2048         # points of a crowded subtree that a task holds
 KNOWN = 16           # keys of crowded subtrees that a point carries
 PAIRS = 1 << 13      # pairs whose known keys are compared at a time
+SEARCH = 256         # points that search a block at a time; what they find leaves before the next do
 NUM, DEN = 3, 4      # the similarity of linked documents, as a fraction
 
 
@@ -285,6 +286,18 @@ def tree_pairs(rows: DataFrame, all_of_them: bool) -> DataFrame:
                     overlap_tree.Bitmaps(points[6], points[1]))
 
         def search(mine):
+            """Batches of what searching points find, of SEARCH * BLOCK pairs at most."""
+            ends = []
+            for at in range(0, len(mine[0]), SEARCH):
+                ends.append(searched([c[at:at + SEARCH] for c in mine]))
+                if sum(len(m[0]) for m in made) >= SEARCH * BLOCK // 4:
+                    yield from sent()
+            if not all_of_them and ends:
+                ends = np.unique(np.concatenate(ends))
+                made.append([ends, ends, np.full(len(ends), -1.0)])
+
+        def searched(mine):
+            """Puts pairs of some searching points into ``made``; the points that they met."""
             points, boxes, maps = tree
             size = mine[1].astype(np.int64)
             i, j, bound = boxes.search(mine[4], size, mine[2])
@@ -297,12 +310,12 @@ def tree_pairs(rows: DataFrame, all_of_them: bool) -> DataFrame:
                 enough &= ~points[3][j] | (mine[0][i] < points[0][j])
             pick = np.flatnonzero(enough)
             i, j, bound = i[pick], j[pick], bound[pick]
+            ends = points[0][np.unique(j)]
             if not all_of_them:
-                ends = points[0][np.unique(j)]
-                made.append([ends, ends, np.full(len(ends), -1.0)])
                 pick = overlap_tree.best_of_each(i, j, bound, mine[1], points[1])
                 i, j, bound = i[pick], j[pick], bound[pick]
             made.append([mine[0][i], points[0][j], bound / (mine[1][i] + points[1][j])])
+            return ends
 
         def close():
             if held and tree is None:
@@ -310,7 +323,7 @@ def tree_pairs(rows: DataFrame, all_of_them: bool) -> DataFrame:
             if held:
                 points = tree[0]
                 out = np.flatnonzero(points[3])
-                search([c[out] for c in points])
+                yield from search([c[out] for c in points])
 
         def sent():
             yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*made)],
@@ -325,7 +338,7 @@ def tree_pairs(rows: DataFrame, all_of_them: bool) -> DataFrame:
             start = np.concatenate(([0], np.flatnonzero(new) + 1, [len(key)]))
             for s, e in zip(start[:-1], start[1:]):
                 if unit != (key[s], block[s]):
-                    close()
+                    yield from close()
                     unit, held, tree = (key[s], block[s]), [], None
                 mine = [b[c].slice(s, e - s).to_numpy(zero_copy_only=False)
                         for c in ("id", "n", "component", "outside")]
@@ -337,10 +350,10 @@ def tree_pairs(rows: DataFrame, all_of_them: bool) -> DataFrame:
                     continue
                 if tree is None:
                     grown()
-                search(mine)
+                yield from search(mine)
             if made:
                 yield from sent()
-        close()
+        yield from close()
         if made:
             yield from sent()
 

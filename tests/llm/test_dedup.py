@@ -145,6 +145,34 @@ def test_vectors_under_null_ids_only(spark):
     assert [r.n_links for r in nulls] == [2, 2, 2]
 
 
+# ---- documents -------------------------------------------------------------------------
+
+@pytest.mark.parametrize("all_of_them", [True, False])
+def test_a_crowd_leaves_its_pairs_in_small_batches(all_of_them):
+    """Points that all allow each other: what one batch of them finds would be millions of rows at once."""
+    class Rows:
+        repartition = sortWithinPartitions = lambda self, *_: self
+        mapInArrow = lambda self, run, _: run
+
+    hashes = np.random.default_rng(3).integers(0, 1 << 63, 40).astype(np.uint64)
+    n = jaccard.BLOCK + 3000
+    here = np.arange(n) < jaccard.BLOCK
+    batch = pa.RecordBatch.from_arrays(
+        [pa.array(np.full(n, 7)), pa.array(np.zeros(n, np.int32)), pa.array(np.where(here, 0, 1).astype(np.int32)),
+         pa.array(np.arange(n)), pa.array(np.full(n, 40, np.int32)), pa.array(np.arange(n)), pa.array(here & (np.arange(n) < 700)),
+         pa.array([[7]] * n, pa.list_(pa.int64())), pa.array([overlap_tree.count_vector(hashes)] * n),
+         pa.array([overlap_tree.bitmap(hashes)] * n)],
+        names=["key", "block", "part", "id", "n", "component", "outside", "known", "counts", "bits"])
+    rows = found = 0
+    for out in jaccard.tree_pairs(Rows(), all_of_them)(iter([batch])):
+        assert out.num_rows <= jaccard.SEARCH * jaccard.BLOCK * 5 // 4
+        rows, found = rows + out.num_rows, found + int((out["share"].to_numpy() >= 0).sum())
+    if all_of_them:  # each pair of two that search once
+        assert rows == found == 3700 * (jaccard.BLOCK - 700) + 700 * 699 // 2
+    else:
+        assert found == 3700 and rows <= found + 2 * jaccard.BLOCK
+
+
 # ---- suffixes --------------------------------------------------------------------------
 
 @given(st.lists(st.binary(max_size=20).map(lambda b: bytes(x % 3 for x in b)), max_size=60))
