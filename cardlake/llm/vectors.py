@@ -54,7 +54,8 @@ from cardlake.session import shared_path
 
 SLICE = 1024  # vectors whose distances to all centroids are held at a time
 SLACK = 1e-7  # rounding, on the side of keeping candidates
-HELD_BYTES = 32 << 20  # vectors of members that a task holds at a time
+HELD_BYTES = 16 << 20  # vectors of members that a task holds at a time
+NARROW = 256  # members of a block from which on its lists are probed one by one
 RERANK = 65536  # pairs whose cosines are computed at a time
 
 
@@ -230,10 +231,14 @@ class Block:
         # parts that links found so far leave, and what queries of earlier lists found
         self.label, self.more = np.arange(len(at)), np.zeros(len(at), np.int64)
 
-    def links(self, x: np.ndarray, rank: np.ndarray, pts: np.ndarray, ids: np.ndarray, copies: np.ndarray,
-              sizes: np.ndarray, threshold: float) -> tuple[list, list, list]:
-        """(a, b, n) of some queries against the members."""
-        q, m = np.divmod(np.flatnonzero(x.astype("f4") @ self.code >= self.least), len(self.least))
+    def links(self, who: np.ndarray, x4: np.ndarray, x: np.ndarray, rank: np.ndarray, rows: dict,
+              threshold: float) -> tuple[list, list, list]:
+        """(a, b, n) of some queries, ``who`` of the rows, against the members.  ``x``: the rows' unit vectors,
+        ``x4``: in single precision, ``rank``: of their lists."""
+        q, m = np.divmod(np.flatnonzero(x4[who] @ self.code >= self.least), len(self.least))
+        if not len(q):
+            return [], [], []
+        q, pts, ids, copies, sizes = who[q], rows["pt"], rows["id"], rows["copies"], rows["size"]
         ok = rank[q] <= self.rank[m]
         q, m = q[ok], m[ok]
         cos = np.concatenate([np.einsum("ij,ij->i", x[q[i:i + RERANK]], _unit(self.raw[m[i:i + RERANK]]))
@@ -285,7 +290,8 @@ def _compared(members: DataFrame, some: tuple, index: Index, cells: Cells, size:
     rows["error"] = np.array(table["error"].to_pylist())
     del table
     slack = 2.0 ** -22 * (size + 8)  # rounding of a product in single precision
-    rank, cell, low, high = cells.rank, cells.cell, cells.low, cells.high
+    rank, order, cell, low, high = cells.rank, cells.order, cells.cell, cells.low, cells.high
+    least = min(NARROW, block_rows)
     held = members.sparkSession.sparkContext.broadcast((rows, index))
 
     def compare(batches):
@@ -293,21 +299,29 @@ def _compared(members: DataFrame, some: tuple, index: Index, cells: Cells, size:
             return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in (a, b, n)], names=["a", "b", "n"])
 
         (rows, index), blocks = held.value, []
-        for c in which:
-            at = np.flatnonzero(cell[rows["list"]] == c)
-            for i in range(0, len(at), block_rows):
-                blocks.append((c, Block(rows, at[i:i + block_rows], index, rank, radius, slack)))
+        at = np.argsort(rank[rows["list"]], kind="stable")
+        place = rank[rows["list"][at]]  # lists of a cell are neighbours in rank
+        start = 0
+        for end in [*np.flatnonzero(np.diff(place)) + 1, len(place)]:
+            # a list that is large, or ends its cell, or fills the block
+            last = end == len(place) or cell[order[place[end]]] != cell[order[place[end - 1]]]
+            if last or np.searchsorted(place, place[end], "right") - start > least:
+                for i in range(start, end, block_rows):
+                    some = at[i:min(end, i + block_rows)]
+                    probed = np.isin(lists, rows["list"][some])
+                    blocks.append((np.flatnonzero(probed), Block(rows, some, index, rank, radius, slack)))
+                start = end
         for b in _slices(batches):
             own = _columns(b, size, number)
             x, near = _unit(own["v"]), own["list"]
+            x4 = x.astype("f4")
             must = index.probes(x, near, own["far"], lists, reach, radius, low, high)
             # of two lists the one that comes first probes the other
             must &= rank[lists][None, :] >= rank[near][:, None]
-            for c, block in blocks:
-                who = np.flatnonzero(must[:, cell[lists] == c].any(1))
+            for probed, block in blocks:
+                who = np.flatnonzero(must[:, probed].any(1))
                 if len(who):
-                    found = block.links(x[who], rank[near[who]], own["pt"][who], own["id"][who], own["copies"][who],
-                                        own["size"][who], threshold)
+                    found = block.links(who, x4, x, rank[near], own, threshold)
                     if found[0]:
                         yield batch(*found)
         for _, block in blocks:
